@@ -14,15 +14,21 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.functions.columns import PREDICTION, column
+from terrane.functions.columns import (
+    PREDICTION,
+    column,
+    fold_of,
+    hash_position,
+    within_share,
+)
 from terrane.operators.cleansing import drop_missing
-from terrane.operators.sampling import split, with_fold
 from terrane.session import ensure_checkpoint_dir
 from terrane.sources import paths
 from terrane.sources.tables import stage
 
 FEATURES = "features"
 _FOLD = "__fold"
+_POSITION = "__position"
 # Labels travel through the driver and into every tree task, so their number is checked.
 MAX_CATEGORIES = 10_000
 # Defaults of an unconfigured fit.
@@ -130,40 +136,45 @@ def train(
     ensure_checkpoint_dir(spark)
     needed = [target, *categorical, *numeric]
     keys = list(split_keys or needed)
-    rows = drop_missing(df, needed).select(*map(column, dict.fromkeys([*keys, *needed])))
-    training, holdout = split(rows, keys, train_share, seed)
-    indexer = fit_indexer(training, categorical)
-    vectors = assembler(categorical, numeric)
-    before = [*([indexer] if indexer is not None else []), vectors]
-    prepared = training
-    for transformer in before:
-        prepared = transformer.transform(prepared)
-    trees = regressor(target, hyperparameters, seed, bins_needed(indexer))
-    # Every tree level reads the features again: keep only them, once and durably.
-    prepared, path = stage(prepared.select(*map(column, dict.fromkeys([*keys, target, FEATURES]))), "train")
+    rows = _spread(drop_missing(df, needed).select(*map(column, dict.fromkeys(needed + keys))))
+    placed = rows.withColumn(_POSITION, hash_position(seed, keys))
+    # Indexing, fitting and evaluation all pass over these columns: keep them once, durably.
+    rows, path = stage(placed.select(*map(column, needed), _POSITION), "train")
     try:
+        inside = within_share(F.col(_POSITION), train_share)
+        training, holdout = rows.filter(inside), rows.filter(~inside)
+        indexer = fit_indexer(training, categorical)
+        before = [*([indexer] if indexer is not None else []), assembler(categorical, numeric)]
+        prepared = PipelineModel(before).transform(training).select(target, FEATURES, _POSITION)
+        trees = regressor(target, hyperparameters, seed, bins_needed(indexer))
         if tuning and tuning.get("enabled"):
-            fitted, best = tune(prepared, trees, target, keys, tuning, seed)
+            fitted, best = tune(prepared, trees, target, tuning, seed)
         else:
             fitted, best = trees.fit(prepared), {}
+        model = PipelineModel([*before, fitted])
+        scored = model.transform(holdout)
+        measured = regression_metrics(scored, target, PREDICTION).first().asDict()
     finally:
         paths.remove(spark, path)
-    model = PipelineModel([*before, fitted])
-    measured = regression_metrics(model.transform(holdout), target, PREDICTION).first().asDict()
     return Fit(model, measured, importances(model), best)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Give an iterative fit at least one partition per core; larger inputs have more."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def tune(
     prepared: DataFrame,
     trees: GBTRegressor,
     target: str,
-    keys: Sequence[str],
     tuning: Mapping[str, Any],
     seed: int,
 ):
     """Grid search by k-fold cross-validation; returns the refitted best model and its values.
 
-    Folds come from a hash of the keys, so a retried fit sees the same folds.
+    Folds come from the rows' hash positions, so a retried fit sees the same folds.
     """
     wanted = dict(tuning.get("param_grid") or {})
     grid = ParamGridBuilder()
@@ -183,5 +194,6 @@ def tune(
         parallelism=int(tuning.get("parallelism", 4)),
         seed=seed,
     )
-    best = search.fit(with_fold(prepared, keys, folds, seed, _FOLD)).bestModel
+    folded = prepared.withColumn(_FOLD, fold_of(F.col(_POSITION), folds))
+    best = search.fit(folded).bestModel
     return best, {name: best.getOrDefault(best.getParam(name)) for name in wanted}

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrane.functions.columns import bin_index, column, missing, type_of
+from terrane.sources.tables import small_frame
 
 # The quartiles a summary reports.
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -17,38 +18,37 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 _ACCURACY = 10_000
 _SLACK = 4.0
 # Rows that may lie strictly inside a bracket when its values are ranked in one task.
-_MAX_INSIDE = 200_000
+_MAX_INSIDE = 1_000_000
 
 
 @dataclass
-class _Rank:
-    """A wanted 0-based rank of a column and the closed value bracket that holds it."""
+class _Bracket:
+    """A closed value interval of a column and the wanted 0-based ranks looked for in it."""
 
     column: str
-    rank: int
     low: float
     high: float
-    below: int = 0  # rows under the bracket
+    ranks: list[int]
+    below: int = 0  # rows under the interval
     at_low: int = 0
     inside: int = 0  # rows strictly between the edges
     at_high: int = 0
     accuracy: int = _ACCURACY
 
-    @property
-    def id(self) -> str:
-        return f"{self.column}:{self.rank}"
+    def settle(self, found: dict[tuple[str, int], float]) -> None:
+        """Ranks that fall on an edge are answered by the counts alone."""
+        first_inside = self.below + self.at_low
+        first_high = first_inside + self.inside
+        for rank in self.ranks:
+            if rank < first_inside:
+                found[self.column, rank] = self.low
+            elif rank >= first_high:
+                found[self.column, rank] = self.high
+        self.ranks = [r for r in self.ranks if first_inside <= r < first_high]
 
-    @property
-    def holds(self) -> bool:
-        return 0 <= self.rank - self.below < self.at_low + self.inside + self.at_high
-
-    def value(self) -> float | None:
-        """The answer, once the rank falls on an edge of a bracket that holds it."""
-        if self.rank < self.below + self.at_low:
-            return self.low
-        if self.rank >= self.below + self.at_low + self.inside:
-            return self.high
-        return None
+    def holds_all(self) -> bool:
+        rows = self.at_low + self.inside + self.at_high
+        return all(0 <= rank - self.below < rows for rank in self.ranks)
 
 
 def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -77,20 +77,19 @@ def summary(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFrame
             )
         ]
     ).first()
-    wanted = {}
+    brackets = []
     for name in numbers.columns:
-        total = row[f"{name}_count"]
-        for share in QUARTILES.values() if total else ():
-            for rank in (math.floor((total - 1) * share), math.ceil((total - 1) * share)):
-                target = _Rank(name, rank, row[f"{name}_min"], row[f"{name}_max"])
-                target.inside = total
-                wanted[target.id] = target
-    at = _values_at(numbers, list(wanted.values()))
+        if total := row[f"{name}_count"]:
+            at = [(total - 1) * share for share in QUARTILES.values()]
+            ranks = sorted({f(position) for position in at for f in (math.floor, math.ceil)})
+            edges = row[f"{name}_min"], row[f"{name}_max"]
+            brackets.append(_Bracket(name, *edges, ranks, inside=total))
+    found = _values_at(numbers, brackets)
     lines = []
     for source, name in zip(columns, numbers.columns):
         total = row[f"{name}_count"]
         measures = [row[f"{name}_mean"], row[f"{name}_std"], row[f"{name}_min"]]
-        measures += [_interpolate(at, name, (total - 1) * q) for q in QUARTILES.values()]
+        measures += [_interpolate(found, name, (total - 1) * q) for q in QUARTILES.values()]
         measures.append(row[f"{name}_max"])
         lines.append((source, total, *measures))
     return _summary_frame(df.sparkSession, lines, digits)
@@ -99,108 +98,133 @@ def summary(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFrame
 def _summary_frame(spark: SparkSession, lines: list[tuple], digits: int) -> DataFrame:
     measures = ["mean", "std", "min", *QUARTILES, "max"]
     schema = "column string, count bigint, " + ", ".join(f"{m} double" for m in measures)
-    frame = spark.createDataFrame(lines, schema)
+    frame = small_frame(spark, lines, schema)
     return frame.withColumns({m: F.round(m, digits) for m in measures})
 
 
-def _interpolate(at: dict[str, float], name: str, position: float) -> float | None:
+def _interpolate(
+    found: dict[tuple[str, int], float], name: str, position: float
+) -> float | None:
     if position < 0:
         return None
-    lower, upper = at[f"{name}:{math.floor(position)}"], at[f"{name}:{math.ceil(position)}"]
+    lower, upper = found[name, math.floor(position)], found[name, math.ceil(position)]
     return lower + (upper - lower) * (position - math.floor(position))
 
 
-def _values_at(numbers: DataFrame, ranks: list[_Rank]) -> dict[str, float]:
+def _values_at(
+    numbers: DataFrame, brackets: list[_Bracket]
+) -> dict[tuple[str, int], float]:
     """Exact values at the wanted ranks, without sorting or gathering a column.
 
     While a bracket strictly holds many rows, a quantile sketch of those rows alone
-    proposes a narrower one and a counting pass confirms it; each round cuts the rows
+    proposes narrower ones and a counting pass confirms them; each round cuts the rows
     inside by about the sketch accuracy. A very common value ends up on an edge, where
     the counts alone give the answer. What is left is small enough to rank exactly.
     """
-    found: dict[str, float] = {}
-    wide = _count(numbers, [r for r in ranks if r.inside > _MAX_INSIDE])
-    narrow = [r for r in ranks if r.inside <= _MAX_INSIDE]
+    found: dict[tuple[str, int], float] = {}
+    narrow = [b for b in brackets if b.inside <= _MAX_INSIDE]
+    wide = _counted(numbers, [b for b in brackets if b.inside > _MAX_INSIDE])
     while wide:
-        proposed = _count(numbers, _propose(numbers, wide))
-        kept = [
-            new if new.holds else replace(old, accuracy=old.accuracy * 4)
-            for old, new in zip(wide, proposed)
+        for bracket in wide:
+            bracket.settle(found)
+        narrow += [b for b in wide if b.ranks and b.inside <= _MAX_INSIDE]
+        wide = [b for b in wide if b.ranks and b.inside > _MAX_INSIDE]
+        proposals = _proposed(numbers, wide) if wide else []
+        _counted(numbers, [new for _, new in proposals])
+        wide = [
+            new if new.holds_all() else replace(old, ranks=new.ranks, accuracy=old.accuracy * 4)
+            for old, new in proposals
         ]
-        found |= {r.id: r.value() for r in kept if r.value() is not None}
-        kept = [r for r in kept if r.id not in found]
-        narrow += [r for r in kept if r.inside <= _MAX_INSIDE]
-        wide = [r for r in kept if r.inside > _MAX_INSIDE]
-    return found | _rank_inside(numbers, narrow)
+    return found | _ranked(numbers, narrow)
 
 
-def _count(numbers: DataFrame, ranks: list[_Rank]) -> list[_Rank]:
+def _counted(numbers: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
     """Fill in how many rows lie below, on and between the edges: one pass for all."""
-    if not ranks:
-        return []
+    if not brackets:
+        return brackets
     measures = []
-    for i, r in enumerate(ranks):
-        value = F.col(r.column)
+    for i, b in enumerate(brackets):
+        value = F.col(b.column)
         measures += [
-            F.count_if(value < r.low).alias(f"below{i}"),
-            F.count_if(value == r.low).alias(f"low{i}"),
-            F.count_if((value > r.low) & (value < r.high)).alias(f"inside{i}"),
-            F.count_if((value == r.high) & (value > r.low)).alias(f"high{i}"),
+            F.count_if(value < b.low).alias(f"below{i}"),
+            F.count_if(value == b.low).alias(f"low{i}"),
+            F.count_if((value > b.low) & (value < b.high)).alias(f"inside{i}"),
+            F.count_if((value == b.high) & (value > b.low)).alias(f"high{i}"),
         ]
     row = numbers.agg(*measures).first()
+    for i, b in enumerate(brackets):
+        b.below, b.at_low = row[f"below{i}"], row[f"low{i}"]
+        b.inside, b.at_high = row[f"inside{i}"], row[f"high{i}"]
+    return brackets
+
+
+def _proposed(
+    numbers: DataFrame, brackets: list[_Bracket]
+) -> list[tuple[_Bracket, _Bracket]]:
+    """Narrower brackets, one per run of neighbouring ranks, from a sketch of the inside."""
+    jobs, sketches = [], []
+    for i, b in enumerate(brackets):
+        runs: list[list[int]] = []
+        for rank in b.ranks:
+            if runs and rank - runs[-1][-1] <= 1:
+                runs[-1].append(rank)
+            else:
+                runs.append([rank])
+        slack, first = _SLACK / b.accuracy, b.below + b.at_low
+        near = []
+        for run in runs:
+            near.append(max(0.0, (run[0] - first) / b.inside - slack))
+            near.append(min(1.0, (run[-1] - first) / b.inside + slack))
+        inner = F.when((F.col(b.column) > b.low) & (F.col(b.column) < b.high), F.col(b.column))
+        sketches.append(F.percentile_approx(inner, near, b.accuracy).alias(f"near{i}"))
+        jobs.append((b, runs))
+    row = numbers.agg(*sketches).first()
     return [
-        replace(
-            r,
-            below=row[f"below{i}"],
-            at_low=row[f"low{i}"],
-            inside=row[f"inside{i}"],
-            at_high=row[f"high{i}"],
-        )
-        for i, r in enumerate(ranks)
+        (b, replace(b, ranks=run, low=row[f"near{i}"][2 * j], high=row[f"near{i}"][2 * j + 1]))
+        for i, (b, runs) in enumerate(jobs)
+        for j, run in enumerate(runs)
     ]
 
 
-def _propose(numbers: DataFrame, ranks: list[_Rank]) -> list[_Rank]:
-    """Narrower brackets from a sketch of the rows strictly inside the present ones."""
-    sketches = []
-    for i, r in enumerate(ranks):
-        inner = F.when((F.col(r.column) > r.low) & (F.col(r.column) < r.high), F.col(r.column))
-        at = (r.rank - r.below - r.at_low) / r.inside
-        near = [max(0.0, at - _SLACK / r.accuracy), min(1.0, at + _SLACK / r.accuracy)]
-        sketches.append(F.percentile_approx(inner, near, r.accuracy).alias(f"near{i}"))
-    row = numbers.agg(*sketches).first()
-    return [replace(r, low=row[f"near{i}"][0], high=row[f"near{i}"][1]) for i, r in enumerate(ranks)]
-
-
-def _rank_inside(numbers: DataFrame, ranks: list[_Rank]) -> dict[str, float]:
-    """Count the distinct values left in each bracket and pick the one at the rank.
+def _ranked(numbers: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
+    """Count the distinct values left in each bracket and pick the ones at the ranks.
 
     A bracket has at most ``_MAX_INSIDE`` rows besides its edges, and repeats combine
     before the shuffle, so each window below is small whatever the table's size.
     """
-    if not ranks:
+    if not brackets:
         return {}
     hits = [
-        F.when(
-            F.col(r.column).between(r.low, r.high),
-            F.struct(
-                F.lit(r.id).alias("id"),
-                F.lit(r.rank - r.below).alias("position"),
-                F.col(r.column).alias("value"),
-            ),
+        item
+        for i, b in enumerate(brackets)
+        for item in (
+            F.lit(i),
+            F.when(F.col(b.column).between(b.low, b.high), F.col(b.column)),
         )
-        for r in ranks
     ]
     counted = (
-        numbers.select(F.explode(F.array_compact(F.array(*hits))).alias("hit"))
-        .groupBy("hit.id", "hit.position", "hit.value")
+        numbers.select(F.stack(F.lit(len(brackets)), *hits).alias("bracket", "value"))
+        .filter(F.col("value").isNotNull())
+        .groupBy("bracket", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    upto = F.sum("rows").over(Window.partitionBy("id").orderBy("value"))
-    at = counted.withColumn("upto", upto).filter(
-        (F.col("upto") - F.col("rows") <= F.col("position")) & (F.col("position") < F.col("upto"))
+    upto = F.sum("rows").over(Window.partitionBy("bracket").orderBy("value"))
+    wanted = F.create_map(
+        *[
+            item
+            for i, b in enumerate(brackets)
+            for item in (F.lit(i), F.array(*[F.lit(r - b.below) for r in b.ranks]))
+        ]
+    )
+    at = (
+        counted.withColumn("upto", upto)
+        .withColumn("position", F.explode(wanted[F.col("bracket")]))
+        .filter(F.col("position").between(F.col("upto") - F.col("rows"), F.col("upto") - 1))
     )
-    return {row["id"]: row["value"] for row in at.collect()}  # one row per wanted rank
+    return {  # one row per wanted rank
+        (brackets[r["bracket"]].column, r["position"] + brackets[r["bracket"]].below): r["value"]
+        for r in at.collect()
+    }
 
 
 def histogram(df: DataFrame, name: str, bins: int = 50) -> DataFrame:

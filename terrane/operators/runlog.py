@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.operators.sampling import latest
-from terrane.sources.tables import is_table, read_table, write_table
+from terrane.sources.tables import is_table, read_table, small_frame, write_table
 
 RUNNING, FINISHED, FAILED = "RUNNING", "FINISHED", "FAILED"
 
@@ -60,8 +60,7 @@ class RunLog:
 
     def _append(self, name: str, rows: list[tuple], schema: str) -> None:
         if rows:
-            frame = self.spark.createDataFrame(rows, schema).coalesce(1)
-            write_table(frame, self.table(name), "append")
+            write_table(small_frame(self.spark, rows, schema), self.table(name), "append")
 
     def status(self, status: str) -> None:
         row = (self.run_id, self.experiment, self.run_name, status, self.start_time, now())

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.functions.columns import column, fold_of, hash_position, within_share
+from terrane.functions.columns import column, hash_position, within_share
 
 _POSITION = "__position"
 _RANK = "__rank"
@@ -24,10 +24,6 @@ def split(
     return placed.filter(inside).drop(_POSITION), placed.filter(~inside).drop(_POSITION)
 
 
-def with_fold(df: DataFrame, keys: Sequence[str], folds: int, seed: int, name: str) -> DataFrame:
-    return df.withColumn(name, fold_of(hash_position(seed, keys), folds))
-
-
 def sample(df: DataFrame, keys: Sequence[str], rows: int, seed: int) -> DataFrame:
     """At most ``rows`` rows, the first in salted-hash order.
 

@@ -14,12 +14,20 @@ from terrane.sources.landing import read_landing, with_lineage
 from terrane.sources.tables import read_table, write_table
 from terrane.streaming.ingest import ingest_stream
 
+LANDED_FILES = 8
+
+
+def land(df: DataFrame, path: str, file_format: str) -> None:
+    """Drop rows into a landing folder as several files."""
+    files = df.repartition(LANDED_FILES).write.mode("append").format(file_format)
+    files.option("header", True).save(path)
+
 
 @query("scan_csv", "SELECT * FROM lineitem")
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "lineitem")
     landing = scratch_path(spark, "landing")
-    source.write.option("header", True).csv(landing)
+    land(source, landing, "csv")
     return read_landing(
         spark,
         landing,
@@ -34,7 +42,7 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "orders")
     landing = scratch_path(spark, "landing")
-    source.write.json(landing)
+    land(source, landing, "json")
     return read_landing(spark, landing, schema=source.schema)
 
 
@@ -84,7 +92,7 @@ def bronze_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     landings = []
     for name, file_format in formats.items():
         source = table(spark, sf_dir, name)
-        source.write.format(file_format).option("header", True).save(f"{root}/landing/{name}")
+        land(source, f"{root}/landing/{name}", file_format)
         landings.append(
             BronzeSpec(
                 landing_path=f"{root}/landing/{name}",
@@ -122,7 +130,7 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, bronze = f"{root}/landing", f"{root}/bronze"
     early = F.col("o_orderdate") < "1996-01-01"
     for part in (source.filter(early), source.filter(~early)):
-        part.write.mode("append").option("header", True).csv(landing)
+        land(part, landing, "csv")
         ingest_stream(spark, landing, bronze, **sweep)
     return read_table(spark, bronze).drop(*LINEAGE)
 

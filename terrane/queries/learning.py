@@ -20,7 +20,7 @@ from terrane.queries.gold import gold_features
 from terrane.queries.profile import predicted
 from terrane.queries.registry import query, table
 from terrane.session import scratch_path
-from terrane.sources.tables import read_table, write_table
+from terrane.sources.tables import read_table, small_frame, write_table
 
 CATEGORICAL = ["c_mktsegment", "p_brand"]
 NUMERIC = ["l_extendedprice", "l_quantity", "p_retailprice"]
@@ -120,7 +120,7 @@ def ml_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _named(spark: SparkSession, values: dict[str, float], name: str) -> DataFrame:
     rows = [(k, float(v)) for k, v in values.items()]
-    return spark.createDataFrame(rows, f"{name} string, value double")
+    return small_frame(spark, rows, f"{name} string, value double")
 
 
 @query("ml_train")

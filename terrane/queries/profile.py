@@ -10,6 +10,8 @@ from terrane.operators.sampling import latest, latest_per_key, sample
 from terrane.operators.scoring import residual_histogram, residuals
 from terrane.queries.gold import FEATURES_SQL, gold_features
 from terrane.queries.registry import query, table
+from terrane.session import scratch_path
+from terrane.sources.tables import read_table, write_table
 
 _NUMERIC = [
     "l_extendedprice",
@@ -30,9 +32,16 @@ _SUMMARY = " UNION ALL ".join(
 )
 
 
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profiled columns as a written table: a profile takes several passes."""
+    gold = scratch_path(spark, "gold")
+    write_table(gold_features(spark, sf_dir).select(*_NUMERIC), gold)
+    return read_table(spark, gold)
+
+
 @query("eda_summary", f"WITH g AS ({FEATURES_SQL}) {_SUMMARY}")
 def eda_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary(gold_features(spark, sf_dir), _NUMERIC)
+    return summary(gold_table(spark, sf_dir), _NUMERIC)
 
 
 def _bins(values: str) -> str:
@@ -53,7 +62,7 @@ def _rounded(bins: DataFrame) -> DataFrame:
 
 @query("eda_histogram", _bins(f"SELECT actual_delay_days::DOUBLE AS x FROM ({FEATURES_SQL})"))
 def eda_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(histogram(gold_features(spark, sf_dir), "actual_delay_days"))
+    return _rounded(histogram(gold_table(spark, sf_dir), "actual_delay_days"))
 
 
 @query(

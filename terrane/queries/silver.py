@@ -17,6 +17,7 @@ from terrane.operators.rules import (
 )
 from terrane.plans.layers import run_silver
 from terrane.plans.spec import RuleSpec, SilverSpec
+from terrane.queries.bronze import land
 from terrane.queries.registry import query, table
 from terrane.session import scratch_path
 from terrane.sources.landing import read_landing, with_lineage
@@ -217,7 +218,7 @@ def silver_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "silver-stream")
     source = gaps(spark, sf_dir)
-    source.write.json(f"{root}/landing")
+    land(source, f"{root}/landing", "json")
     stream = landing_stream(
         spark, f"{root}/landing", source.schema, file_pattern="*.json", max_files_per_batch=4
     )

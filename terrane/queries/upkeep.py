@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terrane.operators.runlog import latest_metrics
 from terrane.operators.upkeep import compact, maintain, stale_files
 from terrane.plans.job import run
+from terrane.queries.bronze import land
 from terrane.queries.registry import query, table
 from terrane.session import scratch_path
 from terrane.sources.tables import read_table, write_table
@@ -76,7 +77,7 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     landings = []
     for name in ("orders", "lineitem"):
         source = table(spark, sf_dir, name)
-        source.write.option("header", True).csv(f"{root}/landing/{name}")
+        land(source, f"{root}/landing/{name}", "csv")
         ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields)
         landings.append(
             {

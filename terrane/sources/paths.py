@@ -48,3 +48,23 @@ def qualified(spark: SparkSession, path: str) -> str:
 def remove(spark: SparkSession, path: str) -> None:
     fs, handle = _locate(spark, path)
     fs.delete(handle, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, handle = _locate(spark, path)
+    stream = fs.create(handle, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, handle = _locate(spark, path)
+    if not fs.exists(handle):
+        return None
+    stream = fs.open(handle)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()

@@ -3,11 +3,14 @@
 Layout: ``<table>/v=<n>/<segment>/part-*.parquet``. An overwrite writes version ``n+1``
 as one new segment; an append adds a segment to the newest version. Spark's own
 ``_SUCCESS`` marker makes a segment visible, so a job that dies half-way leaves nothing
-readable, and re-running a named segment replaces it. One writer per table is assumed.
+readable, and re-running a named segment replaces it. ``v=<n>/_schema.json`` holds the
+columns of the version, so neither a read nor an append has to look into file footers.
+One writer per table is assumed.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Sequence
@@ -68,14 +71,23 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
         return spark.table(table)
     segments = live_segments(spark, table)
     if segments:
-        # One segment has one schema; only several can differ by added columns.
-        merge = "true" if len(segments) > 1 else "false"
-        return spark.read.option("mergeSchema", merge).parquet(*segments)
+        return _read_segments(spark, segments)
     if paths.exists(spark, f"{table}/_delta_log"):
         return spark.read.format("delta").load(table)
     return spark.read.parquet(table)
 
 
+def _schema_file(segment: str) -> str:
+    return segment.rsplit("/", 1)[0] + "/_schema.json"
+
+
+def _read_segments(spark: SparkSession, segments: Sequence[str]) -> DataFrame:
+    text = paths.read_text(spark, _schema_file(segments[0]))
+    if text is None:
+        return spark.read.option("mergeSchema", "true").parquet(*segments)
+    return spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(*segments)
+
+
 def table_bytes(spark: SparkSession, table: str) -> int:
     if "/" not in table and spark.catalog.tableExists(table):
         return 0
@@ -83,16 +95,34 @@ def table_bytes(spark: SparkSession, table: str) -> int:
     return sum(paths.total_bytes(spark, segment) for segment in segments)
 
 
-def check_additive(existing: T.StructType, incoming: T.StructType) -> None:
-    """Added columns are fine; a changed type is refused with both types named."""
-    known = {f.name.lower(): f.dataType for f in existing.fields}
-    for field in incoming.fields:
-        before = known.get(field.name.lower())
-        if before is not None and before != field.dataType:
-            raise SchemaConflict(
-                f"column {field.name!r} is {before.simpleString()} in the table "
-                f"but {field.dataType.simpleString()} in the new rows"
-            )
+def merge_schemas(existing: T.StructType, incoming: T.StructType) -> T.StructType:
+    """Columns (and nested fields) may be added; a changed type is refused, both named."""
+    return _merge(existing, incoming, "")
+
+
+def _merge(old: T.DataType, new: T.DataType, where: str) -> T.DataType:
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        known = {f.name.lower(): f for f in old.fields}
+        merged = {
+            key: T.StructField(field.name, field.dataType, True) for key, field in known.items()
+        }
+        for field in new.fields:
+            key, name = field.name.lower(), f"{where}{field.name}"
+            before = known.get(key)
+            kind = _merge(before.dataType, field.dataType, f"{name}.") if before else field.dataType
+            merged[key] = T.StructField(before.name if before else field.name, kind, True)
+        return T.StructType(list(merged.values()))
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(_merge(old.elementType, new.elementType, f"{where}[]."))
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        keys = _merge(old.keyType, new.keyType, f"{where}key.")
+        return T.MapType(keys, _merge(old.valueType, new.valueType, f"{where}value."))
+    if old != new:
+        raise SchemaConflict(
+            f"column {where.rstrip('.')!r} is {old.simpleString()} in the table "
+            f"but {new.simpleString()} in the new rows"
+        )
+    return old
 
 
 def check_unique_names(names: Sequence[str]) -> None:
@@ -117,6 +147,7 @@ def write_table(
     check_unique_names(df.columns)
     spark = df.sparkSession
     versions = _versions(spark, table)
+    schema = df.schema
     if mode == "overwrite":
         target = f"{table}/v={max(versions, default=0) + 1}/{segment or 'base'}"
     else:
@@ -125,8 +156,10 @@ def write_table(
             raise ValueError(f"{table} already holds files that are not a versioned table")
         root = live[0].rsplit("/", 1)[0] if live else f"{table}/v={max(versions, default=0) + 1}"
         if live:
-            check_additive(read_table(spark, table).schema, df.schema)
+            schema = merge_schemas(_read_segments(spark, live).schema, schema)
         target = f"{root}/{segment or 'append-' + uuid.uuid4().hex}"
+    # Before the rows: a column nobody has filled yet is harmless, a hidden one is not.
+    paths.write_text(spark, _schema_file(target), schema.json())
     return write_counted(df, target)
 
 
@@ -136,6 +169,20 @@ def write_counted(df: DataFrame, path: str) -> int:
     return counter.get["rows"]
 
 
+def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few literal rows (run records, statuses) as a plan without Python workers."""
+    types = T.StructType.fromDDL(schema)
+    if not rows:
+        return spark.createDataFrame([], types)
+    lines = [
+        F.struct(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, types.fields)]
+        )
+        for row in rows
+    ]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*lines)))
+
+
 def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Materialise a shared intermediate once, durably; returns it with its path.
 
