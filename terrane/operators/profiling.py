@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ from terrane.sources.tables import small_frame
 # The quartiles a summary reports.
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
-_ACCURACY = 10_000
+# Of each quantile sketch: one per task reaches the merge, so it is kept small.
+_ACCURACY = 1_000
 _SLACK = 4.0
 # Rows that may lie strictly inside a bracket when its values are ranked in one task.
 _MAX_INSIDE = 1_000_000
@@ -33,7 +34,7 @@ class _Bracket:
     at_low: int = 0
     inside: int = 0  # rows strictly between the edges
     at_high: int = 0
-    accuracy: int = _ACCURACY
+    accuracy: int = field(default_factory=lambda: _ACCURACY)
 
     def settle(self, found: dict[tuple[str, int], float]) -> None:
         """Ranks that fall on an edge are answered by the counts alone."""

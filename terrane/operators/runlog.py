@@ -27,16 +27,16 @@ def now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def latest_run(runs: DataFrame, experiment: str) -> DataFrame:
-    """The newest finished run of an experiment."""
+def latest_run(runs: DataFrame, experiment: str, *, finished: bool = True) -> DataFrame:
+    """The newest run of an experiment: finished ones only, unless asked otherwise."""
     matching = runs.filter(F.col("experiment") == experiment)
     order = [F.col("start_time").desc(), F.col("run_id")]
-    return latest(matching, f"status = '{FINISHED}'", order)
+    return latest(matching, f"status = '{FINISHED}'" if finished else "true", order)
 
 
-def latest_metrics(runs: DataFrame, metrics: DataFrame, experiment: str) -> DataFrame:
-    """All metrics of that run."""
-    return metrics.join(latest_run(runs, experiment).select("run_id"), "run_id")
+def of_latest_run(runs: DataFrame, records: DataFrame, experiment: str) -> DataFrame:
+    """That run's metrics or parameters."""
+    return records.join(latest_run(runs, experiment).select("run_id"), "run_id")
 
 
 class RunLog:

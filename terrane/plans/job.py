@@ -88,10 +88,10 @@ def _learning_metrics(fit: Fit) -> dict[str, float]:
 
 
 def _upkeep(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
-    """Table path to status; empty when the stage is off."""
+    """Table path to status, or the one word that says the stage is off."""
     wanted = spec.maintenance
     if wanted is None or not wanted.enabled:
-        return {}
+        return {"status": "SKIPPED"}
     tables = wanted.tables or [spec.silver.target_delta_path, spec.gold.target_delta_path]
     rows = maintain(spark, tables, wanted.retention_hours).collect()  # one row per table
     return {r["table"]: r["status"] + (f": {r['message']}" if r["message"] else "") for r in rows}

@@ -16,7 +16,7 @@ from terrane.operators.runlog import latest_run_id
 from terrane.operators.scoring import load_model, score_batch, score_full
 from terrane.operators.shaping import shape
 from terrane.plans.spec import BronzeSpec, GoldSpec, JobSpec, LearningSpec, SilverSpec
-from terrane.session import size_shuffles
+from terrane.session import layout_for, settings
 from terrane.sources import paths
 from terrane.sources.landing import read_landing, with_lineage
 from terrane.sources.tables import read_table, stage, table_bytes, write_table
@@ -102,24 +102,25 @@ def run_silver(spark: SparkSession, spec: SilverSpec) -> dict[str, float]:
                 "validation_rules need a quarantine_delta_path, or on_invalid: ignore"
             )
         rules = []
-    size_shuffles(spark, table_bytes(spark, spec.source_delta_path))
-    df = cleanse(
-        read_table(spark, spec.source_delta_path),
-        spec.fill_na,
-        spec.drop_duplicates,
-        spec.drop_na_cols,
-    )
-    if not rules:
-        return quality.quality_report(write_table(df, spec.target_delta_path, spec.write_mode), 0)
-    clean, bad = route(
-        df,
-        rules,
-        spec.target_delta_path,
-        spec.quarantine_delta_path,
-        spec.write_mode,
-        shuffled=bool(spec.drop_duplicates),
-    )
-    return quality.quality_report(clean, bad)
+    with settings(spark, layout_for(spark, table_bytes(spark, spec.source_delta_path))):
+        df = cleanse(
+            read_table(spark, spec.source_delta_path),
+            spec.fill_na,
+            spec.drop_duplicates,
+            spec.drop_na_cols,
+        )
+        if rules:
+            counts = route(
+                df,
+                rules,
+                spec.target_delta_path,
+                spec.quarantine_delta_path,
+                spec.write_mode,
+                shuffled=bool(spec.drop_duplicates),
+            )
+        else:
+            counts = write_table(df, spec.target_delta_path, spec.write_mode), 0
+    return quality.quality_report(*counts)
 
 
 def gold_frame(spark: SparkSession, spec: GoldSpec) -> DataFrame:
@@ -131,8 +132,9 @@ def gold_frame(spark: SparkSession, spec: GoldSpec) -> DataFrame:
 
 def run_gold(spark: SparkSession, spec: GoldSpec) -> int:
     inputs = [spec.source, *(j.table for j in spec.joins or ())]
-    size_shuffles(spark, sum(table_bytes(spark, table) for table in inputs))
-    return write_table(gold_frame(spark, spec), spec.target_delta_path, spec.write_mode)
+    size = sum(table_bytes(spark, table) for table in inputs)
+    with settings(spark, layout_for(spark, size)):
+        return write_table(gold_frame(spark, spec), spec.target_delta_path, spec.write_mode)
 
 
 def run_training(spark: SparkSession, spec: LearningSpec | None, gold_table: str) -> Fit | None:

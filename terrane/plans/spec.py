@@ -167,6 +167,8 @@ def _convert(hint: Any, value: Any, where: str) -> Any:
             raise ValueError(f"{where} must be a list")
         inner = get_args(wanted)[0]
         return [_convert(inner, v, f"{where}[{i}]") for i, v in enumerate(value)]
+    if isinstance(value, str) and wanted in (int, float, bool):
+        value = yaml.safe_load(value)  # a quoted number or boolean
     accepted = (int, float) if wanted is float else wanted
     if not isinstance(value, accepted) or (isinstance(value, bool) and wanted is not bool):
         raise ValueError(f"{where} must be {wanted.__name__}, not {type(value).__name__}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.operators.runlog import latest_metrics
+from terrane.operators.runlog import of_latest_run
 from terrane.operators.upkeep import compact, maintain, stale_files
 from terrane.plans.job import run
 from terrane.queries.bronze import land
@@ -127,5 +127,5 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
     )
     runs, metrics = (read_table(spark, f"{root}/runs/{t}") for t in ("runs", "run_metrics"))
-    found = latest_metrics(runs, metrics, "orders").select("key", "value")
+    found = of_latest_run(runs, metrics, "orders").select("key", "value")
     return found.filter("key LIKE '%record_count' OR key LIKE 'dq%'")

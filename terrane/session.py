@@ -11,9 +11,11 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Input bytes one shuffle partition should hold before it is sorted or joined.
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 200_000
+# Bytes a scan task and a shuffle partition should take, until their numbers reach the
+# limits below; past those the pieces grow instead, to keep map x reduce blocks in check.
+PIECE_BYTES = 128 * 1024 * 1024
+MAX_SCAN_TASKS = 100_000
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -77,16 +79,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(f"{shared_root(spark)}/terrane/checkpoints")
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Let the starting shuffle partition count follow the input; AQE merges small ones.
+def layout_for(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Scan and shuffle sizing that follows the input; AQE merges partitions left small.
 
-    Never goes below ``spark.sql.shuffle.partitions``, so small inputs are unaffected.
+    Never below ``spark.sql.shuffle.partitions`` or ``spark.sql.files.maxPartitionBytes``,
+    so small inputs are unaffected.
     """
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
-    count = max(floor, wanted)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count))
-    return count
+    shuffle_floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = -(-input_bytes // PIECE_BYTES)
+    scan_floor = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(
+            max(shuffle_floor, min(pieces, MAX_SHUFFLE_PARTITIONS))
+        ),
+        "spark.sql.files.maxPartitionBytes": str(
+            max(scan_floor, -(-input_bytes // MAX_SCAN_TASKS))
+        ),
+    }
 
 
 @contextmanager
