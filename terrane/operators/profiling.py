@@ -231,27 +231,28 @@ def _ranked(numbers: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int
 def histogram(df: DataFrame, name: str, bins: int = 50) -> DataFrame:
     """Equal-width counts between the column's minimum and maximum, empty bins included.
 
-    The range is a one-row scalar subquery and the counts combine map-side, so nothing
+    Takes two passes: one row of bounds, then counts that combine map-side, so nothing
     larger than ``bins`` rows is shuffled.
     """
-    values = _numbers(df, [name]).filter(F.col("c0").isNotNull())
-    bounds = values.agg(
-        F.struct(F.min("c0").alias("low"), F.max("c0").alias("high")).alias("range")
-    ).scalar()
-    low = F.when(bounds["low"] == bounds["high"], bounds["low"] - 0.5).otherwise(bounds["low"])
-    high = F.when(bounds["low"] == bounds["high"], bounds["high"] + 0.5).otherwise(bounds["high"])
-    counted = values.groupBy(bin_index(F.col("c0"), low, high, bins).alias("bin")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    width = (high - low) / F.lit(bins)
+    present = df.filter(~missing(name, type_of(df, name)))
+    values = present.select(column(name).cast("double").alias("value"))
+    low, high = values.agg(F.min("value"), F.max("value")).first()
+    every = df.sparkSession.range(0 if low is None else bins)
+    if low is None:
+        low = high = 0.0
+    if low == high:
+        low, high = low - 0.5, high + 0.5
+    counted = values.groupBy(
+        bin_index(F.col("value"), F.lit(low), F.lit(high), bins).alias("bin")
+    ).agg(F.count(F.lit(1)).alias("rows"))
+    edge, width = F.col("bin").cast("double"), (high - low) / bins
     return (
-        every.join(counted, "bin", "left")
-        .filter(bounds["low"].isNotNull())
+        every.select(F.col("id").cast("int").alias("bin"))
+        .join(counted, "bin", "left")
         .select(
             "bin",
-            (low + width * F.col("bin")).alias("bin_start"),
-            (low + width * (F.col("bin") + 1)).alias("bin_end"),
+            (F.lit(low) + F.lit(width) * edge).alias("bin_start"),
+            (F.lit(low) + F.lit(width) * (edge + 1)).alias("bin_end"),
             F.coalesce("rows", F.lit(0)).alias("rows"),
         )
     )

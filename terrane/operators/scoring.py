@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
@@ -13,6 +14,8 @@ from terrane.functions.columns import MODEL_RUN_ID, PREDICTED_AT, PREDICTION, co
 from terrane.operators.profiling import histogram
 from terrane.operators.shaping import name_prediction
 
+_log = logging.getLogger(__name__)
+
 
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
@@ -36,7 +39,7 @@ def load_model(
         try:
             return PipelineModel.load(primary), primary.rstrip("/").rsplit("/", 1)[-1]
         except Exception as error:
-            print(f"model at {primary} did not load ({error}); using the latest finished run")
+            _log.warning("%s did not load (%s); using the latest finished run", primary, error)
     found = latest_run()
     return PipelineModel.load(model_of(found)), found
 

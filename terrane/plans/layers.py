@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,6 +23,8 @@ from terrane.sources.landing import read_landing, with_lineage
 from terrane.sources.tables import read_table, stage, table_bytes, write_table
 from terrane.streaming.ingest import ingest_stream
 
+_log = logging.getLogger(__name__)
+
 
 def run_bronze(spark: SparkSession, landings: Sequence[BronzeSpec]) -> int:
     """Ingest each landing in listed order; returns all rows written."""
@@ -43,10 +46,12 @@ def ingest(spark: SparkSession, spec: BronzeSpec) -> int:
             spec.target_delta_path,
             archive_path=spec.archive_path,
             max_files_per_batch=spec.max_files_per_batch,
+            write_mode=spec.write_mode,
             **common,
         )
     landed = read_landing(spark, spec.landing_path, **common)
     if landed is None:
+        _log.warning("nothing landed under %s/%s", spec.landing_path, spec.file_pattern)
         return 0
     return write_table(with_lineage(landed), spec.target_delta_path, spec.write_mode)
 

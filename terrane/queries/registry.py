@@ -21,6 +21,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         @wraps(build)
         def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # as the checking SQL runs
             return build(prepare(spark), sf_dir)
 
         QUERIES[name] = prepared

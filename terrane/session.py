@@ -18,7 +18,6 @@ MAX_SCAN_TASKS = 100_000
 MAX_SHUFFLE_PARTITIONS = 50_000
 
 _SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when that costs the next operator a shuffle.
@@ -68,9 +67,19 @@ def shared_root(spark: SparkSession) -> str:
     return _local_scratch
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/terrane/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_root(spark)}/terrane/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, grouped by application."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything this application left in the shared folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -73,8 +73,12 @@ def ingest_stream(
     schema: T.StructType | str | None = None,
     archive_path: str | None = None,
     max_files_per_batch: int | None = None,
+    write_mode: str = "append",
 ) -> int:
-    """Append all files not ingested before; returns the rows written."""
+    """Write all files not ingested before; returns the rows written.
+
+    In ``overwrite`` mode the sweep replaces the table, so it is taken as one batch.
+    """
     landed = {"file_format": file_format, "file_pattern": file_pattern, "options": options}
     if schema is None:
         first_look = read_landing(spark, landing_path, **landed)
@@ -86,13 +90,14 @@ def ingest_stream(
         landing_path,
         schema,
         archive_path=archive_path,
-        max_files_per_batch=max_files_per_batch,
+        max_files_per_batch=max_files_per_batch if write_mode == "append" else None,
         **landed,
     )
     written: list[int] = []
 
-    def append(batch: DataFrame, name: str) -> None:
-        written.append(write_table(batch, table, "append", segment=name))
+    def add(batch: DataFrame, name: str) -> None:
+        mode = "append" if written else write_mode
+        written.append(write_table(batch, table, mode, segment=name))
 
-    run_available(with_lineage(stream), checkpoint or f"{table}/_ingest", append)
+    run_available(with_lineage(stream), checkpoint or f"{table}/_ingest", add)
     return sum(written)
