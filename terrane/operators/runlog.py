@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.operators.sampling import latest
-from terrane.sources.tables import is_table, read_table, small_frame, write_table
+from terrane.operators.upkeep import compact
+from terrane.sources.tables import is_table, live_segments, read_table, small_frame, write_table
 
+_MAX_SEGMENTS = 100
 RUNNING, FINISHED, FAILED = "RUNNING", "FINISHED", "FAILED"
 
 _RUNS = (
@@ -74,8 +76,11 @@ class RunLog:
         rows = [(self.run_id, k, float(v)) for k, v in values.items() if v is not None]
         self._append("run_metrics", rows, _METRICS)
 
-    def latest_run_id(self) -> str:
-        return latest_run_id(self.spark, self.root, self.experiment)
+    def tidy(self) -> None:
+        """Every run adds a few tiny files; merge them now and then."""
+        for name in ("runs", "run_params", "run_metrics"):
+            if len(live_segments(self.spark, self.table(name))) > _MAX_SEGMENTS:
+                compact(self.spark, self.table(name))
 
 
 def latest_run_id(spark: SparkSession, root: str, experiment: str) -> str:

@@ -31,6 +31,7 @@ def run(spark: SparkSession, spec: JobSpec | Mapping[str, Any] | str) -> dict[st
         log.status(FAILED)
         raise
     log.status(FINISHED)
+    log.tidy()
     return {"run_id": log.run_id, **report}
 
 

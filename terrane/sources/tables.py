@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from terrane.session import scratch_path
 from terrane.sources import paths
 
+BATCH = "batch-"
 _VERSION = re.compile(r"^v=(\d+)$")
 
 
@@ -77,12 +78,8 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table)
 
 
-def _schema_file(segment: str) -> str:
-    return segment.rsplit("/", 1)[0] + "/_schema.json"
-
-
 def _read_segments(spark: SparkSession, segments: Sequence[str]) -> DataFrame:
-    text = paths.read_text(spark, _schema_file(segments[0]))
+    text = paths.read_text(spark, f"{_version_of(segments[0])}/_schema.json")
     if text is None:
         return spark.read.option("mergeSchema", "true").parquet(*segments)
     return spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(*segments)
@@ -141,26 +138,65 @@ def write_table(
     *,
     segment: str | None = None,
 ) -> int:
-    """Write and return the row count, taken from the same single pass."""
+    """Write and return the row count, taken from the same single pass.
+
+    A named segment makes the write repeatable: a second attempt replaces the first, also
+    when a rewrite of the table has merged the first attempt's rows in between.
+    """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"write mode must be append or overwrite, not {mode!r}")
     check_unique_names(df.columns)
     spark = df.sparkSession
-    versions = _versions(spark, table)
     schema = df.schema
-    if mode == "overwrite":
-        target = f"{table}/v={max(versions, default=0) + 1}/{segment or 'base'}"
-    else:
+    root = _next_version(spark, table)
+    if mode == "append":
         live = live_segments(spark, table)
-        if not versions and paths.matches_any(spark, f"{table}/*"):
-            raise ValueError(f"{table} already holds files that are not a versioned table")
-        root = live[0].rsplit("/", 1)[0] if live else f"{table}/v={max(versions, default=0) + 1}"
         if live:
+            root = _version_of(live[0])
             schema = merge_schemas(_read_segments(spark, live).schema, schema)
-        target = f"{root}/{segment or 'append-' + uuid.uuid4().hex}"
+            if segment and _merged(spark, root).get(_stem(segment), "") >= segment:
+                return 0
+        elif not _versions(spark, table) and paths.matches_any(spark, f"{table}/*"):
+            raise ValueError(f"{table} already holds files that are not a versioned table")
+        segment = segment or f"append-{uuid.uuid4().hex}"
     # Before the rows: a column nobody has filled yet is harmless, a hidden one is not.
-    paths.write_text(spark, _schema_file(target), schema.json())
-    return write_counted(df, target)
+    paths.write_text(spark, f"{root}/_schema.json", schema.json())
+    return write_counted(df, f"{root}/{segment or 'base'}")
+
+
+def rewrite_table(spark: SparkSession, table: str) -> int:
+    """Copy the live rows into a new version of one segment."""
+    live = live_segments(spark, table)
+    rows, root = _read_segments(spark, live), _next_version(spark, table)
+    merged = _merged(spark, _version_of(live[0]))
+    for name in sorted(path.rsplit("/", 1)[1] for path in live):
+        if name.startswith(BATCH):
+            merged[_stem(name)] = name
+    paths.write_text(spark, f"{root}/_schema.json", rows.schema.json())
+    paths.write_text(spark, f"{root}/_merged.json", json.dumps(merged))
+    return write_counted(rows, f"{root}/base")
+
+
+def _next_version(spark: SparkSession, table: str) -> str:
+    return f"{table}/v={max(_versions(spark, table), default=0) + 1}"
+
+
+def _version_of(segment: str) -> str:
+    return segment.rsplit("/", 1)[0]
+
+
+def batch_name(stream: str, number: int) -> str:
+    """Segment name of one micro-batch; names of a stream sort by batch number."""
+    return f"{BATCH}{stream}-{number:012d}"
+
+
+def _stem(segment: str) -> str:
+    return segment.rpartition("-")[0]
+
+
+def _merged(spark: SparkSession, version: str) -> dict[str, str]:
+    """Newest batch of each stream whose rows a rewrite has put into this version."""
+    return json.loads(paths.read_text(spark, f"{version}/_merged.json") or "{}")
 
 
 def write_counted(df: DataFrame, path: str) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from terrane.sources import paths
 from terrane.sources.landing import read_landing, reader_options, with_lineage
-from terrane.sources.tables import write_table
+from terrane.sources.tables import batch_name, write_table
 
 
 def landing_stream(
@@ -50,7 +50,7 @@ def run_available(
 
     def each(batch: DataFrame, number: int) -> None:
         identity = spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0]
-        handle(batch, f"batch-{json.loads(identity)['id']}-{number:09d}")
+        handle(batch, batch_name(json.loads(identity)["id"], number))
 
     query = (
         stream.writeStream.foreachBatch(each)

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from terrane import load_spec, run
+from terrane.operators import runlog
 from terrane.operators.runlog import latest_run, latest_run_id, of_latest_run
 from terrane.operators.upkeep import (
     compact,
@@ -14,7 +15,7 @@ from terrane.operators.upkeep import (
     stale_files,
     stale_segments,
 )
-from terrane.plans.layers import run_gold_scoring, run_scoring
+from terrane.plans.layers import run_gold_scoring, run_scoring, run_training
 from terrane.plans.spec import parse_spec
 from terrane.session import layout_for, scratch_path
 from terrane.sources import paths
@@ -236,3 +237,19 @@ def test_upkeep_may_be_off(spark):
     from terrane.plans.job import _upkeep
 
     assert _upkeep(spark, parse_spec({**BASE, "maintenance": None})) == {"status": "SKIPPED"}
+
+
+def test_training_may_be_off(spark):
+    off = parse_spec({**BASE, "ml_stage": {"enabled": False}}).ml_stage
+    assert run_training(spark, off, "nowhere/x") is None
+    assert run_training(spark, None, "nowhere/x") is None
+
+
+def test_run_tables_are_merged_now_and_then(spark, monkeypatch):
+    monkeypatch.setattr(runlog, "_MAX_SEGMENTS", 2)
+    log = runlog.RunLog(spark, scratch_path(spark, "runs"), "e")
+    for status in ("RUNNING", "FAILED", "RUNNING", "FINISHED"):
+        log.status(status)
+    log.tidy()
+    assert len(live_segments(spark, log.table("runs"))) == 1
+    assert read_table(spark, log.table("runs")).count() == 4

@@ -4,12 +4,21 @@ import os
 
 import pytest
 
+from terrane.operators.rules import Rule
 from terrane.plans.layers import run_bronze
 from terrane.plans.spec import BronzeSpec
 from terrane.session import scratch_path
 from terrane.sources.landing import read_landing, reader_options, with_lineage
-from terrane.sources.tables import SchemaConflict, is_table, read_table
-from terrane.streaming.ingest import ingest_stream
+from terrane.sources.tables import (
+    SchemaConflict,
+    batch_name,
+    is_table,
+    read_table,
+    rewrite_table,
+    write_table,
+)
+from terrane.streaming.ingest import ingest_stream, landing_stream
+from terrane.streaming.routing import route_stream
 
 
 @pytest.fixture()
@@ -144,3 +153,45 @@ def test_a_failed_batch_is_not_written_twice(spark, landing, monkeypatch):
     monkeypatch.setattr(ingest, "write_table", real)
     assert ingest_stream(spark, str(landing), table, **sweep) == 2
     assert read_table(spark, table).count() == 2
+
+
+def test_a_replayed_batch_is_known_after_a_rewrite(spark):
+    table = scratch_path(spark, "bronze")
+    for number in (0, 1):
+        write_table(spark.range(3), table, "append", segment=batch_name("s-1", number))
+    assert rewrite_table(spark, table) == 6
+    assert write_table(spark.range(3), table, "append", segment=batch_name("s-1", 1)) == 0
+    assert write_table(spark.range(3), table, "append", segment=batch_name("s-1", 2)) == 3
+    assert write_table(spark.range(3), table, "append", segment=batch_name("s-2", 0)) == 3
+    assert rewrite_table(spark, table) == 12
+    assert write_table(spark.range(3), table, "append", segment=batch_name("s-1", 1)) == 0
+    assert read_table(spark, table).count() == 12
+
+
+def test_an_overwriting_sweep_holds_the_last_landing(spark, landing, tmp_path):
+    table = scratch_path(spark, "bronze")
+    spec = csv_spec(
+        landing,
+        table,
+        archive_path=str(tmp_path / "archive"),
+        write_mode="overwrite",
+        max_files_per_batch=1,
+    )
+    put(landing, "a.csv", "id\n1\n")
+    put(landing, "b.csv", "id\n2\n")
+    assert run_bronze(spark, [spec]) == 2
+    assert sorted(r.id for r in read_table(spark, table).collect()) == [1, 2]
+    put(landing, "c.csv", "id\n3\n")
+    assert run_bronze(spark, [spec]) == 1
+    assert [r.id for r in read_table(spark, table).collect()] == [3]
+
+
+def test_malformed_text_in_a_stream_is_quarantined(spark, landing):
+    put(landing, "a.json", '{"id": 1, "age": "abc"}\n{"id": 2, "age": "20"}\n{"id": 3}\n')
+    root = scratch_path(spark, "routed")
+    stream = landing_stream(spark, str(landing), "id int, age string")
+    rules = [Rule("adult", "age >= 18")]
+    report = route_stream(stream, rules, f"{root}/ok", f"{root}/bad", f"{root}/checkpoint")
+    assert (report["clean_count"], report["quarantine_count"]) == (1, 2)
+    assert [r.id for r in read_table(spark, f"{root}/ok").collect()] == [2]
+    assert sorted(r.id for r in read_table(spark, f"{root}/bad").collect()) == [1, 3]
