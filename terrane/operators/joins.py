@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.functions.columns import LINEAGE, column
+from terrane.session import estimated_bytes
 
 # The join type spellings a spec may use.
 JOIN_TYPES = {
@@ -50,8 +51,7 @@ def join_type(text: str) -> str:
 def _broadcastable(df: DataFrame) -> bool:
     """Spark will broadcast a side this small itself, so no key of it reaches a shuffle."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= limit
+    return estimated_bytes(df) <= limit
 
 
 def has_hot_key(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
@@ -95,13 +95,17 @@ def join_tables(
     return left.join(right, keys, kind)
 
 
+def _positions(df: DataFrame, keys: Sequence[str]) -> list[int]:
+    lowered = [c.lower() for c in df.columns]
+    return [lowered.index(k.lower()) for k in keys]
+
+
 def _outer_in_parts(left: DataFrame, right: DataFrame, keys: list[str], kind: str) -> DataFrame:
     # Work under positional names: chained joins may repeat non-key names on a side.
     out = left.join(right, keys, kind)
     lnames = [f"l{i}" for i in range(len(left.columns))]
     rnames = [f"r{i}" for i in range(len(right.columns))]
-    lpos = [left.columns.index(k) for k in keys]
-    rpos = [right.columns.index(k) for k in keys]
+    lpos, rpos = _positions(left, keys), _positions(right, keys)
     lt, rt = left.toDF(*lnames), right.toDF(*rnames)
     lkeys, rkeys = [lnames[i] for i in lpos], [rnames[i] for i in rpos]
     lrest = [n for i, n in enumerate(lnames) if i not in lpos]

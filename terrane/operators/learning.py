@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -22,10 +23,12 @@ from terrane.functions.columns import (
     within_share,
 )
 from terrane.operators.cleansing import drop_missing
-from terrane.session import ensure_checkpoint_dir
+from terrane.session import PIECE_BYTES, ensure_checkpoint_dir, estimated_bytes
 from terrane.sources import paths
 from terrane.sources.tables import stage
 
+_log = logging.getLogger(__name__)
+
 FEATURES = "features"
 _FOLD = "__fold"
 _POSITION = "__position"
@@ -160,9 +163,12 @@ def train(
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Give an iterative fit at least one partition per core; larger inputs have more."""
+    """Spread a small input over all cores, as an iterative fit reads it many times.
+
+    An input of at least one scan piece per core is spread already and is not shuffled.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if estimated_bytes(df) < cores * PIECE_BYTES else df
 
 
 def tune(
@@ -177,10 +183,11 @@ def tune(
     Folds come from the rows' hash positions, so a retried fit sees the same folds.
     """
     wanted = dict(tuning.get("param_grid") or {})
+    for name in [n for n in wanted if not trees.hasParam(n)]:
+        _log.warning("param_grid entry %r is not a parameter of the trees; skipped", name)
+        del wanted[name]
     grid = ParamGridBuilder()
     for name, values in wanted.items():
-        if not trees.hasParam(name):
-            raise ValueError(f"unknown hyperparameter {name!r} in param_grid")
         grid.addGrid(trees.getParam(name), list(values))
     folds = int(tuning.get("num_folds", 3))
     search = CrossValidator(

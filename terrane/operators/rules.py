@@ -66,11 +66,15 @@ def quality_metrics(tagged: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_evaluated"),
     )
     total = F.col("total_evaluated")
-    share = lambda part: F.round(F.col(part) / total * 100.0, 2)
+
+    def share(part: str, of_nothing: float) -> Column:
+        percent = F.round(F.col(part) / total * 100.0, 2)
+        return F.when(total > 0, percent).otherwise(of_nothing)
+
     return counts.withColumns(
         {
-            "pass_rate_pct": F.when(total > 0, share("clean_count")).otherwise(100.0),
-            "quarantine_ratio_pct": F.when(total > 0, share("quarantine_count")).otherwise(0.0),
+            "pass_rate_pct": share("clean_count", 100.0),
+            "quarantine_ratio_pct": share("quarantine_count", 0.0),
         }
     )
 

@@ -48,8 +48,10 @@ def maintenance_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_table(table(spark, sf_dir, name).repartition(4), f"{root}/{name}")
     status = maintain(spark, [f"{root}/{n}" for n in [*names, "absent"]], 0)
     counts = [
-        read_table(spark, f"{root}/{n}").agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("rows"))
-        for n in names
+        read_table(spark, f"{root}/{name}").agg(
+            F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows")
+        )
+        for name in names
     ]
     named = status.select(F.element_at(F.split("table", "/"), -1).alias("name"), "status")
     return named.join(counts[0].unionByName(counts[1]), "name")
@@ -109,7 +111,9 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             "gold": {
                 "primary_table": f"{root}/silver/orders",
                 "target_delta_path": f"{root}/gold/features",
-                "joins": [{"table": f"{root}/bronze/lineitem", "on": ["order_id"], "type": "inner"}],
+                "joins": [
+                    {"table": f"{root}/bronze/lineitem", "on": ["order_id"], "type": "inner"}
+                ],
                 "select_expressions": [
                     "order_id",
                     "l_quantity",

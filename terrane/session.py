@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Bytes a scan task and a shuffle partition should take, until their numbers reach the
 # limits below; past those the pieces grow instead, to keep map x reduce blocks in check.
@@ -88,6 +88,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(f"{shared_root(spark)}/terrane/checkpoints")
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's own size estimate: file sizes, carried through the plan. Runs nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def layout_for(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     """Scan and shuffle sizing that follows the input; AQE merges partitions left small.
 

@@ -78,11 +78,16 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table)
 
 
-def _read_segments(spark: SparkSession, segments: Sequence[str]) -> DataFrame:
+def _recorded_schema(spark: SparkSession, segments: Sequence[str]) -> T.StructType | None:
     text = paths.read_text(spark, f"{_version_of(segments[0])}/_schema.json")
-    if text is None:
+    return None if text is None else T.StructType.fromJson(json.loads(text))
+
+
+def _read_segments(spark: SparkSession, segments: Sequence[str]) -> DataFrame:
+    schema = _recorded_schema(spark, segments)
+    if schema is None:
         return spark.read.option("mergeSchema", "true").parquet(*segments)
-    return spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(*segments)
+    return spark.read.schema(schema).parquet(*segments)
 
 
 def table_bytes(spark: SparkSession, table: str) -> int:
@@ -153,7 +158,8 @@ def write_table(
         live = live_segments(spark, table)
         if live:
             root = _version_of(live[0])
-            schema = merge_schemas(_read_segments(spark, live).schema, schema)
+            known = _recorded_schema(spark, live) or _read_segments(spark, live).schema
+            schema = merge_schemas(known, schema)
             if segment and _merged(spark, root).get(_stem(segment), "") >= segment:
                 return 0
         elif not _versions(spark, table) and paths.matches_any(spark, f"{table}/*"):

@@ -45,7 +45,11 @@ gold:
     - table: {root}/silver/people
       on: [person]
       type: left_semi
-  select_expressions: ["person", "status", "double(age) AS age", "double(age * 2) AS actual_delay_days"]
+  select_expressions:
+    - person
+    - status
+    - double(age) AS age
+    - double(age * 2) AS actual_delay_days
 ml_stage:
   categorical_features: [status]
   numeric_features: [age]
@@ -81,7 +85,8 @@ def test_whole_job(spark, landed):
     assert report["quarantine_record_count"] == 200 - clean
     assert report["dq_pass_rate_pct"] == round(clean / 2, 2)
     assert set(report["ml_metrics"]) == {"rmse", "mae", "r2"}
-    assert report["maintenance"] == {f"{root}/silver/people": "SUCCESS", f"{root}/gold/people": "SUCCESS"}
+    tables = [f"{root}/silver/people", f"{root}/gold/people"]
+    assert report["maintenance"] == dict.fromkeys(tables, "SUCCESS")
 
     runs, metrics = (read_table(spark, f"{root}/runs/{t}") for t in ("runs", "run_metrics"))
     assert [r.status for r in runs.orderBy("logged_at").collect()] == ["RUNNING", "FINISHED"]
@@ -117,8 +122,8 @@ def test_a_failed_run_keeps_what_it_measured(spark, landed):
     spec.gold.select_expressions = ["no_such_column"]
     with pytest.raises(Exception):
         run(spark, spec)
-    statuses = [r.status for r in read_table(spark, f"{root}/runs/runs").orderBy("logged_at").collect()]
-    assert statuses == ["RUNNING", "FAILED"]
+    runs = read_table(spark, f"{root}/runs/runs").orderBy("logged_at")
+    assert [r.status for r in runs.collect()] == ["RUNNING", "FAILED"]
     keys = {r.key for r in read_table(spark, f"{root}/runs/run_metrics").collect()}
     assert "silver_record_count" in keys and "gold_record_count" not in keys
     with pytest.raises(RuntimeError, match="no finished run"):
@@ -161,7 +166,10 @@ def test_unquoted_on_is_understood():
         ({"bronze_tables": {"a": 1}}, "spec.bronze_tables must be a list"),
         ({"gold": "x"}, "spec.gold must be a mapping"),
         ({"ml_stage": {"random_seed": True}}, "random_seed must be int"),
-        ({"gold": {"target_delta_path": "x", "joins": [{"table": "t"}]}}, r"joins\[0\].on is required"),
+        (
+            {"gold": {"target_delta_path": "x", "joins": [{"table": "t"}]}},
+            r"joins\[0\].on is required",
+        ),
     ],
 )
 def test_spec_errors_name_the_place(change, message):

@@ -43,8 +43,8 @@ def test_hot_form_gives_the_plain_result(sides, how, keys):
     assert hot.columns == plain.columns
     assert [f.dataType for f in hot.schema] == [f.dataType for f in plain.schema]
     assert bag(hot) == bag(plain)
-    found = join_tables(left.repartition(4), right.repartition(4), keys, how, hot_rows=3)
-    assert bag(found) == bag(plain)
+    upper = join_tables(left, right, [k.upper() for k in keys], how, skew="on")
+    assert bag(upper) == bag(plain)
 
 
 def test_key_types_may_differ(spark):
@@ -83,6 +83,22 @@ def test_hot_key_probe(spark):
     assert not has_hot_key(hot.filter("false"), ["k"], hot_rows=1)
 
 
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_a_found_hot_key_changes_the_plan_not_the_rows(spark, sides, how):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        left, right = sides
+        found = join_tables(left, right, ["k"], how, hot_rows=3)
+        plain = join_tables(left, right, ["k"], how, hot_rows=1000)
+        assert "Union" in found._jdf.queryExecution().toString()
+        assert "Union" not in plain._jdf.queryExecution().toString()
+        assert bag(found) == bag(plain)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_run_time_split_of_a_hot_inner_key(spark):
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -96,14 +112,10 @@ def test_run_time_split_of_a_hot_inner_key(spark):
     try:
         left = spark.range(0, 90000, 1, 8).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS a")
         right = spark.range(0, 1000, 1, 2).selectExpr("id AS k", "id AS b")
-        joined = join_tables(left, right, ["k"], "left")
-        assert joined.count() == 90000
-        joined.write.format("noop").mode("overwrite").save()
         frame = join_tables(left, right, ["k"], "left")
-        frame.collect()
-        assert "isSkew=true" in frame._jdf.queryExecution().executedPlan().toString() or (
-            "skew=true" in frame._jdf.queryExecution().executedPlan().toString()
-        )
+        assert len(frame.collect()) == 90000
+        executed = frame._jdf.queryExecution().executedPlan().toString()
+        assert "isSkew=true" in executed or "skew=true" in executed
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
@@ -111,7 +123,9 @@ def test_run_time_split_of_a_hot_inner_key(spark):
 
 def test_chain_drops_right_lineage_only(spark):
     left = spark.sql("SELECT 1 AS k, 'l' AS _source_file, current_timestamp() AS _ingested_at")
-    right = spark.sql("SELECT 1 AS k, 2 AS m, 'r' AS _source_file, current_timestamp() AS _ingested_at")
+    right = spark.sql(
+        "SELECT 1 AS k, 2 AS m, 'r' AS _source_file, current_timestamp() AS _ingested_at"
+    )
     last = spark.sql("SELECT 2 AS m, 'deep' AS d, 's' AS _source_file")
     joined = join_chain(left, [(right, ["k"], "inner"), (last, ["m"], "left")])
     assert joined.columns == ["m", "k", "_source_file", "_ingested_at", "d"]

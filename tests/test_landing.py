@@ -126,8 +126,11 @@ def test_batch_and_stream_ingest_agree(spark, landing):
         max_files_per_batch=2,
     )
     assert written == 20
-    pick = lambda t: sorted(map(tuple, read_table(spark, t).select("id", "v").collect()))
-    assert pick(batch) == pick(stream)
+    batch_rows, stream_rows = (
+        sorted(map(tuple, read_table(spark, t).select("id", "v").collect()))
+        for t in (batch, stream)
+    )
+    assert batch_rows == stream_rows
 
 
 def test_a_failed_batch_is_not_written_twice(spark, landing, monkeypatch):

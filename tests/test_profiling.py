@@ -31,7 +31,9 @@ def check(spark, values):
 SHAPES = {
     "even": lambda rng: rng.uniform(-5, 5, 4000),
     "long tail": lambda rng: rng.lognormal(0, 8, 4000),
-    "third on one value": lambda rng: np.where(rng.random(4000) < 0.34, 7.0, rng.normal(7, 2, 4000)),
+    "third on one value": lambda rng: np.where(
+        rng.random(4000) < 0.34, 7.0, rng.normal(7, 2, 4000)
+    ),
     "two values": lambda rng: np.repeat([1.0, 2.0], 2000),
     "constant": lambda rng: np.full(4000, 3.0),
     "few": lambda rng: rng.integers(0, 5, 4000).astype(float),
