@@ -54,8 +54,15 @@ def _broadcastable(df: DataFrame) -> bool:
     return estimated_bytes(df) <= limit
 
 
-def has_hot_key(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
-    """One column-pruned pass with a mergeable heavy-hitter sketch of bounded size."""
+def has_hot_key(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, *, with_nulls: bool = False
+) -> bool:
+    """One column-pruned pass with a mergeable heavy-hitter sketch of bounded size.
+
+    Rows with a NULL key only weigh on a join that keeps them.
+    """
+    if not with_nulls:
+        df = df.dropna(subset=list(keys))
     hashed = F.xxhash64(*[column(k) for k in keys])
     sketch = df.select(hashed.alias("key")).agg(
         F.expr(f"approx_top_k(key, 1, {_TRACKED_KEYS})").alias("top")
@@ -89,7 +96,8 @@ def join_tables(
     if skew == "on" and rigid:
         return _outer_in_parts(left, right, keys, kind)
     if skew == "auto" and any(
-        not _broadcastable(side) and has_hot_key(side, keys, hot_rows) for side in rigid
+        not _broadcastable(side) and has_hot_key(side, keys, hot_rows, with_nulls=kind == "full")
+        for side in rigid
     ):
         return _outer_in_parts(left, right, keys, kind)
     return left.join(right, keys, kind)

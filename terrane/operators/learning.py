@@ -134,7 +134,11 @@ def train(
     hyperparameters: Mapping[str, Any] | None = None,
     tuning: Mapping[str, Any] | None = None,
 ) -> Fit:
-    """Split, fit (tuned if asked), and evaluate on the held-out part."""
+    """Split, fit (tuned if asked), and evaluate on the held-out part.
+
+    Without ``split_keys`` a row is placed by its target and features, so exact copies stay
+    on one side and cannot leak into the test; give a row key to place them one by one.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     needed = [target, *categorical, *numeric]

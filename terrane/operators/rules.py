@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -20,6 +21,20 @@ class Rule:
     expr: str
 
 
+# Functions whose value differs between two runs of the same plan.
+_UNSTABLE = re.compile(
+    r"\b(now|current_timestamp|localtimestamp|current_time|current_date|curdate|today|"
+    r"unix_timestamp|rand|random|randn|uuid|shuffle)\b",
+    re.IGNORECASE,
+)
+
+
+def repeatable(df: DataFrame, rules: Iterable[Rule]) -> bool:
+    """Whether judging the rows twice must give the same outcome."""
+    steady = df._jdf.queryExecution().analyzed().deterministic()
+    return steady and not any(_UNSTABLE.search(rule.expr) for rule in rules)
+
+
 def _all_hold(rules: Iterable[Rule]) -> Column:
     return reduce(and_, (F.expr(f"({rule.expr})") for rule in rules), F.lit(True))
 

@@ -13,7 +13,6 @@ from terrane.operators.scoring import save_model
 from terrane.operators.upkeep import maintain
 from terrane.plans import layers
 from terrane.plans.spec import JobSpec, LearningSpec, load_spec, parse_spec
-from terrane.session import prepare
 
 
 def run(spark: SparkSession, spec: JobSpec | Mapping[str, Any] | str) -> dict[str, Any]:
@@ -22,7 +21,6 @@ def run(spark: SparkSession, spec: JobSpec | Mapping[str, Any] | str) -> dict[st
         spec = load_spec(spec)
     elif not isinstance(spec, JobSpec):
         spec = parse_spec(spec)
-    prepare(spark)
     log = RunLog(spark, spec.runs_path, spec.mlflow.experiment_name, spec.mlflow.run_name)
     log.status(RUNNING)
     try:
@@ -48,6 +46,7 @@ def _stages(spark: SparkSession, spec: JobSpec, log: RunLog) -> dict[str, Any]:
     measured = {
         "silver_record_count": silver["clean_count"],
         "quarantine_record_count": silver["quarantine_count"],
+        "dropped_record_count": silver["dropped_count"],
         "dq_pass_rate_pct": silver["pass_rate_pct"],
         "dq_quarantine_ratio_pct": silver["quarantine_ratio_pct"],
     }

@@ -68,11 +68,12 @@ def route(
 ) -> tuple[int, int]:
     """Write passing rows and, if there are any, failing rows; returns both counts.
 
-    Counts come from the writes themselves. Rows that needed a shuffle to compute are
-    tagged once into a staged copy that both writes read; rows straight from a scan are
-    read again for the (usually small) failing part, and only if something failed.
+    Counts come from the writes themselves. Rows that needed a shuffle to compute, or whose
+    rules depend on the clock or on chance, are tagged once into a staged copy that both
+    writes read. Other rows come straight from a scan and are read again for the (usually
+    small) failing part, and only if something failed.
     """
-    if shuffled:
+    if shuffled or not quality.repeatable(df, rules):
         tagged, path = stage(quality.tag_failures(df, rules), "silver")
         try:
             clean = write_table(
@@ -99,7 +100,11 @@ def route(
 
 
 def run_silver(spark: SparkSession, spec: SilverSpec) -> dict[str, float]:
-    """Cleanse, validate, quarantine; returns the quality metrics."""
+    """Cleanse, validate, quarantine; returns the quality metrics.
+
+    They cover the rows that reached the rules; ``dropped_count`` says how many did not,
+    being duplicates or incomplete.
+    """
     rules = [r.rule() for r in spec.validation_rules or ()]
     if rules and not spec.quarantine_delta_path:
         if spec.on_invalid != "ignore":
@@ -108,12 +113,8 @@ def run_silver(spark: SparkSession, spec: SilverSpec) -> dict[str, float]:
             )
         rules = []
     with settings(spark, layout_for(spark, table_bytes(spark, spec.source_delta_path))):
-        df = cleanse(
-            read_table(spark, spec.source_delta_path),
-            spec.fill_na,
-            spec.drop_duplicates,
-            spec.drop_na_cols,
-        )
+        source = read_table(spark, spec.source_delta_path)
+        df = cleanse(source, spec.fill_na, spec.drop_duplicates, spec.drop_na_cols)
         if rules:
             counts = route(
                 df,
@@ -125,7 +126,9 @@ def run_silver(spark: SparkSession, spec: SilverSpec) -> dict[str, float]:
             )
         else:
             counts = write_table(df, spec.target_delta_path, spec.write_mode), 0
-    return quality.quality_report(*counts)
+        may_drop = spec.drop_duplicates or spec.drop_na_cols
+        landed = source.count() if may_drop else sum(counts)  # counted from footers alone
+    return {**quality.quality_report(*counts), "dropped_count": landed - sum(counts)}
 
 
 def gold_frame(spark: SparkSession, spec: GoldSpec) -> DataFrame:

@@ -60,12 +60,14 @@ def maintenance_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REPORT = """
     WITH kept AS (SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_totalprice >= 5000),
          n AS (SELECT (SELECT count(*) FROM orders) AS all_orders,
+                      (SELECT count(DISTINCT o_orderkey) FROM orders) AS distinct_orders,
                       (SELECT count(*) FROM lineitem) AS all_lines,
                       (SELECT count(*) FROM kept) AS clean,
                       (SELECT count(*) FROM kept JOIN lineitem ON o_orderkey = l_orderkey) AS gold)
     SELECT 'bronze_record_count' AS key, (all_orders + all_lines)::DOUBLE AS value FROM n
     UNION ALL SELECT 'silver_record_count', clean FROM n
     UNION ALL SELECT 'quarantine_record_count', all_orders - clean FROM n
+    UNION ALL SELECT 'dropped_record_count', all_orders - distinct_orders FROM n
     UNION ALL SELECT 'gold_record_count', gold FROM n
     UNION ALL SELECT 'dq_pass_rate_pct', round(clean / all_orders * 100.0, 2) FROM n
     UNION ALL SELECT 'dq_quarantine_ratio_pct',

@@ -28,7 +28,10 @@ _local_scratch: str | None = None
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the SQL settings the jobs are written for; cluster sizing stays the caller's."""
+    """Set the run-time planning the joins rely on, for frames that are executed later.
+
+    The layer jobs set it themselves, around their own work only.
+    """
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -94,15 +97,16 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def layout_for(spark: SparkSession, input_bytes: int) -> dict[str, str]:
-    """Scan and shuffle sizing that follows the input; AQE merges partitions left small.
+    """Settings for one layer job: run-time planning, and sizing that follows the input.
 
     Never below ``spark.sql.shuffle.partitions`` or ``spark.sql.files.maxPartitionBytes``,
-    so small inputs are unaffected.
+    so small inputs are unaffected; AQE merges the shuffle partitions that stay small.
     """
     shuffle_floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pieces = -(-input_bytes // PIECE_BYTES)
     scan_floor = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     return {
+        **_SETTINGS,
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(
             max(shuffle_floor, min(pieces, MAX_SHUFFLE_PARTITIONS))
         ),

@@ -62,7 +62,7 @@ def is_table(spark: SparkSession, table: str) -> bool:
     if "/" not in table and spark.catalog.tableExists(table):
         return True
     return bool(live_segments(spark, table)) or (
-        paths.exists(spark, table) and not _versions(spark, table)
+        not _versions(spark, table) and paths.matches_any(spark, f"{table}/*")
     )
 
 

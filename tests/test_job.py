@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from terrane import load_spec, run
+from terrane import load_spec, run, session
 from terrane.operators import runlog
 from terrane.operators.runlog import latest_run, latest_run_id, of_latest_run
 from terrane.operators.upkeep import (
@@ -17,7 +17,7 @@ from terrane.operators.upkeep import (
 )
 from terrane.plans.layers import run_gold_scoring, run_scoring, run_training
 from terrane.plans.spec import parse_spec
-from terrane.session import layout_for, scratch_path
+from terrane.session import layout_for, scratch_path, shared_root
 from terrane.sources import paths
 from terrane.sources.tables import history, live_segments, read_table, write_table
 
@@ -83,6 +83,7 @@ def test_whole_job(spark, landed):
     assert report["bronze_record_count"] == 220
     assert report["silver_record_count"] == report["gold_record_count"] == clean
     assert report["quarantine_record_count"] == 200 - clean
+    assert report["dropped_record_count"] == 20
     assert report["dq_pass_rate_pct"] == round(clean / 2, 2)
     assert set(report["ml_metrics"]) == {"rmse", "mae", "r2"}
     tables = [f"{root}/silver/people", f"{root}/gold/people"]
@@ -261,3 +262,34 @@ def test_run_tables_are_merged_now_and_then(spark, monkeypatch):
     log.tidy()
     assert len(live_segments(spark, log.table("runs"))) == 1
     assert read_table(spark, log.table("runs")).count() == 4
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value or default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        sparkContext = Context()
+
+        def __init__(self, folder):
+            self.conf = Conf(folder)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session(None))
+    assert shared_root(Session("hdfs:///shared/")) == "hdfs:///shared"
+
+
+def test_clear_scratch(spark, monkeypatch):
+    monkeypatch.setattr(session, "_scratch_root", lambda s: f"{shared_root(s)}/terrane/one-test")
+    path = scratch_path(spark, "x")
+    spark.range(1).write.parquet(path)
+    assert paths.exists(spark, path)
+    session.clear_scratch(spark)
+    assert not paths.exists(spark, path)

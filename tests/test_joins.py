@@ -81,6 +81,9 @@ def test_hot_key_probe(spark):
     assert not has_hot_key(hot, ["k"], hot_rows=50000)
     assert not has_hot_key(spark.range(30000).selectExpr("id AS k"), ["k"], hot_rows=5000)
     assert not has_hot_key(hot.filter("false"), ["k"], hot_rows=1)
+    unknown = hot.selectExpr("nullif(k, -1) AS k")
+    assert not has_hot_key(unknown, ["k"], hot_rows=5000)
+    assert has_hot_key(unknown, ["k"], hot_rows=5000, with_nulls=True)
 
 
 @pytest.mark.parametrize("how", ["left", "right", "full"])

@@ -7,6 +7,7 @@ from terrane.operators.rules import (
     quality_metrics,
     quality_report,
     quarantined_rows,
+    repeatable,
     rule_failures,
     tag_failures,
     valid_rows,
@@ -104,6 +105,23 @@ def test_nothing_failed_writes_no_quarantine(people, spark, shuffled):
     assert not is_table(spark, bad)
 
 
+def test_rules_over_the_clock_are_judged_once(people, spark, monkeypatch):
+    from terrane.plans import layers
+
+    assert repeatable(people, RULES)
+    clock = [Rule("past", "current_timestamp() > timestamp'2000-01-01' AND id < 4")]
+    assert not repeatable(people, clock)
+    assert not repeatable(people, [Rule("luck", "RAND() < 0.5")])
+    assert not repeatable(people.selectExpr("*", "rand() AS r"), RULES)
+    staged = []
+    real = layers.stage
+    monkeypatch.setattr(layers, "stage", lambda *a: staged.append(a) or real(*a))
+    for rules, copies in ((clock, 1), ([Rule("luck", "rand() < 0.5")], 2), (RULES, 2)):
+        clean, bad = scratch_path(spark, "clean"), scratch_path(spark, "bad")
+        counts = route(people, rules, clean, bad, "overwrite")
+        assert sum(counts) == 6 and len(staged) == copies
+
+
 def silver(spark, people, **extra):
     source, root = scratch_path(spark, "in"), scratch_path(spark, "silver")
     write_table(people, source)
