@@ -25,25 +25,75 @@ from terrane.sources.tables import read_table, small_frame, write_table
 CATEGORICAL = ["c_mktsegment", "p_brand"]
 NUMERIC = ["l_extendedprice", "l_quantity", "p_retailprice"]
 TARGET = "actual_delay_days"
-# Few, shallow trees: these queries show the operators on whole tables, not a good model.
+# Few, shallow trees: the query shows the operator on whole tables, not a good model.
 SMALL = {"maxIter": 3, "maxDepth": 3, "stepSize": 0.1}
 
-_fits: dict[tuple[str, str], tuple[Fit, str]] = {}
+_fits: dict[tuple[str, str, str], tuple[Fit, str]] = {}
 
 
-def fitted(spark: SparkSession, sf_dir: str) -> tuple[Fit, str]:
-    """One fit per session and data folder, with the gold table it was made from."""
-    key = spark.sparkContext.applicationId, sf_dir
+def boosted(spark: SparkSession, sf_dir: str) -> tuple[Fit, str]:
+    """A few trees on the gold features; with the gold table they were made from."""
+    key = spark.sparkContext.applicationId, sf_dir, "boosted"
     if key not in _fits:
         gold = scratch_path(spark, "gold")
         write_table(gold_features(spark, sf_dir), gold)
-        fit = train(
-            read_table(spark, gold), TARGET, CATEGORICAL, NUMERIC, hyperparameters=SMALL
-        )
+        fit = train(read_table(spark, gold), TARGET, CATEGORICAL, NUMERIC, hyperparameters=SMALL)
         _fits[key] = fit, gold
     return _fits[key]
 
 
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines whose target depends on a status and a flag: four cells.
+
+    One tree of depth two must predict the training mean of each cell, and that is
+    something SQL can say as well.
+    """
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        "l_linestatus",
+        "double(l_quantity > 25) AS large",
+        "l_quantity + if(l_linestatus = 'F', 30, 0) AS target",
+    )
+
+
+_CELLS = """
+    WITH r AS (
+      SELECT l_orderkey, l_linenumber, l_linestatus, (l_quantity > 25)::INTEGER::DOUBLE AS large,
+             l_quantity + CASE WHEN l_linestatus = 'F' THEN 30 ELSE 0 END AS target,
+             ('0x' || substr(md5('42:' || l_orderkey || ':' || l_linenumber), 1, 8))::BIGINT
+               < 3435973837 AS training
+      FROM lineitem),
+    m AS (SELECT l_linestatus, large, avg(target) AS guess FROM r WHERE training GROUP BY ALL),
+    s AS (SELECT r.*, guess FROM r JOIN m USING (l_linestatus, large))"""
+
+_CELL_METRICS = """
+    SELECT 'rmse' AS metric, round(sqrt(avg((guess - target) ** 2)), 6) AS value
+    FROM s WHERE NOT training
+    UNION ALL SELECT 'mae', round(avg(abs(guess - target)), 6) FROM s WHERE NOT training
+    UNION ALL SELECT 'r2', round(1 - sum((guess - target) ** 2) / (var_pop(target) * count(*)), 6)
+    FROM s WHERE NOT training"""
+
+
+def _fit_cells(spark: SparkSession, sf_dir: str, **extra) -> Fit:
+    return train(
+        cells(spark, sf_dir),
+        "target",
+        ["l_linestatus"],
+        ["large"],
+        split_keys=["l_orderkey", "l_linenumber"],
+        **extra,
+    )
+
+
+def cell_model(spark: SparkSession, sf_dir: str) -> Fit:
+    key = spark.sparkContext.applicationId, sf_dir, "cells"
+    if key not in _fits:
+        fit = _fit_cells(spark, sf_dir, hyperparameters={"maxIter": 1, "maxDepth": 2})
+        _fits[key] = fit, ""
+    return _fits[key][0]
+
+
 @query(
     "ml_split",
     """SELECT o_orderkey, o_custkey,
@@ -123,42 +173,58 @@ def _named(spark: SparkSession, values: dict[str, float], name: str) -> DataFram
     return small_frame(spark, rows, f"{name} string, value double")
 
 
-@query("ml_train")
+def _rounded(metrics: DataFrame) -> DataFrame:
+    return metrics.withColumn("value", F.round("value", 6))
+
+
+@query("ml_train", f"{_CELLS} {_CELL_METRICS}")
 def ml_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hold-out metrics of a fit on the whole feature table."""
-    fit, _ = fitted(spark, sf_dir)
-    return _named(spark, fit.metrics, "metric")
+    """Hold-out metrics of the cell model."""
+    return _rounded(_named(spark, cell_model(spark, sf_dir).metrics, "metric"))
 
 
-@query("ml_tune")
+@query("ml_tune", f"{_CELLS} {_CELL_METRICS} UNION ALL SELECT 'best_maxDepth', 2")
 def ml_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best grid values and hold-out metrics after cross-validation."""
-    _, gold = fitted(spark, sf_dir)
-    fit = train(
-        read_table(spark, gold),
-        TARGET,
-        CATEGORICAL,
-        NUMERIC,
-        hyperparameters={"maxIter": 2, "maxDepth": 2},
-        tuning={"enabled": True, "num_folds": 2, "param_grid": {"maxDepth": [2, 3]}},
+    """Cross-validation finds that one level of splits is not enough for four cells."""
+    fit = _fit_cells(
+        spark,
+        sf_dir,
+        hyperparameters={"maxIter": 1},
+        tuning={"enabled": True, "num_folds": 3, "param_grid": {"maxDepth": [1, 2]}},
     )
     best = {f"best_{name}": value for name, value in fit.best_params.items()}
-    return _named(spark, {**fit.metrics, **best}, "metric")
+    return _rounded(_named(spark, {**fit.metrics, **best}, "metric"))
 
 
-@query("ml_feature_importance")
+@query(
+    "ml_feature_importance",
+    f"""{_CELLS},
+    v AS (SELECT (SELECT var_pop(target) * count(*) FROM r WHERE training) AS whole,
+                 (SELECT sum(x) FROM (SELECT var_pop(target) * count(*) AS x FROM r
+                                      WHERE training GROUP BY l_linestatus)) AS by_status,
+                 (SELECT sum(x) FROM (SELECT var_pop(target) * count(*) AS x FROM r
+                                      WHERE training GROUP BY l_linestatus, large)) AS by_cell)
+    SELECT 'l_linestatus_indexed' AS feature,
+           round((whole - by_status) / (whole - by_cell), 6) AS value FROM v
+    UNION ALL SELECT 'large', round((by_status - by_cell) / (whole - by_cell), 6) FROM v""",
+)
 def ml_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fit, _ = fitted(spark, sf_dir)
-    return _named(spark, fit.importances, "feature").orderBy(F.col("value").desc(), "feature")
+    """Each feature's share of the variance the tree explains, highest first."""
+    scores = _named(spark, cell_model(spark, sf_dir).importances, "feature")
+    return _rounded(scores).orderBy(F.col("value").desc(), "feature")
 
 
-@query(
-    "ml_save_load",
-    "SELECT count(*) AS rows, 0 AS changed FROM lineitem",
-)
+@query("ml_train_boosted")
+def ml_train_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hold-out metrics of boosted trees on the whole gold feature table."""
+    fit, _ = boosted(spark, sf_dir)
+    return _named(spark, fit.metrics, "metric")
+
+
+@query("ml_save_load", "SELECT count(*) AS rows, 0 AS changed FROM lineitem")
 def ml_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows scored alike by a model and by its saved and loaded copy."""
-    fit, gold = fitted(spark, sf_dir)
+    fit, gold = boosted(spark, sf_dir)
     path = scratch_path(spark, "model")
     save_model(fit.model, path)
     copy, _ = load_model(spark, path, None, str, str)
@@ -172,29 +238,30 @@ def ml_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "score_batch",
-    """SELECT o_orderkey AS order_id, o_custkey AS customer_id, true AS predicted,
-              true AS dated, 'run-1' AS model_run
-       FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+    f"""{_CELLS} SELECT l_orderkey, l_linenumber, round(guess, 6) AS predicted_delay_days,
+                       true AS dated, 'run-1' AS model_run FROM s""",
 )
 def score_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The appended prediction table: every scorable row, credited to its model."""
-    fit, gold = fitted(spark, sf_dir)
+    """The appended prediction table: ids, prediction, and the model it is credited to."""
     target = scratch_path(spark, "predictions")
-    scored = score_batch(
-        fit.model, read_table(spark, gold), ["order_id", "customer_id"], "run-1"
-    )
+    model = cell_model(spark, sf_dir).model
+    scored = score_batch(model, cells(spark, sf_dir), ["l_orderkey", "l_linenumber"], "run-1")
     write_table(scored, target, "append")
     return read_table(spark, target).select(
-        "order_id",
-        "customer_id",
-        F.col(PREDICTION).isNotNull().alias("predicted"),
+        "l_orderkey",
+        "l_linenumber",
+        F.round(PREDICTION, 6).alias(PREDICTION),
         F.col(PREDICTED_AT).isNotNull().alias("dated"),
         F.col(MODEL_RUN_ID).alias("model_run"),
     )
 
 
-@query("score_full")
-def score_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All gold columns and the prediction."""
-    fit, gold = fitted(spark, sf_dir)
-    return score_full(fit.model, read_table(spark, gold))
+@query(
+    "score_full",
+    f"""{_CELLS} SELECT l_orderkey, l_linenumber, l_linestatus, large, target,
+                       round(guess, 6) AS predicted_delay_days FROM s""",
+)
+def score_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All input columns and the prediction."""
+    scored = score_full(cell_model(spark, sf_dir).model, cells(spark, sf_dir))
+    return scored.withColumn(PREDICTION, F.round(PREDICTION, 6))
