@@ -63,17 +63,17 @@ def route(
     quarantine_table: str,
     mode: str,
     *,
-    shuffled: bool = False,
+    staged: bool = False,
     segment: str | None = None,
 ) -> tuple[int, int]:
     """Write passing rows and, if there are any, failing rows; returns both counts.
 
-    Counts come from the writes themselves. Rows that needed a shuffle to compute, or whose
-    rules depend on the clock or on chance, are tagged once into a staged copy that both
-    writes read. Other rows come straight from a scan and are read again for the (usually
-    small) failing part, and only if something failed.
+    Counts come from the writes themselves. With ``staged``, and always when the rules
+    depend on the clock or on chance, rows are tagged once into a staged copy that both
+    writes read: right for rows that took a shuffle or text parsing to make. Otherwise the
+    source is read again for the (usually small) failing part, only if something failed.
     """
-    if shuffled or not quality.repeatable(df, rules):
+    if staged or not quality.repeatable(df, rules):
         tagged, path = stage(quality.tag_failures(df, rules), "silver")
         try:
             clean = write_table(
@@ -122,7 +122,7 @@ def run_silver(spark: SparkSession, spec: SilverSpec) -> dict[str, float]:
                 spec.target_delta_path,
                 spec.quarantine_delta_path,
                 spec.write_mode,
-                shuffled=bool(spec.drop_duplicates),
+                staged=bool(spec.drop_duplicates),
             )
         else:
             counts = write_table(df, spec.target_delta_path, spec.write_mode), 0

@@ -18,12 +18,14 @@ def route_stream(
     quarantine_table: str,
     checkpoint: str,
 ) -> dict[str, float]:
-    """Both writes of a batch carry the batch's name, so a retry repeats neither."""
+    """A batch is parsed and judged once; both its writes carry its name, so none repeats."""
     clean = bad = 0
 
     def each(batch: DataFrame, name: str) -> None:
         nonlocal clean, bad
-        counts = route(batch, rules, clean_table, quarantine_table, "append", segment=name)
+        counts = route(
+            batch, rules, clean_table, quarantine_table, "append", staged=True, segment=name
+        )
         clean, bad = clean + counts[0], bad + counts[1]
 
     run_available(stream, checkpoint, each)

@@ -86,10 +86,10 @@ def test_valid_filter_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(age,5)" in frame._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("shuffled", [True, False])
-def test_routes_agree(people, spark, shuffled):
+@pytest.mark.parametrize("staged", [True, False])
+def test_routes_agree(people, spark, staged):
     clean, bad = scratch_path(spark, "clean"), scratch_path(spark, "bad")
-    assert route(people, RULES, clean, bad, "overwrite", shuffled=shuffled) == (2, 4)
+    assert route(people, RULES, clean, bad, "overwrite", staged=staged) == (2, 4)
     assert sorted(r.id for r in read_table(spark, clean).collect()) == [1, 5]
     rejected = read_table(spark, bad)
     assert rejected.count() == 4
@@ -97,10 +97,10 @@ def test_routes_agree(people, spark, shuffled):
     assert "_failed_rules" not in read_table(spark, clean).columns
 
 
-@pytest.mark.parametrize("shuffled", [True, False])
-def test_nothing_failed_writes_no_quarantine(people, spark, shuffled):
+@pytest.mark.parametrize("staged", [True, False])
+def test_nothing_failed_writes_no_quarantine(people, spark, staged):
     clean, bad = scratch_path(spark, "clean"), scratch_path(spark, "bad")
-    counts = route(people, [Rule("ok", "id > 0")], clean, bad, "overwrite", shuffled=shuffled)
+    counts = route(people, [Rule("ok", "id > 0")], clean, bad, "overwrite", staged=staged)
     assert counts == (6, 0)
     assert not is_table(spark, bad)
 
@@ -113,13 +113,13 @@ def test_rules_over_the_clock_are_judged_once(people, spark, monkeypatch):
     assert not repeatable(people, clock)
     assert not repeatable(people, [Rule("luck", "RAND() < 0.5")])
     assert not repeatable(people.selectExpr("*", "rand() AS r"), RULES)
-    staged = []
+    copies_made = []
     real = layers.stage
-    monkeypatch.setattr(layers, "stage", lambda *a: staged.append(a) or real(*a))
+    monkeypatch.setattr(layers, "stage", lambda *a: copies_made.append(a) or real(*a))
     for rules, copies in ((clock, 1), ([Rule("luck", "rand() < 0.5")], 2), (RULES, 2)):
         clean, bad = scratch_path(spark, "clean"), scratch_path(spark, "bad")
         counts = route(people, rules, clean, bad, "overwrite")
-        assert sum(counts) == 6 and len(staged) == copies
+        assert sum(counts) == 6 and len(copies_made) == copies
 
 
 def silver(spark, people, **extra):
