@@ -53,7 +53,8 @@ def ingest(spark: SparkSession, spec: BronzeSpec) -> int:
     if landed is None:
         _log.warning("nothing landed under %s/%s", spec.landing_path, spec.file_pattern)
         return 0
-    return write_table(with_lineage(landed), spec.target_delta_path, spec.write_mode)
+    with settings(spark, layout_for(spark, paths.total_bytes(spark, spec.landing_path))):
+        return write_table(with_lineage(landed), spec.target_delta_path, spec.write_mode)
 
 
 def route(
@@ -149,17 +150,18 @@ def run_training(spark: SparkSession, spec: LearningSpec | None, gold_table: str
     """None when the stage is absent or switched off."""
     if spec is None or not spec.enabled:
         return None
-    return train(
-        read_table(spark, gold_table),
-        spec.target_column,
-        spec.categorical_features,
-        spec.numeric_features,
-        split_keys=spec.split_keys,
-        train_share=spec.train_test_split_ratio,
-        seed=spec.random_seed,
-        hyperparameters=spec.hyperparameters,
-        tuning=spec.tuning,
-    )
+    with settings(spark, layout_for(spark, table_bytes(spark, gold_table))):
+        return train(
+            read_table(spark, gold_table),
+            spec.target_column,
+            spec.categorical_features,
+            spec.numeric_features,
+            split_keys=spec.split_keys,
+            train_share=spec.train_test_split_ratio,
+            seed=spec.random_seed,
+            hyperparameters=spec.hyperparameters,
+            tuning=spec.tuning,
+        )
 
 
 def run_scoring(
@@ -174,8 +176,9 @@ def run_scoring(
 ) -> int:
     """Append ids, prediction and audit columns for every row that can be scored."""
     model, credited = _model(spark, spec, run_id, primary_model)
-    scored = score_batch(model, read_table(spark, source_table), id_columns, credited)
-    return write_table(scored, output_table, "append")
+    with settings(spark, layout_for(spark, table_bytes(spark, source_table))):
+        scored = score_batch(model, read_table(spark, source_table), id_columns, credited)
+        return write_table(scored, output_table, "append")
 
 
 def run_gold_scoring(
@@ -184,8 +187,9 @@ def run_gold_scoring(
     """Score the whole gold table into ``<output_root>/predictions_<run_id>`` as Parquet."""
     model, credited = _model(spark, spec, None, primary_model)
     target = f"{output_root.rstrip('/')}/predictions_{credited}"
-    scored = score_full(model, read_table(spark, spec.gold.target_delta_path))
-    scored.write.mode("overwrite").parquet(target)
+    gold = spec.gold.target_delta_path
+    with settings(spark, layout_for(spark, table_bytes(spark, gold))):
+        score_full(model, read_table(spark, gold)).write.mode("overwrite").parquet(target)
     return target
 
 

@@ -46,14 +46,15 @@ def eda_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bins(values: str) -> str:
     """Equal-width counts over 50 bins of the one column ``x`` of a subquery."""
+    low, width = "(SELECT lo FROM b)", "(SELECT w FROM b)"
     return f"""
     WITH v AS ({values}),
          b AS (SELECT min(x) AS lo, (max(x) - min(x)) / 50 AS w FROM v),
-         c AS (SELECT least(floor((x - lo) / w), 49)::INTEGER AS bin, count(*) AS rows
-               FROM v, b GROUP BY 1)
-    SELECT r.bin::INTEGER AS bin, round(lo + w * r.bin, 6) AS bin_start,
-           round(lo + w * (r.bin + 1), 6) AS bin_end, coalesce(c.rows, 0) AS rows
-    FROM range(50) r(bin) CROSS JOIN b LEFT JOIN c ON c.bin = r.bin"""
+         c AS (SELECT least(floor((x - {low}) / {width}), 49)::INTEGER AS bin, count(*) AS rows
+               FROM v GROUP BY 1)
+    SELECT r.bin::INTEGER AS bin, round({low} + {width} * r.bin, 6) AS bin_start,
+           round({low} + {width} * (r.bin + 1), 6) AS bin_end, coalesce(c.rows, 0) AS rows
+    FROM range(50) r(bin) LEFT JOIN c ON c.bin = r.bin"""
 
 
 def _rounded(bins: DataFrame) -> DataFrame:

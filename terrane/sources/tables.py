@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrane.session import scratch_path
+from terrane.session import estimated_bytes, scratch_path
 from terrane.sources import paths
 
 BATCH = "batch-"
+# Catalyst's stand-in for "no idea" is the largest long; no real table comes near this.
+_UNKNOWN_BYTES = 2**60
 _VERSION = re.compile(r"^v=(\d+)$")
 
 
@@ -91,8 +93,10 @@ def _read_segments(spark: SparkSession, segments: Sequence[str]) -> DataFrame:
 
 
 def table_bytes(spark: SparkSession, table: str) -> int:
+    """Bytes at rest; 0 for a catalog table or view of unknown size."""
     if "/" not in table and spark.catalog.tableExists(table):
-        return 0
+        estimate = estimated_bytes(spark.table(table))
+        return estimate if estimate < _UNKNOWN_BYTES else 0
     segments = live_segments(spark, table) or [table]
     return sum(paths.total_bytes(spark, segment) for segment in segments)
 

@@ -10,6 +10,7 @@ from terrane.sources.tables import (
     live_segments,
     read_table,
     stage,
+    table_bytes,
     write_table,
 )
 
@@ -104,6 +105,11 @@ def test_plain_parquet_and_catalog_tables_are_readable(spark, table):
         write_table(spark.range(1), table, "append")
     spark.range(2).createOrReplaceTempView("named_rows")
     assert is_table(spark, "named_rows") and read_table(spark, "named_rows").count() == 2
+    assert table_bytes(spark, "named_rows") == 16 and table_bytes(spark, table) > 0
+    spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int").createOrReplaceTempView(
+        "sizeless"
+    )
+    assert table_bytes(spark, "sizeless") == 0
 
 
 def test_versions_without_a_schema_file_are_merged_by_spark(spark, table):
