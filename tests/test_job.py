@@ -78,7 +78,15 @@ def landed(spark, tmp_path):
 
 def test_whole_job(spark, landed):
     root, path = landed
+    touched = (
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.files.maxPartitionBytes",
+        "spark.sql.session.timeZone",
+        "spark.sql.ansi.enabled",
+    )
+    before = [spark.conf.get(key, None) for key in touched]
     report = run(spark, path)
+    assert [spark.conf.get(key, None) for key in touched] == before
     clean = sum(1 for i in range(200) if 18 <= 10 + i % 60 <= 120 and i % 3 < 2)
     assert report["bronze_record_count"] == 220
     assert report["silver_record_count"] == report["gold_record_count"] == clean
