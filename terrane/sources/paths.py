@@ -35,6 +35,18 @@ def modified_at(spark: SparkSession, path: str) -> float:
     return fs.getFileStatus(handle).getModificationTime() / 1000.0
 
 
+def newest_file(spark: SparkSession, path: str) -> float:
+    """Latest change among all files below; 0 without any.
+
+    Object stores keep no dependable time on folders, so files are asked.
+    """
+    fs, handle = _locate(spark, path)
+    files, newest = fs.listFiles(handle, True), 0.0
+    while files.hasNext():
+        newest = max(newest, files.next().getModificationTime() / 1000.0)
+    return newest
+
+
 def total_bytes(spark: SparkSession, path: str) -> int:
     fs, handle = _locate(spark, path)
     return fs.getContentSummary(handle).getLength() if fs.exists(handle) else 0
