@@ -202,7 +202,8 @@ def tune(
         ),
         numFolds=folds,
         foldCol=_FOLD,
-        parallelism=int(tuning.get("parallelism", 4)),
+        # Each fit already fills the cluster; fits side by side are for whoever asks.
+        parallelism=int(tuning.get("parallelism", 1)),
         seed=seed,
     )
     folded = prepared.withColumn(_FOLD, fold_of(F.col(_POSITION), folds))
