@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
+from struct import pack
 
 import numpy as np
 
@@ -37,7 +39,7 @@ class ByteBpe:
     least, and of twice as many at most.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -56,17 +58,23 @@ class ByteBpe:
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            if part.lstrip(" ").isalpha() and part.rfind(" ") <= 0:
-                letters = part.encode().decode("latin-1").translate(self.letters)
+            if (part[1:] if part[0] == " " else part).isalpha():
+                if part.isascii():
+                    letters = part.replace(" ", self.letters[32])
+                else:
+                    letters = part.encode().decode("latin-1").translate(self.letters)
                 ids = [token.id for token in self.model.tokenize(letters)]
-                found = np.array(ids, "<u4").tobytes()
+                found = pack(f"<{len(ids)}I", *ids)
             else:
                 found = self.whole(part)
             self.parts[part] = found
         return found
 
     def _piece(self, piece: str) -> bytes:
-        if piece[-1] in _MARKS and piece[-2:-1].isalpha() and piece[:-1].strip(" ").isalpha():
+        word = piece[1:] if piece[0] == " " else piece
+        if word.isalpha():
+            return self._part(piece)
+        if piece[-1] in _MARKS and word[:-1].isalpha():
             return self._part(piece[:-1]) + self._part(piece[-1])
         parts = _PARTS.findall(piece)
         for left, right in zip(parts, parts[1:]):
@@ -105,3 +113,9 @@ class ByteBpe:
             self.whole(text) if pieces is None else b"".join(map(look, pieces))
             for text, pieces in zip(texts, cut)
         ]
+
+
+@lru_cache(maxsize=1)
+def byte_bpe(path: str) -> ByteBpe:
+    """The encoder of a worker process; what it remembers serves the tasks that follow."""
+    return ByteBpe(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +77,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+@lru_cache(maxsize=1)
+def word_hashes() -> WordHashes:
+    """The memory of a worker process."""
+    return WordHashes()
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values (the finalizer of splitmix64)."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from terrane.llm.common import (
     WordHashes,
+    word_hashes,
     documents_of,
     map_arrow,
     mixed,
@@ -96,7 +97,7 @@ def _sets(docs: DataFrame, limits: Limits) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, held = WordHashes(), set(), []
+        hashes, seen, held = word_hashes(), set(), []
         shingle, count = np.empty(0, np.uint64), np.empty(0, np.int64)
 
         def merge():
@@ -180,7 +181,7 @@ def _postings(docs: DataFrame, frequent, limits: Limits) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, order = WordHashes(), set(), _Order(known.value)
+        hashes, seen, order = word_hashes(), set(), _Order(known.value)
         for batch in batches:
             rows = []
             for raw in text_bytes(batch.column("text")):
@@ -254,7 +255,7 @@ def _elements_of(docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFr
     bits = docs.sparkSession.sparkContext.broadcast(_Bits.of(classes, "class"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
+        hashes, seen = word_hashes(), set()
         for batch in batches:
             keys, names, found = [], [], []
             for key, raw in zip(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text"))):

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm.byte_bpe import END_OF_DOCUMENT, ByteBpe
+from terrane.llm.byte_bpe import END_OF_DOCUMENT, byte_bpe
 from terrane.llm.common import (
     batch_rows,
     documents_of,
@@ -118,7 +118,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = SEQUENCE) ->
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(tokenizer_path)
+        bpe = byte_bpe(tokenizer_path)
         end = np.array([END_OF_DOCUMENT], "<u4").tobytes()
         for batch in batch_rows(batches, BATCH_BYTES):
             rows = []

@@ -6,6 +6,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -166,6 +167,12 @@ class Encoder:
         return out, new
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(model_path: str) -> Encoder:
+    """The encoder of a worker process; what it remembers serves the tasks that follow."""
+    return Encoder(MergeVocabulary(model_path))
+
+
 def encode_texts(encoder: Encoder, texts: list[str]) -> list[list[int]]:
     """Ids of a batch, checked against the library.
 
@@ -193,8 +200,8 @@ def sentence_pieces(docs: DataFrame, model_path: str) -> DataFrame:
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = MergeVocabulary(model_path)
-        encoder = Encoder(vocabulary)
+        encoder = worker_encoder(model_path)
+        vocabulary = encoder.vocabulary
         decimal = [str(i) for i in range(len(vocabulary.surfaces))]
         sha = hashlib.sha256
         for batch in batch_rows(batches, BATCH_BYTES):

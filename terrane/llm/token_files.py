@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm.byte_bpe import END_OF_DOCUMENT, ByteBpe
+from terrane.llm.byte_bpe import END_OF_DOCUMENT, byte_bpe
 from terrane.llm.common import batch_rows, documents_of, map_arrow, staged, texts_of
 from terrane.session import scratch_path
 
@@ -71,7 +71,7 @@ def write_token_files(
         store.create_dir(base, recursive=True)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
-        bpe = ByteBpe(tokenizer_path)
+        bpe = byte_bpe(tokenizer_path)
         ids = documents = nulls = 0
         path = f"{base}/{name}"
         with (
