@@ -12,6 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from terrane.session import scratch_path
 
@@ -45,7 +46,7 @@ def documents_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     importable(df.sparkSession)
     return df.mapInArrow(function, schema)
 

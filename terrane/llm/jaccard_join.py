@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from terrane.llm.common import (
     WordHashes,
@@ -530,14 +531,8 @@ def _components(docs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     return connected(links.unionByName(more)).withColumnRenamed("node", "class")
 
 
-def jaccard_components(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """A row a document: doc_id, n_shingles, class, component_id.
-
-    component_id is the smallest doc_id among the documents that links reach, the document's
-    own included. Null and empty texts, and texts of white space, have an empty set, no class
-    and no links. Repeated rows are of one class; a component whose doc_ids are all null has
-    the id null. Other columns are left out.
-    """
+def _located(docs: DataFrame, limits: Limits) -> DataFrame:
+    """A row a document: doc_id, size, class, component (a class's name, or null), component_id."""
     docs = documents_of(docs)
     sets = _sets(docs, limits)
     members = sets.filter("shingle IS NULL").select("doc_id", "size", "class")
@@ -546,8 +541,51 @@ def jaccard_components(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     named = classes.join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
     named = staged(named, "classes")
     firsts = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = named.join(firsts, "component").select("class", "component_id")
+    ids = named.join(firsts, "component").select("class", "component", "component_id")
     linked = members.filter("class IS NOT NULL").join(ids, "class")
-    alone = members.filter("class IS NULL").withColumn("component_id", F.col("doc_id"))
+    alone = members.filter("class IS NULL").withColumns(
+        {"component": F.lit(None).cast("long"), "component_id": F.col("doc_id")}
+    )
+    return linked.unionByName(alone)
+
+
+def jaccard_components(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """A row a document: doc_id, n_shingles, class, component_id.
+
+    component_id is the smallest doc_id among the documents that links reach, the document's
+    own included. Null and empty texts, and texts of white space, have an empty set, no class
+    and no links. Repeated rows are of one class; a component whose doc_ids are all null has
+    the id null. Other columns are left out.
+    """
     columns = ["doc_id", F.col("size").alias("n_shingles"), "class", "component_id"]
-    return linked.select(*columns).unionByName(alone.select(*columns))
+    return _located(docs, limits).select(*columns)
+
+
+def _with_class(docs: DataFrame, column: str) -> DataFrame:
+    """The rows with their class in a further column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = word_hashes()
+        for batch in batches:
+            found = (shingles(raw, hashes) for raw in text_bytes(batch.column("text")))
+            names = [class_of(one) if len(one) else None for one in found]
+            yield batch.append_column(column, pa.array(names, pa.int64()))
+
+    return map_arrow(docs, run, StructType([*docs.schema.fields, StructField(column, LongType())]))
+
+
+def keep_one(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """One row of each group of linked documents, with all its columns: one of the smallest
+    doc_id, null ids last. Documents without words are groups of their own.
+
+    The choice is made among ids and classes; texts move once, to meet it. Where the chosen
+    id stands on several rows of the chosen class, one of them stays.
+    """
+    groups = _located(docs, limits).filter("component IS NOT NULL").groupBy("component")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("class"))).alias("first")
+    heads = staged(groups.agg(first).select(F.col("first.doc_id").alias("__id"), F.col("first.class").alias("__head")), "heads")
+    named = _with_class(docs, "__class")
+    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))) & (F.col("__class") == F.col("__head"))
+    one = named.filter("__class IS NOT NULL").join(heads, same).dropDuplicates(["__id", "__head"])
+    alone = named.filter("__class IS NULL")
+    return one.select(docs.columns).unionByName(alone.select(docs.columns))

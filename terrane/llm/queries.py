@@ -9,11 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrane.llm.jaccard_join import jaccard_components
+from terrane.llm.neighbours import nearest_neighbours
 from terrane.llm.packing import pack
+from terrane.llm.pii import personal_data
 from terrane.llm.quality import quality
 from terrane.llm.sentencepieces import sentence_pieces
 from terrane.llm.sharding import shard
 from terrane.llm.token_files import token_files
+from terrane.llm.toxicity import learn, score_toxicity
 from terrane.llm.url_filter import host_of, judge_urls
 from terrane.session import prepare
 
@@ -96,16 +100,38 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules, listed)
 
 
+@query("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 @query("op5_best_fit_packing")
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op6_jaccard_join")
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("class")
+
+
+@query("op7_nearest_neighbours")
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0").select("vec_id"), 10)
+
+
 @query("op8_quality")
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).drop("ratio", "bad_chunk_share")
 
 
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score_toxicity(docs, learn(docs, labels))
+
+
 @query("op10_token_files")
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
