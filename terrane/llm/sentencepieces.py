@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,6 +17,7 @@ from terrane.llm.common import batch_rows, documents_of, map_arrow, texts_of
 SPACE = "▁"  # what a space is written as inside pieces
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 BATCH_BYTES = 4 << 20
+SHORT = 32
 
 
 class MergeVocabulary:
@@ -34,7 +36,10 @@ class MergeVocabulary:
         special = [self.library.is_control(i) or self.library.is_unknown(i) for i in ids]
         byte = [self.library.is_byte(i) for i in ids]
         self.ids = {p: i for i, p in enumerate(pieces) if not special[i] and not byte[i]}
-        self.scores = {p: self.library.get_score(i) for p, i in self.ids.items()}
+        scores = {p: self.library.get_score(i) for p, i in self.ids.items()}
+        order = {score: k for k, score in enumerate(sorted(set(scores.values()), reverse=True))}
+        self.ranks = {p: order[score] for p, score in scores.items()}
+        self.never = len(order)  # no piece has this rank; the best score has 0
         self.byte_ids = {}
         self.surfaces: list[bytes] = []
         for i, piece in enumerate(pieces):
@@ -55,21 +60,53 @@ class MergeVocabulary:
 
         Every pair of adjacent symbols that forms a piece waits in an agenda, best score
         first, leftmost first among equals. The best pair becomes one symbol, which forms
-        new pairs with its neighbours; entries whose symbols have changed are skipped.
+        new pairs with its neighbours.
         """
+        merged = self._merge_short(text) if len(text) <= SHORT else self._merge_long(text)
+        out: list[int] = []
+        for symbol in merged:
+            known = self.ids.get(symbol)
+            if known is not None:
+                out.append(known)
+            elif self.byte_ids:
+                out.extend(self.byte_ids[value] for value in symbol.encode())
+            else:
+                out.append(self.unknown)
+        return out
+
+    def _merge_short(self, text: str) -> list[str]:
+        """The agenda as a list of ranks by place, searched for its best: for few pairs."""
+        rank, never = self.ranks.get, self.never
+        symbols = list(text)
+        agenda = [rank(left + right, never) for left, right in zip(symbols, symbols[1:])]
+        while agenda and (best := min(agenda)) < never:
+            k = agenda.index(best)
+            symbols[k] = pair = symbols[k] + symbols[k + 1]
+            del symbols[k + 1], agenda[k]
+            if k < len(agenda):
+                agenda[k] = rank(pair + symbols[k + 1], never)
+            if k:
+                agenda[k - 1] = rank(symbols[k - 1] + pair, never)
+        return symbols
+
+    def _merge_long(self, text: str) -> list[str]:
+        """The agenda as a heap; entries whose symbols have changed meanwhile are skipped."""
+        ranks = self.ranks
         symbols: list[str | None] = list(text)
         n = len(symbols)
-        scores = self.scores
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
         agenda = []
+
+        def wait(left: int, right: int) -> None:
+            pair = symbols[left] + symbols[right]
+            if pair in ranks:
+                heappush(agenda, (ranks[pair], left, right, pair))
+
         for k in range(n - 1):
-            pair = text[k : k + 2]
-            if pair in scores:
-                agenda.append((-scores[pair], k, k + 1, pair))
-        heapq.heapify(agenda)
+            wait(k, k + 1)
         while agenda:
-            _, left, right, pair = heapq.heappop(agenda)
+            _, left, right, pair = heappop(agenda)
             mine, other = symbols[left], symbols[right]
             if mine is None or other is None or after[left] != right or mine + other != pair:
                 continue
@@ -77,28 +114,13 @@ class MergeVocabulary:
             following = after[left] = after[right]
             if following < n:
                 before[following] = left
-                wider = pair + symbols[following]
-                if wider in scores:
-                    heapq.heappush(agenda, (-scores[wider], left, following, wider))
-            leading = before[left]
-            if leading >= 0:
-                wider = symbols[leading] + pair
-                if wider in scores:
-                    heapq.heappush(agenda, (-scores[wider], leading, left, wider))
-        out: list[int] = []
-        for symbol in symbols:
-            if symbol is not None:
-                known = self.ids.get(symbol)
-                if known is not None:
-                    out.append(known)
-                elif self.byte_ids:
-                    out.extend(self.byte_ids[value] for value in symbol.encode())
-                else:
-                    out.append(self.unknown)
-        return out
+                wait(left, following)
+            if before[left] >= 0:
+                wait(before[left], left)
+        return [symbol for symbol in symbols if symbol is not None]
 
     def parts(self, piece: str) -> list[str]:
-        """A piece cut wherever no merge can reach over."""
+        """A piece cut wherever no merge can reach over, so that its parts recur more."""
         bound, cuts = self.bound, [0]
         for k in range(1, len(piece)):
             if piece[k - 1 : k + 1] not in bound:
@@ -119,18 +141,18 @@ class Encoder:
     def __init__(self, vocabulary: MergeVocabulary, most: int = 250_000):
         self.vocabulary = vocabulary
         self.most = most
-        self.pieces: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.parts: dict[str, tuple[int, ...]] = {}
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> tuple[int, ...]:
         ids: list[int] = []
-        for part in self.vocabulary.parts(piece):
+        for part in [piece] if piece[1:].isalpha() else self.vocabulary.parts(piece):
             found = self.parts.get(part)
             if found is None:
-                found = self.parts[part] = self.vocabulary.merge(part)
+                found = self.parts[part] = tuple(self.vocabulary.merge(part))
             ids += found
-        return ids
+        return tuple(ids)
 
     def cut(self, text: str) -> list[str]:
         """The text with its spaces written as pieces write them, cut before each word."""
@@ -158,13 +180,8 @@ class Encoder:
                 ids = self._piece(piece)
                 new.append(piece)
             held[piece] = ids
-        out = []
-        for pieces in cut:
-            ids: list[int] = []
-            for piece in pieces:
-                ids += held[piece]
-            out.append(ids)
-        return out, new
+        look = held.__getitem__
+        return [list(chain.from_iterable(map(look, pieces))) for pieces in cut], new
 
 
 @lru_cache(maxsize=1)
@@ -186,7 +203,7 @@ def encode_texts(encoder: Encoder, texts: list[str]) -> list[list[int]]:
     for piece, own in zip(new, told):
         if piece == SPACE:  # the library has no ids for an empty text
             continue
-        if own != encoder.pieces[piece]:
+        if tuple(own) != encoder.pieces[piece]:
             raise ValueError(f"the library encodes {piece!r} otherwise; is the model of type BPE?")
     return ids
 
