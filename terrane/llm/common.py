@@ -112,6 +112,42 @@ def batch_rows(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[p
             yield batch.slice(start, rows)
 
 
+def runs(
+    chunks: Iterator[dict[str, np.ndarray]], by: Sequence[str]
+) -> Iterator[dict[str, np.ndarray]]:
+    """Columns that come sorted, cut anew so that rows equal in `by` are in one piece."""
+    held: list[dict[str, np.ndarray]] = []
+
+    def flush() -> dict[str, np.ndarray]:
+        whole = {name: np.concatenate([part[name] for part in held]) for name in held[0]}
+        held.clear()
+        return whole
+
+    for chunk in chunks:
+        rows = len(chunk[by[0]])
+        if not rows:
+            continue
+        if held and any(held[-1][name][-1] != chunk[name][0] for name in by):
+            yield flush()
+        ends = run_starts(*[chunk[name] for name in by])
+        last = int(ends[-1])
+        if last:
+            held.append({name: column[:last] for name, column in chunk.items()})
+            yield flush()
+        held.append({name: column[last:] for name, column in chunk.items()})
+    if held:
+        yield flush()
+
+
+def run_starts(*columns: np.ndarray) -> np.ndarray:
+    """Where the values of sorted columns change; the first row counts."""
+    change = np.zeros(len(columns[0]), bool)
+    change[:1] = True
+    for column in columns:
+        change[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(change)
+
+
 def numbered(
     df: DataFrame,
     keys: Sequence[str],

@@ -36,6 +36,8 @@ from terrane.llm.common import (
     documents_of,
     map_arrow,
     mixed,
+    run_starts,
+    runs,
     staged,
     text_bytes,
     window_hashes,
@@ -191,8 +193,11 @@ def _postings(docs: DataFrame, frequent, limits: Limits) -> DataFrame:
                     continue
                 seen.add(name)
                 first, counts = order.prefix(elements)
-                cells = counts // limits.list_rows + 1
-                rows.append((first, (mixed(np.full(len(first), name, np.int64).astype(np.uint64)) % cells.astype(np.uint64)), name, len(elements)))
+                # A list that is walked whole is cell 0; one that is cut has cells from 1 on.
+                cells = (counts // limits.list_rows).astype(np.uint64)
+                scattered = mixed(np.full(len(first), name, np.int64).astype(np.uint64))
+                cell = np.where(cells > 0, 1 + scattered % (cells + np.uint64(1)), 0)
+                rows.append((first, cell, name, len(elements)))
             if not rows:
                 continue
             lengths = [len(row[0]) for row in rows]
@@ -222,6 +227,8 @@ class _Bits:
 
     @classmethod
     def of(cls, frame: DataFrame, column: str) -> np.ndarray:
+        """The filter of a column's values that are not null."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = np.zeros(cls.WORDS, np.uint64)
             for batch in batches:
@@ -232,7 +239,7 @@ class _Bits:
                 [pa.array(used.astype(np.int32)), pa.array(words[used].astype(np.int64))], ["word", "bits"]
             )
 
-        parts = map_arrow(frame.select(column), run, "word int, bits long")
+        parts = map_arrow(frame.select(column).filter(F.col(column).isNotNull()), run, "word int, bits long")
         words = np.zeros(cls.WORDS, np.uint64)
         for word, bits in parts.groupBy("word").agg(F.bit_or("bits")).collect():
             words[word] = np.int64(bits).astype(np.uint64)
@@ -240,47 +247,53 @@ class _Bits:
 
     @classmethod
     def hold(cls, words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        if not len(keys):
+            return np.zeros(0, bool)
         places = cls.places(keys)
         found = (words[(places >> np.uint64(6)).astype(np.int64)] >> (places & np.uint64(63))) & np.uint64(1)
         return found.reshape(2, -1).all(axis=0)
 
 
 def _elements_of(docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(class, elements) of the wanted classes, each once: from the smallest doc_id it has.
+    """(class, elements) of the wanted classes, from the smallest doc_id each has.
 
-    A filter of bounded size leaves most other documents out before the exact join.
+    A filter of these doc_ids, of bounded size, leaves most other documents alone. The few it
+    lets pass besides do no harm, nor does a class that comes twice (from repeated rows).
     """
-    wanted = sets.filter("class IS NOT NULL").join(classes, "class").groupBy("class").agg(
+    owners = sets.filter("class IS NOT NULL").join(classes, "class").groupBy("class").agg(
         F.min("doc_id").alias("doc_id")
     )
-    bits = docs.sparkSession.sparkContext.broadcast(_Bits.of(classes, "class"))
+    bits = docs.sparkSession.sparkContext.broadcast(_Bits.of(owners, "doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = word_hashes(), set()
         for batch in batches:
-            keys, names, found = [], [], []
-            for key, raw in zip(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text"))):
+            ids = batch.column("doc_id")
+            wanted = _Bits.hold(bits.value, ids.fill_null(0).to_numpy()) | ids.is_null().to_numpy(False)
+            names, packed = [], []
+            for raw in text_bytes(batch.column("text").filter(pa.array(wanted))):
                 elements = shingles(raw, hashes)
                 if len(elements) and (name := class_of(elements)) not in seen:
-                    keys.append(key)
                     names.append(name)
-                    found.append(elements)
+                    packed.append(elements.view(np.uint8).reshape(-1, 8)[:, :ELEMENT_BYTES].tobytes())
                     seen.add(name)
-            if not names:
-                continue
-            hold = _Bits.hold(bits.value, np.array(names, np.int64)).tolist()
-            packed = [
-                one.view(np.uint8).reshape(-1, 8)[:, :ELEMENT_BYTES].tobytes()
-                for one, yes in zip(found, hold)
-                if yes
-            ]
-            names = [name for name, yes in zip(names, hold) if yes]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array(packed, pa.binary())], ["class", "elements"]
-            )
+            if names:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.int64()), pa.array(packed, pa.binary())], ["class", "elements"]
+                )
+
+    return staged(map_arrow(docs, run, "class long, elements binary"), "shingle-elements")
+
+
+def _only(elements: DataFrame, classes: DataFrame) -> DataFrame:
+    """Elements of the given classes and few others: what need not travel to a join stays."""
+    bits = elements.sparkSession.sparkContext.broadcast(_Bits.of(classes, "class"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_Bits.hold(bits.value, batch.column("class").to_numpy())))
 
-    held = map_arrow(docs, run, "class long, elements binary")
-    return staged(held.join(classes, "class", "left_semi").dropDuplicates(["class"]), "shingle-elements")
+    return map_arrow(elements, run, "class long, elements binary")
 
 
 def unpacked(raw: bytes) -> np.ndarray:
@@ -292,59 +305,62 @@ def unpacked(raw: bytes) -> np.ndarray:
 # --- walking the lists -------------------------------------------------------------------
 
 
-def _runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[dict[str, np.ndarray]]:
-    """Sorted batches, regrouped so that rows equal in `by` come together."""
-    held: list[dict[str, np.ndarray]] = []
+def _columns(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = {name: batch.column(name).to_numpy() for name in batch.schema.names}
-        change = np.zeros(batch.num_rows - 1, bool)
-        for name in by:
-            change |= columns[name][1:] != columns[name][:-1]
-        ends = np.flatnonzero(change)
-        last = int(ends[-1]) + 1 if len(ends) else 0
-        first = {name: column[:1] for name, column in columns.items()}
-        if held and any(held[-1][name][-1] != first[name][0] for name in by):
-            yield {name: np.concatenate([h[name] for h in held]) for name in columns}
-            held = []
-        if last:
-            held.append({name: column[:last] for name, column in columns.items()})
-            yield {name: np.concatenate([h[name] for h in held]) for name in columns}
-            held = []
-        held.append({name: column[last:] for name, column in columns.items()})
-    if held:
-        yield {name: np.concatenate([h[name] for h in held]) for name in held[0]}
+        yield {name: batch.column(name).to_numpy() for name in batch.schema.names}
+
+
+def _has_partner(size: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Which sets of one short list, ordered by size, may reach the threshold with another."""
+    x, y = size[:, None], size[None, :]
+    open_ = np.minimum(rest[:, None], rest[None, :]) >= needed(x, y)
+    np.fill_diagonal(open_, False)
+    return open_.any(axis=1)
 
 
-def _starts(*columns: np.ndarray) -> np.ndarray:
-    change = np.ones(len(columns[0]), bool)
-    change[1:] = False
-    for column in columns:
-        change[1:] |= column[1:] != column[:-1]
-    return np.flatnonzero(change)
+def _partners(rows: dict[str, np.ndarray], starts: np.ndarray, lengths: np.ndarray, limits: Limits) -> np.ndarray:
+    """Postings that some other posting of their list leaves open; of long lists, all."""
+    size = rows["size"].astype(np.int64)
+    rest = size - rows["position"]
+    keep = np.repeat(lengths > limits.block_rows, lengths) | (rows["cell"] > 0)
+    first = starts[lengths == 2]
+    both = np.minimum(rest[first], rest[first + 1]) >= needed(size[first], size[first + 1])
+    keep[first] |= both
+    keep[first + 1] |= both
+    for k in np.flatnonzero((lengths > 2) & (lengths <= limits.block_rows)).tolist():
+        start, end = int(starts[k]), int(starts[k] + lengths[k])
+        keep[start:end] |= _has_partner(size[start:end], rest[start:end])
+    return keep
 
 
-def _lists(postings: DataFrame) -> DataFrame:
-    """Postings of lists of at least two sets, each with the leader of its place in the list."""
+def _lists(postings: DataFrame, limits: Limits) -> DataFrame:
+    """Postings that their list leaves open, each with the leader of its place in the list.
+
+    Sets alone in a list, or kept from every other by size and position, are left out of it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _runs(batches, ["shingle", "cell"]):
-            once = _starts(rows["shingle"], rows["cell"], rows["class"])
+        for rows in runs(_columns(batches), ["shingle", "cell"]):
+            once = run_starts(rows["shingle"], rows["cell"], rows["class"])
             rows = {name: column[once] for name, column in rows.items()}
-            starts = _starts(rows["shingle"], rows["cell"])
+            starts = run_starts(rows["shingle"], rows["cell"])
+            lengths = np.diff(np.append(starts, len(rows["class"])))
+            keep = _partners(rows, starts, lengths, limits)
+            rows = {name: column[keep] for name, column in rows.items()}
+            if not keep.any():
+                continue
+            starts = run_starts(rows["shingle"], rows["cell"])
             lengths = np.diff(np.append(starts, len(rows["class"])))
             leader = rows["class"].copy()
-            for start, length in zip(starts[lengths > 1].tolist(), lengths[lengths > 1].tolist()):
+            for start, length in zip(starts.tolist(), lengths.tolist()):
                 sizes, at = rows["size"][start : start + length], 0
                 while at < length:
                     end = int(np.searchsorted(sizes, sizes[at] * 4 // 3, "right"))
                     leader[start + at : start + end] = rows["class"][start + at]
                     at = max(end, at + 1)
-            keep = np.repeat(lengths > 1, lengths) | (np.repeat(rows["cell"][starts], lengths) > 0)
             names = ["shingle", "class", "size", "position"]
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(rows[n][keep]) for n in names], pa.array(leader[keep])], [*names, "leader"]
+                [*[pa.array(rows[n]) for n in names], pa.array(leader)], [*names, "leader"]
             )
 
     by = ["shingle", "cell"]
@@ -388,8 +404,8 @@ def _open_pairs(lists: DataFrame, limits: Limits) -> DataFrame:
     """Distinct pairs (a, b) of classes of different components that their lists leave open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _runs(batches, ["shingle"]):
-            starts = _starts(rows["shingle"]).tolist()
+        for rows in runs(_columns(batches), ["shingle"]):
+            starts = run_starts(rows["shingle"]).tolist()
             found: set[tuple[int, int]] = set()
             for start, end in zip(starts, [*starts[1:], len(rows["class"])]):
                 part = rows["component"][start:end]
@@ -424,6 +440,7 @@ def _overlaps(pairs: DataFrame, elements: DataFrame) -> DataFrame:
         F.col("b").alias("host"),
         F.pmod(F.xxhash64("a"), F.col("cells")).cast("int").alias("cell"),
     )
+    elements = _only(elements, guests.select("class").unionByName(pairs.select(F.col("b").alias("class"))))
     visits = elements.join(guests, "class").select(
         "host", "cell", F.lit(1).alias("guest"), "class", "elements"
     )
@@ -460,7 +477,7 @@ def _overlaps(pairs: DataFrame, elements: DataFrame) -> DataFrame:
     together = hosts.unionByName(visits).repartition("host", "cell")
     together = together.sortWithinPartitions("host", "cell", "guest")
     schema = "a long, b long, size_a long, size_b long, overlap long"
-    return staged(map_arrow(together, run, schema), "overlaps")
+    return staged(map_arrow(together, run, schema).distinct(), "overlaps")
 
 
 _LINKED = "100 * overlap >= 75 * (size_a + size_b - overlap)"
@@ -511,7 +528,7 @@ def _derived(open_pairs: DataFrame, led: DataFrame, elements: DataFrame) -> Data
 
 def _components(docs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     """(class, component) for every class that has a link."""
-    lists = _lists(_postings(docs, _frequent(sets, limits), limits))
+    lists = _lists(_postings(docs, _frequent(sets, limits), limits), limits)
     met = lists.filter("class <> leader").groupBy("class", "leader").count()
     first = met.groupBy("class").agg(F.max_by("leader", F.struct("count", "leader")).alias("leader"))
     first = staged(first.select(F.col("class").alias("a"), F.col("leader").alias("b")), "leaders")
