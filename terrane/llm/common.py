@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from terrane.session import scratch_path
+from terrane.session import scratch_path, settings
 
 _PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -37,7 +37,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: its lineage ends here."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}):
+        df.write.parquet(path)  # long texts make large batches
     return spark.read.schema(df.schema).parquet(path)
 
 

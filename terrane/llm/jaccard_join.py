@@ -32,7 +32,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from terrane.llm.common import (
     WordHashes,
-    word_hashes,
+    batch_rows,
     documents_of,
     map_arrow,
     mixed,
@@ -41,12 +41,14 @@ from terrane.llm.common import (
     staged,
     text_bytes,
     window_hashes,
+    word_hashes,
 )
 from terrane.llm.components import connected
 
 WORDS = 5
 ELEMENT_BYTES = 6
 GUESTS = 2_000
+BATCH_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -111,7 +113,7 @@ def _sets(docs: DataFrame, limits: Limits) -> DataFrame:
             count = np.bincount(at, np.concatenate([count, n[n > 1]]), len(shingle)).astype(np.int64)
             held = []
 
-        for batch in batches:
+        for batch in batch_rows(batches, BATCH_BYTES):
             sizes, classes = [], []
             for raw in text_bytes(batch.column("text")):
                 elements = shingles(raw, hashes)
@@ -131,7 +133,7 @@ def _sets(docs: DataFrame, limits: Limits) -> DataFrame:
                 ],
                 ["doc_id", "size", "class", "shingle", "count"],
             )
-            if sum(map(len, held)) > 4_000_000:
+            if sum(map(len, held)) > 1_000_000:
                 merge()
         merge()
         often = count > 2
@@ -185,7 +187,7 @@ def _postings(docs: DataFrame, frequent, limits: Limits) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen, order = word_hashes(), set(), _Order(known.value)
-        for batch in batches:
+        for batch in batch_rows(batches, BATCH_BYTES):
             rows = []
             for raw in text_bytes(batch.column("text")):
                 elements = shingles(raw, hashes)
@@ -267,7 +269,7 @@ def _elements_of(docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = word_hashes(), set()
-        for batch in batches:
+        for batch in batch_rows(batches, BATCH_BYTES):
             ids = batch.column("doc_id")
             wanted = _Bits.hold(bits.value, ids.fill_null(0).to_numpy()) | ids.is_null().to_numpy(False)
             names, packed = [], []
@@ -583,7 +585,7 @@ def _with_class(docs: DataFrame, column: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
-        for batch in batches:
+        for batch in batch_rows(batches, BATCH_BYTES):
             found = (shingles(raw, hashes) for raw in text_bytes(batch.column("text")))
             names = [class_of(one) if len(one) else None for one in found]
             yield batch.append_column(column, pa.array(names, pa.int64()))

@@ -6,12 +6,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.llm.common import map_arrow, staged
+from terrane.llm.common import map_arrow, run_starts, runs, staged
+
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -19,19 +20,21 @@ class Graph:
     """Parameters of the graph and of the search.
 
     Each node keeps its `degree` nearest known. The graph starts from `trees` random
-    partitions into leaves of at most about `leaf` nodes; each of `rounds` rounds joins every node's
-    neighbours, forward and at most `degree` of the backward ones, with one another. A
-    search keeps the `beam` nearest nodes found and goes on from those not yet expanded, from
-    `entries` nodes near its start, for at most `steps` steps.
+    partitions into leaves of about `leaf` nodes; each of at most `rounds` rounds, which end
+    when less than `settled` of the edges are new, joins every node's neighbours, forward and
+    at most `degree` of the backward ones, with one another. A search keeps the `beam` nearest
+    nodes found and goes on from those not yet expanded, first from its start and `entries`
+    nodes drawn by hash, for at most `steps` steps.
     """
 
-    degree: int = 16
-    trees: int = 3
-    leaf: int = 200
-    rounds: int = 2
-    beam: int = 40
-    entries: int = 8
-    steps: int = 8
+    degree: int = 32
+    trees: int = 4
+    leaf: int = 400
+    rounds: int = 6
+    settled: float = 0.02
+    beam: int = 200
+    entries: int = 4
+    steps: int = 10
     seed: int = 1
 
 
@@ -46,110 +49,167 @@ def usable(vectors: DataFrame, key: str, column: str) -> DataFrame:
     return rows.filter(F.coalesce(finite, F.lit(False))).filter(F.exists(vector, lambda x: x != 0))
 
 
-def _matrix(column: pa.Array | pd.Series) -> np.ndarray:
+def _matrix(column: pa.Array) -> np.ndarray:
     """Vectors of one size as rows."""
-    if isinstance(column, pd.Series):
-        return np.stack(column.to_numpy())
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
-def _distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Euclidean distances by differences, so that equal vectors are at exactly zero."""
-    return np.sqrt(((left[:, None, :] - right[None, :, :]) ** 2).sum(axis=2))
+_EDGES = "node long, other long, distance double"
+_PACKED = "node long, packed binary"
 
 
-def _squares(left: np.ndarray) -> np.ndarray:
-    """Squared distances among rows, by products; for choosing, not for results."""
-    norms = (left**2).sum(axis=1)
-    return np.maximum(norms[:, None] + norms[None, :] - 2 * left @ left.T, 0)
+def _packed(nodes: DataFrame) -> DataFrame:
+    """(node, packed): vectors scaled to at most one, in half precision.
 
+    The graph is chosen on these; results are measured on the vectors themselves.
+    """
+    most = nodes.agg(F.max(F.array_max(F.transform("vector", F.abs)))).first()[0]
 
-_EDGES = "node long, other long, distance double"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                half = (_matrix(batch.column("vector")) / most).astype(np.float16)
+                packed = pa.array([row.tobytes() for row in half], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("node"), packed], ["node", "packed"])
+
+    return staged(map_arrow(nodes, run, _PACKED), "packed")
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Batches as numpy columns, packed vectors as the rows of a matrix."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        chunk = {}
+        for name in batch.schema.names:
+            column = batch.column(name)
+            if name == "packed":
+                raw = b"".join(column.to_pylist())
+                chunk[name] = np.frombuffer(raw, np.float16).reshape(len(column), -1)
+            else:
+                chunk[name] = column.to_numpy(zero_copy_only=False)
+        yield chunk
+
+
+def _squares(vectors: np.ndarray) -> np.ndarray:
+    """Squared distances among rows; from a row to itself it is infinite."""
+    wide = vectors.astype(np.float32)
+    norms = (wide**2).sum(axis=1)
+    squares = np.maximum(norms[:, None] + norms[None, :] - 2 * wide @ wide.T, 0)
+    np.fill_diagonal(squares, np.inf)
+    return squares
 
 
-def _nearest(names: np.ndarray, squares: np.ndarray, most: int) -> pd.DataFrame:
-    """Each row's nearest others."""
-    squares = squares.copy()
-    np.fill_diagonal(squares, np.inf)
-    most = min(most, len(names) - 1)
-    if most < 1:
-        return pd.DataFrame({"node": [], "other": [], "distance": []})
-    near = np.argpartition(squares, most - 1, axis=1)[:, :most]
-    return pd.DataFrame(
-        {
-            "node": np.repeat(names, most),
-            "other": names[near].ravel(),
-            "distance": np.sqrt(np.take_along_axis(squares, near, axis=1)).ravel(),
-        }
-    )
+def _edges_of(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    if found:
+        node, other, distance = (np.concatenate(part) for part in zip(*found))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(node), pa.array(other), pa.array(distance.astype(np.float64))], ["node", "other", "distance"]
+        )
 
 
-def _leaves(nodes: DataFrame, count: int, dimensions: int, graph: Graph) -> DataFrame:
-    """(tree, cell, node, vector): each tree deals the nodes by the signs of random products.
+def _leaf_edges(packed: DataFrame, count: int, dimensions: int, graph: Graph) -> DataFrame:
+    """The first edges: nearest nodes in the leaves of `trees` random partitions.
 
-    A leaf that is still large is cut on by a hash, so none grows with its part of the data.
+    Each tree deals the nodes by the signs of random products. A leaf that stays large is
+    dealt on by a hash, so none grows with its part of the data.
     """
     bits = max(0, int(np.ceil(np.log2(max(1, count / graph.leaf)))))
-    random = np.random.default_rng(graph.seed)
-    planes = random.standard_normal((graph.trees, max(bits, 1), dimensions))
-    pieces = max(1, count // graph.leaf)
+    planes = np.random.default_rng(graph.seed).standard_normal((graph.trees, dimensions, max(bits, 1)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = _matrix(batch.column("vector"))
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, chunk in ((batch, next(_chunks([batch]))) for batch in batches if batch.num_rows):
             for tree in range(graph.trees):
-                signs = (vectors - 0.0) @ planes[tree].T > 0
-                cell = (signs[:, :bits] * (1 << np.arange(bits))).sum(axis=1) if bits else np.zeros(len(signs))
+                signs = chunk["packed"].astype(np.float32) @ planes[tree] > 0
+                cell = (signs[:, :bits] * (1 << np.arange(bits))).sum(axis=1).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(cell), tree, np.int32)),
-                        pa.array(cell.astype(np.int64)),
-                        batch.column("node"),
-                        batch.column("vector"),
-                    ],
-                    ["tree", "cell", "node", "vector"],
+                    [pa.array(np.full(len(cell), tree, np.int32)), pa.array(cell), *batch.columns],
+                    ["tree", "cell", *batch.schema.names],
                 )
 
-    dealt = map_arrow(nodes, run, "tree int, cell long, node long, vector array<double>")
-    sizes = dealt.groupBy("tree", "cell").agg(F.count(F.lit(1)).alias("size"))
-    # Leaves that the planes left large are dealt into parts of the wanted size.
-    parts = F.ceil(F.col("size") / (2 * graph.leaf))
-    return dealt.join(sizes, ["tree", "cell"]).withColumn(
-        "part", F.pmod(F.xxhash64("node", "tree"), parts)
-    ).drop("size")
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(_chunks(batches), ["tree", "cell", "part"]):
+            starts = run_starts(rows["tree"], rows["cell"], rows["part"]).tolist()
+            found = []
+            for start, end in zip(starts, [*starts[1:], len(rows["node"])]):
+                most = min(graph.degree, end - start - 1)
+                if most < 1:
+                    continue
+                names, squares = rows["node"][start:end], _squares(rows["packed"][start:end])
+                near = np.argpartition(squares, most - 1, axis=1)[:, :most]
+                distance = np.sqrt(np.take_along_axis(squares, near, axis=1)).ravel()
+                found.append((np.repeat(names, most), names[near].ravel(), distance))
+            yield from _edges_of(found)
+
+    dealt = map_arrow(packed, deal, f"tree int, cell long, {_PACKED}")
+    sizes = dealt.groupBy("tree", "cell").agg(F.ceil(F.count(F.lit(1)) / (2 * graph.leaf)).alias("parts"))
+    part = F.pmod(F.xxhash64("node", "tree"), F.col("parts"))
+    by = ["tree", "cell", "part"]
+    leaves = dealt.join(sizes, ["tree", "cell"]).withColumn("part", part).drop("parts")
+    return map_arrow(leaves.repartition(*by).sortWithinPartitions(*by), join, _EDGES)
 
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
-    """Each node's nearest edges; an edge counts once."""
-    once = edges.groupBy("node", "other").agg(F.min("distance").alias("distance"))
+    """Each node's nearest edges; an edge counts once, and as fresh only if it is new."""
+    once = edges.groupBy("node", "other").agg(F.min("distance").alias("distance"), F.min("fresh").alias("fresh"))
     line = Window.partitionBy("node").orderBy("distance", "other")
     return once.withColumn("rank", F.row_number().over(line)).filter(F.col("rank") <= degree).drop("rank")
 
 
-def build_graph(nodes: DataFrame, graph: Graph) -> DataFrame:
-    """Edges (node, other, distance) by NN-descent over distinct vectors (node, vector)."""
-    count, dimensions = nodes.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    if not count:
-        return nodes.sparkSession.createDataFrame([], _EDGES)
+def _joined(edges: DataFrame, packed: DataFrame, graph: Graph) -> DataFrame:
+    """Edges proposed by a round: each node's neighbours, forward and backward, meet.
+
+    Pairs of which neither was new in the round before have met already. A proposal has to
+    be nearer than the farthest edge its node keeps.
+    """
+    backward = edges.select(F.col("other").alias("node"), F.col("node").alias("other"), "distance", "fresh")
+    around = edges.unionByName(_best(backward, graph.degree))
+    around = around.groupBy("node", "other").agg(F.max("fresh").alias("fresh"))
+    kept = edges.groupBy("node").agg(F.count(F.lit(1)).alias("kept"), F.max("distance").alias("farthest"))
+    reach = F.when(F.col("kept") >= graph.degree, F.col("farthest")).otherwise(float("inf"))
+    others = packed.join(kept.select("node", reach.alias("reach")), "node", "left").select(
+        F.col("node").alias("other"), F.coalesce("reach", F.lit(float("inf"))).alias("reach"), "packed"
+    )
 
-    def leaf(rows: pd.DataFrame) -> pd.DataFrame:
-        return _nearest(rows.node.to_numpy(), _squares(_matrix(rows.vector)), graph.degree)
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(_chunks(batches), ["node"]):
+            starts = run_starts(rows["node"]).tolist()
+            found = []
+            for start, end in zip(starts, [*starts[1:], len(rows["node"])]):
+                fresh = rows["fresh"][start:end].astype(bool)
+                if end - start < 2 or not fresh.any():
+                    continue
+                squares = _squares(rows["packed"][start:end])
+                squares[np.ix_(~fresh, ~fresh)] = np.inf
+                distance = np.sqrt(squares)
+                left, right = np.nonzero(distance < rows["reach"][start:end, None])
+                names = rows["other"][start:end]
+                found.append((names[left], names[right], distance[left, right]))
+            yield from _edges_of(found)
 
-    leaves = _leaves(nodes, count, dimensions, graph)
-    edges = staged(_best(leaves.groupBy("tree", "cell", "part").applyInPandas(leaf, _EDGES), graph.degree), "graph")
+    together = around.join(others, "other").repartition("node").sortWithinPartitions("node")
+    return map_arrow(together, meet, _EDGES)
 
-    def local_join(rows: pd.DataFrame) -> pd.DataFrame:
-        """New edges among one node's neighbours: each proposes its nearest few to each."""
-        return _nearest(rows.other.to_numpy(), _squares(_matrix(rows.vector)), graph.degree // 2)
 
+def build_graph(nodes: DataFrame, graph: Graph) -> DataFrame:
+    """Edges (node, other, distance, fresh) by NN-descent over distinct vectors (node, vector).
+
+    Rounds go on until one changes less than `settled` of the edges, or `rounds` are done.
+    """
+    count, dimensions = nodes.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    if not count:
+        return nodes.sparkSession.createDataFrame([], f"{_EDGES}, fresh boolean")
+    packed = _packed(nodes)
+    first = _leaf_edges(packed, count, dimensions, graph).withColumn("fresh", F.lit(True))
+    edges = staged(_best(first, graph.degree), "graph")
     for _ in range(graph.rounds):
-        backward = edges.select(F.col("other").alias("node"), F.col("node").alias("other"), "distance")
-        around = edges.select("node", "other").unionByName(_best(backward, graph.degree).select("node", "other"))
-        around = around.distinct().join(nodes.withColumnRenamed("node", "other"), "other")
-        proposed = around.groupBy("node").applyInPandas(local_join, _EDGES)
-        edges = staged(_best(edges.unionByName(proposed), graph.degree), "graph")
+        proposed = _joined(edges, packed, graph).withColumn("fresh", F.lit(True))
+        edges = staged(
+            _best(edges.withColumn("fresh", F.lit(False)).unionByName(proposed), graph.degree), "graph"
+        )
+        changed = edges.agg(F.coalesce(F.avg(F.col("fresh").cast("int")), F.lit(0.0))).first()[0]
+        if changed < graph.settled:
+            break
     return edges
 
 
@@ -160,37 +220,32 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, most: int, gr
     nodes of all beams with the graph and the vectors they lead to, and keeps each query's
     `beam` nearest; it ends when no beam has an unexpanded node.
     """
-    links = edges.select("node", "other").unionByName(
-        edges.select(F.col("other").alias("node"), F.col("node").alias("other"))
-    )
-    links = staged(links.distinct(), "links")
-
-    def measured(pairs: DataFrame) -> DataFrame:
-        """Distances of (query, node) pairs."""
-        both = pairs.join(nodes, "node").join(
-            queries.select("query", F.col("vector").alias("wanted")), "query"
-        )
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
+    backward = edges.select(F.col("other").alias("node"), F.col("node").alias("other"))
+    links = staged(edges.select("node", "other").unionByName(backward).distinct(), "links")
+    wanted = queries.select("query", F.col("vector").alias("wanted"))
+    numbers, size = queries.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    if numbers * (8 * (size or 0) + 64) <= BROADCAST_BYTES:
+        wanted = F.broadcast(wanted)  # else both sides are shuffled
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
                 gap = _matrix(batch.column("vector")) - _matrix(batch.column("wanted"))
-                distance = np.sqrt((gap**2).sum(axis=1))
+                distance = pa.array(np.sqrt((gap**2).sum(axis=1)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("query"), batch.column("node"), pa.array(distance)], ["query", "node", "distance"]
+                    [batch.column("query"), batch.column("node"), distance], ["query", "node", "distance"]
                 )
 
-        return map_arrow(both, run, "query long, node long, distance double")
-
+    def measured(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(nodes, "node").join(wanted, "query")
+        return map_arrow(both, measure, "query long, node long, distance double")
+
+    by_hash = F.xxhash64(F.lit(graph.seed), "node")
+    spread = [row.node for row in nodes.select("node").orderBy(by_hash).limit(graph.entries).collect()]
+    starts = F.explode(F.array("start", *map(F.lit, spread)))
+    begin = queries.select("query", starts.alias("node")).distinct()
+    beam = staged(measured(begin).withColumn("expanded", F.lit(False)), "beam")
     line = Window.partitionBy("query").orderBy("distance", "node")
-    random_entries = F.xxhash64(F.lit(graph.seed), "node")
-    spread = nodes.select("node").orderBy(random_entries).limit(graph.entries)  # as many as `entries`
-    entries = queries.select("query").join(F.broadcast(spread.groupBy().agg(F.collect_list("node").alias("all"))))
-    begin = entries.select("query", F.explode("all").alias("node")).unionByName(
-        queries.select("query", F.col("start").alias("node"))
-    )
-    beam = staged(measured(begin.distinct()).withColumn("expanded", F.lit(False)), "beam")
     for _ in range(graph.steps):
         fresh = beam.filter("NOT expanded").select("query", "node")
         if not fresh.take(1):

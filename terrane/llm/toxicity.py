@@ -14,8 +14,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm.common import documents_of, map_arrow, staged, text_bytes
+from terrane.llm.common import batch_rows, documents_of, map_arrow, staged, text_bytes
 
+BATCH_BYTES = 4 << 20
 BUCKETS = 1 << 20
 STEMS = (4, 5, 6)  # bytes of a word's beginning that count as features beside the word
 
@@ -31,11 +32,12 @@ class Learning:
     positives: int = 2_000
     unlabelled: int = 6_000
     least_texts: int = 4
-    least_deviations: float = 4.0
+    least_deviations: float = 3.5
     epochs: int = 30
     batch: int = 500
-    rate: float = 0.3
+    rate: float = 0.5
     sparsity: float = 1e-3
+    missed: float = 0.02
     give_back: float = 1.0  # the step back when the unlabelled risk falls below zero
     seed: int = 1
 
@@ -147,28 +149,31 @@ def fit_member(
             bias_slope = p_slope.sum() + u_slope.sum()
             bias_squares += bias_slope**2
             bias -= learning.rate * bias_slope / np.sqrt(bias_squares)
+    # Shrinkage draws scores to the prior. One half is moved down to where all but `missed` of
+    # the confirmed texts reach it, unless a good deal more unlabelled ones would than the prior.
+    low = np.quantile(p_rows.scores(weights, bias), learning.missed)
+    most = np.quantile(u_rows.scores(weights, bias), 1 - min(1.0, 1.1 * prior + 0.01))
+    bias -= min(0.0, max(low, most))
     kept = weights != 0
     return used[kept], weights[kept], float(bias)
 
 
 def _sample(docs: DataFrame, labels: DataFrame, learning: Learning) -> DataFrame:
     """(member, toxic, features): the texts each member learns from."""
-    order = lambda: F.xxhash64(F.lit(learning.seed), "doc_id")
+    order = lambda salt: F.xxhash64(F.lit(learning.seed + salt), "doc_id")
     known = labels.select(F.col("doc_id").cast("long"), "toxic").filter(~held_out(F.col("doc_id")))
     toxic = known.filter("toxic = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    picked_toxic = toxic.orderBy(order()).limit(learning.members * learning.positives)
+    picked_toxic = toxic.orderBy(order(1)).limit(learning.members * learning.positives)
+    # The unlabelled texts are drawn from all, confirmed ones too: the prior is theirs.
     others = docs.select("doc_id").filter("doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
-    # More ids than are wanted are drawn, as the toxic ones among them are then left out.
-    drawn = others.distinct().orderBy(order()).limit(learning.members * (learning.unlabelled + learning.positives))
-    drawn = drawn.join(toxic, "doc_id", "left_anti").orderBy(order())
-    drawn = drawn.limit(learning.members * learning.unlabelled)
+    drawn = others.distinct().orderBy(order(2)).limit(learning.members * learning.unlabelled)
     ids = picked_toxic.withColumn("toxic", F.lit(1)).unionByName(drawn.withColumn("toxic", F.lit(0)))
     ids = staged(ids, "toxicity-sample")  # bounded by the parameters, so it may be broadcast
     texts = docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id", "toxic"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
-        for batch in batches:
+        for batch in batch_rows(batches, BATCH_BYTES):
             packed = [
                 np.array(sorted(features.of(raw)), "<u4").tobytes() for raw in text_bytes(batch.column("text"))
             ]
@@ -176,7 +181,7 @@ def _sample(docs: DataFrame, labels: DataFrame, learning: Learning) -> DataFrame
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "features"])
 
     found = map_arrow(texts.select("doc_id", "toxic", "text"), run, "doc_id long, toxic int, features binary")
-    member = F.pmod(F.xxhash64(F.lit(learning.seed + 1), "doc_id"), F.lit(learning.members)).cast("int")
+    member = F.pmod(F.xxhash64(F.lit(learning.seed), "doc_id"), F.lit(learning.members)).cast("int")
     return found.withColumn("member", member)
 
 
@@ -266,7 +271,7 @@ def score_toxicity(docs: DataFrame, model: Toxicity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(known.value)
-        for batch in batches:
+        for batch in batch_rows(batches, BATCH_BYTES):
             scores = [scorer(raw) for raw in text_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
@@ -282,7 +287,7 @@ def drop_toxic(docs: DataFrame, model: Toxicity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(known.value)
-        for batch in batches:
+        for batch in batch_rows(batches, BATCH_BYTES):
             clean = [scorer(raw) < 0.5 for raw in text_bytes(batch.column("text"))]
             yield pc.filter(batch, pa.array(clean, pa.bool_()))
 
