@@ -150,8 +150,8 @@ def fit_member(
             bias_squares += bias_slope**2
             bias -= learning.rate * bias_slope / np.sqrt(bias_squares)
     # Shrinkage draws scores to the prior. One half is moved down to where all but `missed` of
-    # the confirmed texts reach it, unless a good deal more unlabelled ones would than the prior.
-    low = np.quantile(p_rows.scores(weights, bias), learning.missed)
+    # the confirmed texts reach it (of few texts more may miss it), unless a good deal more unlabelled ones would than the prior.
+    low = np.quantile(p_rows.scores(weights, bias), max(learning.missed, n_p**-0.5))
     most = np.quantile(u_rows.scores(weights, bias), 1 - min(1.0, 1.1 * prior + 0.01))
     bias -= min(0.0, max(low, most))
     kept = weights != 0
