@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from terrane.operators.sampling import latest
 from terrane.operators.upkeep import compact
-from terrane.sources.tables import is_table, live_segments, read_table, small_frame, write_table
+from terrane.sources.tables import is_table, live_paths, read_table, small_frame, write_table
 
 _MAX_SEGMENTS = 100
 RUNNING, FINISHED, FAILED = "RUNNING", "FINISHED", "FAILED"
@@ -79,7 +79,7 @@ class RunLog:
     def tidy(self) -> None:
         """Every run adds a few tiny files; merge them now and then."""
         for name in ("runs", "run_params", "run_metrics"):
-            if len(live_segments(self.spark, self.table(name))) > _MAX_SEGMENTS:
+            if len(live_paths(self.spark, self.table(name))) > _MAX_SEGMENTS:
                 compact(self.spark, self.table(name))
 
 

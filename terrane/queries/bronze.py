@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.functions.columns import INGESTED_AT, LINEAGE, SOURCE_FILE
+from terrane.functions.columns import INGESTED_AT, SOURCE_FILE
+from terrane.operators.upkeep import compact
 from terrane.plans.layers import run_bronze
 from terrane.plans.spec import BronzeSpec
 from terrane.queries.registry import query, table
 from terrane.session import scratch_path
+from terrane.sources import paths
 from terrane.sources.landing import read_landing, with_lineage
-from terrane.sources.tables import read_table, write_table
+from terrane.sources.tables import batch_name, read_table, write_table
 from terrane.streaming.ingest import ingest_stream
 
-LANDED_FILES = 8
+LANDED_ROWS = 1_000_000
 
 
 def land(df: DataFrame, path: str, file_format: str) -> None:
-    """Drop rows into a landing folder as several files."""
-    files = df.repartition(LANDED_FILES).write.mode("append").format(file_format)
-    files.option("header", True).save(path)
+    """Drop rows into a landing folder, in as many files as they fill."""
+    files = df.write.mode("append").format(file_format)
+    files.option("maxRecordsPerFile", LANDED_ROWS).option("header", True).save(path)
 
 
 @query("scan_csv", "SELECT * FROM lineitem")
@@ -114,25 +116,62 @@ def bronze_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back[0].unionByName(read_back[1]).unionByName(read_back[2])
 
 
-@query("bronze_stream", "SELECT * FROM orders")
+@query(
+    "bronze_stream",
+    """SELECT 'table' AS part, o_orderkey AS key FROM orders
+       UNION ALL SELECT 'table', o_orderkey + 1000000000 FROM orders WHERE o_orderstatus = 'F'
+       UNION ALL SELECT 'table', o_orderkey + 2000000000 FROM orders WHERE o_orderstatus = 'F'
+       UNION ALL SELECT 'archived rows',
+                        (SELECT count(*) FROM orders)
+                        + 2 * (SELECT count(*) FROM orders WHERE o_orderstatus = 'F')
+       UNION ALL SELECT 'left in the landing', 0""",
+)
 def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Swept in batches with an archive; the second sweep finds only what landed since."""
-    source = table(spark, sf_dir, "orders")
+    """Sweeps with an archive: new files, then one file name twice with different rows.
+
+    The archive holds every row that was landed, and nothing stays behind.
+    """
+    source = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long"), "o_orderstatus")
     root = scratch_path(spark, "stream")
-    sweep = {
-        "file_format": "csv",
-        "file_pattern": "*.csv",
-        "options": {"header": True},
-        "schema": source.schema,
-        "archive_path": f"{root}/archive",
-        "max_files_per_batch": 8,
-    }
-    landing, bronze = f"{root}/landing", f"{root}/bronze"
-    early = F.col("o_orderdate") < "1996-01-01"
-    for part in (source.filter(early), source.filter(~early)):
-        land(part, landing, "csv")
+    landing, bronze, archive = f"{root}/landing", f"{root}/bronze", f"{root}/archive"
+    csv = {"file_format": "csv", "options": {"header": True}, "schema": source.schema}
+    sweep = {**csv, "file_pattern": "*", "archive_path": archive, "max_files_per_batch": 8}
+    early = F.col("o_orderkey") % 3 == 0
+    finished = source.filter("o_orderstatus = 'F'")
+    for shift, name, rows in (
+        (0, "day1", source.filter(early)),
+        (0, "day2", source.filter(~early)),
+        (1_000_000_000, "export", finished),
+        (2_000_000_000, "export", finished),
+    ):
+        shifted = rows.withColumn("o_orderkey", F.col("o_orderkey") + shift)
+        land(shifted, f"{landing}/{name}", "csv")
         ingest_stream(spark, landing, bronze, **sweep)
-    return read_table(spark, bronze).drop(*LINEAGE)
+    archived = spark.read.schema(source.schema).csv(archive, header=True)
+    left = paths.matching_files(spark, f"{landing}/*")
+    rows = read_table(spark, bronze).select(F.lit("table").alias("part"), F.col("o_orderkey").alias("key"))
+    counted = archived.agg(F.lit("archived rows").alias("part"), F.count(F.lit(1)).alias("key"))
+    behind = spark.range(1).select(F.lit("left in the landing").alias("part"), F.lit(len(left)).alias("key"))
+    return rows.unionByName(counted).unionByName(behind)
+
+
+@query(
+    "sink_append_compact",
+    "SELECT o_orderkey, o_totalprice FROM orders",
+)
+def sink_append_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends, a packing, a further append, and a repeated batch: every row once."""
+    source = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    target = scratch_path(spark, "append-compact")
+    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(4))
+    batch = batch_name("stream", 0)
+    write_table(source.filter(part == 0), target, "append", segment=batch)
+    write_table(source.filter(part == 1), target, "append")
+    write_table(source.filter(part == 2), target, "append")
+    compact(spark, target)
+    write_table(source.filter(part == 3), target, "append")
+    write_table(source.filter(part == 0), target, "append", segment=batch)
+    return read_table(spark, target)
 
 
 @query("sink_append", "SELECT * FROM lineitem")

@@ -10,15 +10,19 @@ from terrane.operators.upkeep import compact, maintain, stale_files
 from terrane.plans.job import run
 from terrane.queries.bronze import land
 from terrane.queries.registry import query, table
-from terrane.session import scratch_path
+from terrane.session import scratch_path, settings
 from terrane.sources.tables import read_table, write_table
 
+# Rows a file: many files, whose number follows the table.
+SHORT_FILES = {"spark.sql.files.maxRecordsPerFile": "5000"}
+
 
 @query("maintain_compact", "SELECT * FROM lineitem")
 def maintain_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of many small files keeps its rows when packed."""
     target = scratch_path(spark, "compact")
-    write_table(table(spark, sf_dir, "lineitem").repartition(16), target)
+    with settings(spark, SHORT_FILES):
+        write_table(table(spark, sf_dir, "lineitem"), target)
     compact(spark, target)
     return read_table(spark, target)
 
@@ -45,7 +49,8 @@ def maintenance_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "status")
     names = ["orders", "customer"]
     for name in names:
-        write_table(table(spark, sf_dir, name).repartition(4), f"{root}/{name}")
+        with settings(spark, SHORT_FILES):
+            write_table(table(spark, sf_dir, name), f"{root}/{name}")
     status = maintain(spark, [f"{root}/{n}" for n in [*names, "absent"]], 0)
     counts = [
         read_table(spark, f"{root}/{name}").agg(

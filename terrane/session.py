@@ -44,13 +44,8 @@ def lenient_sql(spark: SparkSession) -> Iterator[None]:
     The mode is fixed while a DataFrame is *built*, so both the expression and the
     ``filter``/``withColumn`` that uses it belong inside the block.
     """
-    key = "spark.sql.ansi.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
+    with settings(spark, {"spark.sql.ansi.enabled": "false"}):
         yield
-    finally:
-        spark.conf.set(key, before)
 
 
 def shared_root(spark: SparkSession) -> str:

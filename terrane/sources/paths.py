@@ -22,6 +22,42 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(handle) if s.isDirectory())
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right inside a folder, without hidden ones and markers."""
+    fs, handle = _locate(spark, path)
+    listed = (s.getPath().getName() for s in fs.listStatus(handle) if s.isFile())
+    return sorted(name for name in listed if not name.startswith((".", "_")))
+
+
+def matching_files(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:
+    """(path, modification time in ms, length) of visible files that match, or lie in a
+    folder that matches."""
+    fs, handle = _locate(spark, pattern)
+    found = []
+
+    def visible(path) -> bool:
+        return not path.getName().startswith((".", "_"))
+
+    for status in fs.globStatus(handle) or ():
+        if not visible(status.getPath()):
+            continue
+        inside = fs.listFiles(status.getPath(), True)
+        while inside.hasNext():
+            file = inside.next()
+            if visible(file.getPath()):
+                found.append((file.getPath().toString(), file.getModificationTime(), file.getLen()))
+    return sorted(found)
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Move within one store; the target's folder is made, an existing target is an error."""
+    fs, handle = _locate(spark, path)
+    _, goal = _locate(spark, target)
+    fs.mkdirs(goal.getParent())
+    if fs.exists(goal) or not fs.rename(handle, goal):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def matches_any(spark: SparkSession, pattern: str) -> bool:
     fs, handle = _locate(spark, pattern)
     found = fs.globStatus(handle)

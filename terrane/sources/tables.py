@@ -5,7 +5,11 @@ as one new segment; an append adds a segment to the newest version. Spark's own
 ``_SUCCESS`` marker makes a segment visible, so a job that dies half-way leaves nothing
 readable, and re-running a named segment replaces it. ``v=<n>/_schema.json`` holds the
 columns of the version, so neither a read nor an append has to look into file footers.
-One writer per table is assumed.
+
+Packing small files adds a segment too; ``v=<n>/_packs/<segment>.json`` names the files it
+stands for, which count no more once it is visible. So appends and packing may overlap: an
+append never lands in a version that packing leaves behind. An append that finds itself
+behind an overwrite moves its segment into the newer version.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from terrane.session import estimated_bytes, scratch_path
 from terrane.sources import paths
 
 BATCH = "batch-"
+PACKED = "packed-"
 # Catalyst's stand-in for "no idea" is the largest long; no real table comes near this.
 _UNKNOWN_BYTES = 2**60
 _VERSION = re.compile(r"^v=(\d+)$")
@@ -60,6 +65,35 @@ def live_segments(spark: SparkSession, table: str) -> list[str]:
     return []
 
 
+def packs(spark: SparkSession, segments: Sequence[str]) -> dict[str, dict]:
+    """What each visible packed segment of a version stands for."""
+    found = {}
+    for segment in segments:
+        root, _, name = segment.rpartition("/")
+        if name.startswith(PACKED):
+            found[segment] = json.loads(paths.read_text(spark, f"{root}/_packs/{name}.json") or "{}")
+    return found
+
+
+def live_paths(spark: SparkSession, table: str) -> list[str]:
+    """Folders of whole segments, and files of segments of which a part has been packed."""
+    segments = live_segments(spark, table)
+    replaced: dict[str, set[str]] = {}
+    for pack in packs(spark, segments).values():
+        for file in pack.get("files", ()):
+            segment, _, name = file.rpartition("/")
+            replaced.setdefault(segment, set()).add(name)
+    live = []
+    for segment in segments:
+        gone = replaced.get(segment.rsplit("/", 1)[1])
+        if gone is None:
+            live.append(segment)
+        else:
+            names = paths.data_files(spark, segment)
+            live += [f"{segment}/{name}" for name in names if name not in gone]
+    return live
+
+
 def is_table(spark: SparkSession, table: str) -> bool:
     if "/" not in table and spark.catalog.tableExists(table):
         return True
@@ -72,24 +106,24 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     """Newest complete version of a table, a catalog table, or a plain Parquet path."""
     if "/" not in table and spark.catalog.tableExists(table):
         return spark.table(table)
-    segments = live_segments(spark, table)
-    if segments:
-        return _read_segments(spark, segments)
+    live = live_paths(spark, table)
+    if live:
+        return _read_paths(spark, live, _version_of(live_segments(spark, table)[0]))
     if paths.exists(spark, f"{table}/_delta_log"):
         return spark.read.format("delta").load(table)
     return spark.read.parquet(table)
 
 
-def _recorded_schema(spark: SparkSession, segments: Sequence[str]) -> T.StructType | None:
-    text = paths.read_text(spark, f"{_version_of(segments[0])}/_schema.json")
+def _recorded_schema(spark: SparkSession, version: str) -> T.StructType | None:
+    text = paths.read_text(spark, f"{version}/_schema.json")
     return None if text is None else T.StructType.fromJson(json.loads(text))
 
 
-def _read_segments(spark: SparkSession, segments: Sequence[str]) -> DataFrame:
-    schema = _recorded_schema(spark, segments)
+def _read_paths(spark: SparkSession, live: Sequence[str], version: str) -> DataFrame:
+    schema = _recorded_schema(spark, version)
     if schema is None:
-        return spark.read.option("mergeSchema", "true").parquet(*segments)
-    return spark.read.schema(schema).parquet(*segments)
+        return spark.read.option("mergeSchema", "true").parquet(*live)
+    return spark.read.schema(schema).parquet(*live)
 
 
 def table_bytes(spark: SparkSession, table: str) -> int:
@@ -97,8 +131,7 @@ def table_bytes(spark: SparkSession, table: str) -> int:
     if "/" not in table and spark.catalog.tableExists(table):
         estimate = estimated_bytes(spark.table(table))
         return estimate if estimate < _UNKNOWN_BYTES else 0
-    segments = live_segments(spark, table) or [table]
-    return sum(paths.total_bytes(spark, segment) for segment in segments)
+    return sum(paths.total_bytes(spark, path) for path in live_paths(spark, table) or [table])
 
 
 def merge_schemas(existing: T.StructType, incoming: T.StructType) -> T.StructType:
@@ -162,29 +195,59 @@ def write_table(
         live = live_segments(spark, table)
         if live:
             root = _version_of(live[0])
-            known = _recorded_schema(spark, live) or _read_segments(spark, live).schema
-            schema = merge_schemas(known, schema)
-            if segment and _merged(spark, root).get(_stem(segment), "") >= segment:
+            schema = merge_schemas(_known_schema(spark, table, root), schema)
+            if segment and _merged(spark, live).get(_stem(segment), "") >= segment:
                 return 0
         elif not _versions(spark, table) and paths.matches_any(spark, f"{table}/*"):
             raise ValueError(f"{table} already holds files that are not a versioned table")
         segment = segment or f"append-{uuid.uuid4().hex}"
     # Before the rows: a column nobody has filled yet is harmless, a hidden one is not.
     paths.write_text(spark, f"{root}/_schema.json", schema.json())
-    return write_counted(df, f"{root}/{segment or 'base'}")
+    written = write_counted(df, f"{root}/{segment or 'base'}")
+    if mode == "append":
+        _keep_up(spark, table, root, segment, schema)
+    return written
+
 
+def _known_schema(spark: SparkSession, table: str, version: str) -> T.StructType:
+    known = _recorded_schema(spark, version)
+    return known or _read_paths(spark, live_paths(spark, table), version).schema
 
-def rewrite_table(spark: SparkSession, table: str) -> int:
-    """Copy the live rows into a new version of one segment."""
+
+def _keep_up(
+    spark: SparkSession, table: str, root: str, segment: str, schema: T.StructType
+) -> None:
+    """Move a finished append into the newest version, if an overwrite was published meanwhile.
+
+    Whoever finds the segment behind the newest version after it became visible moves it, so
+    rows that were reported as written are never left behind.
+    """
+    while True:
+        newest = _version_of(live_segments(spark, table)[0])
+        if newest == root:
+            return
+        merged = merge_schemas(_known_schema(spark, table, newest), schema)
+        paths.write_text(spark, f"{newest}/_schema.json", merged.json())
+        paths.rename(spark, f"{root}/{segment}", f"{newest}/{segment}")
+        root = newest
+
+
+def pack_files(spark: SparkSession, table: str, files: Sequence[str]) -> int:
+    """Write the rows of the given live files as one new segment that stands for them."""
     live = live_segments(spark, table)
-    rows, root = _read_segments(spark, live), _next_version(spark, table)
-    merged = _merged(spark, _version_of(live[0]))
-    for name in sorted(path.rsplit("/", 1)[1] for path in live):
+    root = _version_of(live[0])
+    relative = [file[file.rindex("/v=") :].split("/", 2)[2] for file in files]
+    names = {file.split("/", 1)[0] for file in relative}
+    known = packs(spark, live)
+    merged = _merged(spark, live)
+    for name in sorted(names):
         if name.startswith(BATCH):
-            merged[_stem(name)] = name
-    paths.write_text(spark, f"{root}/_schema.json", rows.schema.json())
-    paths.write_text(spark, f"{root}/_merged.json", json.dumps(merged))
-    return write_counted(rows, f"{root}/base")
+            merged[_stem(name)] = max(name, merged.get(_stem(name), ""))
+    name = f"{PACKED}{uuid.uuid4().hex}"
+    kept = [file for pack in known.values() for file in pack.get("files", ())]
+    pack = {"files": sorted({*kept, *relative}), "merged": merged}
+    paths.write_text(spark, f"{root}/_packs/{name}.json", json.dumps(pack))
+    return write_counted(_read_paths(spark, files, root), f"{root}/{name}")
 
 
 def _next_version(spark: SparkSession, table: str) -> str:
@@ -204,9 +267,13 @@ def _stem(segment: str) -> str:
     return segment.rpartition("-")[0]
 
 
-def _merged(spark: SparkSession, version: str) -> dict[str, str]:
-    """Newest batch of each stream whose rows a rewrite has put into this version."""
-    return json.loads(paths.read_text(spark, f"{version}/_merged.json") or "{}")
+def _merged(spark: SparkSession, segments: Sequence[str]) -> dict[str, str]:
+    """Newest batch of each stream of which packing has taken files."""
+    newest: dict[str, str] = {}
+    for pack in packs(spark, segments).values():
+        for stem, name in pack.get("merged", {}).items():
+            newest[stem] = max(name, newest.get(stem, ""))
+    return newest
 
 
 def write_counted(df: DataFrame, path: str) -> int:

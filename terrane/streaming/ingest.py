@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
+import time
+import uuid
 from collections.abc import Callable, Mapping
 from typing import Any
 
@@ -10,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from terrane.sources import paths
-from terrane.sources.landing import read_landing, reader_options, with_lineage
+from terrane.sources.landing import reader_options, with_lineage
 from terrane.sources.tables import batch_name, write_table
 
+ANY_AGE = "36500d"
+
 
 def landing_stream(
     spark: SparkSession,
@@ -27,9 +32,12 @@ def landing_stream(
 ) -> DataFrame:
     """New files of a landing folder as a stream; consumed ones move to the archive.
 
-    A file is archived, under its own path, once a *later* batch completes.
+    A file is archived, under its own path, once a *later* batch completes. Spark's file
+    source knows a file by its path alone: one that lands again under a known path is not
+    read. ``ingest_stream`` has no such limit.
     """
     reader = spark.readStream.format(file_format).schema(schema).options(**reader_options(options))
+    reader = reader.option("maxFileAge", ANY_AGE)  # else files a week older than the newest are lost
     if archive_path:
         reader = reader.option("cleanSource", "archive")
         reader = reader.option("sourceArchiveDir", paths.qualified(spark, archive_path))
@@ -77,27 +85,100 @@ def ingest_stream(
 ) -> int:
     """Write all files not ingested before; returns the rows written.
 
-    In ``overwrite`` mode the sweep replaces the table, so it is taken as one batch.
+    A file is known by path, modification time and length, so one that lands again under an
+    old name, or with an old date, is ingested like any other. Each batch is first recorded
+    with its files, then written under a name of its own, then marked as done, then archived:
+    a sweep that finds a batch undone repeats just that batch, whose segment replaces the
+    first attempt. With an archive, files move there under a name that begins with the time,
+    as soon as their batch is done. In ``overwrite`` mode a sweep replaces the table, so it is
+    taken as one batch.
     """
-    landed = {"file_format": file_format, "file_pattern": file_pattern, "options": options}
-    if schema is None:
-        first_look = read_landing(spark, landing_path, **landed)
-        if first_look is None:
-            return 0
-        schema = first_look.schema
-    stream = landing_stream(
-        spark,
-        landing_path,
-        schema,
-        archive_path=archive_path,
-        max_files_per_batch=max_files_per_batch if write_mode == "append" else None,
-        **landed,
-    )
-    written: list[int] = []
-
-    def add(batch: DataFrame, name: str) -> None:
+    ledger = Ledger(spark, checkpoint or f"{table}/_ingest")
+    pattern = f"{landing_path.rstrip('/')}/{file_pattern}"
+    if archive_path:
+        ledger.archive(archive_path)
+    undone, known = ledger.state()
+    found = [file for file in paths.matching_files(spark, pattern) if file not in known]
+    found.sort(key=lambda file: (file[1], file[0]))
+    size = max_files_per_batch if max_files_per_batch and write_mode == "append" else len(found)
+    batches = [ledger.plan(found[k : k + size]) for k in range(0, len(found), size or 1)]
+    written = 0
+    for number, files in undone + batches:
         mode = "append" if written else write_mode
-        written.append(write_table(batch, table, mode, segment=name))
+        read = read_files(spark, [file[0] for file in files], file_format, options, schema)
+        written += write_table(with_lineage(read), table, mode, segment=ledger.segment(number))
+        ledger.done(number)
+        if archive_path:
+            ledger.archive(archive_path)
+    return written
+
 
-    run_available(with_lineage(stream), checkpoint or f"{table}/_ingest", add)
-    return sum(written)
+class Ledger:
+    """What a sweep has taken: `<n>.json` lists the files of batch n, `<n>.done` ends it.
+
+    Once a batch is archived its list is emptied, so what is kept grows only with the files
+    that stay in the landing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        if not paths.exists(spark, f"{root}/id"):
+            paths.write_text(spark, f"{root}/id", uuid.uuid4().hex)
+        self.identity = paths.read_text(spark, f"{root}/id")
+        names = set(paths.data_files(spark, root))
+        self.batches = {
+            int(name[:-5]): [tuple(file) for file in json.loads(paths.read_text(spark, f"{root}/{name}"))]
+            for name in names
+            if name.endswith(".json")
+        }
+        self.finished = {int(name[:-5]) for name in names if name.endswith(".done")}
+
+    def state(self) -> tuple[list[tuple[int, list[tuple]]], set[tuple]]:
+        """Batches to repeat, and all files that some batch has."""
+        undone = [(n, files) for n, files in sorted(self.batches.items()) if n not in self.finished]
+        return undone, {file for files in self.batches.values() for file in files}
+
+    def plan(self, files: list[tuple]) -> tuple[int, list[tuple]]:
+        number = max(self.batches, default=-1) + 1
+        self.batches[number] = files
+        paths.write_text(self.spark, f"{self.root}/{number}.json", json.dumps(files))
+        return number, files
+
+    def segment(self, number: int) -> str:
+        return batch_name(self.identity, number)
+
+    def done(self, number: int) -> None:
+        paths.write_text(self.spark, f"{self.root}/{number}.done", "")
+        self.finished.add(number)
+
+    def archive(self, folder: str) -> None:
+        """Move the files of finished batches, where they are still as they were read."""
+        for number in sorted(self.finished):
+            files = self.batches.get(number)
+            if not files:
+                continue
+            stamp = time.strftime("%Y%m%dT%H%M%S", time.gmtime())
+            for k, (path, modified, length) in enumerate(files):
+                if (path, modified, length) in paths.matching_files(self.spark, escaped(path)):
+                    name = f"{stamp}-{number:06d}-{k:06d}-{path.rsplit('/', 1)[1]}"
+                    paths.rename(self.spark, path, f"{folder.rstrip('/')}/{name}")
+            self.batches[number] = []
+            paths.write_text(self.spark, f"{self.root}/{number}.json", "[]")
+
+
+def escaped(path: str) -> str:
+    """A path as a pattern that only it matches."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def read_files(
+    spark: SparkSession,
+    files: list[str],
+    file_format: str,
+    options: Mapping[str, Any] | None,
+    schema: T.StructType | str | None,
+) -> DataFrame:
+    reader = spark.read.format(file_format).options(**reader_options(options))
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load([escaped(file) for file in files])

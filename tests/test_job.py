@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import json
 
 import pytest
@@ -10,7 +11,7 @@ from terrane.operators.runlog import latest_run, latest_run_id, of_latest_run
 from terrane.operators.upkeep import (
     compact,
     maintain,
-    needs_compaction,
+    small_files,
     remove_stale,
     stale_files,
     stale_segments,
@@ -194,11 +195,62 @@ def test_compaction_keeps_rows_and_skips_packed_tables(spark):
     assert compact(spark, table)
     assert sorted(map(str, read_table(spark, table).collect())) == before
     assert len(read_table(spark, table).inputFiles()) == 1
-    assert not needs_compaction(spark, table, 1 << 28) and not compact(spark, table)
+    assert not small_files(spark, table, 1 << 28) and not compact(spark, table)
     plan = spark.conf.get("spark.sql.files.maxPartitionBytes")
     assert plan != str(256 * 1024 * 1024)
 
 
+def test_only_small_files_are_packed(spark):
+    table = scratch_path(spark, "mixed")
+    write_table(spark.range(0, 200_000, 1, 3), table, "append")
+    before = {name: os.stat(name).st_mtime_ns for name in files_of(spark, table)}
+    target = min(os.stat(name).st_size for name in before)
+    for n in range(8):
+        write_table(spark.range(n, n + 1, 1, 1), table, "append")
+    rows = sorted(r.id for r in read_table(spark, table).collect())
+    assert compact(spark, table, target) and not compact(spark, table, target)
+    after = files_of(spark, table)
+    assert len(after) == 4 and set(before) < set(after)
+    assert all(os.stat(name).st_mtime_ns == changed for name, changed in before.items())
+    assert sorted(r.id for r in read_table(spark, table).collect()) == rows
+    assert stale_files(spark, table, 168).count() == 0
+    assert remove_stale(spark, table, 0) == 8
+    assert sorted(r.id for r in read_table(spark, table).collect()) == rows
+
+
+def files_of(spark, table):
+    return [name.removeprefix("file://") for name in read_table(spark, table).inputFiles()]
+
+
+def test_appends_during_packing_and_overwrites_are_kept(spark, monkeypatch):
+    from terrane.sources import tables
+
+    table = scratch_path(spark, "race")
+    for n in range(4):
+        write_table(spark.range(n, n + 1), table, "append")
+    real = tables.write_counted
+
+    def while_writing(action):
+        def write(df, path):
+            monkeypatch.setattr(tables, "write_counted", real)
+            action()
+            return real(df, path)
+
+        monkeypatch.setattr(tables, "write_counted", write)
+
+    # An append becomes visible while files are packed, and the other way round.
+    while_writing(lambda: write_table(spark.range(10, 12), table, "append"))
+    assert compact(spark, table)
+    assert sorted(r.id for r in read_table(spark, table).collect()) == [0, 1, 2, 3, 10, 11]
+    while_writing(lambda: compact(spark, table))
+    assert write_table(spark.range(20, 21), table, "append") == 1
+    assert sorted(r.id for r in read_table(spark, table).collect()) == [0, 1, 2, 3, 10, 11, 20]
+    # An overwrite is published while rows with a further column are appended.
+    while_writing(lambda: write_table(spark.range(30, 31), table))
+    assert write_table(spark.sql("SELECT 40L AS id, 'x' AS more"), table, "append") == 1
+    assert sorted(map(tuple, read_table(spark, table).collect())) == [(30, None), (40, "x")]
+
+
 def test_stale_files_wait_for_the_retention(spark):
     table = scratch_path(spark, "stale")
     for n in (3, 2, 1):
@@ -268,7 +320,7 @@ def test_run_tables_are_merged_now_and_then(spark, monkeypatch):
     for status in ("RUNNING", "FAILED", "RUNNING", "FINISHED"):
         log.status(status)
     log.tidy()
-    assert len(live_segments(spark, log.table("runs"))) == 1
+    assert len(read_table(spark, log.table("runs")).inputFiles()) == 1
     assert read_table(spark, log.table("runs")).count() == 4
 
 

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import os
+import time
 
 import pytest
 
 from terrane.operators.rules import Rule
+from terrane.operators.upkeep import compact
 from terrane.plans.layers import run_bronze
 from terrane.plans.spec import BronzeSpec
 from terrane.session import scratch_path
@@ -14,7 +16,6 @@ from terrane.sources.tables import (
     batch_name,
     is_table,
     read_table,
-    rewrite_table,
     write_table,
 )
 from terrane.streaming.ingest import ingest_stream, landing_stream
@@ -108,7 +109,7 @@ def test_a_sweep_ingests_each_file_once_and_archives_behind_itself(spark, landin
     assert run_bronze(spark, [spec]) == 1
     assert sorted(r.id for r in read_table(spark, table).collect()) == [1, 2, 3, 4]
     moved = {name for _, _, names in os.walk(archive) for name in names if name.endswith(".csv")}
-    assert "a.csv" in moved and "a.csv" not in os.listdir(landing)
+    assert len(moved) == 3 and not os.listdir(landing)
 
 
 def test_batch_and_stream_ingest_agree(spark, landing):
@@ -158,19 +159,91 @@ def test_a_failed_batch_is_not_written_twice(spark, landing, monkeypatch):
     assert read_table(spark, table).count() == 2
 
 
-def test_a_replayed_batch_is_known_after_a_rewrite(spark):
+def test_a_replayed_batch_is_known_after_packing(spark):
     table = scratch_path(spark, "bronze")
     for number in (0, 1):
         write_table(spark.range(3), table, "append", segment=batch_name("s-1", number))
-    assert rewrite_table(spark, table) == 6
+    assert compact(spark, table)
+    assert read_table(spark, table).count() == 6
     assert write_table(spark.range(3), table, "append", segment=batch_name("s-1", 1)) == 0
     assert write_table(spark.range(3), table, "append", segment=batch_name("s-1", 2)) == 3
     assert write_table(spark.range(3), table, "append", segment=batch_name("s-2", 0)) == 3
-    assert rewrite_table(spark, table) == 12
+    assert compact(spark, table)
     assert write_table(spark.range(3), table, "append", segment=batch_name("s-1", 1)) == 0
     assert read_table(spark, table).count() == 12
 
 
+def archived(spark, landing, tmp_path):
+    table, archive = scratch_path(spark, "bronze"), tmp_path / "archive"
+    return table, archive, csv_spec(landing, table, archive_path=str(archive), schema="id int")
+
+
+def test_a_name_that_lands_again_is_ingested_again(spark, landing, tmp_path):
+    table, archive, spec = archived(spark, landing, tmp_path)
+    for day in range(3):
+        put(landing, "orders.csv", f"id\n{day}1\n{day}2\n")
+        assert run_bronze(spark, [spec]) == 2
+        assert not os.listdir(landing)
+        assert run_bronze(spark, [spec]) == 0
+    assert sorted(r.id for r in read_table(spark, table).collect()) == [1, 2, 11, 12, 21, 22]
+    assert len([name for name in os.listdir(archive) if name.endswith("-orders.csv")]) == 3
+
+
+def test_a_name_overwritten_without_an_archive(spark, landing):
+    table = scratch_path(spark, "bronze")
+    sweep = {"file_format": "csv", "file_pattern": "*.csv", "options": {"header": True}, "schema": "id int"}
+    put(landing, "a[1],{x}.csv", "id\n1\n")
+    assert ingest_stream(spark, str(landing), table, **sweep) == 1
+    assert ingest_stream(spark, str(landing), table, **sweep) == 0
+    put(landing, "a[1],{x}.csv", "id\n2\n3\n")
+    assert ingest_stream(spark, str(landing), table, **sweep) == 2
+    assert read_table(spark, table).count() == 3
+
+
+def test_old_files_are_not_dropped(spark, landing, tmp_path):
+    table, _, spec = archived(spark, landing, tmp_path)
+    put(landing, "new.csv", "id\n1\n")
+    assert run_bronze(spark, [spec]) == 1
+    put(landing, "old.csv", "id\n2\n")
+    long_ago = time.time() - 30 * 86400
+    os.utime(landing / "old.csv", (long_ago, long_ago))
+    put(landing, "newer.csv", "id\n3\n")
+    assert run_bronze(spark, [spec]) == 2
+    assert sorted(r.id for r in read_table(spark, table).collect()) == [1, 2, 3]
+
+
+def test_a_sweep_that_died_is_taken_up(spark, landing, tmp_path, monkeypatch):
+    """Before the write, after it, and half-way through the archive."""
+    from terrane.streaming import ingest
+
+    table, archive, spec = archived(spark, landing, tmp_path)
+    real_write, real_rename = ingest.write_table, ingest.paths.rename
+
+    def die(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    def write_and_die(*args, **kwargs):
+        real_write(*args, **kwargs)
+        die()
+
+    for number, (target, name, replaced) in enumerate(
+        [
+            (ingest, "write_table", die),
+            (ingest, "write_table", write_and_die),
+            (ingest.paths, "rename", die),
+        ]
+    ):
+        put(landing, "a.csv", f"id\n{number}\n")
+        with monkeypatch.context() as patched:
+            patched.setattr(target, name, replaced)
+            with pytest.raises(RuntimeError, match="lost"):
+                run_bronze(spark, [spec])
+        run_bronze(spark, [spec])
+        assert sorted(r.id for r in read_table(spark, table).collect()) == list(range(number + 1))
+        assert not os.listdir(landing) and len(os.listdir(archive)) >= number + 1
+    assert real_write and real_rename
+
+
 def test_an_overwriting_sweep_holds_the_last_landing(spark, landing, tmp_path):
     table = scratch_path(spark, "bronze")
     spec = csv_spec(
