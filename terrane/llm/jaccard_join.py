@@ -6,10 +6,11 @@ global order that puts frequent shingles last. An inverted index of the prefixes
 by shingle and each list is walked in order of set size:
 
 1. Every set meets one leader, the smallest set of its size range in a list, the one it meets
-   most often. The exact overlaps with leaders link near copies in linear work.
-2. What these links connect is one component. The lists are walked again, and now only pairs
-   of different components matter. Lists are read in blocks; a block is skipped when the
-   sizes and positions in it leave no room for the overlap that is needed.
+   most often, and with it the leader's other followers. Sets that link to the leader are of
+   one component and need no answers of their own; the others are compared with all.
+2. The lists are walked again, and now only pairs of different components that did not meet
+   before matter. Lists are read in blocks; a block is skipped when the sizes and positions in
+   it leave no room for the overlap that is needed.
 3. A set linked to a leader is highly similar to it, so its overlap with another set follows
    from the leaders' overlap, up to the few elements by which it differs. Leaders' pairs are
    computed first; only pairs that these answers leave open are computed themselves.
@@ -48,6 +49,7 @@ from terrane.llm.components import connected
 WORDS = 5
 ELEMENT_BYTES = 6
 GUESTS = 2_000
+TOGETHER = 1_500_000  # elements of the sets that meet in one place
 BATCH_BYTES = 4 << 20
 
 
@@ -371,55 +373,70 @@ def _lists(postings: DataFrame, limits: Limits) -> DataFrame:
     return staged(map_arrow(ordered, run, schema), "shingle-lists")
 
 
-def _block_pairs(rows: dict[str, np.ndarray], block: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of the pairs of one list, ordered by size, that can still reach the threshold.
+def _block_pairs(rows: dict[str, np.ndarray], block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Indexes of the pairs of one list, ordered by size, that can still reach the threshold
+    and have not met at a leader.
 
     For a set and a block before it the most any of the block's sets could share with it is
     known from their largest rest behind the shingle; if that is less than the smallest set
     of the block needs, the block is skipped.
     """
-    size, rest, part = rows["size"].astype(np.int64), (rows["size"] - rows["position"]).astype(np.int64), rows["component"]
+    size = rows["size"].astype(np.int64)
+    rest, part = size - rows["position"], rows["component"]
+    name, leader, cell = rows["class"], rows["leader"], rows["cell"]
     n = len(size)
     begins = np.arange(0, n, block)
     most_rest = np.maximum.reduceat(rest, begins)
     least_size = size[begins]
     one_part = np.minimum.reduceat(part, begins) == np.maximum.reduceat(part, begins)
-    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for at, begin in enumerate(begins.tolist()):
-        end = min(begin + block, n)
+        y = np.arange(begin, min(begin + block, n))[None, :]
         near = int(np.searchsorted(size, -(-3 * size[begin] // 4))) // block
         for other in range(near, at + 1):
-            if one_part[at] and one_part[other] and part[begin] == part[begins[other]]:
+            low = int(begins[other])
+            if one_part[at] and one_part[other] and part[begin] == part[low]:
                 continue
             if min(most_rest[at], most_rest[other]) < needed(least_size[other], size[begin]):
                 continue
-            low, high = int(begins[other]), min(int(begins[other]) + block, n)
-            x, y = np.meshgrid(np.arange(low, high), np.arange(begin, end), indexing="ij")
+            x = np.arange(low, min(low + block, n))[:, None]
             ok = (x < y) & (part[x] != part[y]) & (4 * size[x] >= 3 * size[y])
             ok &= np.minimum(rest[x], rest[y]) >= needed(size[x], size[y])
-            left.append(x[ok])
-            right.append(y[ok])
-    return np.concatenate(left), np.concatenate(right)
+            ok &= (leader[x] != leader[y]) | (cell[x] != cell[y]) | (cell[x] < 0)
+            ok &= ((leader[x] != name[y]) | (cell[x] < 0)) & ((leader[y] != name[x]) | (cell[y] < 0))
+            if ok.any():
+                i, j = np.nonzero(ok)
+                yield i + low, j + begin
 
 
 def _open_pairs(lists: DataFrame, limits: Limits) -> DataFrame:
     """Distinct pairs (a, b) of classes of different components that their lists leave open."""
 
+    def distinct(held: list[np.ndarray]) -> np.ndarray:
+        pairs = np.concatenate(held)
+        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+        return pairs[run_starts(pairs[:, 0], pairs[:, 1])]
+
+    def batch_of(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for rows in runs(_columns(batches), ["shingle"]):
             starts = run_starts(rows["shingle"]).tolist()
-            found: set[tuple[int, int]] = set()
             for start, end in zip(starts, [*starts[1:], len(rows["class"])]):
-                part = rows["component"][start:end]
-                if end - start < 2 or (part == part[0]).all():
-                    continue
                 one = {name: column[start:end] for name, column in rows.items()}
-                x, y = _block_pairs(one, limits.block_rows)
-                a, b = one["class"][x], one["class"][y]
-                found.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist()))
-            if found:
-                a, b = zip(*found)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                for x, y in _block_pairs(one, limits.block_rows):
+                    a, b = one["class"][x], one["class"][y]
+                    held.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+                    count += len(a)
+                    if count > 500_000:
+                        held = [distinct(held)]
+                        count = len(held[0])
+                        if count > 250_000:
+                            yield batch_of(held[0])
+                            held, count = [], 0
+        if held:
+            yield batch_of(distinct(held))
 
     spread = lists.groupBy("shingle").agg(F.min("component").alias("one"), F.max("component").alias("two"))
     mixed_lists = lists.join(spread.filter("one <> two").select("shingle"), "shingle", "left_semi")
@@ -482,6 +499,90 @@ def _overlaps(pairs: DataFrame, elements: DataFrame) -> DataFrame:
     return staged(map_arrow(together, run, schema).distinct(), "overlaps")
 
 
+_STAR = "a long, b long, size_a long, size_b long, overlap long, led boolean"
+
+
+def _follow(lists: DataFrame) -> DataFrame:
+    """(class, leader, cell): each set's leader, and the part of its followers it meets."""
+    met = lists.filter("class <> leader").groupBy("class", "leader").agg(
+        F.count(F.lit(1)).alias("lists"), F.max("size").alias("size")
+    )
+    best = F.max_by(F.struct("leader", "size"), F.struct("lists", "leader")).alias("best")
+    first = met.groupBy("class").agg(best).select("class", "best.*")
+    load = first.groupBy("leader").agg(F.ceil(F.sum("size") / TOGETHER).cast("int").alias("cells"))
+    cell = F.pmod(F.xxhash64("class"), F.col("cells")).cast("int").alias("cell")
+    return staged(first.join(load, "leader").select("class", "leader", cell), "leaders")
+
+
+def _stars(follow: DataFrame, elements: DataFrame) -> DataFrame:
+    """Overlaps of followers with their leader (`led`), and links among its followers.
+
+    A leader's set comes first among the followers of each cell. Those that link to it are
+    joined; every other follower is compared with all of the cell at once, through an index
+    of the cell's elements, and a link that joins two parts is kept.
+    """
+    guests = follow.select("class", F.col("leader").alias("host"), "cell", F.lit(1).alias("guest"))
+    hosts = follow.select(F.col("leader").alias("class"), F.col("leader").alias("host"), "cell").distinct()
+    places = guests.unionByName(hosts.withColumn("guest", F.lit(0)))
+    by = ["host", "cell"]
+    together = _only(elements, places).join(places, "class").repartition(*by)
+    together = together.sortWithinPartitions(*by, "guest", "class")
+
+    def star(names: list[int], sets: list[np.ndarray]) -> list[tuple]:
+        once = [k for k, name in enumerate(names) if k == 0 or name != names[k - 1]]
+        names, sets = [names[k] for k in once], [sets[k] for k in once]
+        sizes = np.array([len(one) for one in sets])
+        owners, flat = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        owners, flat = owners[order], flat[order]
+        starts = run_starts(flat)
+        ends = np.append(starts[1:], len(flat))
+        known = flat[starts]
+
+        def overlaps(k: int) -> np.ndarray:
+            at = np.searchsorted(known, sets[k])
+            return np.bincount(
+                np.concatenate([owners[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]),
+                minlength=len(sets),
+            )
+
+        part = np.arange(len(sets))
+        shared = overlaps(0)
+        linked = 7 * shared >= 3 * (sizes + sizes[0])
+        part[linked] = 0
+        rows = [
+            (names[k], names[0], int(sizes[k]), int(sizes[0]), int(shared[k]), True) for k in range(1, len(sets))
+        ]
+        for k in np.flatnonzero(~linked).tolist():
+            shared = overlaps(k)
+            for other in np.flatnonzero(7 * shared >= 3 * (sizes + sizes[k])).tolist():
+                if part[other] != part[k]:
+                    part[part == part[other]] = part[k]
+                    rows.append((names[k], names[other], int(sizes[k]), int(sizes[other]), int(shared[other]), False))
+        return rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, names, sets, rows = None, [], [], []
+        for batch in batches:
+            columns = [batch.column(name).to_pylist() for name in ("host", "cell", "class", "elements")]
+            for host, cell, name, raw in zip(*columns):
+                if (host, cell) != place:
+                    if names:
+                        rows += star(names, sets)
+                    place, names, sets = (host, cell), [], []
+                names.append(name)
+                sets.append(unpacked(raw))
+            if rows:
+                yield pa.RecordBatch.from_pylist([dict(zip(fields, row)) for row in rows], kinds)
+                rows = []
+        if names:
+            yield pa.RecordBatch.from_pylist([dict(zip(fields, row)) for row in star(names, sets)], kinds)
+
+    fields = [field.split()[0] for field in _STAR.split(", ")]
+    kinds = pa.schema([(name, pa.bool_() if name == "led" else pa.int64()) for name in fields])
+    return staged(map_arrow(together, run, _STAR), "stars")
+
+
 _LINKED = "100 * overlap >= 75 * (size_a + size_b - overlap)"
 
 
@@ -531,21 +632,23 @@ def _derived(open_pairs: DataFrame, led: DataFrame, elements: DataFrame) -> Data
 def _components(docs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     """(class, component) for every class that has a link."""
     lists = _lists(_postings(docs, _frequent(sets, limits), limits), limits)
-    met = lists.filter("class <> leader").groupBy("class", "leader").count()
-    first = met.groupBy("class").agg(F.max_by("leader", F.struct("count", "leader")).alias("leader"))
-    first = staged(first.select(F.col("class").alias("a"), F.col("leader").alias("b")), "leaders")
+    follow = _follow(lists)
     elements = _elements_of(docs, lists.select("class").distinct(), sets)
-    answers = _overlaps(first, elements)
+    answers = _stars(follow, elements)
     links = answers.filter(_LINKED).select("a", "b")
     parts = connected(links)
-    named = lists.select("shingle", "class", "size", "position").join(
-        parts.withColumnsRenamed({"node": "class"}), "class", "left"
-    )
-    named = named.withColumn("component", F.coalesce("component", "class"))
-    led = answers.filter(_LINKED).select(
+    named = lists.select("shingle", "class", "size", "position")
+    named = named.join(parts.withColumnsRenamed({"node": "class"}), "class", "left")
+    named = named.join(follow, "class", "left").select(
+        "shingle", "class", "size", "position",
+        F.coalesce("component", "class").alias("component"),
+        F.coalesce("leader", F.lit(0)).alias("leader"),
+        F.coalesce("cell", F.lit(-1)).alias("cell"),
+    )
+    led = answers.filter("led").filter(_LINKED).select(
         F.col("a").alias("class"), F.col("b").alias("leader"), F.col("size_a").alias("size"),
         F.col("overlap").alias("in_leader"), F.col("size_b").alias("leader_size"),
-    )
+    )
     more = _derived(_open_pairs(named, limits), led, elements)
     return connected(links.unionByName(more)).withColumnRenamed("node", "class")
 
