@@ -2,11 +2,12 @@
 
 Spark splits a hot partition at run time only on a side whose unmatched rows it need not
 track: either side of an inner join, the left of a left/semi/anti join, the right of a
-right join. The sides it cannot split are handled here:
+right join, and only where the exchange lies right under the join's sort. The sides it
+cannot split are handled here, where a look at the key counts finds a hot key on one:
 
-* semi/anti: the right side is reduced to distinct keys (map-side) before the shuffle;
-* outer joins whose unsplittable side has a hot key: rewritten as an inner join, which
-  splits on both sides, united with the unmatched rows found by an anti join.
+* semi/anti: the right side is reduced to its distinct keys in a written stage;
+* outer joins: rewritten as an inner join, which splits on both sides, united with the
+  unmatched rows found by an anti join against the other side's distinct keys, staged too.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from terrane.functions.columns import LINEAGE, column
 from terrane.session import estimated_bytes
+from terrane.sources.tables import stage
 
 # The join type spellings a spec may use.
 JOIN_TYPES = {
@@ -36,9 +38,11 @@ JOIN_TYPES = {
     "leftanti": "left_anti",
 }
 
-# A key is hot when its rows would overload one task and are a visible share of the side.
-HOT_ROWS = 5_000_000
-_TRACKED_KEYS = 4096
+# A key is hot when its rows would overload one task: so many bytes, as rows are wide.
+HOT_BYTES = 1 << 30
+# Keys are counted in so many buckets by hash: no hot key is missed, and the rows of a bucket
+# are an upper bound for each of its keys.
+_BUCKETS = 1 << 20
 
 
 def join_type(text: str) -> str:
@@ -55,20 +59,23 @@ def _broadcastable(df: DataFrame) -> bool:
 
 
 def has_hot_key(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, *, with_nulls: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int | None = None,
+    *,
+    with_nulls: bool = False,
 ) -> bool:
-    """One column-pruned pass with a mergeable heavy-hitter sketch of bounded size.
+    """One column-pruned pass that counts keys by hash bucket, map-side first.
 
     Rows with a NULL key only weigh on a join that keeps them.
     """
+    if hot_rows is None:
+        hot_rows = max(1, HOT_BYTES // max(1, df._jdf.schema().defaultSize()))
     if not with_nulls:
         df = df.dropna(subset=list(keys))
-    hashed = F.xxhash64(*[column(k) for k in keys])
-    sketch = df.select(hashed.alias("key")).agg(
-        F.expr(f"approx_top_k(key, 1, {_TRACKED_KEYS})").alias("top")
-    )
-    top = sketch.first()["top"]
-    return bool(top) and top[0]["count"] >= hot_rows
+    bucket = F.pmod(F.xxhash64(*[column(k) for k in keys]), F.lit(_BUCKETS))
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
+    return (counts.agg(F.max("rows")).first()[0] or 0) >= hot_rows
 
 
 def join_tables(
@@ -78,31 +85,45 @@ def join_tables(
     how: str = "left",
     *,
     skew: str = "auto",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
+    derived: bool = False,
 ) -> DataFrame:
     """USING-join with one copy of each key; the right side's lineage columns are dropped.
 
     ``skew``: ``auto`` looks for hot keys on the sides Spark cannot split, ``on`` assumes
-    them, ``off`` leaves the join as it is. The result is the same either way.
+    them, ``off`` leaves the join as it is. The result is the same either way. A ``derived``
+    left side is dear to make: it is staged before it is used more than once.
     """
     keys = list(keys)
     if not keys:
         raise ValueError("a join needs at least one key column")
     kind = join_type(how)
     right = right.drop(*[c for c in LINEAGE if c not in keys])
+
+    def hot(side: DataFrame, with_nulls: bool = False) -> bool:
+        if skew != "auto":
+            return skew == "on"
+        return not _broadcastable(side) and has_hot_key(side, keys, hot_rows, with_nulls=with_nulls)
+
     if kind in ("left_semi", "left_anti"):
-        return left.join(right.select(*map(column, keys)).distinct(), keys, kind)
+        seen = right.select(*map(column, keys))
+        return left.join(_distinct(seen) if hot(right) else seen, keys, kind)
     rigid = {"left": [right], "right": [left], "full": [right, left]}.get(kind, [])
-    if skew == "on" and rigid:
-        return _outer_in_parts(left, right, keys, kind)
-    if skew == "auto" and any(
-        not _broadcastable(side) and has_hot_key(side, keys, hot_rows, with_nulls=kind == "full")
-        for side in rigid
-    ):
+    if derived and any(side is left for side in rigid) and skew == "auto" and not _broadcastable(left):
+        left, derived = stage(left, "join")[0], False
+        rigid = [left if side is not right else right for side in rigid]
+    if any(hot(side, kind == "full") for side in rigid):
+        if derived:
+            left, _ = stage(left, "join")
         return _outer_in_parts(left, right, keys, kind)
     return left.join(right, keys, kind)
 
 
+def _distinct(keys: DataFrame) -> DataFrame:
+    """Distinct keys as a written stage: a plain scan, so its exchange can stay under a sort."""
+    return stage(keys.distinct(), "keys")[0]
+
+
 def _positions(df: DataFrame, keys: Sequence[str]) -> list[int]:
     lowered = [c.lower() for c in df.columns]
     return [lowered.index(k.lower()) for k in keys]
@@ -136,11 +157,11 @@ def _outer_in_parts(left: DataFrame, right: DataFrame, keys: list[str], kind: st
         )
     ]
     if kind in ("left", "full"):
-        seen = rt.select(*rkeys).distinct()
+        seen = _distinct(rt.select(*rkeys))
         alone = lt.join(seen, on(lkeys, rkeys), "left_anti")
         parts.append(alone.select(*typed([F.col(c) for c in lkeys + lrest] + nulls(rrest))))
     if kind in ("right", "full"):
-        seen = lt.select(*lkeys).distinct()
+        seen = _distinct(lt.select(*lkeys))
         alone = rt.join(seen, on(rkeys, lkeys), "left_anti")
         columns = [F.col(c) for c in rkeys] + nulls(lrest) + [F.col(c) for c in rrest]
         parts.append(alone.select(*typed(columns)))
@@ -159,5 +180,6 @@ def join_chain(
     """Fold the joins in listed order."""
     joined = primary
     for right, keys, how in joins:
-        joined = join_tables(joined, right, keys, how, skew=skew)
+        derived = joined is not primary
+        joined = join_tables(joined, right, keys, how, skew=skew, derived=derived)
     return joined

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -12,7 +13,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.functions.columns import (
@@ -23,7 +24,7 @@ from terrane.functions.columns import (
     within_share,
 )
 from terrane.operators.cleansing import drop_missing
-from terrane.session import PIECE_BYTES, ensure_checkpoint_dir, estimated_bytes
+from terrane.session import ensure_checkpoint_dir, estimated_bytes, settings
 from terrane.sources import paths
 from terrane.sources.tables import stage
 
@@ -32,8 +33,8 @@ _log = logging.getLogger(__name__)
 FEATURES = "features"
 _FOLD = "__fold"
 _POSITION = "__position"
-# Labels travel through the driver and into every tree task, so their number is checked.
-MAX_CATEGORIES = 10_000
+# Bytes a training partition should take: small, as every tree level passes over them.
+_TRAINING_BYTES = 4 * 1024 * 1024
 # Defaults of an unconfigured fit.
 DEFAULT_HYPERPARAMETERS = {"maxDepth": 5, "maxIter": 20, "stepSize": 0.1}
 
@@ -56,17 +57,22 @@ def feature_names(categorical: Sequence[str], numeric: Sequence[str]) -> list[st
     return [*map(indexed_name, categorical), *numeric]
 
 
-def fit_indexer(df: DataFrame, categorical: Sequence[str]) -> StringIndexerModel | None:
-    """Frequency-ordered labels of all categorical columns, found in one pass.
+def fit_indexer(
+    df: DataFrame, categorical: Sequence[str], max_categories: int | None = None
+) -> StringIndexerModel | None:
+    """Frequency-ordered labels of all categorical columns.
 
-    Ties are alphabetical; unseen and NULL values share one extra bucket when applied.
+    Ties are alphabetical; unseen and NULL values share one extra bucket when applied. Labels
+    travel through the driver; with ``max_categories`` a column of more is refused, by an
+    exact count, before they do.
     """
     if not categorical:
         return None
-    sizes = df.agg(*[F.approx_count_distinct(column(c)).alias(c) for c in categorical]).first()
-    too_many = {c: sizes[c] for c in categorical if sizes[c] > MAX_CATEGORIES}
-    if too_many:
-        raise ValueError(f"too many categories to index: {too_many} (limit {MAX_CATEGORIES})")
+    if max_categories is not None:
+        for name in categorical:
+            known = df.select(column(name)).dropna().distinct().limit(max_categories + 1).count()
+            if known > max_categories:
+                raise ValueError(f"too many categories in {name!r}: more than {max_categories}")
     return StringIndexer(
         inputCols=list(categorical),
         outputCols=[indexed_name(c) for c in categorical],
@@ -85,15 +91,15 @@ def assembler(categorical: Sequence[str], numeric: Sequence[str]) -> VectorAssem
 def regressor(
     target: str, hyperparameters: Mapping[str, Any] | None, seed: int, max_bins: int = 32
 ) -> GBTRegressor:
-    settings = {**DEFAULT_HYPERPARAMETERS, **(hyperparameters or {})}
+    chosen = {**DEFAULT_HYPERPARAMETERS, **(hyperparameters or {})}
     trees = GBTRegressor(
         featuresCol=FEATURES, labelCol=target, predictionCol=PREDICTION, seed=seed, maxBins=max_bins
     )
-    unknown = sorted(name for name in settings if not trees.hasParam(name))
+    unknown = sorted(name for name in chosen if not trees.hasParam(name))
     if unknown:
         raise ValueError(f"unknown hyperparameters {unknown}")
-    settings["maxBins"] = max(int(settings.get("maxBins", 0)), max_bins)
-    return trees.setParams(**settings)
+    chosen["maxBins"] = max(int(chosen.get("maxBins", 0)), max_bins)
+    return trees.setParams(**chosen)
 
 
 def bins_needed(indexer: StringIndexerModel | None) -> int:
@@ -117,7 +123,7 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def importances(model: PipelineModel) -> dict[str, float]:
     """Scores of the tree stage by assembler input, highest first."""
     inputs = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
-    scores = next(s for s in model.stages if hasattr(s, "featureImportances")).featureImportances
+    scores = model.stages[-1].featureImportances
     named = {name: float(scores[i]) for i, name in enumerate(inputs)}
     return dict(sorted(named.items(), key=lambda item: (-item[1], item[0])))
 
@@ -133,9 +139,15 @@ def train(
     seed: int = 42,
     hyperparameters: Mapping[str, Any] | None = None,
     tuning: Mapping[str, Any] | None = None,
+    max_categories: int | None = 10_000,
 ) -> Fit:
     """Split, fit (tuned if asked), and evaluate on the held-out part.
 
+    Trees need a bin per category in every task, so a categorical column of more than
+    ``max_categories`` values is an error; None lifts the limit. Rows are partitioned and
+    ordered by their hash position, into a number of parts that follows their bytes, so the
+    same rows and seed give the same trees on any number of cores.
+
     Without ``split_keys`` a row is placed by its target and features, so exact copies stay
     on one side and cannot leak into the test; give a row key to place them one by one.
     """
@@ -143,14 +155,17 @@ def train(
     ensure_checkpoint_dir(spark)
     needed = [target, *categorical, *numeric]
     keys = list(split_keys or needed)
-    rows = _spread(drop_missing(df, needed).select(*map(column, dict.fromkeys(needed + keys))))
+    rows = drop_missing(df, needed).select(*map(column, dict.fromkeys(needed + keys)))
     placed = rows.withColumn(_POSITION, hash_position(seed, keys))
+    placed = placed.select(*map(column, needed), _POSITION)
+    parts = max(1, -(-min(estimated_bytes(rows), _UNKNOWN_BYTES) // _TRAINING_BYTES))
+    ordered = placed.repartition(parts, _POSITION).sortWithinPartitions(_POSITION, *map(column, needed))
     # Indexing, fitting and evaluation all pass over these columns: keep them once, durably.
-    rows, path = stage(placed.select(*map(column, needed), _POSITION), "train")
-    try:
+    rows, path = stage(ordered, "train")
+    with settings(spark, _FILE_PER_PARTITION), _removed(spark, path):
         inside = within_share(F.col(_POSITION), train_share)
         training, holdout = rows.filter(inside), rows.filter(~inside)
-        indexer = fit_indexer(training, categorical)
+        indexer = fit_indexer(training, categorical, max_categories)
         before = [*([indexer] if indexer is not None else []), assembler(categorical, numeric)]
         prepared = PipelineModel(before).transform(training).select(target, FEATURES, _POSITION)
         trees = regressor(target, hyperparameters, seed, bins_needed(indexer))
@@ -161,18 +176,21 @@ def train(
         model = PipelineModel([*before, fitted])
         scored = model.transform(holdout)
         measured = regression_metrics(scored, target, PREDICTION).first().asDict()
-    finally:
-        paths.remove(spark, path)
     return Fit(model, measured, importances(model), best)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores, as an iterative fit reads it many times.
+# A scan that opens each staged file as one partition, however many cores there are.
+_FILE_PER_PARTITION = {"spark.sql.files.openCostInBytes": "134217728"}
+_UNKNOWN_BYTES = 1 << 42
 
-    An input of at least one scan piece per core is spread already and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if estimated_bytes(df) < cores * PIECE_BYTES else df
+
+@contextmanager
+def _removed(spark: SparkSession, path: str) -> Iterator[None]:
+    """Remove a staged folder at the end."""
+    try:
+        yield
+    finally:
+        paths.remove(spark, path)
 
 
 def tune(

@@ -11,8 +11,6 @@ from terrane.functions.columns import column, hash_position, within_share
 
 _POSITION = "__position"
 _RANK = "__rank"
-# Above this many candidate rows per wanted row, a sample first thins by hash.
-_THIN_ABOVE = 100
 
 
 def split(
@@ -27,16 +25,10 @@ def split(
 def sample(df: DataFrame, keys: Sequence[str], rows: int, seed: int) -> DataFrame:
     """At most ``rows`` rows, the first in salted-hash order.
 
-    On large inputs a hash threshold cuts the candidates before the top-n, so one task
-    never merges ``rows`` from every partition; the picked rows stay the same because the
-    threshold is dropped if it left too few.
+    One pass: each task keeps its first ``rows``, and one task merges these, so it is meant
+    for samples that a person or a plot looks at.
     """
     placed = df.withColumn(_POSITION, hash_position(seed, keys))
-    total = df.count()
-    if total > rows * _THIN_ABOVE:
-        thinned = placed.filter(within_share(F.col(_POSITION), 2.0 * (rows + 1000) / total))
-        if thinned.count() >= rows:
-            placed = thinned
     order = [F.col(_POSITION), *[column(k) for k in keys]]
     return placed.orderBy(*order).limit(rows).drop(_POSITION)
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from terrane.functions.columns import MODEL_RUN_ID, PREDICTED_AT, PREDICTION, column, residual
 from terrane.operators.profiling import histogram
-from terrane.operators.shaping import name_prediction
 
 _log = logging.getLogger(__name__)
 
@@ -44,11 +43,16 @@ def load_model(
     return PipelineModel.load(model_of(found)), found
 
 
+def _named(model: PipelineModel, scored: DataFrame) -> DataFrame:
+    """The column that the model itself predicts into, under its public name."""
+    return scored.withColumnRenamed(model.stages[-1].getPredictionCol(), PREDICTION)
+
+
 def score_batch(
     model: PipelineModel, df: DataFrame, id_columns: Sequence[str], run_id: str
 ) -> DataFrame:
     """Id columns, the prediction, and when and by which model it was made."""
-    scored = name_prediction(model.transform(df))
+    scored = _named(model, model.transform(df))
     return scored.select(
         *map(column, id_columns),
         PREDICTION,
@@ -66,7 +70,7 @@ def score_full(model: PipelineModel, df: DataFrame) -> DataFrame:
         elif isinstance(step, VectorAssembler):
             working.append(step.getOutputCol())
     scored = model.transform(df).drop(*[c for c in working if c not in df.columns])
-    return name_prediction(scored)
+    return _named(model, scored)
 
 
 def residuals(df: DataFrame, predicted: str, actual: str, name: str = "residual") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.functions.columns import PREDICTION, aggregate_alias
+from terrane.functions.columns import aggregate_alias
 
 
 def project(df: DataFrame, expressions: Sequence[str]) -> DataFrame:
@@ -36,12 +36,3 @@ def shape(
     if group_by and aggregations:
         return aggregate(df, group_by, aggregations)
     return df
-
-
-def name_prediction(df: DataFrame, name: str = PREDICTION) -> DataFrame:
-    """Rename the first prediction-like column; leave the frame alone if there is none."""
-    for existing in df.columns:
-        lowered = existing.lower()
-        if lowered == name or lowered.endswith("prediction"):
-            return df if existing == name else df.withColumnRenamed(existing, name)
-    return df

@@ -48,23 +48,27 @@ def gold_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(joined(spark, sf_dir), FEATURES)
 
 
+FAR = 1_000_000_000_000  # no key of the tables comes near it
+
+
 def wealthy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in credit: some orders find none of them."""
-    found = customers(spark, sf_dir).filter("c_acctbal > 0")
-    return found.select("customer_id", "c_name", "c_acctbal")
+    """All customers; those in debt under a key that no order has."""
+    found = customers(spark, sf_dir).select("customer_id", "c_name", "c_acctbal")
+    return found.withColumn("customer_id", F.expr(f"customer_id + if(c_acctbal <= 0, {FAR}L, 0L)"))
 
 
 def finished(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finished large orders: some customers have none of them."""
-    found = orders(spark, sf_dir).filter("o_orderstatus = 'F' AND o_totalprice > 250000")
-    return found.select("customer_id", "order_id", "o_totalprice")
+    """All orders; those not finished under a key that no customer has."""
+    found = orders(spark, sf_dir).select("customer_id", "order_id", "o_totalprice", "o_orderstatus")
+    shifted = F.expr(f"customer_id + if(o_orderstatus <> 'F', {2 * FAR}L, 0L)")
+    return found.withColumn("customer_id", shifted).drop("o_orderstatus")
 
 
-_SIDES = """
-    WITH f AS (SELECT o_custkey AS customer_id, o_orderkey AS order_id, o_totalprice
-               FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000),
-         w AS (SELECT c_custkey AS customer_id, c_name, c_acctbal
-               FROM customer WHERE c_acctbal > 0)"""
+_SIDES = f"""
+    WITH f AS (SELECT o_custkey + CASE WHEN o_orderstatus <> 'F' THEN {2 * FAR} ELSE 0 END
+                      AS customer_id, o_orderkey AS order_id, o_totalprice FROM orders),
+         w AS (SELECT c_custkey + CASE WHEN c_acctbal <= 0 THEN {FAR} ELSE 0 END AS customer_id,
+                      c_name, c_acctbal FROM customer)"""
 # Outer joins leave gaps in the order id; as a double it has one spelling of "absent".
 _ALL = "customer_id, order_id::DOUBLE AS order_id, o_totalprice, c_name, c_acctbal"
 

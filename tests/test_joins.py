@@ -5,10 +5,10 @@ from collections import Counter
 import pytest
 
 from terrane.operators.joins import has_hot_key, join_chain, join_tables, join_type
-from terrane.operators.shaping import aggregate, name_prediction, shape
+from terrane.operators.shaping import aggregate, shape
 from terrane.plans.layers import gold_frame, run_gold
 from terrane.plans.spec import GoldSpec, JoinSpec
-from terrane.session import scratch_path
+from terrane.session import scratch_path, settings
 from terrane.sources.tables import read_table, write_table
 
 
@@ -81,6 +81,8 @@ def test_hot_key_probe(spark):
     assert not has_hot_key(hot, ["k"], hot_rows=50000)
     assert not has_hot_key(spark.range(30000).selectExpr("id AS k"), ["k"], hot_rows=5000)
     assert not has_hot_key(hot.filter("false"), ["k"], hot_rows=1)
+    rare = spark.range(4_000_000).selectExpr("if(id % 20000 = 0, -1, id) AS k")
+    assert has_hot_key(rare, ["k"], hot_rows=200)
     unknown = hot.selectExpr("nullif(k, -1) AS k")
     assert not has_hot_key(unknown, ["k"], hot_rows=5000)
     assert has_hot_key(unknown, ["k"], hot_rows=5000, with_nulls=True)
@@ -102,26 +104,46 @@ def test_a_found_hot_key_changes_the_plan_not_the_rows(spark, sides, how):
         spark.conf.set(key, before)
 
 
-def test_run_time_split_of_a_hot_inner_key(spark):
-    changed = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
-    }
-    before = {k: spark.conf.get(k) for k in changed}
-    for k, v in changed.items():
-        spark.conf.set(k, v)
-    try:
-        left = spark.range(0, 90000, 1, 8).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS a")
-        right = spark.range(0, 1000, 1, 2).selectExpr("id AS k", "id AS b")
-        frame = join_tables(left, right, ["k"], "left")
-        assert len(frame.collect()) == 90000
-        executed = frame._jdf.queryExecution().executedPlan().toString()
-        assert "isSkew=true" in executed or "skew=true" in executed
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+SPLITTING = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "semi", "anti"])
+@pytest.mark.parametrize("hot_side", ["left", "right", "nulls"])
+def test_run_time_split_of_hot_keys(spark, how, hot_side):
+    """Every sort-merge join that takes the hot rows splits them."""
+    root = scratch_path(spark, "hot")
+    hot = {"left": "if(id % 3 = 0, 7, id)", "nulls": "if(id % 3 = 0, NULL, id)"}
+    spark.range(0, 60000, 1, 8).selectExpr(f"{hot.get(hot_side, 'id')} AS k", "id AS a").write.parquet(f"{root}/l")
+    many = "if(id % 3 = 0, 7, id + 100)" if hot_side == "right" else "id"
+    spark.range(0, 20000, 1, 8).selectExpr(f"{many} AS k", "id AS b").write.parquet(f"{root}/r")
+    left, right = spark.read.parquet(f"{root}/l"), spark.read.parquet(f"{root}/r")
+    plain = bag(join_tables(left, right, ["k"], how, skew="off"))
+    with settings(spark, SPLITTING):
+        frame = join_tables(left, right, ["k"], how, hot_rows=5000)
+        assert bag(frame) == plain
+        executed = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    joins = executed.count("SortMergeJoin(skew=true)")
+    if hot_side == "left":
+        assert joins >= (2 if how == "full" else 1)
+    elif hot_side == "right" and how not in ("semi", "anti"):
+        assert joins >= 1
+
+
+def test_a_chain_reads_each_input_a_few_times(spark):
+    root = scratch_path(spark, "chain")
+    for n in range(4):
+        spark.range(n, 100 + n).selectExpr("id AS k", f"id AS v{n}").write.parquet(f"{root}/{n}")
+    tables = [spark.read.parquet(f"{root}/{n}") for n in range(4)]
+    chain = join_chain(tables[0], [(t, ["k"], "full") for t in tables[1:]], skew="on")
+    plain = join_chain(tables[0], [(t, ["k"], "full") for t in tables[1:]], skew="off")
+    assert bag(chain) == bag(plain)
+    scans = chain._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+    assert scans <= 6
 
 
 def test_chain_drops_right_lineage_only(spark):
@@ -171,18 +193,6 @@ def test_projection_wins_and_nothing_passes_through(spark):
     assert shape(df, None, ["g"], {}) is df
 
 
-def test_prediction_naming(spark):
-    assert name_prediction(spark.sql("SELECT 1 AS a, 2 AS prediction")).columns == [
-        "a",
-        "predicted_delay_days",
-    ]
-    assert name_prediction(spark.sql("SELECT 2 AS rawPrediction")).columns == [
-        "predicted_delay_days"
-    ]
-    untouched = spark.sql("SELECT 1 AS a")
-    assert name_prediction(untouched) is untouched
-
-
 def test_gold_needs_a_source(spark):
     with pytest.raises(ValueError, match="primary_table"):
         run_gold(spark, GoldSpec(target_delta_path="/tmp/none/x"))

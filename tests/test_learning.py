@@ -45,10 +45,21 @@ def test_labels_by_frequency_then_name_with_one_extra_bucket(spark):
     assert fit_indexer(df, []) is None
 
 
-def test_too_many_categories_are_refused(rows, monkeypatch):
-    monkeypatch.setattr(learning, "MAX_CATEGORIES", 10)
+def test_too_many_categories_are_refused(rows):
+    known = rows.select("cat").dropna().distinct().count()
+    assert fit_indexer(rows, ["cat"], known) is not None
     with pytest.raises(ValueError, match="too many categories"):
-        fit_indexer(rows, ["cat"])
+        fit_indexer(rows, ["cat"], known - 1)
+
+
+def test_a_model_does_not_depend_on_the_layout(spark):
+    data = spark.range(20000).selectExpr("id", "hash(id) % 1000 AS a", "hash(id, 1) % 100 AS b")
+    data = data.selectExpr("id", "double(a) AS a", "double(b) AS b", "a * 0.5 + b AS y")
+    found = set()
+    for parts in (1, 4, 8):
+        fit = train(data.repartition(parts), "y", [], ["a", "b"], hyperparameters={"maxIter": 2, "maxDepth": 3})
+        found.add((fit.model.stages[-1].toDebugString.split("\n", 1)[1], fit.metrics["rmse"]))
+    assert len({trees for trees, _ in found}) == 1
 
 
 def test_bins_follow_the_labels(rows, fit):
