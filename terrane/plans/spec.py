@@ -133,9 +133,14 @@ def parse_spec(raw: Mapping[str, Any]) -> JobSpec:
     return _build(JobSpec, raw, "spec")
 
 
+def read_spec(text: str) -> JobSpec:
+    """A spec from YAML text, wherever it came from."""
+    return parse_spec(yaml.safe_load(text))
+
+
 def load_spec(path: str) -> JobSpec:
     with open(path, encoding="utf-8") as text:
-        return parse_spec(yaml.safe_load(text))
+        return read_spec(text.read())
 
 
 def _build(cls: type, raw: Any, where: str) -> Any:

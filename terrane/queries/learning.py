@@ -14,8 +14,12 @@ from terrane.operators.learning import (
     regression_metrics,
     train,
 )
+from terrane.operators.runlog import of_latest_run
 from terrane.operators.sampling import split
 from terrane.operators.scoring import load_model, save_model, score_batch, score_full
+from terrane.plans.job import run
+from terrane.plans.layers import run_gold_scoring
+from terrane.plans.spec import read_spec
 from terrane.queries.gold import gold_features
 from terrane.queries.profile import predicted
 from terrane.queries.registry import query, table
@@ -272,3 +276,96 @@ def score_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All input columns and the prediction."""
     scored = score_full(cell_model(spark, sf_dir).model, cells(spark, sf_dir))
     return scored.withColumn(PREDICTION, F.round(PREDICTION, 6))
+
+
+_JOB = """
+pipeline_name: cells
+version: "2.1"
+bronze_tables:
+  - {{name: lines, landing_path: "{landing}", file_format: parquet, file_pattern: lineitem.parquet,
+     target_delta_path: "{root}/bronze/lines"}}
+silver:
+  source_delta_path: "{root}/bronze/lines"
+  target_delta_path: "{root}/silver/lines"
+  quarantine_delta_path: "{root}/quarantine/lines"
+  validation_rules: [{{name: some, expr: "l_quantity > 0"}}]
+gold:
+  primary_table: "{root}/silver/lines"
+  target_delta_path: "{root}/gold/cells"
+  select_expressions:
+    - l_orderkey
+    - l_linenumber
+    - l_linestatus
+    - "double(l_quantity > 25) AS large"
+    - "l_quantity + if(l_linestatus = 'F', 30, 0) AS target"
+ml_stage:
+  enabled: {training}
+  target_column: target
+  split_keys: [l_orderkey, l_linenumber]
+  categorical_features: [l_linestatus]
+  numeric_features: [large]
+  hyperparameters: {{maxIter: 1, maxDepth: 2}}
+maintenance: {{enabled: {upkeep}}}
+mlflow: {{experiment_name: cells, path: "{root}/runs"}}
+"""
+
+
+@query(
+    "job_from_yaml",
+    f"""{_CELLS}
+    SELECT 'param' AS kind, 'pipeline_name' AS key, 'cells' AS text, NULL::DOUBLE AS number
+    UNION ALL SELECT 'param', 'version', '2.1', NULL
+    UNION ALL SELECT 'param', 'maxDepth', '2', NULL
+    UNION ALL SELECT 'param', 'maxIter', '1', NULL
+    UNION ALL SELECT 'upkeep', 'silver/lines', 'SUCCESS', NULL
+    UNION ALL SELECT 'upkeep', 'gold/cells', 'SUCCESS', NULL
+    UNION ALL SELECT 'second run', 'status', 'SKIPPED', NULL
+    UNION ALL SELECT 'second run', 'trained', 'no', NULL
+    UNION ALL SELECT 'predictions', 'named for the run', 'yes', count(*) FROM r
+    UNION ALL SELECT DISTINCT 'cell', l_linestatus || large::INTEGER, NULL, round(guess, 6) FROM s""",
+)
+def job_from_yaml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job read from YAML, with default upkeep targets, then scored into its own folder.
+
+    The primary model given for scoring does not exist, so the latest run's model is used. A
+    second run of the same job with training and upkeep off skips both.
+    """
+    root = scratch_path(spark, "yaml")
+    spec = read_spec(_JOB.format(landing=sf_dir, root=root, training=True, upkeep=True))
+    report = run(spark, spec)
+    target = run_gold_scoring(spark, spec, f"{root}/scored", primary_model=f"{root}/no-model")
+    named = target.endswith(f"predictions_{report['run_id']}")
+    off = read_spec(_JOB.format(landing=sf_dir, root=f"{root}/off", training=False, upkeep=False))
+    second = run(spark, off)
+    told = [
+        *(("upkeep", path.removeprefix(f"{root}/"), status) for path, status in report["maintenance"].items()),
+        *(("second run", name, status) for name, status in second["maintenance"].items()),
+        ("second run", "trained", "yes" if second["ml_metrics"] else "no"),
+    ]
+    text = F.col("text")
+    params = of_latest_run(
+        read_table(spark, f"{root}/runs/runs"), read_table(spark, f"{root}/runs/run_params"), "cells"
+    )
+    params = params.filter("key IN ('pipeline_name', 'version', 'maxDepth', 'maxIter')")
+    scored = spark.read.parquet(target)
+    nothing = F.lit(None).cast("double")
+    frames = [
+        params.select(F.lit("param").alias("kind"), "key", F.col("value").alias("text"), nothing.alias("number")),
+        small_frame(spark, told, "kind string, key string, text string").select("kind", "key", text, nothing.alias("number")),
+        scored.agg(F.count(F.lit(1)).cast("double").alias("number")).select(
+            F.lit("predictions").alias("kind"),
+            F.lit("named for the run").alias("key"),
+            F.lit("yes" if named else "no").alias("text"),
+            "number",
+        ),
+        scored.select(
+            F.lit("cell").alias("kind"),
+            F.concat("l_linestatus", F.col("large").cast("int").cast("string")).alias("key"),
+            F.lit(None).cast("string").alias("text"),
+            F.round(PREDICTION, 6).alias("number"),
+        ).distinct(),
+    ]
+    united = frames[0]
+    for frame in frames[1:]:
+        united = united.unionByName(frame)
+    return united
