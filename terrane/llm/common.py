@@ -93,14 +93,14 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """A hash of every run of `width` word hashes; order counts."""
+    """A hash of every run of `width` word hashes, a polynomial in them; order counts."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
     out = hashes[:n]
     for shift in range(1, width):
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + hashes[shift : shift + n])
-    return out
+        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[shift : shift + n]
+    return mixed(out)
 
 
 def batch_rows(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:

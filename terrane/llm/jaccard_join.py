@@ -10,7 +10,8 @@ by shingle and each list is walked in order of set size:
    one component and need no answers of their own; the others are compared with all.
 2. The lists are walked again, and now only pairs of different components that did not meet
    before matter. Lists are read in blocks; a block is skipped when the sizes and positions in
-   it leave no room for the overlap that is needed.
+   it leave no room for the overlap that is needed. Where such pairs lie dense, sets meet at
+   leaders again, chosen among the pairs, so a set travels once a round and not once a pair.
 3. A set linked to a leader is highly similar to it, so its overlap with another set follows
    from the leaders' overlap, up to the few elements by which it differs. Leaders' pairs are
    computed first; only pairs that these answers leave open are computed themselves.
@@ -57,12 +58,16 @@ BATCH_BYTES = 4 << 20
 class Limits:
     """The order of shingles: the `frequent` most frequent of those seen `least_count` times
     come last, the rest before them by hash. It decides the work, never the result. A list
-    of more than `list_rows` is cut for its first walk; `block_rows` is the skipping unit."""
+    of more than `list_rows` is cut for its first walk; `block_rows` is the skipping unit.
+    Open pairs meet at leaders for at most `rounds` rounds, while there are more of them than
+    `dense` for each set."""
 
     frequent: int = 1 << 18
     least_count: int = 4
     list_rows: int = 20_000
     block_rows: int = 128
+    rounds: int = 4
+    dense: float = 0.1
 
 
 def shingles(raw: bytes, hashes: WordHashes) -> np.ndarray:
@@ -76,7 +81,8 @@ def shingles(raw: bytes, hashes: WordHashes) -> np.ndarray:
     found = window_hashes(hashes.of(words), min(WORDS, len(words)))
     if len(words) < WORDS:
         found = mixed(found + np.uint64(len(words)))
-    return np.unique(mixed(found) >> np.uint64(64 - 8 * ELEMENT_BYTES))
+    found = np.sort(found >> np.uint64(64 - 8 * ELEMENT_BYTES))
+    return found[run_starts(found)]
 
 
 def class_of(elements: np.ndarray) -> int:
@@ -165,12 +171,20 @@ class _Order:
 
     def __init__(self, frequent: tuple[np.ndarray, np.ndarray]):
         self.shingle, self.count = frequent
+        self.maybe = np.zeros(1 << 22, bool)  # most shingles are told from frequent ones here
+        self.maybe[self._low(self.shingle)] = True
+
+    def _low(self, elements: np.ndarray) -> np.ndarray:
+        return (elements & np.uint64(len(self.maybe) - 1)).astype(np.int64)
 
     def counts(self, elements: np.ndarray) -> np.ndarray:
-        if not len(self.shingle):
-            return np.zeros(len(elements), np.int64)
-        at = np.minimum(np.searchsorted(self.shingle, elements), len(self.shingle) - 1)
-        return np.where(self.shingle[at] == elements, self.count[at], 0)
+        found = np.zeros(len(elements), np.int64)
+        near = np.flatnonzero(self.maybe[self._low(elements)])
+        if len(near):
+            wanted = elements[near]
+            at = np.minimum(np.searchsorted(self.shingle, wanted), len(self.shingle) - 1)
+            found[near] = np.where(self.shingle[at] == wanted, self.count[at], 0)
+        return found
 
     def prefix(self, elements: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The first elements in order, and their counts if they are frequent."""
@@ -508,12 +522,33 @@ def _follow(lists: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("lists"), F.max("size").alias("size")
     )
     best = F.max_by(F.struct("leader", "size"), F.struct("lists", "leader")).alias("best")
-    first = met.groupBy("class").agg(best).select("class", "best.*")
+    return _dealt(met.groupBy("class").agg(best).select("class", "best.*"))
+
+
+def _dealt(first: DataFrame) -> DataFrame:
+    """Followers (class, leader, size) with the cell of their leader they belong to."""
     load = first.groupBy("leader").agg(F.ceil(F.sum("size") / TOGETHER).cast("int").alias("cells"))
     cell = F.pmod(F.xxhash64("class"), F.col("cells")).cast("int").alias("cell")
     return staged(first.join(load, "leader").select("class", "leader", cell), "leaders")
 
 
+def _meet_densest(pairs: DataFrame, sizes: DataFrame, elements: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round of leaders chosen among open pairs: links found, and pairs that stay open.
+
+    Each set follows the one of its partners that has most partners itself.
+    """
+    both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    degrees = both.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
+    ranked = both.join(degrees.withColumnRenamed("a", "b"), "b")
+    best = ranked.groupBy("a").agg(F.max_by("b", F.struct("degree", "b")).alias("leader"))
+    follow = _dealt(best.withColumnRenamed("a", "class").join(sizes, "class"))
+    one = follow.select(F.col("class").alias("a"), F.col("leader").alias("leader_a"), F.col("cell").alias("cell_a"))
+    two = follow.select(F.col("class").alias("b"), F.col("leader").alias("leader_b"), F.col("cell").alias("cell_b"))
+    met = F.expr("(leader_a = leader_b AND cell_a = cell_b) OR leader_a = b OR leader_b = a")
+    left = staged(pairs.join(one, "a").join(two, "b").filter(~met).select("a", "b"), "open-pairs")
+    return _stars(follow, elements).filter(_LINKED).select("a", "b"), left
+
+
 def _stars(follow: DataFrame, elements: DataFrame) -> DataFrame:
     """Overlaps of followers with their leader (`led`), and links among its followers.
 
@@ -649,8 +684,21 @@ def _components(docs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
         F.col("a").alias("class"), F.col("b").alias("leader"), F.col("size_a").alias("size"),
         F.col("overlap").alias("in_leader"), F.col("size_b").alias("leader_size"),
     )
-    more = _derived(_open_pairs(named, limits), led, elements)
-    return connected(links.unionByName(more)).withColumnRenamed("node", "class")
+    pairs = _open_pairs(named, limits)
+    sizes = staged(lists.groupBy("class").agg(F.max("size").alias("size")), "sizes")
+    known = sizes.count()
+    for _ in range(limits.rounds):
+        if pairs.count() <= limits.dense * known:
+            break
+        found, pairs = _meet_densest(pairs, sizes, elements)
+        links = links.unionByName(found)
+    parts = connected(links)
+    one = parts.select(F.col("node").alias("a"), F.col("component").alias("part_a"))
+    two = parts.select(F.col("node").alias("b"), F.col("component").alias("part_b"))
+    apart = F.coalesce("part_a", "a") != F.coalesce("part_b", "b")
+    pairs = pairs.join(one, "a", "left").join(two, "b", "left").filter(apart).select("a", "b")
+    links = links.unionByName(_derived(staged(pairs, "open-pairs"), led, elements))
+    return connected(links).withColumnRenamed("node", "class")
 
 
 def _located(docs: DataFrame, limits: Limits) -> DataFrame:
