@@ -10,8 +10,6 @@ import numpy as np
 
 END_OF_DOCUMENT = 0
 
-# A space beside white space or at an end of the text: not cut there.
-_UNSAFE = re.compile(r" \s|\s |\A | \Z")
 _MARKS = ".,!?;:"
 _PARTS = re.compile(r"\n|[.,!?;:]+|[^\n.,!?;:]+")
 
@@ -26,7 +24,11 @@ def _byte_letters() -> dict[int, str]:
     }
 
 
-class ByteBpe:
+class UnsafeCut(ValueError):
+    """A piece has white space beside the space it was cut at."""
+
+
+class ByteBpe(dict):
     """Ids of whole texts as `Tokenizer.encode(text, add_special_tokens=False)` gives them.
 
     Byte-level pre-tokenization always ends a token where a word meets a mark, around a
@@ -35,19 +37,19 @@ class ByteBpe:
     texts can be cut there and the parts encoded by themselves. A part made of letters, with
     or without a space before it, is one such token, and goes straight to the library's
     model; other parts, and texts with other runs of white space, go through the whole
-    tokenizer. Parts recur, so their ids are kept: those of the last `most` new pieces at
-    least, and of twice as many at most.
+    tokenizer. Parts recur, so their ids are kept, in this dictionary: those of the last
+    `most` new parts at least, and of twice as many at most.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
-        self.pieces: dict[str, bytes] = {}
+        self.space = self.letters[32]
         self.older: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
         self.most = most
 
     def whole(self, text: str) -> bytes:
@@ -55,28 +57,29 @@ class ByteBpe:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, "<u4").tobytes()
 
-    def _part(self, part: str) -> bytes:
-        found = self.parts.get(part)
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
         if found is None:
-            if (part[1:] if part[0] == " " else part).isalpha():
-                if part.isascii():
-                    letters = part.replace(" ", self.letters[32])
-                else:
-                    letters = part.encode().decode("latin-1").translate(self.letters)
-                ids = [token.id for token in self.model.tokenize(letters)]
-                found = pack(f"<{len(ids)}I", *ids)
-            else:
-                found = self.whole(part)
-            self.parts[part] = found
+            if piece != "\n" and (piece[-1].isspace() or piece[1:2].isspace()):
+                raise UnsafeCut
+            found = self._ids(piece)
+        self[piece] = found
         return found
 
-    def _piece(self, piece: str) -> bytes:
+    def _ids(self, piece: str) -> bytes:
         word = piece[1:] if piece[0] == " " else piece
         if word.isalpha():
-            return self._part(piece)
+            if piece.isascii():
+                letters = piece.replace(" ", self.space)
+            else:
+                letters = piece.encode().decode("latin-1").translate(self.letters)
+            ids = [token.id for token in self.tokenize(letters)]
+            return pack(f"<{len(ids)}I", *ids)
         if piece[-1] in _MARKS and word[:-1].isalpha():
-            return self._part(piece[:-1]) + self._part(piece[-1])
+            return self[piece[:-1]] + self[piece[-1]]
         parts = _PARTS.findall(piece)
+        if len(parts) == 1:
+            return self.whole(piece)
         for left, right in zip(parts, parts[1:]):
             if left == "\n":
                 safe = not right[0].isspace()
@@ -86,33 +89,27 @@ class ByteBpe:
                 safe = left[-1].isalnum() != right[0].isalnum()
             if not safe:
                 return self.whole(piece)
-        return b"".join(map(self._part, parts))
-
-    @staticmethod
-    def cut(text: str) -> list[str] | None:
-        """Pieces that may be encoded by themselves, or None."""
-        if not text:
-            return []
-        if _UNSAFE.search(text):
-            return None
-        first, *others = text.split(" ")
-        return [first, *[" " + piece for piece in others]]
+        return b"".join([self[part] for part in parts])
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self.cut(text) for text in texts]
-        if len(self.pieces) >= self.most:
-            self.pieces, self.older = {}, self.pieces
-        if len(self.parts) >= self.most:
-            self.parts = {}
-        held, older = self.pieces, self.older
-        for piece in {p for pieces in cut if pieces for p in pieces if p not in held}:
-            held[piece] = older.get(piece) or self._piece(piece)
-        look = held.__getitem__
-        return [
-            self.whole(text) if pieces is None else b"".join(map(look, pieces))
-            for text, pieces in zip(texts, cut)
-        ]
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        return [self._text(text) for text in texts]
+
+    def _text(self, text: str) -> bytes:
+        pieces = text.split(" ")
+        if "" in pieces:  # spaces in a row or at an end, or no text
+            return self.whole(text)
+        end = b""
+        if pieces[-1][-1].isspace():
+            end = self.whole(" " * (len(pieces) > 1) + pieces.pop())
+        try:
+            first = [self[piece] for piece in pieces[:1]]
+            return b"".join([*first, *map(self.__getitem__, [" " + p for p in pieces[1:]]), end])
+        except UnsafeCut:
+            return self.whole(text)
 
 
 @lru_cache(maxsize=1)
