@@ -52,6 +52,7 @@ ELEMENT_BYTES = 6
 GUESTS = 2_000
 TOGETHER = 1_500_000  # elements of the sets that meet in one place
 BATCH_BYTES = 4 << 20
+BROADCAST_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -59,15 +60,13 @@ class Limits:
     """The order of shingles: the `frequent` most frequent of those seen `least_count` times
     come last, the rest before them by hash. It decides the work, never the result. A list
     of more than `list_rows` is cut for its first walk; `block_rows` is the skipping unit.
-    Open pairs meet at leaders for at most `rounds` rounds, while there are more of them than
-    `dense` for each set."""
+    Open pairs, while there are any, meet at leaders for `rounds` rounds."""
 
     frequent: int = 1 << 18
     least_count: int = 4
     list_rows: int = 20_000
     block_rows: int = 128
-    rounds: int = 4
-    dense: float = 0.1
+    rounds: int = 2
 
 
 def shingles(raw: bytes, hashes: WordHashes) -> np.ndarray:
@@ -474,10 +473,10 @@ def _overlaps(pairs: DataFrame, elements: DataFrame) -> DataFrame:
         F.pmod(F.xxhash64("a"), F.col("cells")).cast("int").alias("cell"),
     )
     elements = _only(elements, guests.select("class").unionByName(pairs.select(F.col("b").alias("class"))))
-    visits = elements.join(guests, "class").select(
+    visits = elements.join(_broadcast_if_small(guests), "class").select(
         "host", "cell", F.lit(1).alias("guest"), "class", "elements"
     )
-    hosts = elements.join(cells.withColumnRenamed("b", "class"), "class").select(
+    hosts = elements.join(_broadcast_if_small(cells.withColumnRenamed("b", "class")), "class").select(
         F.col("class").alias("host"),
         F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"),
         F.lit(0).alias("guest"),
@@ -525,6 +524,11 @@ def _follow(lists: DataFrame) -> DataFrame:
     return _dealt(met.groupBy("class").agg(best).select("class", "best.*"))
 
 
+def _broadcast_if_small(places: DataFrame) -> DataFrame:
+    """Where sets travel to, broadcast if all of it is small; else both sides are shuffled."""
+    return F.broadcast(places) if 40 * places.count() <= BROADCAST_BYTES else places
+
+
 def _dealt(first: DataFrame) -> DataFrame:
     """Followers (class, leader, size) with the cell of their leader they belong to."""
     load = first.groupBy("leader").agg(F.ceil(F.sum("size") / TOGETHER).cast("int").alias("cells"))
@@ -560,7 +564,7 @@ def _stars(follow: DataFrame, elements: DataFrame) -> DataFrame:
     hosts = follow.select(F.col("leader").alias("class"), F.col("leader").alias("host"), "cell").distinct()
     places = guests.unionByName(hosts.withColumn("guest", F.lit(0)))
     by = ["host", "cell"]
-    together = _only(elements, places).join(places, "class").repartition(*by)
+    together = _only(elements, places).join(_broadcast_if_small(places), "class").repartition(*by)
     together = together.sortWithinPartitions(*by, "guest", "class")
 
     def star(names: list[int], sets: list[np.ndarray]) -> list[tuple]:
@@ -686,9 +690,8 @@ def _components(docs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     )
     pairs = _open_pairs(named, limits)
     sizes = staged(lists.groupBy("class").agg(F.max("size").alias("size")), "sizes")
-    known = sizes.count()
     for _ in range(limits.rounds):
-        if pairs.count() <= limits.dense * known:
+        if not pairs.take(1):
             break
         found, pairs = _meet_densest(pairs, sizes, elements)
         links = links.unionByName(found)
