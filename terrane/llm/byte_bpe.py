@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from struct import pack
 
 import numpy as np
 
+from terrane.llm.common import kept_by_worker
+
 END_OF_DOCUMENT = 0
 
 _MARKS = ".,!?;:"
@@ -41,7 +42,7 @@ class ByteBpe(dict):
     `most` new parts at least, and of twice as many at most.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -112,7 +113,6 @@ class ByteBpe(dict):
             return self.whole(text)
 
 
-@lru_cache(maxsize=1)
 def byte_bpe(path: str) -> ByteBpe:
     """The encoder of a worker process; what it remembers serves the tasks that follow."""
-    return ByteBpe(path)
+    return kept_by_worker(ByteBpe, path)

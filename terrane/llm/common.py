@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +65,7 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words, remembered; forgets everything once `most` are held."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 300_000):
         super().__init__()
         self.most = most
 
@@ -79,10 +79,22 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-@lru_cache(maxsize=1)
+_kept: dict[tuple, object] = {}
+
+
+def kept_by_worker(make: Callable, *arguments):
+    """What a worker process remembers from task to task, for one operator at a time: what
+    another one kept before is let go, so that memory stays bounded."""
+    key = (make, *arguments)
+    if key not in _kept:
+        _kept.clear()
+        gc.collect()
+        _kept[key] = make(*arguments)
+    return _kept[key]
+
+
 def word_hashes() -> WordHashes:
-    """The memory of a worker process."""
-    return WordHashes()
+    return kept_by_worker(WordHashes)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

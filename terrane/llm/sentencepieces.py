@@ -5,14 +5,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from terrane.llm.common import batch_rows, documents_of, map_arrow, texts_of
+from terrane.llm.common import batch_rows, documents_of, kept_by_worker, map_arrow, texts_of
 
 SPACE = "▁"  # what a space is written as inside pieces
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
@@ -184,10 +183,13 @@ class Encoder:
         return [list(chain.from_iterable(map(look, pieces))) for pieces in cut], new
 
 
-@lru_cache(maxsize=1)
+def _encoder(model_path: str) -> Encoder:
+    return Encoder(MergeVocabulary(model_path))
+
+
 def worker_encoder(model_path: str) -> Encoder:
     """The encoder of a worker process; what it remembers serves the tasks that follow."""
-    return Encoder(MergeVocabulary(model_path))
+    return kept_by_worker(_encoder, model_path)
 
 
 def encode_texts(encoder: Encoder, texts: list[str]) -> list[list[int]]:

@@ -105,20 +105,18 @@ def fit_member(
     makes the second part negative, a step is made against it instead. Adagrad steps, and
     shrinkage that leaves weights without evidence at zero.
     """
-    texts = positive + unlabelled
-    found, at = np.unique(np.concatenate(texts), return_inverse=True)
-    n_p, n_all = len(positive), len(texts)
-    counts = np.bincount(at, minlength=len(found))
-    in_p = np.bincount(at[: sum(map(len, positive))], minlength=len(found))
+    n_p, n_all = len(positive), len(positive) + len(unlabelled)
+    in_p = np.bincount(np.concatenate(positive), minlength=BUCKETS)
+    counts = in_p + np.bincount(np.concatenate(unlabelled), minlength=BUCKETS)
     share = counts / n_all
     spread = np.sqrt(share * (1 - share) * (1 / n_p + 1 / (n_all - n_p)))
     apart = np.abs(in_p / n_p - (counts - in_p) / (n_all - n_p)) >= learning.least_deviations * spread
-    used = found[apart & (counts >= learning.least_texts) & (spread > 0)]
+    used = np.flatnonzero(apart & (counts >= learning.least_texts) & (spread > 0))
+    place = np.full(BUCKETS, -1, np.int64)
+    place[used] = np.arange(len(used))
 
     def compact(rows: list[np.ndarray]) -> _Rows:
-        at = [np.searchsorted(used, row) for row in rows]
-        at = [np.minimum(a, max(len(used) - 1, 0)) for a in at]
-        return _Rows([a[used[a] == row] if len(used) else a[:0] for a, row in zip(at, rows)])
+        return _Rows([at[at >= 0] for at in (place[row] for row in rows)])
 
     p_rows, u_rows = compact(positive), compact(unlabelled)
     weights, bias = np.zeros(len(used)), np.log(prior / (1 - prior))
@@ -212,7 +210,7 @@ def learn(docs: DataFrame, labels: DataFrame, learning: Learning = Learning()) -
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         lists = {
-            toxic: [np.frombuffer(raw, "<u4").astype(np.int64) for raw in rows.features[rows.toxic == toxic]]
+            toxic: [np.frombuffer(raw, "<u4").astype(np.int32) for raw in rows.features[rows.toxic == toxic]]
             for toxic in (0, 1)
         }
         member = int(rows.member.iloc[0])
@@ -244,7 +242,7 @@ class Scorer(dict):
         self.model = model
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         weights = self.model.weights
         self[word] = found = tuple(b for b in word_features(word) if b in weights)
