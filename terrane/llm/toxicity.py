@@ -132,13 +132,13 @@ def fit_member(
             p_prob, u_prob = _sigmoid(p.scores(weights, bias)), _sigmoid(u.scores(weights, bias))
             clean = np.mean(-np.log1p(-np.minimum(u_prob, 1 - 1e-12)))
             clean -= prior * np.mean(-np.log1p(-np.minimum(p_prob, 1 - 1e-12)))
-            n_p, n_u = len(p_prob), len(u_prob)
+            p_batch, u_batch = len(p_prob), len(u_prob)
             if clean >= 0:
-                p_slope = prior * (p_prob - 1) / n_p - prior * p_prob / n_p
-                u_slope = u_prob / n_u
+                p_slope = prior * (p_prob - 1) / p_batch - prior * p_prob / p_batch
+                u_slope = u_prob / u_batch
             else:
-                p_slope = learning.give_back * prior * p_prob / n_p
-                u_slope = -learning.give_back * u_prob / n_u
+                p_slope = learning.give_back * prior * p_prob / p_batch
+                u_slope = -learning.give_back * u_prob / u_batch
             slope = p.gradient(p_slope, len(used)) + u.gradient(u_slope, len(used))
             squares += slope**2
             step = learning.rate / np.sqrt(squares)

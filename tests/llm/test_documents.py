@@ -13,7 +13,7 @@ from terrane.llm.jaccard_join import Limits, jaccard_components, keep_one
 from terrane.llm.pii import KINDS, personal_data, redact
 from terrane.llm.quality import Bands, keep_quality, outside, quality
 from terrane.llm.sharding import Block, minimax_cuts, shard
-from terrane.llm.toxicity import drop_toxic, learn, score_toxicity
+from terrane.llm.toxicity import BUCKETS, Learning, drop_toxic, fit_member, learn, score_toxicity
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -209,6 +209,23 @@ def test_toxicity(spark, odd, nothing):
     assert {row.score for row in none} == {0.0}
 
 
+@pytest.mark.parametrize("confirmed, missed, share", [(900, 0.02, 1 / 30), (3000, 0.02, 0.02), (3000, 0.04, 0.04)])
+def test_threshold_follows_missed(confirmed, missed, share):
+    random = np.random.default_rng(0)
+
+    def text(most):
+        signs = random.integers(0, 200, random.integers(2, most)) if most else []
+        return np.unique(np.concatenate([signs, random.integers(1000, 1400, 5)])).astype(np.int64)
+
+    positive = [text(30) for _ in range(confirmed)]
+    unlabelled = [text(0) for _ in range(2160)] + [text(30) for _ in range(240)]
+    used, known, bias = fit_member(positive, unlabelled, 0.1, Learning(missed=missed), 1)
+    weights = np.zeros(BUCKETS)
+    weights[used] = known
+    scores = np.array([weights[row].sum() + bias for row in positive])
+    assert bias < 0 and abs((scores < -1e-9).mean() - share) < 0.005
+
+
 # --- sharding --------------------------------------------------------------------------------
 
 
