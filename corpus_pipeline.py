@@ -10,14 +10,14 @@ from terrane.llm.common import staged
 from terrane.llm.jaccard_join import keep_one
 from terrane.llm.packing import pack
 from terrane.llm.pii import redact
-from terrane.llm.quality import keep_quality
+from terrane.llm.quality import keep_quality, learn_bands
 from terrane.llm.toxicity import drop_toxic, learn
 from terrane.session import prepare
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return keep_quality(docs)
+    """Documents that the quality rules keep, with limits learnt on those labelled clean."""
+    return keep_quality(docs, learn_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def by_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

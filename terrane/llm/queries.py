@@ -13,7 +13,7 @@ from terrane.llm.jaccard_join import jaccard_components
 from terrane.llm.neighbours import nearest_neighbours
 from terrane.llm.packing import pack
 from terrane.llm.pii import personal_data
-from terrane.llm.quality import quality
+from terrane.llm.quality import learn_bands, quality
 from terrane.llm.sentencepieces import sentence_pieces
 from terrane.llm.sharding import shard
 from terrane.llm.token_files import token_files
@@ -123,7 +123,8 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_quality")
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(table(spark, sf_dir, "documents")).drop("ratio", "bad_chunk_share")
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality(docs, learn_bands(docs, labels)).drop("ratio", "bad_chunk_share")
 
 
 @query("op9_toxicity")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -11,7 +12,7 @@ import zstandard
 
 from terrane.llm.jaccard_join import Limits, jaccard_components, keep_one
 from terrane.llm.pii import KINDS, personal_data, redact
-from terrane.llm.quality import Bands, keep_quality, outside, quality
+from terrane.llm.quality import Bands, Judge, beyond, keep_quality, learn_bands, outside, quality
 from terrane.llm.sharding import Block, minimax_cuts, shard
 from terrane.llm.toxicity import BUCKETS, Learning, drop_toxic, fit_member, learn, score_toxicity
 
@@ -59,6 +60,48 @@ def test_quality(documents, odd, nothing):
     assert quality(nothing).count() == keep_quality(nothing).count() == 0
 
 
+SIZES = (250, 600, 1_500, 3_000, 8_000, 30_000)
+
+
+def junk_of(size, random):
+    """Base64 in lines and in short words, and prose of which half says one thing over."""
+    raw = base64.b64encode(random.bytes(size))[:size].decode()
+    yield "\n".join(raw[k : k + 76] for k in range(0, size, 76))
+    yield " ".join(raw[k : k + 7] for k in range(0, size, 8))
+    yield prose(size // 2, random) + "on and on and on " * (size // 34)
+
+
+def prose(size, random):
+    letters = np.array(list("eeeetttaaoooiinnsshhrrddlucmwfgypbvk"))
+    if not hasattr(prose, "words"):
+        fixed = np.random.default_rng(5)
+        prose.words = np.array(["".join(fixed.choice(letters, fixed.integers(2, 9))) for _ in range(3000)])
+    rank = np.minimum(random.zipf(1.3, size // 3), 3000) - 1
+    return " ".join(prose.words[rank])[:size]
+
+
+def test_limits_from_clean_texts(spark):
+    random = np.random.default_rng(3)
+    clean = [prose(int(200 * 2 ** random.uniform(0, 7.5)), random) for _ in range(1500)]
+    docs = spark.createDataFrame(list(enumerate(clean)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1) for k in range(1500)] + [(0, None), (None, 1)], "doc_id long, quality int")
+    bands = learn_bands(docs, labels)
+    judge = Judge(bands)
+    for size in SIZES:
+        assert not any(judge(text.encode())[-1] for text in junk_of(size, random)), size
+    kept = [judge(text.encode())[-1] for k, text in enumerate(clean) if zlib.crc32(str(k).encode()) % 5 == 0]
+    assert np.mean(kept) > 0.97
+    for size in (1_024, 2_000, 4_096):  # chunks are judged by limits of their own
+        for text in list(junk_of(size, random))[:2]:
+            assert beyond(judge.ratio(text.encode()), size, bands.chunk)
+    mixed = prose(12_288, random) + next(junk_of(4_096, random))  # one chunk in four
+    assert not judge(mixed.encode())[-1] and judge(mixed.encode())[-2] == 0.25
+    assert learn_bands(docs, labels.limit(0)) == learn_bands(docs.limit(0), labels) == Bands()
+    general = Judge(Bands())
+    for size in SIZES[1:]:
+        assert not any(general(text.encode())[-1] for text in list(junk_of(size, random))[:2]), size
+
+
 # --- personal data ----------------------------------------------------------------------
 
 PATTERNS = {  # as the contract states them
