@@ -59,17 +59,24 @@ _PACKED = "node long, packed binary"
 
 
 def _packed(nodes: DataFrame) -> DataFrame:
-    """(node, packed): vectors scaled to at most one, in half precision.
+    """(node, packed): vectors in single precision, for the choice of the graph only; results
+    are measured on the vectors themselves.
 
-    The graph is chosen on these; results are measured on the vectors themselves.
+    All are scaled by one power of two, which single precision bears without loss, so that
+    the median vector's largest component is about one: few rows far off change nothing.
     """
-    most = nodes.agg(F.max(F.array_max(F.transform("vector", F.abs)))).first()[0]
+    largest = F.array_max(F.transform("vector", F.abs))
+    middle = nodes.agg(F.percentile_approx(largest, 0.5, 1000)).first()[0]
+    shift = -int(np.frexp(middle)[1])
+    most = float(np.finfo(np.float32).max)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                half = (_matrix(batch.column("vector")) / most).astype(np.float16)
-                packed = pa.array([row.tobytes() for row in half], pa.binary())
+                with np.errstate(over="ignore"):
+                    scaled = np.ldexp(_matrix(batch.column("vector")), shift)
+                single = np.clip(scaled, -most, most).astype(np.float32)
+                packed = pa.array([row.tobytes() for row in single], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("node"), packed], ["node", "packed"])
 
     return staged(map_arrow(nodes, run, _PACKED), "packed")
@@ -85,15 +92,16 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]
             column = batch.column(name)
             if name == "packed":
                 raw = b"".join(column.to_pylist())
-                chunk[name] = np.frombuffer(raw, np.float16).reshape(len(column), -1)
+                chunk[name] = np.frombuffer(raw, np.float32).reshape(len(column), -1)
             else:
                 chunk[name] = column.to_numpy(zero_copy_only=False)
         yield chunk
 
 
 def _squares(vectors: np.ndarray) -> np.ndarray:
-    """Squared distances among rows; from a row to itself it is infinite."""
-    wide = vectors.astype(np.float32)
+    """Squared distances among rows; from a row to itself it is infinite. In double precision,
+    which neither overflows nor loses small gaps beside large norms."""
+    wide = vectors.astype(np.float64)
     norms = (wide**2).sum(axis=1)
     squares = np.maximum(norms[:, None] + norms[None, :] - 2 * wide @ wide.T, 0)
     np.fill_diagonal(squares, np.inf)
@@ -120,7 +128,7 @@ def _leaf_edges(packed: DataFrame, count: int, dimensions: int, graph: Graph) ->
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, chunk in ((batch, next(_chunks([batch]))) for batch in batches if batch.num_rows):
             for tree in range(graph.trees):
-                signs = chunk["packed"].astype(np.float32) @ planes[tree] > 0
+                signs = chunk["packed"].astype(np.float64) @ planes[tree] > 0
                 cell = (signs[:, :bits] * (1 << np.arange(bits))).sum(axis=1).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(cell), tree, np.int32)), pa.array(cell), *batch.columns],

@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from terrane.llm.neighbours import Graph, nearest_neighbours
 from terrane.llm.queries import URL_RULES
@@ -85,6 +86,20 @@ def test_neighbours_of_a_random_table(spark):
     assert hits >= 0.95 * 10 * len(by_query)
 
 
+@pytest.mark.parametrize("far", [1e9, 1e200])
+def test_neighbours_beside_a_far_vector(spark, far):
+    random = np.random.default_rng(2)
+    centres = random.standard_normal((60, 16))
+    vectors = (centres[random.integers(0, 60, 3000)] + 0.3 * random.standard_normal((3000, 16))).round(4)
+    rows = [(k, row) for k, row in enumerate(vectors.tolist())]
+    table = spark.createDataFrame([*rows, (5000, [far] + [0.5] * 15)], "vec_id long, embedding array<double>")
+    graph = Graph(degree=8, trees=3, leaf=80, rounds=3, beam=20, steps=3)  # sees a small part of the table
+    found = nearest_neighbours(table, table.filter("vec_id % 50 = 0 AND vec_id < 3000"), 10, graph=graph).collect()
+    truth = {k: {near for near, _ in exact(rows, k, 10)} for k in range(0, 3000, 50)}
+    assert len(found) == 600
+    assert sum(row.vec_id in truth[row.query_id] for row in found) >= 0.9 * 600
+
+
 def test_neighbours_of_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert nearest_neighbours(spark.createDataFrame([], schema), spark.createDataFrame([(1,)], "vec_id long")).count() == 0
