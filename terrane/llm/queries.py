@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrane.llm.fill_in_middle import fill_in_middle, restore
 from terrane.llm.jaccard_join import jaccard_components
 from terrane.llm.neighbours import nearest_neighbours
 from terrane.llm.packing import pack
@@ -137,3 +138,40 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(
+    "op13_fill_in_middle",
+    r"""
+    WITH u AS (
+        SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''),
+                   '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+               sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS digest
+        FROM documents),
+    h AS (
+        SELECT *, len(units) AS n, ('0x' || digest[1:8])::BIGINT AS h1, ('0x' || digest[9:16])::BIGINT AS h2,
+               ('0x' || digest[17:24])::BIGINT AS h3, ('0x' || digest[25:32])::BIGINT AS h4
+        FROM u),
+    c AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+               CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 50 THEN 'plain'
+                    WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+        FROM h),
+    p AS (
+        SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+               array_to_string(units[b + 1:n], '') AS suffix
+        FROM c)
+    SELECT doc_id, n::BIGINT AS n, form,
+           CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text
+                            WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM p""",
+)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = restore(fill_in_middle(table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80))
+    digests = [F.sha2(F.col(name).cast("binary"), 256).alias(f"{name}_sha256") for name in ("output", "restored")]
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
