@@ -63,16 +63,22 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, remembered; forgets everything once `most` are held."""
+    """64-bit hashes of words, remembered; forgets everything once `most` are held.
 
-    def __init__(self, most: int = 300_000):
+    Words over `longest` bytes are hashed anew each time, so what is held is bounded in bytes
+    too, also where texts have no spaces.
+    """
+
+    def __init__(self, most: int = 300_000, longest: int = 64):
         super().__init__()
-        self.most = most
+        self.most, self.longest = most, longest
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, words: Sequence[bytes]) -> np.ndarray:
@@ -115,6 +121,50 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
+class KeyFilter:
+    """A Bloom filter of a frame's 64-bit keys: 32 bits a key and three probes, which pass one
+    other key in 1,500. It never takes more than `most` bytes; past 8 keys a byte of it passes
+    more, up to all, which costs work behind it but no result."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    @classmethod
+    def of(cls, frame: DataFrame, column: str, most: int = 16 << 20) -> KeyFilter:
+        keys = frame.select(F.col(column).cast("long").alias("key")).filter("key IS NOT NULL")
+        bits = min(8 * most, 1 << max(12, (32 * keys.count()).bit_length()))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = cls(np.zeros(bits // 64, np.uint64))
+            for batch in batches:
+                key = batch.column(0).to_numpy().astype(np.uint64)
+                for _ in range(3):
+                    key, word, bit = part.probe(key)
+                    np.bitwise_or.at(part.words, word, np.uint64(1) << bit)
+            used = np.flatnonzero(part.words)
+            columns = [pa.array(used, pa.int64()), pa.array(part.words[used].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "bits"])
+
+        parts = map_arrow(keys, run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+        whole, words = parts.toArrow(), np.zeros(bits // 64, np.uint64)
+        words[whole["word"].to_numpy()] = whole["bits"].to_numpy().astype(np.uint64)
+        return cls(words)
+
+    def probe(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys = mixed(keys)
+        place = keys & np.uint64(64 * len(self.words) - 1)
+        return keys, (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
+
+    def found(self, keys: np.ndarray) -> np.ndarray:
+        """Where the keys are, perhaps, that the filter was made of."""
+        at = np.arange(len(keys))
+        for _ in range(3):
+            keys, word, bit = self.probe(keys)
+            held = (self.words[word] >> bit) & np.uint64(1) > 0
+            at, keys = at[held], keys[held]
+        return at
+
+
 def batch_rows(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The same batches, cut so that none holds much more than `most_bytes`."""
     for batch in batches:

@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrane.llm.decontamination import contamination
 from terrane.llm.fill_in_middle import fill_in_middle, restore
 from terrane.llm.jaccard_join import jaccard_components
 from terrane.llm.neighbours import nearest_neighbours
@@ -140,6 +141,54 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query(
+    "op11_decontamination",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+    i AS (SELECT item_id, w, least(10, len(w)) AS size FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+    item_windows AS (
+        SELECT DISTINCT item_id, size, array_to_string(w[k:k + size - 1], ' ') AS words
+        FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k FROM i WHERE size > 0)),
+    sizes AS (SELECT DISTINCT size FROM item_windows),
+    doc_windows AS (
+        SELECT r, k, size, array_to_string(w[k:k + size - 1], ' ') AS words
+        FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS k
+              FROM d JOIN sizes ON len(w) >= size)),
+    hits AS (SELECT r, k, size, item_id FROM doc_windows JOIN item_windows USING (size, words)),
+    words_hit AS (
+        SELECT r, count(DISTINCT place) AS n_hit
+        FROM (SELECT r, unnest(range(k, k + size)) AS place FROM (SELECT DISTINCT r, k, size FROM hits))
+        GROUP BY r),
+    items_hit AS (
+        SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+           coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words_hit USING (r) LEFT JOIN items_hit USING (r)""",
+)
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    listed = F.array_join("item_ids", ",").cast("binary")
+    sets = found.item_sets.select(
+        F.col("item_set").alias("key"), F.size("item_ids").alias("n_items"), F.sha2(listed, 256).alias("items_sha256")
+    )
+    # Documents without a hit have no set; their ids keep them from meeting in one task.
+    keyed = found.documents.withColumn("key", F.coalesce("item_set", F.col("doc_id").cast("string")))
+    return keyed.join(sets, "key", "left").select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(b""), 256)).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query(
     "op13_fill_in_middle",
     r"""
