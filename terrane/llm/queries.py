@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrane.llm.centroids import cluster_vectors
 from terrane.llm.decontamination import contamination
 from terrane.llm.fill_in_middle import fill_in_middle, restore
 from terrane.llm.jaccard_join import jaccard_components
@@ -189,6 +190,45 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _clustering_sql(clusters: int, dimensions: int, rounds: int, seed: int) -> str:
+    """Every round written out: distances to all centroids, then floored means by component."""
+    parts = [
+        f"""
+    v AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS p
+        FROM embeddings
+        WHERE len(embedding) = {dimensions} AND len([x FOR x IN embedding IF isfinite(x)]) = {dimensions}),
+    c0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')), p) - 1 AS c, p
+        FROM v QUALIFY c < {clusters})"""
+    ]
+    square = f"list_sum([(v.p[j] - c.p[j]) * (v.p[j] - c.p[j]) FOR j IN range(1, {dimensions + 1})])"
+    for k in range(rounds + 1):
+        parts.append(f"""
+    a{k} AS MATERIALIZED (
+        SELECT v.r, min({{'d': {square}::BIGINT, 'c': c.c}}) AS best FROM v, c{k} AS c GROUP BY v.r)""")
+        if k < rounds:
+            parts.append(f"""
+    s{k} AS (
+        SELECT best.c AS c, j, sum(p[j]) AS s, count(*) AS n
+        FROM a{k} JOIN v USING (r), range(1, {dimensions} + 1) AS t(j) GROUP BY ALL),
+    m{k} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS p FROM s{k} GROUP BY c),
+    c{k + 1} AS MATERIALIZED (SELECT c, coalesce(m{k}.p, c{k}.p) AS p FROM c{k} LEFT JOIN m{k} USING (c))""")
+    return f"""
+    WITH {",".join(parts)}
+    SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance,
+           (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia,
+           (sum(best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.p, ',')) AS centroid_sha256
+    FROM a{rounds} JOIN v USING (r) JOIN c{rounds} ON best.c = c{rounds}.c"""
+
+
+@query("op12_centroid_clustering", _clustering_sql(8, 64, 10, 3))
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster_vectors(table(spark, sf_dir, "embeddings"), clusters=8, dimensions=64, rounds=10, seed=3)
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    return found.described().withColumn("centroid_sha256", digest).drop("centroid")
+
+
 @query(
     "op13_fill_in_middle",
     r"""
