@@ -25,6 +25,8 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """Names of the files right inside a folder, without hidden ones and markers."""
     fs, handle = _locate(spark, path)
+    if not fs.exists(handle):
+        return []
     listed = (s.getPath().getName() for s in fs.listStatus(handle) if s.isFile())
     return sorted(name for name in listed if not name.startswith((".", "_")))
 

@@ -6,10 +6,10 @@ as one new segment; an append adds a segment to the newest version. Spark's own
 readable, and re-running a named segment replaces it. ``v=<n>/_schema.json`` holds the
 columns of the version, so neither a read nor an append has to look into file footers.
 
-Packing small files adds a segment too; ``v=<n>/_packs/<segment>.json`` names the files it
-stands for, which count no more once it is visible. So appends and packing may overlap: an
-append never lands in a version that packing leaves behind. An append that finds itself
-behind an overwrite moves its segment into the newer version.
+Packing writes segments of small files as one new segment; ``v=<n>/_packs/<segment>.json``
+names the segments it stands for, which count no more once it is visible. Of two packings that
+overlap only the first counts, so each row is read once whoever else packs or appends. An
+append that finds itself behind an overwrite moves its segment into the newer version.
 """
 
 from __future__ import annotations
@@ -61,37 +61,45 @@ def live_segments(spark: SparkSession, table: str) -> list[str]:
     for version in reversed(_versions(spark, table)):
         segments = complete_segments(spark, table, version)
         if segments:
-            return segments
+            return unpacked(segments, packs(spark, segments))[0]
     return []
 
 
 def packs(spark: SparkSession, segments: Sequence[str]) -> dict[str, dict]:
     """What each visible packed segment of a version stands for."""
-    found = {}
-    for segment in segments:
-        root, _, name = segment.rpartition("/")
-        if name.startswith(PACKED):
-            found[segment] = json.loads(paths.read_text(spark, f"{root}/_packs/{name}.json") or "{}")
-    return found
-
-
-def live_paths(spark: SparkSession, table: str) -> list[str]:
-    """Folders of whole segments, and files of segments of which a part has been packed."""
-    segments = live_segments(spark, table)
-    replaced: dict[str, set[str]] = {}
-    for pack in packs(spark, segments).values():
-        for file in pack.get("files", ()):
-            segment, _, name = file.rpartition("/")
-            replaced.setdefault(segment, set()).add(name)
-    live = []
-    for segment in segments:
-        gone = replaced.get(segment.rsplit("/", 1)[1])
-        if gone is None:
-            live.append(segment)
+    packed = [segment for segment in segments if segment.rpartition("/")[2].startswith(PACKED)]
+    return {segment: json.loads(paths.read_text(spark, _record(segment)) or "{}") for segment in packed}
+
+
+def _record(segment: str) -> str:
+    root, _, name = segment.rpartition("/")
+    return f"{root}/_packs/{name}.json"
+
+
+def unpacked(segments: Sequence[str], known: dict[str, dict]) -> tuple[list[str], list[str]]:
+    """The segments that hold each row once, and the packed ones that count.
+
+    A packing counts if all it stands for is there and no earlier one stands for any of it;
+    one that does not count is left out, as its rows are in others. Names sort a packing
+    behind those it has read. Once removal has settled a packing it counts in any case.
+    """
+    names = {segment.rpartition("/")[2]: segment for segment in segments}
+    gone: set[str] = set()
+    counted = []
+    for segment in sorted(known, key=lambda one: (not known[one].get("settled"), one)):
+        members, name = set(known[segment].get("segments", ())), segment.rpartition("/")[2]
+        if known[segment].get("settled") or name in gone or (members <= set(names) and not members & gone):
+            gone |= members
+            counted.append(segment)
         else:
-            names = paths.data_files(spark, segment)
-            live += [f"{segment}/{name}" for name in names if name not in gone]
-    return live
+            gone.add(name)
+    return [segment for name, segment in names.items() if name not in gone], counted
+
+
+def settle(spark: SparkSession, segment: str) -> None:
+    """Make a packing count for good, before what it stands for is removed."""
+    record = json.loads(paths.read_text(spark, _record(segment)) or "{}")
+    paths.write_text(spark, _record(segment), json.dumps({**record, "settled": True}))
 
 
 def is_table(spark: SparkSession, table: str) -> bool:
@@ -106,9 +114,9 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     """Newest complete version of a table, a catalog table, or a plain Parquet path."""
     if "/" not in table and spark.catalog.tableExists(table):
         return spark.table(table)
-    live = live_paths(spark, table)
+    live = live_segments(spark, table)
     if live:
-        return _read_paths(spark, live, _version_of(live_segments(spark, table)[0]))
+        return _read_paths(spark, live, _version_of(live[0]))
     if paths.exists(spark, f"{table}/_delta_log"):
         return spark.read.format("delta").load(table)
     return spark.read.parquet(table)
@@ -131,7 +139,7 @@ def table_bytes(spark: SparkSession, table: str) -> int:
     if "/" not in table and spark.catalog.tableExists(table):
         estimate = estimated_bytes(spark.table(table))
         return estimate if estimate < _UNKNOWN_BYTES else 0
-    return sum(paths.total_bytes(spark, path) for path in live_paths(spark, table) or [table])
+    return sum(paths.total_bytes(spark, path) for path in live_segments(spark, table) or [table])
 
 
 def merge_schemas(existing: T.StructType, incoming: T.StructType) -> T.StructType:
@@ -211,7 +219,7 @@ def write_table(
 
 def _known_schema(spark: SparkSession, table: str, version: str) -> T.StructType:
     known = _recorded_schema(spark, version)
-    return known or _read_paths(spark, live_paths(spark, table), version).schema
+    return known or _read_paths(spark, live_segments(spark, table), version).schema
 
 
 def _keep_up(
@@ -232,22 +240,18 @@ def _keep_up(
         root = newest
 
 
-def pack_files(spark: SparkSession, table: str, files: Sequence[str]) -> int:
-    """Write the rows of the given live files as one new segment that stands for them."""
-    live = live_segments(spark, table)
-    root = _version_of(live[0])
-    relative = [file[file.rindex("/v=") :].split("/", 2)[2] for file in files]
-    names = {file.split("/", 1)[0] for file in relative}
-    known = packs(spark, live)
-    merged = _merged(spark, live)
-    for name in sorted(names):
+def pack_segments(spark: SparkSession, table: str, segments: Sequence[str]) -> int:
+    """Write the rows of the given live segments as one new segment that stands for them."""
+    root = _version_of(segments[0])
+    names = sorted(segment.rpartition("/")[2] for segment in segments)
+    merged = _merged(spark, segments)
+    for name in names:
         if name.startswith(BATCH):
             merged[_stem(name)] = max(name, merged.get(_stem(name), ""))
-    name = f"{PACKED}{uuid.uuid4().hex}"
-    kept = [file for pack in known.values() for file in pack.get("files", ())]
-    pack = {"files": sorted({*kept, *relative}), "merged": merged}
-    paths.write_text(spark, f"{root}/_packs/{name}.json", json.dumps(pack))
-    return write_counted(_read_paths(spark, files, root), f"{root}/{name}")
+    taken = (int(name.split("-")[1]) for name in paths.data_files(spark, f"{root}/_packs"))
+    packed = f"{root}/{PACKED}{max(taken, default=0) + 1:09d}-{uuid.uuid4().hex}"
+    paths.write_text(spark, _record(packed), json.dumps({"segments": names, "merged": merged}))
+    return write_counted(_read_paths(spark, segments, root), packed)
 
 
 def _next_version(spark: SparkSession, table: str) -> str:

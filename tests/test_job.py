@@ -11,7 +11,7 @@ from terrane.operators.runlog import latest_run, latest_run_id, of_latest_run
 from terrane.operators.upkeep import (
     compact,
     maintain,
-    small_files,
+    small_segments,
     remove_stale,
     stale_files,
     stale_segments,
@@ -20,7 +20,7 @@ from terrane.plans.layers import run_gold_scoring, run_scoring, run_training
 from terrane.plans.spec import parse_spec
 from terrane.session import layout_for, scratch_path, shared_root
 from terrane.sources import paths
-from terrane.sources.tables import history, live_segments, read_table, write_table
+from terrane.sources.tables import history, live_segments, pack_segments, read_table, write_table
 
 SPEC = """
 pipeline_name: people
@@ -195,7 +195,7 @@ def test_compaction_keeps_rows_and_skips_packed_tables(spark):
     assert compact(spark, table)
     assert sorted(map(str, read_table(spark, table).collect())) == before
     assert len(read_table(spark, table).inputFiles()) == 1
-    assert not small_files(spark, table, 1 << 28) and not compact(spark, table)
+    assert not small_segments(spark, table, 1 << 28) and not compact(spark, table)
     plan = spark.conf.get("spark.sql.files.maxPartitionBytes")
     assert plan != str(256 * 1024 * 1024)
 
@@ -251,6 +251,65 @@ def test_appends_during_packing_and_overwrites_are_kept(spark, monkeypatch):
     assert sorted(map(tuple, read_table(spark, table).collect())) == [(30, None), (40, "x")]
 
 
+def test_overlapping_packings_count_once(spark, monkeypatch):
+    """Two at a time, on the same segments and on more; then removal, and a late third."""
+    table = scratch_path(spark, "twice")
+    for n in range(8):
+        write_table(spark.range(n * 125, n * 125 + 125), table, "append")
+    live = live_segments(spark, table)
+    for _ in range(2):
+        assert pack_segments(spark, table, live) == 1000
+        assert read_table(spark, table).count() == 1000
+    write_table(spark.range(1000, 1100), table, "append")
+    # A packing that read the first four is overtaken by one of all, and by the removal.
+    from terrane.sources import tables
+
+    real, late = tables.write_counted, []
+
+    def overtaken(df, path):
+        monkeypatch.setattr(tables, "write_counted", real)
+        compact(spark, table)
+        assert read_table(spark, table).distinct().count() == read_table(spark, table).count() == 1100
+        remove_stale(spark, table, 0)
+        assert read_table(spark, table).count() == 1100
+        late.append(path)
+        return spark.range(7).write.parquet(path)  # whatever it holds, it comes too late
+
+    monkeypatch.setattr(tables, "write_counted", overtaken)
+    pack_segments(spark, table, live_segments(spark, table)[-2:])
+    assert late and sorted(r.id for r in read_table(spark, table).collect()) == list(range(1100))
+    assert remove_stale(spark, table, 0) == 1 and remove_stale(spark, table, 0) == 0
+    assert sorted(r.id for r in read_table(spark, table).collect()) == list(range(1100))
+
+
+def test_a_packing_of_packings(spark):
+    table = scratch_path(spark, "nested")
+    for n in range(4):
+        write_table(spark.range(n, n + 1), table, "append")
+    one, two, three, four = live_segments(spark, table)
+    pack_segments(spark, table, [one, two])
+    packed = [s for s in live_segments(spark, table) if "packed-" in s]
+    pack_segments(spark, table, [*packed, three])
+    pack_segments(spark, table, [two, four])  # overlaps the first: does not count
+    for _ in range(3):
+        assert sorted(r.id for r in read_table(spark, table).collect()) == [0, 1, 2, 3]
+        remove_stale(spark, table, 0)
+    assert len(live_segments(spark, table)) == 2
+
+
+def test_run_tables_tidied_by_two_jobs(spark, monkeypatch):
+    monkeypatch.setattr(runlog, "_MAX_SEGMENTS", 2)
+    log = runlog.RunLog(spark, scratch_path(spark, "runs"), "e")
+    for status in ("RUNNING", "FAILED", "RUNNING", "FINISHED"):
+        log.status(status)
+    pack_segments(spark, log.table("runs"), live_segments(spark, log.table("runs")))
+    log.tidy()
+    log.status("RUNNING")
+    log.status("FINISHED")
+    log.tidy()
+    assert read_table(spark, log.table("runs")).count() == 6
+
+
 def test_stale_files_wait_for_the_retention(spark):
     table = scratch_path(spark, "stale")
     for n in (3, 2, 1):
