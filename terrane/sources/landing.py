@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,8 +44,10 @@ def read_landing(
     return reader.load(pattern)
 
 
-def with_lineage(df: DataFrame) -> DataFrame:
+def lineage() -> dict[str, Column]:
     """When each row was ingested, and from which file."""
-    return df.withColumns(
-        {INGESTED_AT: F.current_timestamp(), SOURCE_FILE: F.col("_metadata.file_path")}
-    )
+    return {INGESTED_AT: F.current_timestamp(), SOURCE_FILE: F.col("_metadata.file_path")}
+
+
+def with_lineage(df: DataFrame) -> DataFrame:
+    return df.withColumns(lineage())

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _locate(spark: SparkSession, path: str):
@@ -60,6 +66,54 @@ def rename(spark: SparkSession, path: str, target: str) -> None:
         raise OSError(f"cannot move {path} to {target}")
 
 
+def move_files(files: DataFrame, folder: str, prefix: str) -> None:
+    """Move files (url, modification time in ms, length) that are still as listed into a folder.
+
+    Tasks move them, through Arrow's file systems, to `<prefix>-<hash of the url>-<name>`; one
+    that has moved already, in a first attempt, is left alone. Stores that Arrow cannot open
+    are worked on from the driver instead, file by file.
+    """
+    spark = files.sparkSession
+    target = qualified(spark, folder)
+    _, handle = _locate(spark, folder)
+    handle.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(handle)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+        from urllib.parse import unquote
+
+        import pyarrow
+        from pyarrow.fs import FileSystem
+
+        for batch in batches:
+            moved = 0
+            for url, modified, length in zip(*(column.to_pylist() for column in batch.columns)):
+                store, path = FileSystem.from_uri(url)
+                _, goal = FileSystem.from_uri(target)
+                found = store.get_file_info(path)
+                if found.is_file and found.size == length and found.mtime_ns // 1_000_000 == modified:
+                    digest = hashlib.md5(url.encode()).hexdigest()[:8]
+                    store.move(path, f"{goal}/{prefix}-{digest}-{unquote(url.rsplit('/', 1)[1])}")
+                    moved += 1
+            yield pyarrow.RecordBatch.from_pydict({"moved": [moved]})
+
+    try:
+        arrow_fs.FileSystem.from_uri(target)
+    except (OSError, ValueError, NotImplementedError):
+        for url, modified, length in files.toLocalIterator():
+            path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(url)).toString()
+            if (path, modified, length) in matching_files(spark, escaped(path)):
+                digest = hashlib.md5(url.encode()).hexdigest()[:8]
+                rename(spark, path, f"{target}/{prefix}-{digest}-{path.rsplit('/', 1)[1]}")
+    else:
+        files.mapInArrow(move, "moved long").agg({"moved": "sum"}).collect()
+
+
+def escaped(path: str) -> str:
+    """A path as a pattern that only it matches."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def matches_any(spark: SparkSession, pattern: str) -> bool:
     fs, handle = _locate(spark, pattern)
     found = fs.globStatus(handle)

@@ -217,7 +217,7 @@ def test_a_sweep_that_died_is_taken_up(spark, landing, tmp_path, monkeypatch):
     from terrane.streaming import ingest
 
     table, archive, spec = archived(spark, landing, tmp_path)
-    real_write, real_rename = ingest.write_table, ingest.paths.rename
+    real_write = ingest.write_table
 
     def die(*args, **kwargs):
         raise RuntimeError("lost")
@@ -230,7 +230,7 @@ def test_a_sweep_that_died_is_taken_up(spark, landing, tmp_path, monkeypatch):
         [
             (ingest, "write_table", die),
             (ingest, "write_table", write_and_die),
-            (ingest.paths, "rename", die),
+            (ingest.paths, "move_files", die),
         ]
     ):
         put(landing, "a.csv", f"id\n{number}\n")
@@ -241,7 +241,62 @@ def test_a_sweep_that_died_is_taken_up(spark, landing, tmp_path, monkeypatch):
         run_bronze(spark, [spec])
         assert sorted(r.id for r in read_table(spark, table).collect()) == list(range(number + 1))
         assert not os.listdir(landing) and len(os.listdir(archive)) >= number + 1
-    assert real_write and real_rename
+
+
+def test_many_small_files_in_batches(spark, landing, tmp_path, monkeypatch):
+    """No call of ours to the store for each file: the driver sees folders and batches only."""
+    from terrane.sources import paths
+
+    table, archive, spec = archived(spark, landing, tmp_path)
+    spec.max_files_per_batch = 170
+    for k in range(400):
+        (landing / f"d{k % 3}").mkdir(exist_ok=True)
+        put(landing / f"d{k % 3}", f"{k}.csv", f"id\n{k}\n")
+    spec.file_pattern = "d*"
+    asked = []
+    real = paths._locate
+    monkeypatch.setattr(paths, "_locate", lambda spark, path: asked.append(path) or real(spark, path))
+    assert run_bronze(spark, [spec]) == 400
+    assert len(asked) < 100 and not [path for path in asked if path.endswith(".csv")]
+    assert sorted(r.id for r in read_table(spark, table).collect()) == list(range(400))
+    assert len(os.listdir(archive)) == 400 and not [n for _, _, names in os.walk(landing) for n in names]
+    assert read_table(spark, table).select("_source_file").distinct().count() == 400
+    assert run_bronze(spark, [spec]) == 0
+
+
+def test_a_file_that_changes_or_lands_while_a_batch_is_read(spark, landing, monkeypatch):
+    from terrane.streaming import ingest
+
+    table = scratch_path(spark, "bronze")
+    sweep = {"file_format": "csv", "file_pattern": "*.csv", "options": {"header": True}, "schema": "id int"}
+    put(landing, "a.csv", "id\n1\n")
+    put(landing, "b c%.csv", "id\n2\n")
+    real = ingest.read_files
+
+    def changed(*args):
+        put(landing, "a.csv", "id\n11\n12\n")
+        put(landing, "late.csv", "id\n3\n")
+        return real(*args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(ingest, "read_files", changed)
+        assert ingest_stream(spark, str(landing), table, **sweep) == 1
+    assert ingest_stream(spark, str(landing), table, **sweep) == 3
+    assert ingest_stream(spark, str(landing), table, **sweep) == 0
+    assert sorted(r.id for r in read_table(spark, table).collect()) == [2, 3, 11, 12]
+
+
+def test_numbers_follow_the_order_without_gaps(spark):
+    from pyspark.sql import functions as F
+
+    from terrane.operators.numbering import numbered
+
+    rows = spark.range(5000).selectExpr("id", "id % 7 AS k", "1 AS __rows")
+    got = numbered(rows, [F.col("k").desc(), F.col("id")], "place").collect()
+    expected = sorted(range(5000), key=lambda i: (-(i % 7), i))
+    assert [r.id for r in sorted(got, key=lambda r: r.place)] == expected
+    assert sorted(r.place for r in got) == list(range(5000))
+    assert numbered(rows.limit(0), [F.col("id")], "place").count() == 0
 
 
 def test_an_overwriting_sweep_holds_the_last_landing(spark, landing, tmp_path):
