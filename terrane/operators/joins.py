@@ -2,20 +2,25 @@
 
 Spark splits a hot partition at run time only on a side whose unmatched rows it need not
 track: either side of an inner join, the left of a left/semi/anti join, the right of a
-right join, and only where the exchange lies right under the join's sort. The sides it
-cannot split are handled here, where a look at the key counts finds a hot key on one:
-
-* semi/anti: the right side is reduced to its distinct keys in a written stage;
-* outer joins: rewritten as an inner join, which splits on both sides, united with the
-  unmatched rows found by an anti join against the other side's distinct keys, staged too.
+right join. The sides it cannot split are handled here:
+
+* semi/anti: a right side with a hot key is reduced to its distinct keys in a written stage;
+* outer joins: keys whose rows weigh more than a task should hold are found by the bytes of
+  their rows. The rows of such a key are dealt over cells on the side that can't be split,
+  and the other side's rows of it go to each cell; all other keys stay in one cell. It is one
+  join, on the keys and the cell. A row that went to several cells is dropped where it finds
+  no partner: its key has rows on the dealt side, so it finds them in some cell.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrane.functions.columns import LINEAGE, column
 from terrane.session import estimated_bytes
@@ -38,11 +43,18 @@ JOIN_TYPES = {
     "leftanti": "left_anti",
 }
 
-# A key is hot when its rows would overload one task: so many bytes, as rows are wide.
+# A key is hot when its rows would overload one task, by the bytes that they really have.
 HOT_BYTES = 1 << 30
-# Keys are counted in so many buckets by hash: no hot key is missed, and the rows of a bucket
-# are an upper bound for each of its keys.
+# A hot key is cut into cells of this share of what makes it hot.
+_CELLS_PER_LIMIT = 8
+# Bytes are summed in so many buckets by hash; only keys of full buckets are looked at one by one.
 _BUCKETS = 1 << 20
+# A join that is told to expect hot keys takes so many of the heaviest.
+_EXPECTED = 1_000
+# Rows without a key match nothing: they are dealt over so many cells in any case.
+_NULL_CELLS = 10_000
+_PLAN_BYTES = 64 << 20
+_CELL, _CELLS, _DEALT, _MET = "__cell", "__cells", "__dealt", "__met"
 
 
 def join_type(text: str) -> str:
@@ -58,24 +70,60 @@ def _broadcastable(df: DataFrame) -> bool:
     return estimated_bytes(df) <= limit
 
 
-def has_hot_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int | None = None,
-    *,
-    with_nulls: bool = False,
-) -> bool:
-    """One column-pruned pass that counts keys by hash bucket, map-side first.
+def row_bytes(df: DataFrame) -> Column:
+    """What the values of a row take; nested ones count as their JSON text."""
+    total = F.lit(8 * len(df.columns))
+    for k, field in enumerate(df.schema.fields):
+        value = F.col(f"c{k}")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+    return total.cast("long")
+
+
+def heavy_keys(
+    df: DataFrame, keys: Sequence[str], limit: int | None = None, *, rows: bool = False, top: int | None = None
+) -> DataFrame:
+    """Keys (without NULLs) whose rows weigh at least `limit`, in bytes or `rows`, with `weight`.
 
-    Rows with a NULL key only weigh on a join that keeps them.
+    One pass sums weights by hash bucket, map-side first. Exact keys are summed in buckets that
+    reach the limit only, so what meets in a task is small, and there are at most total weight
+    / limit of them. With `top`, the heaviest so many keys, whatever they weigh.
     """
-    if hot_rows is None:
-        hot_rows = max(1, HOT_BYTES // max(1, df._jdf.schema().defaultSize()))
-    if not with_nulls:
-        df = df.dropna(subset=list(keys))
+    limit = limit or HOT_BYTES
+    names = [f"c{k}" for k in range(len(df.columns))]  # chained joins may repeat other names
+    at = [names[k] for k in _positions(df, keys)]
+    weight = F.lit(1).cast("long") if rows else row_bytes(df)
+    weighed = df.toDF(*names).dropna(subset=at).select(*at, weight.alias("weight")).toDF(*keys, "weight")
     bucket = F.pmod(F.xxhash64(*[column(k) for k in keys]), F.lit(_BUCKETS))
-    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
-    return (counts.agg(F.max("rows")).first()[0] or 0) >= hot_rows
+    full = weighed
+    if top is None:
+        sums = weighed.groupBy(bucket.alias("__bucket")).agg(F.sum("weight").alias("__sum"))
+        found = stage(sums.filter(F.col("__sum") >= limit).select("__bucket"), "full-buckets")[0]
+        if not found.take(1):
+            return weighed.limit(0)
+        full = weighed.withColumn("__bucket", bucket).join(found, "__bucket", "left_semi").drop("__bucket")
+    by_key = full.groupBy(*map(column, keys)).agg(F.sum("weight").alias("weight"))
+    heavy = by_key.filter(F.col("weight") >= limit) if top is None else by_key.orderBy(F.desc("weight")).limit(top)
+    return stage(heavy, "heavy-keys")[0]
+
+
+def has_hot_key(
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None, *, with_nulls: bool = False
+) -> bool:
+    """Whether some key's rows weigh too much for a task. Rows with a NULL key only weigh on a
+    join that keeps them."""
+    found = heavy_keys(df, keys, hot_rows, rows=hot_rows is not None).take(1)
+    return bool(found) or (with_nulls and _keyless(df, keys, hot_rows) >= (hot_rows or HOT_BYTES))
+
+
+def _keyless(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> int:
+    """What the rows with a NULL key weigh."""
+    names = [f"c{k}" for k in range(len(df.columns))]
+    unknown = reduce(or_, [F.col(names[k]).isNull() for k in _positions(df, keys)])
+    weight = F.lit(1) if hot_rows is not None else row_bytes(df)
+    return df.toDF(*names).filter(unknown).agg(F.sum(weight)).first()[0] or 0
 
 
 def join_tables(
@@ -100,23 +148,28 @@ def join_tables(
     kind = join_type(how)
     right = right.drop(*[c for c in LINEAGE if c not in keys])
 
-    def hot(side: DataFrame, with_nulls: bool = False) -> bool:
+    def hot(side: DataFrame) -> bool:
         if skew != "auto":
             return skew == "on"
-        return not _broadcastable(side) and has_hot_key(side, keys, hot_rows, with_nulls=with_nulls)
+        return not _broadcastable(side) and has_hot_key(side, keys, hot_rows)
 
     if kind in ("left_semi", "left_anti"):
         seen = right.select(*map(column, keys))
         return left.join(_distinct(seen) if hot(right) else seen, keys, kind)
-    rigid = {"left": [right], "right": [left], "full": [right, left]}.get(kind, [])
-    if derived and any(side is left for side in rigid) and skew == "auto" and not _broadcastable(left):
-        left, derived = stage(left, "join")[0], False
-        rigid = [left if side is not right else right for side in rigid]
-    if any(hot(side, kind == "full") for side in rigid):
-        if derived:
-            left, _ = stage(left, "join")
-        return _outer_in_parts(left, right, keys, kind)
-    return left.join(right, keys, kind)
+    rigid = {"left": "r", "right": "l", "full": "lr"}.get(kind, "")
+    sides = {"l": left, "r": right}
+    measured = [name for name in rigid if skew == "on" or (skew == "auto" and not _broadcastable(sides[name]))]
+    if derived and measured:
+        sides["l"], _ = stage(left, "join")
+    limit, top = hot_rows or HOT_BYTES, _EXPECTED if skew == "on" else None
+    heavy = [
+        heavy_keys(sides[name], keys, hot_rows, rows=hot_rows is not None, top=top).withColumn(_DEALT, F.lit(name))
+        for name in measured
+    ]
+    keyless = kind == "full" and any(_keyless(sides[name], keys, hot_rows) >= limit for name in measured)
+    if keyless or any(found.take(1) for found in heavy):
+        return _join_in_cells(sides["l"], sides["r"], keys, kind, reduce(DataFrame.unionByName, heavy), limit)
+    return sides["l"].join(sides["r"], keys, kind)
 
 
 def _distinct(keys: DataFrame) -> DataFrame:
@@ -129,46 +182,34 @@ def _positions(df: DataFrame, keys: Sequence[str]) -> list[int]:
     return [lowered.index(k.lower()) for k in keys]
 
 
-def _outer_in_parts(left: DataFrame, right: DataFrame, keys: list[str], kind: str) -> DataFrame:
-    # Work under positional names: chained joins may repeat non-key names on a side.
-    out = left.join(right, keys, kind)
-    lnames = [f"l{i}" for i in range(len(left.columns))]
-    rnames = [f"r{i}" for i in range(len(right.columns))]
-    lpos, rpos = _positions(left, keys), _positions(right, keys)
-    lt, rt = left.toDF(*lnames), right.toDF(*rnames)
-    lkeys, rkeys = [lnames[i] for i in lpos], [rnames[i] for i in rpos]
-    lrest = [n for i, n in enumerate(lnames) if i not in lpos]
-    rrest = [n for i, n in enumerate(rnames) if i not in rpos]
-
-    def typed(columns):
-        casts = [c.cast(f.dataType) for c, f in zip(columns, out.schema.fields)]
-        return [c.alias(f"o{i}") for i, c in enumerate(casts)]
-
-    def nulls(names):
-        return [F.lit(None)] * len(names)
-
-    def on(a, b):
-        return [F.col(x) == F.col(y) for x, y in zip(a, b)]
-
-    key_source = rkeys if kind == "right" else lkeys
-    parts = [
-        lt.join(rt, on(lkeys, rkeys), "inner").select(
-            *typed([F.col(c) for c in key_source + lrest + rrest])
-        )
-    ]
-    if kind in ("left", "full"):
-        seen = _distinct(rt.select(*rkeys))
-        alone = lt.join(seen, on(lkeys, rkeys), "left_anti")
-        parts.append(alone.select(*typed([F.col(c) for c in lkeys + lrest] + nulls(rrest))))
-    if kind in ("right", "full"):
-        seen = _distinct(lt.select(*lkeys))
-        alone = rt.join(seen, on(rkeys, lkeys), "left_anti")
-        columns = [F.col(c) for c in rkeys] + nulls(lrest) + [F.col(c) for c in rrest]
-        parts.append(alone.select(*typed(columns)))
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.union(part)
-    return united.toDF(*out.columns)
+def _join_in_cells(
+    left: DataFrame, right: DataFrame, keys: list[str], kind: str, heavy: DataFrame, limit: int
+) -> DataFrame:
+    """An outer join whose heavy keys (with the side that is dealt) are spread over cells."""
+    heaviest = F.max_by(F.struct("weight", _DEALT), F.struct("weight", _DEALT)).alias("top")
+    cells = F.greatest(F.ceil(F.col("top.weight") * _CELLS_PER_LIMIT / F.lit(limit)), F.lit(2)).cast("int")
+    top = heavy.groupBy(*map(column, keys)).agg(heaviest)
+    dealt = F.col(f"top.{_DEALT}").alias(_DEALT)
+    plan, _ = stage(top.select(*map(column, keys), cells.alias(_CELLS), dealt), "cells")
+    if estimated_bytes(plan) <= _PLAN_BYTES:  # its rows are few, as each weighs the limit
+        plan = F.broadcast(plan)
+
+    def placed(side: DataFrame, name: str) -> DataFrame:
+        """The rows with their cell, or once with each cell, and whether it is each."""
+        marked = side.join(plan, keys, "left")
+        unknown = reduce(or_, [column(k).isNull() for k in keys])
+        one = F.pmod(F.monotonically_increasing_id(), F.when(unknown, F.lit(_NULL_CELLS)).otherwise(F.col(_CELLS)))
+        each = F.sequence(F.lit(0), F.col(_CELLS) - 1).cast("array<long>")
+        met = F.col(_DEALT).isNotNull() & (F.col(_DEALT) != name)
+        chosen = F.when(met, each).otherwise(F.array(F.coalesce(one, F.lit(0).cast("long"))))
+        marked = marked.withColumn(_MET + name, F.coalesce(met, F.lit(False))).withColumn("__all", chosen)
+        return marked.withColumn(_CELL, F.explode("__all")).drop("__all", _CELLS, _DEALT)
+
+    joined = placed(left, "l").join(placed(right, "r"), [*keys, _CELL], kind)
+    lone_left = F.col(f"{_MET}l") & F.col(f"{_MET}r").isNull()
+    lone_right = F.col(f"{_MET}r") & F.col(f"{_MET}l").isNull()
+    kept = joined.filter(~(F.coalesce(lone_left, F.lit(False)) | F.coalesce(lone_right, F.lit(False))))
+    return kept.drop(_CELL, f"{_MET}l", f"{_MET}r")
 
 
 def join_chain(
