@@ -6,8 +6,10 @@ import logging
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
@@ -23,6 +25,12 @@ from terrane.functions.columns import (
     hash_position,
     within_share,
 )
+from terrane.operators.categories import (
+    fold_sums,
+    out_of_fold,
+    statistics_name,
+    target_statistics,
+)
 from terrane.operators.cleansing import drop_missing
 from terrane.session import ensure_checkpoint_dir, estimated_bytes, settings
 from terrane.sources import paths
@@ -35,6 +43,8 @@ _FOLD = "__fold"
 _POSITION = "__position"
 # Bytes a training partition should take: small, as every tree level passes over them.
 _TRAINING_BYTES = 4 * 1024 * 1024
+# Folds of which target statistics leave out the row's own.
+_STATISTICS_FOLDS = 5
 # Defaults of an unconfigured fit.
 DEFAULT_HYPERPARAMETERS = {"maxDepth": 5, "maxIter": 20, "stepSize": 0.1}
 
@@ -53,8 +63,17 @@ def indexed_name(name: str) -> str:
     return f"{name}_indexed"
 
 
-def feature_names(categorical: Sequence[str], numeric: Sequence[str]) -> list[str]:
-    return [*map(indexed_name, categorical), *numeric]
+def feature_names(
+    categorical: Sequence[str], numeric: Sequence[str], encoded: Sequence[str] = ()
+) -> list[str]:
+    return [*map(indexed_name, categorical), *map(statistics_name, encoded), *numeric]
+
+
+def many_valued(df: DataFrame, categorical: Sequence[str], most: int | None) -> list[str]:
+    """The columns of more than `most` values, by an exact count."""
+    if most is None:
+        return []
+    return [c for c in categorical if df.select(column(c)).dropna().distinct().limit(most + 1).count() > most]
 
 
 def fit_indexer(
@@ -68,11 +87,9 @@ def fit_indexer(
     """
     if not categorical:
         return None
-    if max_categories is not None:
-        for name in categorical:
-            known = df.select(column(name)).dropna().distinct().limit(max_categories + 1).count()
-            if known > max_categories:
-                raise ValueError(f"too many categories in {name!r}: more than {max_categories}")
+    refused = many_valued(df, categorical, max_categories)
+    if refused:
+        raise ValueError(f"too many categories in {refused}: more than {max_categories}")
     return StringIndexer(
         inputCols=list(categorical),
         outputCols=[indexed_name(c) for c in categorical],
@@ -81,10 +98,12 @@ def fit_indexer(
     ).fit(df)
 
 
-def assembler(categorical: Sequence[str], numeric: Sequence[str]) -> VectorAssembler:
-    """Indexed categories first, then numbers; rows with a NULL or NaN are skipped."""
+def assembler(
+    categorical: Sequence[str], numeric: Sequence[str], encoded: Sequence[str] = ()
+) -> VectorAssembler:
+    """Indexed categories, target statistics, numbers; rows with a NULL or NaN are skipped."""
     return VectorAssembler(
-        inputCols=feature_names(categorical, numeric), outputCol=FEATURES, handleInvalid="skip"
+        inputCols=feature_names(categorical, numeric, encoded), outputCol=FEATURES, handleInvalid="skip"
     )
 
 
@@ -144,7 +163,8 @@ def train(
     """Split, fit (tuned if asked), and evaluate on the held-out part.
 
     Trees need a bin per category in every task, so a categorical column of more than
-    ``max_categories`` values is an error; None lifts the limit. Rows are partitioned and
+    ``max_categories`` values (None: any number) is not indexed but stands as the mean target
+    of its label: that of the other folds while fitting, of all training rows when scoring. Rows are partitioned and
     ordered by their hash position, into a number of parts that follows their bytes, so the
     same rows and seed give the same trees on any number of cores.
 
@@ -159,26 +179,37 @@ def train(
     placed = rows.withColumn(_POSITION, hash_position(seed, keys))
     placed = placed.select(*map(column, needed), _POSITION)
     parts = max(1, -(-min(estimated_bytes(rows), _UNKNOWN_BYTES) // _TRAINING_BYTES))
-    ordered = placed.repartition(parts, _POSITION).sortWithinPartitions(_POSITION, *map(column, needed))
     # Indexing, fitting and evaluation all pass over these columns: keep them once, durably.
-    rows, path = stage(ordered, "train")
+    rows, path = stage(_ordered(placed, parts, needed), "train")
     with settings(spark, _FILE_PER_PARTITION), _removed(spark, path):
         inside = within_share(F.col(_POSITION), train_share)
         training, holdout = rows.filter(inside), rows.filter(~inside)
-        indexer = fit_indexer(training, categorical, max_categories)
-        before = [*([indexer] if indexer is not None else []), assembler(categorical, numeric)]
-        prepared = PipelineModel(before).transform(training).select(target, FEATURES, _POSITION)
+        encoded = many_valued(training, categorical, max_categories)
+        indexed = [c for c in categorical if c not in encoded]
+        indexer = fit_indexer(training, indexed)
+        indexing = [indexer] if indexer is not None else []
+        features, encoding, fitting = assembler(indexed, numeric, encoded), [], training
+        if encoded:
+            fold = fold_of(F.col(_POSITION), _STATISTICS_FOLDS)
+            sums = fold_sums(training, encoded, target, fold)
+            encoding = [target_statistics(sums, encoded)]
+            fitting, _ = stage(_ordered(out_of_fold(training, sums, encoded, fold), parts, needed), "encoded")
+        prepared = PipelineModel([*indexing, features]).transform(fitting).select(target, FEATURES, _POSITION)
         trees = regressor(target, hyperparameters, seed, bins_needed(indexer))
         if tuning and tuning.get("enabled"):
             fitted, best = tune(prepared, trees, target, tuning, seed)
         else:
             fitted, best = trees.fit(prepared), {}
-        model = PipelineModel([*before, fitted])
+        model = PipelineModel([*indexing, *encoding, features, fitted])
         scored = model.transform(holdout)
         measured = regression_metrics(scored, target, PREDICTION).first().asDict()
     return Fit(model, measured, importances(model), best)
 
 
+def _ordered(rows: DataFrame, parts: int, columns: Sequence[str]) -> DataFrame:
+    return rows.repartition(parts, _POSITION).sortWithinPartitions(_POSITION, *map(column, columns))
+
+
 # A scan that opens each staged file as one partition, however many cores there are.
 _FILE_PER_PARTITION = {"spark.sql.files.openCostInBytes": "134217728"}
 _UNKNOWN_BYTES = 1 << 42
@@ -202,7 +233,10 @@ def tune(
 ):
     """Grid search by k-fold cross-validation; returns the refitted best model and its values.
 
-    Folds come from the rows' hash positions, so a retried fit sees the same folds.
+    Folds come from the rows' hash positions, so a retried fit sees the same folds. Boosting
+    adds its trees one after another, so a fit of ``maxIter`` trees begins with those of every
+    shorter one: grid points that differ in ``maxIter`` alone share the longest fit of each
+    fold, and one pass over the held-out rows measures all its beginnings.
     """
     wanted = dict(tuning.get("param_grid") or {})
     for name in [n for n in wanted if not trees.hasParam(n)]:
@@ -211,19 +245,67 @@ def tune(
     grid = ParamGridBuilder()
     for name, values in wanted.items():
         grid.addGrid(trees.getParam(name), list(values))
-    folds = int(tuning.get("num_folds", 3))
+    points, metric = grid.build(), tuning.get("metric", "rmse")
+    folds, parallelism = int(tuning.get("num_folds", 3)), int(tuning.get("parallelism", 1))
+    folded = prepared.withColumn(_FOLD, fold_of(F.col(_POSITION), folds))
+    if metric in _ERRORS:
+        scores = _shared_search(folded, trees, target, points, metric, folds, parallelism)
+        chosen = points[int(np.argmax(scores) if metric == "r2" else np.argmin(scores))]
+        best = trees.copy(chosen).fit(prepared)
+    else:
+        best = _plain_search(folded, trees, target, points, metric, folds, parallelism, seed)
+    return best, {name: best.getOrDefault(best.getParam(name)) for name in wanted}
+
+
+# The loss whose mean over rows leads to each metric.
+_ERRORS = {"rmse": "squared", "mse": "squared", "r2": "squared", "mae": "absolute"}
+
+
+def _shared_search(
+    folded: DataFrame, trees: GBTRegressor, target: str, points: Sequence[dict], metric: str, folds: int, parallelism: int
+) -> list[float]:
+    """The metric of each grid point, the mean of its folds."""
+    length = trees.getParam("maxIter")
+    groups: dict[tuple, list[int]] = {}
+    for k, point in enumerate(points):
+        rest = tuple(sorted((p.name, value) for p, value in point.items() if p.name != "maxIter"))
+        groups.setdefault(rest, []).append(k)
+
+    def fitted(task: tuple[list[int], int]) -> list[tuple[int, float]]:
+        members, fold = task
+        lengths = [points[k].get(length, trees.getMaxIter()) for k in members]
+        longest = trees.copy({**points[members[0]], length: max(lengths)})
+        held_out = folded.filter(F.col(_FOLD) == fold)
+        model = longest.fit(folded.filter(F.col(_FOLD) != fold))
+        errors = model.evaluateEachIteration(held_out, _ERRORS[metric])
+        spread = held_out.agg(F.var_pop(target)).first()[0] if metric == "r2" else None
+        return [(k, _of_error(errors[n - 1], metric, spread)) for k, n in zip(members, lengths)]
+
+    tasks = [(members, fold) for members in groups.values() for fold in range(folds)]
+    # Each fit already fills the cluster; fits side by side are for whoever asks.
+    with ThreadPool(max(1, parallelism)) as pool:
+        found = [pair for pairs in pool.map(fitted, tasks) for pair in pairs]
+    return [float(np.mean([value for k, value in found if k == point])) for point in range(len(points))]
+
+
+def _of_error(error: float, metric: str, spread: float | None) -> float:
+    if metric == "rmse":
+        return error**0.5
+    if metric == "r2":
+        return 1 - error / spread if spread else float("-inf")
+    return error
+
+
+def _plain_search(folded, trees, target, points, metric, folds, parallelism, seed):
+    """Every grid point fitted by itself, for metrics that are no mean over rows."""
+    evaluator = RegressionEvaluator(labelCol=target, predictionCol=PREDICTION, metricName=metric)
     search = CrossValidator(
         estimator=trees,
-        estimatorParamMaps=grid.build(),
-        evaluator=RegressionEvaluator(
-            labelCol=target, predictionCol=PREDICTION, metricName=tuning.get("metric", "rmse")
-        ),
+        estimatorParamMaps=points,
+        evaluator=evaluator,
         numFolds=folds,
         foldCol=_FOLD,
-        # Each fit already fills the cluster; fits side by side are for whoever asks.
-        parallelism=int(tuning.get("parallelism", 1)),
+        parallelism=parallelism,
         seed=seed,
     )
-    folded = prepared.withColumn(_FOLD, fold_of(F.col(_POSITION), folds))
-    best = search.fit(folded).bestModel
-    return best, {name: best.getOrDefault(best.getParam(name)) for name in wanted}
+    return search.fit(folded).bestModel

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.functions.columns import MODEL_RUN_ID, PREDICTED_AT, PREDICTION, column, residual
+from terrane.operators.categories import TargetStatistics
 from terrane.operators.profiling import histogram
 
 _log = logging.getLogger(__name__)
@@ -69,6 +70,8 @@ def score_full(model: PipelineModel, df: DataFrame) -> DataFrame:
             working += step.getOutputCols() if step.isSet("outputCols") else [step.getOutputCol()]
         elif isinstance(step, VectorAssembler):
             working.append(step.getOutputCol())
+        elif isinstance(step, TargetStatistics):
+            working += step.getOutputCols()
     scored = model.transform(df).drop(*[c for c in working if c not in df.columns])
     return _named(model, scored)
 

@@ -6,7 +6,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.functions.columns import MODEL_RUN_ID, PREDICTED_AT, PREDICTION
+from terrane.functions.columns import MODEL_RUN_ID, PREDICTED_AT, PREDICTION, fold_of, hash_position
+from terrane.operators.categories import (
+    fold_sums,
+    label_table,
+    out_of_fold,
+    statistics_name,
+    with_indexes,
+)
 from terrane.operators.learning import (
     Fit,
     assembler,
@@ -225,12 +232,76 @@ def ml_boost_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_named(spark, _fit_cells(spark, sf_dir, hyperparameters=steps).metrics, "metric"))
 
 
-@query("ml_train_boosted", f"{_CELLS} {_CELL_METRICS}")
-def ml_train_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("ml_boost_cells", f"{_CELLS} {_CELL_METRICS}")
+def ml_boost_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The default 20 trees of depth 5: the first finds the cells, the rest leave them."""
     return _rounded(_named(spark, _fit_cells(spark, sf_dir).metrics, "metric"))
 
 
+@query("ml_grid_search", f"{_CELLS} {_CELL_METRICS}")
+def ml_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid of 3 x 2 x 2 points with three folds: any that has two levels finds the cells."""
+    grid = {"maxDepth": [1, 2, 3], "maxIter": [1, 2], "stepSize": [0.05, 0.1]}
+    tuning = {"enabled": True, "num_folds": 3, "param_grid": grid}
+    return _rounded(_named(spark, _fit_cells(spark, sf_dir, tuning=tuning).metrics, "metric"))
+
+
+@query("ml_train_boosted")
+def ml_train_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hold-out metrics and importances of the default trees on all gold features.
+
+    The customer is a category of any number of values, so it stands as a target statistic.
+    """
+    gold = scratch_path(spark, "gold")
+    write_table(gold_features(spark, sf_dir), gold)
+    fit = train(
+        read_table(spark, gold),
+        TARGET,
+        [*CATEGORICAL, "customer_id"],
+        NUMERIC,
+        max_categories=64,
+    )
+    return _named(spark, {**fit.metrics, **fit.importances}, "key")
+
+
+_FOLDED = """
+    WITH r AS (SELECT p_partkey, nullif(p_brand, 'Brand#2') AS brand, p_type AS kind,
+                      p_retailprice::DECIMAL(38, 9) AS price,
+                      ('0x' || substr(md5('42:' || p_partkey), 1, 8))::BIGINT % 5 AS fold FROM part),
+    t AS (SELECT count(*) AS n, sum(price) AS s FROM r),
+    f AS (SELECT fold, (t.s - sum(price))::DOUBLE / (t.n - count(*)) AS mean FROM r, t GROUP BY fold, t.n, t.s)"""
+
+
+@query(
+    "ml_target_statistics",
+    f"""{_FOLDED},
+    b AS (SELECT a.p_partkey, sum(o.price)::DOUBLE AS s, count(o.price) AS n
+          FROM r a LEFT JOIN r o ON a.brand = o.brand AND a.fold <> o.fold GROUP BY a.p_partkey),
+    k AS (SELECT a.p_partkey, sum(o.price)::DOUBLE AS s, count(o.price) AS n
+          FROM r a LEFT JOIN r o ON a.kind = o.kind AND a.fold <> o.fold GROUP BY a.p_partkey)
+    SELECT p_partkey, fold::INTEGER AS fold,
+           round((coalesce(b.s, 0) + 20 * mean) / (b.n + 20), 6) AS brand_target,
+           round((coalesce(k.s, 0) + 20 * mean) / (k.n + 20), 6) AS kind_target
+    FROM r JOIN f USING (fold) JOIN b USING (p_partkey) JOIN k USING (p_partkey)""",
+)
+def ml_target_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part's brand and kind as the mean price of the other folds' parts of that label."""
+    rows, columns = branded(spark, sf_dir), ["brand", "kind"]
+    fold = fold_of(hash_position(42, ["p_partkey"]), 5)
+    sums = fold_sums(rows, columns, "p_retailprice", fold)
+    encoded = out_of_fold(rows, sums, columns, fold, prior=20.0)
+    means = [F.round(statistics_name(name), 6).alias(statistics_name(name)) for name in columns]
+    return encoded.select("p_partkey", fold.alias("fold"), *means)
+
+
+@query("ml_label_table", f"SELECT p_partkey, brand, kind, brand_indexed, kind_indexed FROM ({_INDEXED})")
+def ml_label_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The string index by a joined table of labels, for any number of them."""
+    rows, columns = branded(spark, sf_dir), ["brand", "kind"]
+    indexed = with_indexes(rows, label_table(rows, columns), columns)
+    return indexed.select("p_partkey", "brand", "kind", "brand_indexed", "kind_indexed")
+
+
 @query("ml_save_load", "SELECT count(*) AS rows, 0 AS changed FROM lineitem")
 def ml_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the gold features scored alike by a model and by its saved and loaded copy."""

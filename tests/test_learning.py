@@ -143,3 +143,96 @@ def test_model_resolution(spark, fit):
     assert find(None, None) == "new"
     with pytest.raises(Exception):
         find(f"{root}/old", "missing")
+
+
+def test_grid_points_share_the_longest_fit(spark, rows, monkeypatch):
+    """18 fits instead of 36, and the scores of the plain search."""
+    from pyspark.ml.regression import GBTRegressor
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    data = rows.withColumn(learning._POSITION, learning.hash_position(1, ["id"])).coalesce(1)
+    prepared = assembler([], ["x"]).transform(data).select("y", learning.FEATURES, learning._POSITION).cache()
+    folded = prepared.withColumn(learning._FOLD, learning.fold_of(learning.F.col(learning._POSITION), 3))
+    trees, fits, real = regressor("y", {}, 42), [], GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, frame: fits.append(self.getMaxIter()) or real(self, frame))
+    whole = {"maxDepth": [1, 2, 3], "maxIter": [1, 2], "stepSize": [0.1, 0.4]}
+    for metric, grid in (("rmse", whole), ("r2", {"maxIter": [1, 2]}), ("mae", {"maxIter": [2, 1]})):
+        fits.clear()
+        best, chosen = learning.tune(prepared, trees, "y", {"param_grid": grid, "metric": metric}, 42)
+        assert fits[:-1] == [2] * (18 if grid is whole else 3)
+        points = ParamGridBuilder()
+        for name, values in grid.items():
+            points.addGrid(trees.getParam(name), values)
+        evaluator = RegressionEvaluator(labelCol="y", predictionCol=PREDICTION, metricName=metric)
+        search = CrossValidator(
+            estimator=trees, estimatorParamMaps=points.build(), evaluator=evaluator, numFolds=3, foldCol=learning._FOLD
+        )
+        plain = search.fit(folded)
+        assert chosen == {name: plain.bestModel.getOrDefault(name) for name in grid}
+        assert best.toDebugString.split("\n", 1)[1] == plain.bestModel.toDebugString.split("\n", 1)[1]
+        if grid is not whole:
+            shared = learning._shared_search(folded, trees, "y", points.build(), metric, 3, 2)
+            assert shared == pytest.approx(plain.avgMetrics)
+    other = learning.tune(prepared, trees, "y", {"param_grid": {"maxIter": [1, 2]}, "metric": "var"}, 42)[1]
+    assert other["maxIter"] in (1, 2)
+
+
+def test_categories_beyond_the_bins_stand_as_target_statistics(spark):
+    data = spark.range(4000).selectExpr(
+        "id", "if(id % 97 = 0, NULL, concat('k', id % 500)) AS many", "concat('c', id % 3) AS few",
+        "double(id % 7) AS x", "double(id % 500) + id % 3 AS y",
+    )
+    fit = train(
+        data, "y", ["many", "few"], ["x"], split_keys=["id"], max_categories=100, hyperparameters={"maxIter": 3}
+    )
+    assert list(sorted(fit.importances)) == ["few_indexed", "many_target", "x"]
+    assert fit.importances["many_target"] > 0.9 and fit.metrics["r2"] > 0.5
+    again = train(
+        data.repartition(7), "y", ["many", "few"], ["x"], split_keys=["id"], max_categories=100, hyperparameters={"maxIter": 3}
+    )
+    assert again.metrics == pytest.approx(fit.metrics)
+    path = scratch_path(spark, "model")
+    save_model(fit.model, path)
+    copy, _ = load_model(spark, path, None, str, str)
+    fresh = spark.sql("SELECT * FROM VALUES (1L, 'k7', 'c1', 2.0D), (2L, 'new', 'c1', 2.0D), (3L, NULL, 'z', 2.0D) t(id, many, few, x)")
+    one, two = (sorted(map(tuple, score_full(m, fresh).collect()), key=str) for m in (fit.model, copy))
+    assert one == two and len(one) == 3
+    assert score_full(copy, fresh).columns == ["id", "many", "few", "x", PREDICTION]
+
+
+def test_statistics_leave_out_the_own_fold(spark):
+    from terrane.operators.categories import fold_sums, out_of_fold, target_statistics
+
+    rows = [(k, "ab c"[k % 4] if k % 9 else None, k % 3, float(k * k % 50)) for k in range(300)]
+    frame = spark.createDataFrame(rows, "id int, `l.x` string, f int, y double").repartition(4)
+    fold = learning.F.col("f")
+    sums = fold_sums(frame, ["l.x"], "y", fold)
+    got = {r.id: r["l.x_target"] for r in out_of_fold(frame, sums, ["l.x"], fold, prior=5).collect()}
+    for key, label, f, _ in rows:
+        others = [y for _, _, g, y in rows if g != f]
+        same = [y for _, other, g, y in rows if g != f and other == label and label is not None]
+        mean = sum(others) / len(others)
+        assert got[key] == pytest.approx((sum(same) + 5 * mean) / (len(same) + 5))
+    whole = target_statistics(sums, ["l.x"], prior=5).transform(frame)
+    mean = sum(r[3] for r in rows) / len(rows)
+    for row in whole.collect():
+        same = [y for _, label, _, y in rows if label == row["l.x"] and label is not None]
+        assert row["l.x_target"] == pytest.approx((sum(same) + 5 * mean) / (len(same) + 5))
+
+
+def test_five_million_labels_are_indexed_without_the_driver(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from terrane.operators.categories import label_table, with_indexes
+
+    collected, real = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: collected.append(real(self)) or collected[-1])
+    n = 5_000_000
+    frame = spark.range(n + 1000).selectExpr("id", "concat('k', lpad(id % 5000000, 7, '0')) AS many")
+    found = with_indexes(frame, label_table(frame, ["many"]), ["many"])
+    total = found.selectExpr(
+        "count(*) AS rows", "count(DISTINCT many_indexed) AS n", "max(many_indexed) AS last",
+        "max(if(id < 1000, many_indexed, 0)) AS repeated", "count_if(id >= 1000 AND id < 5000000 AND many_indexed <> id) AS odd",
+    ).first()
+    assert (total.rows, total.n, total.last, total.repeated, total.odd) == (n + 1000, n, n - 1, 999, 0)
+    assert sum(map(len, collected)) < 100
