@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.functions.columns import INGESTED_AT, column, ordered, type_of
+from terrane.functions.columns import INGESTED_AT, column, ordered, quoted, type_of
+from terrane.sources.tables import stage
 
 _RANK = "__rank"
 
@@ -41,6 +44,26 @@ def deduplicate(
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def unseen(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys no known row has; equal NULL keys count as equal.
+
+    Only the known rows' key columns are read, and of these only keys that the new rows have
+    are kept, distinct and staged: where the new keys are few, Spark sends them to the known
+    rows and shuffles none of those. The rows themselves then meet that short list.
+    """
+    names = [f"k{n}" for n in range(len(keys))]
+    new = df.select(*[column(k).alias(f"n{n}") for n, k in enumerate(keys)]).distinct()
+    old = known.select(*[column(k).alias(name) for name, k in zip(names, keys)])
+    shared = old.join(new, _same(names, [f"n{n}" for n in range(len(keys))]), "left_semi").distinct()
+    shared, _ = stage(shared, "shared-keys")
+    own = [df[quoted(k)] for k in keys]
+    return df.join(shared, reduce(and_, [a.eqNullSafe(F.col(b)) for a, b in zip(own, names)]), "left_anti")
+
+
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
+
+
 def drop_missing(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     """Drop rows with NULL or NaN in any listed column."""
     return df.dropna(subset=list(columns)) if columns else df

@@ -1,4 +1,4 @@
-"""Gapless numbers under a total order, with no task that sees all rows."""
+"""Places and running totals under a total order, with no task that sees all rows."""
 
 from __future__ import annotations
 
@@ -9,21 +9,26 @@ from pyspark.sql import functions as F
 
 from terrane.sources.tables import stage
 
-_PART, _START = "__part", "__start"
+_PART, _START, _WEIGHT = "__part", "__start", "__weight"
 
 
-def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """Add `name`, the place of each row from 0.
+def running_total(df: DataFrame, order: Sequence[Column], weight: Column, name: str) -> DataFrame:
+    """Add `name`: the sum of `weight`, a whole number, over the rows before each row.
 
     Rows are sorted by range partition and staged with the number of their partition; each
-    partition is numbered by itself and starts where those before it end, a prefix sum over a
-    row per partition. The order has to be total for the numbers to be repeatable.
+    partition is summed by itself and starts where those before it end, a prefix sum over a
+    row per partition. The order has to be total for the totals to be repeatable.
     """
-    ranged = df.orderBy(*order).withColumn(_PART, F.spark_partition_id())
-    placed, _ = stage(ranged, "numbered")
+    weighed = df.withColumn(_WEIGHT, weight.cast("long"))
+    placed, _ = stage(weighed.orderBy(*order).withColumn(_PART, F.spark_partition_id()), "running-total")
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("__rows"))
-    starts = sizes.select(_PART, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias(_START))
-    inside = Window.partitionBy(_PART).orderBy(*order)
-    place = F.col(_START) + F.row_number().over(inside) - 1
-    return placed.join(starts, _PART).withColumn(name, place.cast("long")).drop(_PART, _START)
+    sums = placed.groupBy(_PART).agg(F.sum(_WEIGHT).alias("__sum"))
+    starts = sums.select(_PART, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias(_START))
+    inside = Window.partitionBy(_PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    total = F.col(_START) + F.coalesce(F.sum(_WEIGHT).over(inside), F.lit(0))
+    return placed.join(starts, _PART).withColumn(name, total).drop(_PART, _START, _WEIGHT)
+
+
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Add `name`, the place of each row from 0."""
+    return running_total(df, order, F.lit(1), name)

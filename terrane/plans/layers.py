@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from terrane.functions.columns import MODEL_RUN_ID
 from terrane.operators import rules as quality
-from terrane.operators.cleansing import cleanse
+from terrane.operators.cleansing import cleanse, unseen
 from terrane.operators.joins import join_chain
 from terrane.operators.learning import Fit, train
 from terrane.operators.rules import Rule
@@ -20,7 +21,7 @@ from terrane.plans.spec import BronzeSpec, GoldSpec, JobSpec, LearningSpec, Silv
 from terrane.session import layout_for, settings
 from terrane.sources import paths
 from terrane.sources.landing import read_landing, with_lineage
-from terrane.sources.tables import read_table, stage, table_bytes, write_table
+from terrane.sources.tables import is_table, read_table, stage, table_bytes, write_table
 from terrane.streaming.ingest import ingest_stream
 
 _log = logging.getLogger(__name__)
@@ -116,6 +117,9 @@ def run_silver(spark: SparkSession, spec: SilverSpec) -> dict[str, float]:
     with settings(spark, layout_for(spark, table_bytes(spark, spec.source_delta_path))):
         source = read_table(spark, spec.source_delta_path)
         df = cleanse(source, spec.fill_na, spec.drop_duplicates, spec.drop_na_cols)
+        if spec.unique_across_batches and spec.drop_duplicates and spec.write_mode == "append":
+            if is_table(spark, spec.target_delta_path):
+                df = unseen(df, read_table(spark, spec.target_delta_path), spec.drop_duplicates)
         if rules:
             counts = route(
                 df,
@@ -164,6 +168,14 @@ def run_training(spark: SparkSession, spec: LearningSpec | None, gold_table: str
         )
 
 
+class Scored(int):
+    """Rows written, with how many were `known` from an earlier scoring by the same run and how
+    many were `skipped` as a number they need is missing."""
+
+    known: int
+    skipped: int
+
+
 def run_scoring(
     spark: SparkSession,
     spec: JobSpec,
@@ -173,12 +185,27 @@ def run_scoring(
     *,
     run_id: str | None = None,
     primary_model: str | None = None,
-) -> int:
-    """Append ids, prediction and audit columns for every row that can be scored."""
+) -> Scored:
+    """Append ids, prediction and audit columns for every row that can be scored.
+
+    Rows whose ids this run's model has scored into the table before are left out, so a
+    repeated scoring adds nothing; another model's run scores them again.
+    """
     model, credited = _model(spark, spec, run_id, primary_model)
     with settings(spark, layout_for(spark, table_bytes(spark, source_table))):
-        scored = score_batch(model, read_table(spark, source_table), id_columns, credited)
-        return write_table(scored, output_table, "append")
+        source = read_table(spark, source_table)
+        rows = source
+        if is_table(spark, output_table):
+            done = read_table(spark, output_table)
+            if {MODEL_RUN_ID, *id_columns} <= set(done.columns):
+                rows = unseen(rows, done.filter(F.col(MODEL_RUN_ID) == credited), id_columns)
+        seen = Observation()
+        watched = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+        scored = score_batch(model, watched, id_columns, credited)
+        report = Scored(write_table(scored, output_table, "append"))
+        report.skipped = seen.get["rows"] - report
+        report.known = source.count() - seen.get["rows"]  # counted from footers alone
+    return report
 
 
 def run_gold_scoring(

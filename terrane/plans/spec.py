@@ -47,6 +47,8 @@ class SilverSpec:
     validation_rules: list[RuleSpec] | None = None
     # Rules without a quarantine path are an error unless this says "ignore".
     on_invalid: str | None = None
+    # In append mode, leave out rows whose drop_duplicates keys the table already has.
+    unique_across_batches: bool = False
 
 
 @dataclass

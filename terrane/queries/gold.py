@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.operators.joins import join_chain, join_tables
+from terrane.operators.quantiles import exact_quantiles
 from terrane.operators.shaping import aggregate, project, shape
+from terrane.operators.sketches import estimates, merged, sketched
 from terrane.queries.registry import customers, items, orders, products, query, table
+from terrane.session import scratch_path
+from terrane.sources.tables import read_table, write_table
 
 FEATURES = [
     "order_id",
@@ -232,3 +236,49 @@ def gold_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "coalesce(nullif(event_type, 'view'), 'seen') AS renamed",
         ],
     )
+
+
+@query(
+    "gold_quantiles",
+    """SELECT l_returnflag, l_linestatus, round(quantile_cont(l_extendedprice, 0.25), 6) AS low,
+              round(quantile_cont(l_extendedprice, 0.5), 6) AS middle,
+              round(quantile_cont(l_extendedprice, 0.999), 6) AS high
+       FROM lineitem GROUP BY ALL""",
+)
+def gold_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles of groups that hold a third of all rows and more."""
+    found = exact_quantiles(
+        table(spark, sf_dir, "lineitem"),
+        ["l_returnflag", "l_linestatus"],
+        "l_extendedprice",
+        {"low": 0.25, "middle": 0.5, "high": 0.999},
+    )
+    return found.select("l_returnflag", "l_linestatus", *[F.round(c, 6).alias(c) for c in ("low", "middle", "high")])
+
+
+@query(
+    "gold_agg_sketch",
+    """SELECT o_orderstatus, count(*) AS rows, true AS distinct_within_five_percent,
+              true AS ranks_within_three_percent FROM orders GROUP BY o_orderstatus""",
+)
+def gold_agg_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches appended for two batches, merged, and held against exact counts and ranks."""
+    source, target = table(spark, sf_dir, "orders"), scratch_path(spark, "sketches")
+    early = F.col("o_orderdate") < F.lit("1995-01-01")
+    group, distinct, quantiles = ["o_orderstatus"], ["o_custkey"], ["o_totalprice"]
+    for batch in (source.filter(early), source.filter(~early)):
+        write_table(sketched(batch, group, distinct, quantiles), target, "append")
+    told = estimates(
+        merged(read_table(spark, target), group, distinct, quantiles), group, distinct, quantiles, [0.25, 0.5, 0.9]
+    )
+    exact = source.groupBy(*group).agg(F.countDistinct("o_custkey").alias("customers"))
+    ranks = source.join(told, group).groupBy(*group).agg(
+        *[F.avg((F.col("o_totalprice") <= F.col("o_totalprice_quantiles")[k]).cast("double")).alias(f"rank{k}") for k in range(3)]
+    )
+    close = [F.abs(F.col(f"rank{k}") - p) <= 0.03 for k, p in enumerate((0.25, 0.5, 0.9))]
+    return told.join(exact, group).join(ranks, group).select(
+        *group,
+        "rows",
+        (F.abs(F.col("o_custkey_distinct") / F.col("customers") - 1) <= 0.05).alias("distinct_within_five_percent"),
+        (close[0] & close[1] & close[2]).alias("ranks_within_three_percent"),
+    )

@@ -25,7 +25,7 @@ from terrane.operators.runlog import of_latest_run
 from terrane.operators.sampling import split
 from terrane.operators.scoring import load_model, save_model, score_batch, score_full
 from terrane.plans.job import run
-from terrane.plans.layers import run_gold_scoring
+from terrane.plans.layers import run_gold_scoring, run_scoring
 from terrane.plans.spec import read_spec
 from terrane.queries.gold import gold_features
 from terrane.queries.profile import predicted
@@ -338,6 +338,35 @@ def score_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "score_repeat",
+    """SELECT 'first' AS scoring, count(*) AS written, 0 AS known,
+              (SELECT count(*) FROM lineitem WHERE l_quantity <= 2) AS skipped
+       FROM lineitem WHERE l_quantity > 2
+       UNION ALL SELECT 'second', 0, count(k), count(*) - count(k)
+       FROM lineitem l LEFT JOIN (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n
+                                  FROM lineitem WHERE l_quantity > 2)
+            ON l.l_orderkey = k AND l.l_linenumber = n
+       UNION ALL SELECT 'table', count(*), 0, 0 FROM lineitem WHERE l_quantity > 2""",
+)
+def score_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scoring and its repetition: nothing is appended twice, rows without a number are told."""
+    root = scratch_path(spark, "repeat")
+    spec = read_spec(_JOB.format(landing=sf_dir, root=root, training=False, upkeep=False))
+    save_model(cell_model(spark, sf_dir).model, f"{root}/model")
+    quantity = F.expr("target - if(l_linestatus = 'F', 30, 0)")
+    gaps = cells(spark, sf_dir).withColumn("large", F.when(quantity > 2, F.col("large")))
+    write_table(gaps, f"{root}/rows")
+    told = []
+    for name in ("first", "second"):
+        scored = run_scoring(
+            spark, spec, f"{root}/rows", f"{root}/out", ["l_orderkey", "l_linenumber"], primary_model=f"{root}/model"
+        )
+        told.append((name, int(scored), scored.known, scored.skipped))
+    told.append(("table", read_table(spark, f"{root}/out").count(), 0, 0))
+    return small_frame(spark, told, "scoring string, written long, known long, skipped long")
+
+
 @query(
     "score_full",
     f"""{_CELLS} SELECT l_orderkey, l_linenumber, l_linestatus, large, target,

@@ -230,3 +230,25 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+
+@query(
+    "silver_append_unique",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN 'first' ELSE 'second' END AS batch
+       FROM orders""",
+)
+def silver_append_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appended batches that share a third of the keys leave each key once."""
+    root = scratch_path(spark, "unique")
+    source = table(spark, sf_dir, "orders").select("o_orderkey")
+    for name, part in (("first", "o_orderkey % 3 < 2"), ("second", "o_orderkey % 3 > 0")):
+        write_table(source.filter(part).withColumn("batch", F.lit(name)), f"{root}/bronze")
+        spec = SilverSpec(
+            source_delta_path=f"{root}/bronze",
+            target_delta_path=f"{root}/silver",
+            write_mode="append",
+            drop_duplicates=["o_orderkey"],
+            unique_across_batches=True,
+        )
+        run_silver(spark, spec)
+    return read_table(spark, f"{root}/silver")
