@@ -39,10 +39,11 @@ class ByteBpe(dict):
     or without a space before it, is one such token, and goes straight to the library's
     model; other parts, and texts with other runs of white space, go through the whole
     tokenizer. Parts recur, so their ids are kept, in this dictionary: those of the last
-    `most` new parts at least, and of twice as many at most.
+    `most` new parts, or `most_bytes`, at least, and of twice as many at most. Parts longer
+    than `longest`, such as texts without spaces, are not kept.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 250_000, most_bytes: int = 48 << 20, longest: int = 128):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -51,7 +52,8 @@ class ByteBpe(dict):
         self.letters = _byte_letters()
         self.space = self.letters[32]
         self.older: dict[str, bytes] = {}
-        self.most = most
+        self.most, self.most_bytes, self.longest = most, most_bytes, longest
+        self.held = 0
 
     def whole(self, text: str) -> bytes:
         """The library's ids of one text, as little-endian unsigned 32-bit integers."""
@@ -64,7 +66,9 @@ class ByteBpe(dict):
             if piece != "\n" and (piece[-1].isspace() or piece[1:2].isspace()):
                 raise UnsafeCut
             found = self._ids(piece)
-        self[piece] = found
+        if len(piece) <= self.longest:
+            self.held += 200 + 2 * len(piece) + len(found)
+            self[piece] = found
         return found
 
     def _ids(self, piece: str) -> bytes:
@@ -94,9 +98,10 @@ class ByteBpe(dict):
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self) >= self.most:
+        if len(self) >= self.most or self.held >= self.most_bytes:
             self.older = dict(self)
             self.clear()
+            self.held = 0
         return [self._text(text) for text in texts]
 
     def _text(self, text: str) -> bytes:

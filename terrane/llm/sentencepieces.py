@@ -6,7 +6,6 @@ import hashlib
 import re
 from collections.abc import Iterator
 from heapq import heappop, heappush
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame
 from terrane.llm.common import batch_rows, documents_of, kept_by_worker, map_arrow, texts_of
 
 SPACE = "▁"  # what a space is written as inside pieces
+_SPACE_BYTES = SPACE.encode()
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 BATCH_BYTES = 4 << 20
 SHORT = 32
@@ -49,6 +49,7 @@ class MergeVocabulary:
             else:
                 self.surfaces.append(b"" if special[i] else piece.encode())
         self.unknown = self.library.unk_id()
+        self.plain = {i for i in ids if not byte[i] and not special[i]}
         # Neighbours inside some piece. No merge reaches over any other pair of characters,
         # so a text may be cut between them and its parts encoded by themselves.
         self.bound = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
@@ -135,23 +136,41 @@ class MergeVocabulary:
 
 
 class Encoder:
-    """Whole texts to ids, with a memory for parts that recur (the last `most` at least)."""
+    """Whole texts to ids and back, with a memory for pieces that recur.
 
-    def __init__(self, vocabulary: MergeVocabulary, most: int = 250_000):
+    Of each piece the decimal ids, joined by commas, and the surface are kept, as bytes: those
+    of a text are the pieces' joined. The last `most` pieces at least are held, and no more than
+    `most_bytes` twice; a piece longer than `longest` only while its batch is worked on. Each
+    piece is checked against the library, both ways, when it is new.
+    """
+
+    def __init__(
+        self, vocabulary: MergeVocabulary, most: int = 250_000, most_bytes: int = 48 << 20, longest: int = 128
+    ):
         self.vocabulary = vocabulary
-        self.most = most
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.most, self.most_bytes, self.longest = most, most_bytes, longest
+        self.decimal = [str(i).encode() for i in range(len(vocabulary.surfaces))]
+        self.clear()
+        self.older: tuple[dict[str, bytes], dict[str, bytes], set[str]] = ({}, {}, set())
+
+    def clear(self) -> None:
+        self.ids: dict[str, bytes] = {}
+        self.surfaces: dict[str, bytes] = {}
+        self.odd: set[str] = set()  # pieces with ids of bytes or unknown characters
         self.parts: dict[str, tuple[int, ...]] = {}
+        self.held = 0
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> list[int]:
         ids: list[int] = []
         for part in [piece] if piece[1:].isalpha() else self.vocabulary.parts(piece):
             found = self.parts.get(part)
             if found is None:
-                found = self.parts[part] = tuple(self.vocabulary.merge(part))
+                found = tuple(self.vocabulary.merge(part))
+                if len(part) <= self.longest:
+                    self.parts[part] = found
+                    self.held += 150 + 4 * len(part) + 8 * len(found)
             ids += found
-        return tuple(ids)
+        return ids
 
     def cut(self, text: str) -> list[str]:
         """The text with its spaces written as pieces write them, cut before each word."""
@@ -164,23 +183,51 @@ class Encoder:
             return [SPACE + word for word in words]
         return re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE))
 
-    def batch(self, texts: list[str]) -> tuple[list[list[int]], list[str]]:
-        """Ids of each text, and the pieces that were new."""
-        if len(self.pieces) >= self.most:
-            self.pieces, self.older = {}, self.pieces
-        if len(self.parts) >= self.most:
-            self.parts = {}
-        cut = [self.cut(text) for text in texts]
-        held = self.pieces
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode new pieces, and see that the library encodes and decodes them alike.
+
+        The library puts its own space before a text, so a piece goes in without its first one.
+        """
+        vocabulary, ids, surfaces, odd = self.vocabulary, *self.older
         new = []
-        for piece in {p for pieces in cut for p in pieces if p not in held}:
-            ids = self.older.get(piece)
-            if ids is None:
-                ids = self._piece(piece)
-                new.append(piece)
-            held[piece] = ids
-        look = held.__getitem__
-        return [list(chain.from_iterable(map(look, pieces))) for pieces in cut], new
+        for piece in pieces:
+            if piece in ids:
+                self.ids[piece], self.surfaces[piece] = ids[piece], surfaces[piece]
+                if piece in odd:
+                    self.odd.add(piece)
+            else:
+                new.append((piece, self._piece(piece)))
+        told = vocabulary.library.encode([piece[1:] for piece, _ in new], num_threads=1)
+        back = vocabulary.library.decode([own for _, own in new]) if new else []
+        for (piece, own), theirs, text in zip(new, told, back):
+            # The library has no ids for an empty text.
+            if (piece != SPACE and own != theirs) or vocabulary.decode(own) != text:
+                raise ValueError(f"the library encodes {piece!r} otherwise; is the model of type BPE?")
+            self.ids[piece] = b",".join([self.decimal[i] for i in own])
+            surface = b"".join([vocabulary.surfaces[i] for i in own])
+            self.surfaces[piece] = surface.replace(_SPACE_BYTES, b" ")
+            if not vocabulary.plain.issuperset(own):
+                self.odd.add(piece)
+        for piece in pieces:
+            self.held += 350 + 2 * len(piece) + len(self.ids[piece]) + len(self.surfaces[piece])
+
+    def batch(self, texts: list[str]) -> Iterator[tuple[bytes, bytes, bool]]:
+        """Of each text its decimal ids, joined by commas, its surface (all spaces as such, the
+        leading one too), and whether it has ids of bytes or unknown characters."""
+        if len(self.ids) >= self.most or self.held >= self.most_bytes:
+            self.older = self.ids, self.surfaces, self.odd
+            self.clear()
+        cut = [self.cut(text) for text in texts]
+        new = {piece for pieces in cut for piece in pieces if piece not in self.ids}
+        self._learn(new)
+        ids, surface, odd = self.ids.__getitem__, self.surfaces.__getitem__, self.odd
+        for pieces in cut:
+            strange = bool(odd) and not odd.isdisjoint(pieces)
+            yield b",".join(map(ids, pieces)), b"".join(map(surface, pieces)), strange
+        for piece in new:
+            if len(piece) > self.longest:
+                del self.ids[piece], self.surfaces[piece]
+                self.odd.discard(piece)
 
 
 def _encoder(model_path: str) -> Encoder:
@@ -192,22 +239,28 @@ def worker_encoder(model_path: str) -> Encoder:
     return kept_by_worker(_encoder, model_path)
 
 
+def numbers(decimals: bytes) -> list[int]:
+    return list(map(int, decimals.split(b","))) if decimals else []
+
+
 def encode_texts(encoder: Encoder, texts: list[str]) -> list[list[int]]:
-    """Ids of a batch, checked against the library.
+    """Ids of a batch of texts."""
+    return [numbers(decimals) for decimals, _, _ in encoder.batch(texts)]
+
+
+def decoded(vocabulary: MergeVocabulary, decimals: bytes, surface: bytes, odd: bool) -> bytes:
+    """UTF-8 of the text that the ids stand for: the joined surfaces, the leading space off.
 
-    Each piece that the batch adds to the memory is encoded by the library too, and must come
-    out the same: what a text's ids are made of has then been checked. The library puts its
-    own space before a text, so a piece goes in without its first one.
+    Where ids of bytes or unknown characters are among them the library decodes the whole text,
+    and has to agree.
     """
-    vocabulary = encoder.vocabulary
-    ids, new = encoder.batch(texts)
-    told = vocabulary.library.encode([piece[1:] for piece in new], num_threads=1)
-    for piece, own in zip(new, told):
-        if piece == SPACE:  # the library has no ids for an empty text
-            continue
-        if tuple(own) != encoder.pieces[piece]:
-            raise ValueError(f"the library encodes {piece!r} otherwise; is the model of type BPE?")
-    return ids
+    if not odd:
+        return surface[1:] if surface[:1] == b" " else surface
+    ids = numbers(decimals)
+    text = vocabulary.library.decode(ids)
+    if vocabulary.decode(ids) != text:
+        raise ValueError("the library decodes otherwise")
+    return text.encode()
 
 
 def sentence_pieces(docs: DataFrame, model_path: str) -> DataFrame:
@@ -215,26 +268,25 @@ def sentence_pieces(docs: DataFrame, model_path: str) -> DataFrame:
 
     doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of
     the text that decode(ids) gives), n_unknown. Null texts are empty ones, which have no
-    ids. Repeated rows are encoded each; other columns are left out.
+    ids. Repeated rows are encoded each; other columns are left out. An empty table gives no
+    rows. Texts without spaces are one long piece, which is not kept.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(model_path)
-        vocabulary = encoder.vocabulary
-        decimal = [str(i) for i in range(len(vocabulary.surfaces))]
-        sha = hashlib.sha256
+        vocabulary, sha = encoder.vocabulary, hashlib.sha256
         for batch in batch_rows(batches, BATCH_BYTES):
-            ids = encode_texts(encoder, texts_of(batch.column("text")))
-            decoded = vocabulary.library.decode(ids)
-            for own, text in zip(ids, decoded):
-                if vocabulary.decode(own) != text:
-                    raise ValueError("the library decodes otherwise")
-            columns = [
-                pa.array([len(one) for one in ids], pa.int64()),
-                pa.array([sha(",".join(map(decimal.__getitem__, one)).encode()).hexdigest() for one in ids]),
-                pa.array([sha(text.encode()).hexdigest() for text in decoded]),
-                pa.array([one.count(vocabulary.unknown) for one in ids], pa.int64()),
+            rows = [
+                (
+                    decimals.count(b",") + 1 if decimals else 0,
+                    sha(decimals).hexdigest(),
+                    sha(decoded(vocabulary, decimals, surface, odd)).hexdigest(),
+                    numbers(decimals).count(vocabulary.unknown) if odd else 0,
+                )
+                for decimals, surface, odd in encoder.batch(texts_of(batch.column("text")))
             ]
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.int64())
+            columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *columns],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_unknown"],

@@ -55,6 +55,37 @@ def test_piece_ids_equal_the_library(monkeypatch, short):
         assert [vocabulary.decode(ids) for ids in told] == library.decode(told)
 
 
+def spaceless(count: int) -> list[str]:
+    """Texts without spaces: of ideographs, of letters, of emoji that need byte pieces."""
+    chosen = random.Random(5)
+    letters = ["".join(map(chr, range(0x4E00, 0x4E00 + 900))), "abcdefghij", "😀🜁𐍈é"]
+    return ["".join(chosen.choices(letters[k % 3], k=5_000)) for k in range(count)]
+
+
+def test_memories_stay_small_on_texts_without_spaces():
+    vocabulary, texts = MergeVocabulary(PIECES), spaceless(60)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    pieces, parts = Encoder(vocabulary, most_bytes=1 << 20), ByteBpe(BYTES, most_bytes=1 << 20)
+    for start in range(0, len(texts), 10):
+        batch = texts[start : start + 10]
+        assert encode_texts(pieces, batch) == library.encode(batch)
+        assert parts.batch(batch) == [parts.whole(text) for text in batch]
+        assert max(map(len, [*pieces.ids, *pieces.parts, *parts, "-"])) <= 128
+    many = [f"w{k} x{k}" for k in range(30_000)]
+    for start in range(0, len(many), 1_000):
+        encode_texts(pieces, many[start : start + 1_000])
+        parts.batch(many[start : start + 1_000])
+        assert pieces.held <= 3 << 20 and parts.held <= 3 << 20
+    assert len(pieces.ids) < 10_000 and len(parts) < 30_000
+
+
+def test_a_wrong_decoding_is_found(monkeypatch):
+    vocabulary = MergeVocabulary(PIECES)
+    monkeypatch.setattr(vocabulary, "surfaces", [b"x"] * len(vocabulary.surfaces))
+    with pytest.raises(ValueError, match="otherwise"):
+        encode_texts(Encoder(vocabulary), ["some words"])
+
+
 def test_sentence_pieces(spark, odd, nothing):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
 
@@ -63,8 +94,10 @@ def test_sentence_pieces(spark, odd, nothing):
         sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
         return row.doc_id, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids))
 
-    found = sentence_pieces(odd, PIECES).drop("n_unknown").collect()
-    assert Counter(map(tuple, found)) == Counter(map(expected, odd.collect()))
+    texts = [(k, text) for k, text in enumerate(odd_strings(3000) + spaceless(6))]
+    more = odd.select("doc_id", "text").unionByName(spark.createDataFrame(texts, "doc_id long, text string"))
+    found = sentence_pieces(more, PIECES).drop("n_unknown").collect()
+    assert Counter(map(tuple, found)) == Counter(map(expected, more.collect()))
     assert sentence_pieces(nothing, PIECES).count() == 0
 
 
