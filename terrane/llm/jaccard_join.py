@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from terrane.llm.common import (
+    KeyFilter,
     WordHashes,
     batch_rows,
     documents_of,
@@ -50,6 +51,7 @@ from terrane.llm.components import connected
 WORDS = 5
 ELEMENT_BYTES = 6
 GUESTS = 2_000
+MATRIX = 4_096  # sets of a cell whose signatures are compared each with each
 TOGETHER = 1_500_000  # elements of the sets that meet in one place
 BATCH_BYTES = 4 << 20
 BROADCAST_BYTES = 16 << 20
@@ -98,14 +100,38 @@ def prefix_length(size: int) -> int:
     return size - (3 * size + 3) // 4 + 1
 
 
+def signature(elements: np.ndarray) -> bytes:
+    """Parity bits of the set: each element flips the bit that its low end names, of 3 to 6 bits
+    an element. Two signatures differ in no more bits than the sets have elements apart."""
+    bits = 1 << max(6, (3 * len(elements) - 1).bit_length())
+    places = (elements & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(raw: bytes, size: int) -> bytes:
+    """A signature as one of `size` bytes, by laying halves over each other."""
+    while len(raw) > size:
+        half = len(raw) // 2
+        one, two = int.from_bytes(raw[:half], "little"), int.from_bytes(raw[half:], "little")
+        raw = (one ^ two).to_bytes(half, "little")
+    return raw
+
+
+def may_link(one: bytes, two: bytes, size_one: int, size_two: int) -> bool:
+    """Whether the signatures leave it open that the sets link."""
+    size = min(len(one), len(two))
+    apart = (int.from_bytes(folded(one, size), "little") ^ int.from_bytes(folded(two, size), "little")).bit_count()
+    return size_one + size_two - apart >= 2 * needed(size_one, size_two)
+
+
 # --- the passes over the texts ---------------------------------------------------------
 
 
 def _sets(docs: DataFrame, limits: Limits) -> DataFrame:
     """A row a document (doc_id, size, class), and rows (shingle, count) of frequent ones.
 
-    A task counts each class it sees once; shingles it saw once or twice are left to the hash
-    order.
+    A task counts each class it sees once, and gives its signature once; shingles it saw once
+    or twice are left to the hash order.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,24 +147,27 @@ def _sets(docs: DataFrame, limits: Limits) -> DataFrame:
             held = []
 
         for batch in batch_rows(batches, BATCH_BYTES):
-            sizes, classes = [], []
+            sizes, classes, signatures = [], [], []
             for raw in text_bytes(batch.column("text")):
                 elements = shingles(raw, hashes)
                 sizes.append(len(elements))
                 classes.append(class_of(elements) if len(elements) else None)
+                signatures.append(None)
                 if len(elements) and classes[-1] not in seen:
                     seen.add(classes[-1])
                     held.append(elements)
+                    signatures[-1] = signature(elements)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(classes, pa.int64()),
+                    pa.array(signatures, pa.binary()),
                     pa.nulls(n, pa.int64()),
                     pa.nulls(n, pa.int64()),
                 ],
-                ["doc_id", "size", "class", "shingle", "count"],
+                ["doc_id", "size", "class", "signature", "shingle", "count"],
             )
             if sum(map(len, held)) > 1_000_000:
                 merge()
@@ -147,11 +176,11 @@ def _sets(docs: DataFrame, limits: Limits) -> DataFrame:
         n = int(often.sum())
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(n, pa.int64())] * 3
-            + [pa.array(shingle[often].astype(np.int64)), pa.array(count[often])],
-            ["doc_id", "size", "class", "shingle", "count"],
+            + [pa.nulls(n, pa.binary()), pa.array(shingle[often].astype(np.int64)), pa.array(count[often])],
+            ["doc_id", "size", "class", "signature", "shingle", "count"],
         )
 
-    schema = "doc_id long, size long, class long, shingle long, count long"
+    schema = "doc_id long, size long, class long, signature binary, shingle long, count long"
     return staged(map_arrow(docs, run, schema), "shingle-sets")
 
 
@@ -232,45 +261,6 @@ def _postings(docs: DataFrame, frequent, limits: Limits) -> DataFrame:
     return map_arrow(docs, run, _POSTING)
 
 
-class _Bits:
-    """A Bloom filter of bounded size over signed 64-bit keys; two bits a key."""
-
-    WORDS = 1 << 17  # 1 MB
-
-    @classmethod
-    def places(cls, keys: np.ndarray) -> np.ndarray:
-        first = mixed(keys.astype(np.uint64))
-        return np.concatenate([first, mixed(first)]) % np.uint64(64 * cls.WORDS)
-
-    @classmethod
-    def of(cls, frame: DataFrame, column: str) -> np.ndarray:
-        """The filter of a column's values that are not null."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words = np.zeros(cls.WORDS, np.uint64)
-            for batch in batches:
-                places = cls.places(batch.column(0).to_numpy())
-                np.bitwise_or.at(words, places >> np.uint64(6), np.uint64(1) << (places & np.uint64(63)))
-            used = np.flatnonzero(words)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used.astype(np.int32)), pa.array(words[used].astype(np.int64))], ["word", "bits"]
-            )
-
-        parts = map_arrow(frame.select(column).filter(F.col(column).isNotNull()), run, "word int, bits long")
-        words = np.zeros(cls.WORDS, np.uint64)
-        for word, bits in parts.groupBy("word").agg(F.bit_or("bits")).collect():
-            words[word] = np.int64(bits).astype(np.uint64)
-        return words
-
-    @classmethod
-    def hold(cls, words: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.zeros(0, bool)
-        places = cls.places(keys)
-        found = (words[(places >> np.uint64(6)).astype(np.int64)] >> (places & np.uint64(63))) & np.uint64(1)
-        return found.reshape(2, -1).all(axis=0)
-
-
 def _elements_of(docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """(class, elements) of the wanted classes, from the smallest doc_id each has.
 
@@ -280,13 +270,14 @@ def _elements_of(docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFr
     owners = sets.filter("class IS NOT NULL").join(classes, "class").groupBy("class").agg(
         F.min("doc_id").alias("doc_id")
     )
-    bits = docs.sparkSession.sparkContext.broadcast(_Bits.of(owners, "doc_id"))
+    bits = docs.sparkSession.sparkContext.broadcast(KeyFilter.of(owners, "doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = word_hashes(), set()
         for batch in batch_rows(batches, BATCH_BYTES):
             ids = batch.column("doc_id")
-            wanted = _Bits.hold(bits.value, ids.fill_null(0).to_numpy()) | ids.is_null().to_numpy(False)
+            wanted = ids.is_null().to_numpy(False)
+            wanted[bits.value.found(ids.fill_null(0).to_numpy().astype(np.uint64))] = True
             names, packed = [], []
             for raw in text_bytes(batch.column("text").filter(pa.array(wanted))):
                 elements = shingles(raw, hashes)
@@ -304,11 +295,11 @@ def _elements_of(docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFr
 
 def _only(elements: DataFrame, classes: DataFrame) -> DataFrame:
     """Elements of the given classes and few others: what need not travel to a join stays."""
-    bits = elements.sparkSession.sparkContext.broadcast(_Bits.of(classes, "class"))
+    bits = elements.sparkSession.sparkContext.broadcast(KeyFilter.of(classes, "class"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_Bits.hold(bits.value, batch.column("class").to_numpy())))
+            yield batch.take(pa.array(bits.value.found(batch.column("class").to_numpy().astype(np.uint64))))
 
     return map_arrow(elements, run, "class long, elements binary")
 
@@ -388,7 +379,7 @@ def _lists(postings: DataFrame, limits: Limits) -> DataFrame:
 
 def _block_pairs(rows: dict[str, np.ndarray], block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Indexes of the pairs of one list, ordered by size, that can still reach the threshold
-    and have not met at a leader.
+    by their sizes, places and short signatures, and have not met at a leader.
 
     For a set and a block before it the most any of the block's sets could share with it is
     known from their largest rest behind the shingle; if that is less than the smallest set
@@ -402,6 +393,7 @@ def _block_pairs(rows: dict[str, np.ndarray], block: int) -> Iterator[tuple[np.n
     most_rest = np.maximum.reduceat(rest, begins)
     least_size = size[begins]
     one_part = np.minimum.reduceat(part, begins) == np.maximum.reduceat(part, begins)
+    shorts = _Shorts(rows)
     for at, begin in enumerate(begins.tolist()):
         y = np.arange(begin, min(begin + block, n))[None, :]
         near = int(np.searchsorted(size, -(-3 * size[begin] // 4))) // block
@@ -418,10 +410,13 @@ def _block_pairs(rows: dict[str, np.ndarray], block: int) -> Iterator[tuple[np.n
             ok &= ((leader[x] != name[y]) | (cell[x] < 0)) & ((leader[y] != name[x]) | (cell[y] < 0))
             if ok.any():
                 i, j = np.nonzero(ok)
-                yield i + low, j + begin
+                i, j = i + low, j + begin
+                near = shorts.open(i, j)
+                if near.any():
+                    yield i[near], j[near]
 
 
-def _open_pairs(lists: DataFrame, limits: Limits) -> DataFrame:
+def _open_pairs(lists: DataFrame, signatures: DataFrame, limits: Limits) -> DataFrame:
     """Distinct pairs (a, b) of classes of different components that their lists leave open."""
 
     def distinct(held: list[np.ndarray]) -> np.ndarray:
@@ -453,7 +448,8 @@ def _open_pairs(lists: DataFrame, limits: Limits) -> DataFrame:
 
     spread = lists.groupBy("shingle").agg(F.min("component").alias("one"), F.max("component").alias("two"))
     mixed_lists = lists.join(spread.filter("one <> two").select("shingle"), "shingle", "left_semi")
-    ordered = mixed_lists.repartition("shingle").sortWithinPartitions("shingle", "size", "class")
+    signed = mixed_lists.join(_broadcast_if_small(_short(signatures)), "class")
+    ordered = signed.repartition("shingle").sortWithinPartitions("shingle", "size", "class")
     return staged(map_arrow(ordered, run, "a long, b long").distinct(), "open-pairs")
 
 
@@ -553,6 +549,122 @@ def _meet_densest(pairs: DataFrame, sizes: DataFrame, elements: DataFrame) -> tu
     return _stars(follow, elements).filter(_LINKED).select("a", "b"), left
 
 
+SHORT_WORDS = 8
+_SHORT = [f"bits{k}" for k in range(SHORT_WORDS)]
+
+
+def _short(signatures: DataFrame) -> DataFrame:
+    """(class, bits0, ...): signatures of at most 64 bytes, the shorter ones followed by zeros."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            width = 8 * SHORT_WORDS
+            whole = b"".join(folded(raw, width).ljust(width, b"\0") for raw in batch.column("signature").to_pylist())
+            words = np.frombuffer(whole, "<i8").reshape(-1, SHORT_WORDS)
+            columns = [pa.array(np.ascontiguousarray(words[:, k])) for k in range(SHORT_WORDS)]
+            yield pa.RecordBatch.from_arrays([batch.column("class"), *columns], ["class", *_SHORT])
+
+    schema = ", ".join(["class long", *[f"{name} long" for name in _SHORT]])
+    return staged(map_arrow(signatures.select("class", "signature"), run, schema), "short-signatures")
+
+
+class _Shorts:
+    """Short signatures of a list's sets, to rule pairs out."""
+
+    def __init__(self, rows: dict[str, np.ndarray]):
+        self.size = rows["size"].astype(np.int64)
+        self.words = np.stack([rows[name] for name in _SHORT], axis=1).view(np.uint64)
+        bits = np.ceil(np.log2(np.maximum(3 * self.size, 64))).astype(np.int64)
+        self.width = np.minimum(SHORT_WORDS, 1 << (bits - 6))  # in words
+        self.folded: dict[int, np.ndarray] = {}
+
+    def open(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Which pairs of rows may link."""
+        width, both = np.minimum(self.width[one], self.width[two]), self.size[one] + self.size[two]
+        keep = np.zeros(len(one), bool)
+        for w in np.unique(width).tolist():
+            if w not in self.folded:
+                parts = self.words.reshape(len(self.words), SHORT_WORDS // w, w)
+                self.folded[w] = np.bitwise_xor.reduce(parts, axis=1)
+            at = np.flatnonzero(width == w)
+            apart = np.bitwise_count(self.folded[w][one[at]] ^ self.folded[w][two[at]]).sum(axis=1, dtype=np.int64)
+            keep[at] = both[at] - apart >= 2 * needed(self.size[one[at]], self.size[two[at]])
+        return keep
+
+
+def _signatures(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(class, size, signature) of the wanted classes, once each."""
+    given = sets.filter("signature IS NOT NULL").select("class", "size", "signature")
+    wanted = staged(classes.select("class").distinct(), "wanted")
+    return given.join(_broadcast_if_small(wanted), "class", "left_semi").dropDuplicates(["class"])
+
+
+def _promising(follow: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The followers that may link to another of their cell, or to its leader, by signature.
+
+    Pairs of a cell that signatures rule out are decided without their elements. A cell of
+    more than `MATRIX` sets keeps all of them, and decides by elements.
+    """
+    guests = follow.select("class", F.col("leader").alias("host"), "cell", F.lit(1).alias("guest"))
+    hosts = follow.select(F.col("leader").alias("class"), F.col("leader").alias("host"), "cell").distinct()
+    places = guests.unionByName(hosts.withColumn("guest", F.lit(0)))
+    by = ["host", "cell"]
+    together = signatures.join(_broadcast_if_small(places), "class").repartition(*by).sortWithinPartitions(*by, "guest")
+
+    def keep(rows: list[tuple]) -> list[tuple]:
+        if len(rows) > MATRIX:
+            return [row for row in rows if row[3]]
+        width = min(len(row[5]) for row in rows)
+        bits = np.frombuffer(b"".join(folded(row[5], width) for row in rows), np.uint64).reshape(len(rows), -1)
+        size = np.array([row[4] for row in rows], np.int64)
+        open_ = np.zeros(len(rows), bool)
+        step = max(1, (1 << 21) // bits.size)
+        for k in range(0, len(rows), step):
+            apart = np.bitwise_count(bits[k : k + step, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
+            both = size[k : k + step, None] + size[None, :]
+            near = both - apart >= 2 * needed(size[k : k + step, None], size[None, :])
+            near[np.arange(len(near)), np.arange(k, k + len(near))] = False
+            open_[k : k + step] = near.any(axis=1)
+        return [row for row, good in zip(rows, open_.tolist()) if good and row[3]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["host", "cell", "class", "guest", "size", "signature"]
+        place, rows, found = None, [], []
+        for batch in batches:
+            for row in zip(*[batch.column(name).to_pylist() for name in names]):
+                if row[:2] != place:
+                    found += keep(rows) if len(rows) > 1 else []
+                    place, rows = row[:2], []
+                rows.append(row)
+            if found:
+                yield batch_of(found)
+                found = []
+        found += keep(rows) if len(rows) > 1 else []
+        if found:
+            yield batch_of(found)
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        host, cell, name, _, _, _ = zip(*rows)
+        columns = [pa.array(name, pa.int64()), pa.array(host, pa.int64()), pa.array(cell, pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, ["class", "leader", "cell"])
+
+    return staged(map_arrow(together, run, "class long, leader long, cell int"), "promising")
+
+
+def _still_open(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The pairs (a, b) that signatures do not rule out."""
+    one = signatures.select(F.col("class").alias("a"), F.col("size").alias("size_a"), F.col("signature").alias("sign_a"))
+    two = signatures.select(F.col("class").alias("b"), F.col("size").alias("size_b"), F.col("signature").alias("sign_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(name).to_pylist() for name in ("sign_a", "sign_b", "size_a", "size_b")]
+            yield batch.select(["a", "b"]).filter(pa.array([may_link(*row) for row in zip(*columns)], pa.bool_()))
+
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "sign_a", "sign_b", "size_a", "size_b")
+    return staged(map_arrow(both, run, "a long, b long"), "open-pairs")
+
+
 def _stars(follow: DataFrame, elements: DataFrame) -> DataFrame:
     """Overlaps of followers with their leader (`led`), and links among its followers.
 
@@ -672,8 +784,11 @@ def _components(docs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     """(class, component) for every class that has a link."""
     lists = _lists(_postings(docs, _frequent(sets, limits), limits), limits)
     follow = _follow(lists)
-    elements = _elements_of(docs, lists.select("class").distinct(), sets)
-    answers = _stars(follow, elements)
+    signatures = staged(_signatures(sets, lists.select("class")), "signatures")
+    promising = _promising(follow, signatures)
+    meeting = promising.select("class").unionByName(promising.select(F.col("leader").alias("class")))
+    elements = _elements_of(docs, meeting.distinct(), sets)
+    answers = _stars(promising, elements)
     links = answers.filter(_LINKED).select("a", "b")
     parts = connected(links)
     named = lists.select("shingle", "class", "size", "position")
@@ -688,7 +803,11 @@ def _components(docs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
         F.col("a").alias("class"), F.col("b").alias("leader"), F.col("size_a").alias("size"),
         F.col("overlap").alias("in_leader"), F.col("size_b").alias("leader_size"),
     )
-    pairs = _open_pairs(named, limits)
+    pairs = _still_open(_open_pairs(named, signatures, limits), signatures)
+    asked = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    asked = staged(asked.join(meeting, "class", "left_anti"), "asked")
+    if asked.take(1):
+        elements = elements.unionByName(_elements_of(docs, asked, sets))
     sizes = staged(lists.groupBy("class").agg(F.max("size").alias("size")), "sizes")
     for _ in range(limits.rounds):
         if not pairs.take(1):

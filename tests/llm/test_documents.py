@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,8 +10,19 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import zstandard
-
-from terrane.llm.jaccard_join import Limits, jaccard_components, keep_one
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from terrane.llm.jaccard_join import (
+    _SHORT,
+    Limits,
+    _Shorts,
+    folded,
+    jaccard_components,
+    keep_one,
+    may_link,
+    signature,
+)
 from terrane.llm.pii import KINDS, personal_data, redact
 from terrane.llm.quality import Bands, Judge, beyond, keep_quality, learn_bands, outside, quality
 from terrane.llm.sharding import Block, minimax_cuts, shard
@@ -214,6 +226,35 @@ def test_jaccard_components(spark, documents, odd, limits):
     assert Counter(map(tuple, found)) == brute_components([tuple(r) for r in both.collect()])
 
 
+def test_near_copies_about_the_threshold(spark):
+    """Copies of which each has a few words of its own: most pairs are just under 0.75."""
+    dice = random.Random(4)
+    base, rows = [f"w{dice.randrange(900)}" for _ in range(200)], []
+    for k in range(250):
+        words = list(base)[: dice.randrange(170, 200)] if k % 5 == 0 else list(base)
+        for _ in range(3 + k % 3):
+            words[dice.randrange(len(words))] = f"z{dice.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = jaccard_components(frame).drop("class").collect()
+    assert Counter(map(tuple, found)) == brute_components(rows)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 400), st.integers(0, 400), st.integers(0, 400), st.integers(0, 10**6))
+def test_signatures_rule_out_no_link(shared, one, two, seed):
+    values = np.random.default_rng(seed).integers(0, 1 << 48, shared + one + two).astype(np.uint64)
+    a, b = np.unique(values[: shared + one]), np.unique(np.delete(values, np.s_[shared : shared + one]))
+    overlap = len(np.intersect1d(a, b))
+    if 100 * overlap >= 75 * (len(a) + len(b) - overlap):
+        assert may_link(signature(a), signature(b), len(a), len(b))
+        words = [np.frombuffer(folded(signature(x), 64).ljust(64, b"\0"), "<i8") for x in (a, b)]
+        rows = {name: np.array([w[k] for w in words]) for k, name in enumerate(_SHORT)}
+        assert _Shorts({**rows, "size": np.array([len(a), len(b)])}).open(np.array([0]), np.array([1])).all()
+    elif overlap < (len(a) + len(b)) / 5 and min(len(a), len(b)) >= max(100, 3 * max(len(a), len(b)) / 4):
+        assert not may_link(signature(a), signature(b), len(a), len(b))
+
+
 def test_keep_one(documents, odd, nothing):
     found = jaccard_components(documents).drop("class").toPandas()
     kept = sorted(row.doc_id for row in keep_one(documents).collect())
