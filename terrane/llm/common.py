@@ -6,6 +6,7 @@ import gc
 import os
 import re
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +100,18 @@ def kept_by_worker(make: Callable, *arguments):
     return _kept[key]
 
 
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """No search for cycles meanwhile, where many small objects are made that form none."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 def word_hashes() -> WordHashes:
     return kept_by_worker(WordHashes)
 

@@ -7,16 +7,24 @@ import re
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from terrane.llm.common import batch_rows, documents_of, kept_by_worker, map_arrow, texts_of
+from terrane.llm.common import (
+    batch_rows,
+    documents_of,
+    kept_by_worker,
+    map_arrow,
+    no_cycles,
+    texts_of,
+)
 
 SPACE = "▁"  # what a space is written as inside pieces
-_SPACE_BYTES = SPACE.encode()
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 BATCH_BYTES = 4 << 20
 SHORT = 32
+ROWS = 50_000
 
 
 class MergeVocabulary:
@@ -49,45 +57,121 @@ class MergeVocabulary:
             else:
                 self.surfaces.append(b"" if special[i] else piece.encode())
         self.unknown = self.library.unk_id()
-        self.plain = {i for i in ids if not byte[i] and not special[i]}
         # Neighbours inside some piece. No merge reaches over any other pair of characters,
         # so a text may be cut between them and its parts encoded by themselves.
         self.bound = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self._pair_table()
         self.spaces_lead = not any(pair[1] == SPACE and pair[0] != SPACE for pair in self.bound)
 
-    def merge(self, text: str) -> list[int]:
-        """Ids of a text in which spaces are already written as SPACE.
+    def _pair_table(self) -> None:
+        """Every way to put a piece together from two symbols, as sorted keys with the piece's
+        rank and symbol. Symbols are the pieces by number, then all other characters."""
+        pieces = list(self.ids)
+        symbol = {piece: k for k, piece in enumerate(pieces)}
+        count = len(pieces)
+        self.piece_ids = np.array([self.ids[piece] for piece in pieces], np.int64)
+        self.characters = count + np.arange(0x110000, dtype=np.int64)
+        for piece in pieces:
+            if len(piece) == 1:
+                self.characters[ord(piece)] = symbol[piece]
+        self.span = count + 0x110000
+        keys, made = [], []
+        for piece in pieces:
+            for k in range(1, len(piece)):
+                halves = [
+                    symbol.get(half, self.characters[ord(half)] if len(half) == 1 else None)
+                    for half in (piece[:k], piece[k:])
+                ]
+                if None not in halves:
+                    keys.append(int(halves[0]) * self.span + int(halves[1]))
+                    made.append(piece)
+        order = np.argsort(np.array(keys, np.int64))
+        self.pair_keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
+        ranks = np.array([self.ranks[piece] for piece in made], np.int32)[order]
+        self.pair_ranks = np.append(ranks, self.never).astype(np.int32)
+        self.pair_symbols = np.append(np.array([symbol[piece] for piece in made], np.int64)[order], -1)
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of pairs of symbols, and where they stand in the table."""
+        keys = left * self.span + right
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], self.never), at
+
+    def merge_all(self, texts: list[str]) -> list[tuple[int, ...]]:
+        """Ids of texts in which spaces are already written as SPACE.
 
         Every pair of adjacent symbols that forms a piece waits in an agenda, best score
         first, leftmost first among equals. The best pair becomes one symbol, which forms
-        new pairs with its neighbours.
+        new pairs with its neighbours. Short texts of one length take their steps together, a
+        row of a matrix of symbols each, beside the matrix of the ranks that wait.
         """
-        merged = self._merge_short(text) if len(text) <= SHORT else self._merge_long(text)
-        out: list[int] = []
-        for symbol in merged:
-            known = self.ids.get(symbol)
-            if known is not None:
-                out.append(known)
-            elif self.byte_ids:
-                out.extend(self.byte_ids[value] for value in symbol.encode())
-            else:
-                out.append(self.unknown)
+        found: list[tuple[int, ...]] = [()] * len(texts)
+        by_length: dict[int, list[int]] = {}
+        for k, text in enumerate(texts):
+            by_length.setdefault(len(text), []).append(k)
+        for length, places in by_length.items():
+            if length > SHORT:
+                for k in places:
+                    found[k] = self._ids_of(self._merge_long(texts[k]))
+                continue
+            for start in range(0, len(places) if length else 0, ROWS):
+                rows = np.array(places[start : start + ROWS])
+                group = np.array([texts[k] for k in rows.tolist()], f"<U{length}")
+                symbols = self.characters[group.view(np.uint32).reshape(len(rows), length)]
+                for done, final in self._merge_rows(rows, symbols):
+                    for k, ids in zip(done.tolist(), self._numbers(final)):
+                        found[k] = ids
+        return found
+
+    def _merge_rows(self, rows: np.ndarray, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        ranks, at = self._ranks_of(symbols[:, :-1], symbols[:, 1:])
+        while ranks.shape[1]:
+            best = ranks.argmin(axis=1)
+            line = np.arange(len(rows))
+            waits = ranks[line, best] < self.never
+            if not waits.all():
+                yield rows[~waits], symbols[~waits]
+                rows, symbols, ranks, at, best = rows[waits], symbols[waits], ranks[waits], at[waits], best[waits]
+                line = line[: len(rows)]
+            if not len(rows):
+                return
+            width = symbols.shape[1]
+            pair = self.pair_symbols[at[line, best]]
+            symbols[line, best] = pair
+            left = np.arange(width - 1)
+            symbols = np.take_along_axis(symbols, left + (left > best[:, None]), axis=1)
+            gaps = np.arange(width - 2)
+            keep = gaps + (gaps >= best[:, None])
+            ranks, at = np.take_along_axis(ranks, keep, axis=1), np.take_along_axis(at, keep, axis=1)
+            for gap, some in ((best - 1, best > 0), (best, best < width - 2)):
+                here, gap = line[some], gap[some]
+                ranks[here, gap], at[here, gap] = self._ranks_of(symbols[here, gap], symbols[here, gap + 1])
+        yield rows, symbols
+
+    def _numbers(self, symbols: np.ndarray) -> list[tuple[int, ...]]:
+        known = symbols < len(self.piece_ids)
+        ids = self.piece_ids[np.where(known, symbols, 0)].tolist()
+        out = [tuple(row) for row in ids]
+        for k in np.flatnonzero(~known.all(axis=1)).tolist():
+            row: list[int] = []
+            for symbol, piece in zip(symbols[k].tolist(), ids[k]):
+                own = symbol < len(self.piece_ids)
+                row += [piece] if own else self._other(chr(symbol - len(self.piece_ids)))
+            out[k] = tuple(row)
         return out
 
-    def _merge_short(self, text: str) -> list[str]:
-        """The agenda as a list of ranks by place, searched for its best: for few pairs."""
-        rank, never = self.ranks.get, self.never
-        symbols = list(text)
-        agenda = [rank(left + right, never) for left, right in zip(symbols, symbols[1:])]
-        while agenda and (best := min(agenda)) < never:
-            k = agenda.index(best)
-            symbols[k] = pair = symbols[k] + symbols[k + 1]
-            del symbols[k + 1], agenda[k]
-            if k < len(agenda):
-                agenda[k] = rank(pair + symbols[k + 1], never)
-            if k:
-                agenda[k - 1] = rank(symbols[k - 1] + pair, never)
-        return symbols
+    def _other(self, character: str) -> list[int]:
+        """Ids of a character that is no piece."""
+        if self.byte_ids:
+            return [self.byte_ids[value] for value in character.encode()]
+        return [self.unknown]
+
+    def _ids_of(self, symbols: list[str]) -> tuple[int, ...]:
+        out: list[int] = []
+        for symbol in symbols:
+            known = self.ids.get(symbol)
+            out += [known] if known is not None else self._other(symbol)
+        return tuple(out)
 
     def _merge_long(self, text: str) -> list[str]:
         """The agenda as a heap; entries whose symbols have changed meanwhile are skipped."""
@@ -145,32 +229,34 @@ class Encoder:
     """
 
     def __init__(
-        self, vocabulary: MergeVocabulary, most: int = 250_000, most_bytes: int = 48 << 20, longest: int = 128
+        self, vocabulary: MergeVocabulary, most: int = 300_000, most_bytes: int = 160 << 20, longest: int = 128
     ):
         self.vocabulary = vocabulary
         self.most, self.most_bytes, self.longest = most, most_bytes, longest
         self.decimal = [str(i).encode() for i in range(len(vocabulary.surfaces))]
+        self.surfaces = [surface.replace(SPACE.encode(), b" ") for surface in vocabulary.surfaces]
         self.clear()
-        self.older: tuple[dict[str, bytes], dict[str, bytes], set[str]] = ({}, {}, set())
+        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.older_odd: set[str] = set()
 
     def clear(self) -> None:
-        self.ids: dict[str, bytes] = {}
-        self.surfaces: dict[str, bytes] = {}
-        self.odd: set[str] = set()  # pieces with ids of bytes or unknown characters
+        self.pieces: dict[str, tuple[bytes, bytes]] = {}
+        self.odd: set[str] = set()  # pieces with unknown characters
         self.parts: dict[str, tuple[int, ...]] = {}
         self.held = 0
 
-    def _piece(self, piece: str) -> list[int]:
-        ids: list[int] = []
-        for part in [piece] if piece[1:].isalpha() else self.vocabulary.parts(piece):
-            found = self.parts.get(part)
-            if found is None:
-                found = tuple(self.vocabulary.merge(part))
-                if len(part) <= self.longest:
-                    self.parts[part] = found
-                    self.held += 150 + 4 * len(part) + 8 * len(found)
-            ids += found
-        return ids
+    def _ids(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces by those of their parts, of which the new ones are merged together."""
+        cuts = [[p] if p[1:].isalpha() else self.vocabulary.parts(p) for p in pieces]
+        new = list({part for parts in cuts for part in parts if part not in self.parts})
+        self.parts.update(zip(new, self.vocabulary.merge_all(new)))
+        found = [[i for part in parts for i in self.parts[part]] for parts in cuts]
+        for part in new:
+            if len(part) <= self.longest:
+                self.held += 150 + 2 * len(part) + 8 * len(self.parts[part])
+            else:
+                del self.parts[part]
+        return found
 
     def cut(self, text: str) -> list[str]:
         """The text with its spaces written as pieces write them, cut before each word."""
@@ -188,45 +274,45 @@ class Encoder:
 
         The library puts its own space before a text, so a piece goes in without its first one.
         """
-        vocabulary, ids, surfaces, odd = self.vocabulary, *self.older
-        new = []
-        for piece in pieces:
-            if piece in ids:
-                self.ids[piece], self.surfaces[piece] = ids[piece], surfaces[piece]
-                if piece in odd:
-                    self.odd.add(piece)
-            else:
-                new.append((piece, self._piece(piece)))
-        told = vocabulary.library.encode([piece[1:] for piece, _ in new], num_threads=1)
-        back = vocabulary.library.decode([own for _, own in new]) if new else []
-        for (piece, own), theirs, text in zip(new, told, back):
+        known = {piece: self.older[piece] for piece in pieces if piece in self.older}
+        new = [piece for piece in pieces if piece not in known]
+        found, bare = self._ids(new), [piece[1:] for piece in new]
+        told = self.vocabulary.library.encode(bare, num_threads=1)
+        back = self.vocabulary.library.decode(found) if new else []
+        decimal, surface, unknown = self.decimal, self.surfaces, self.vocabulary.unknown
+        decimals = [b",".join([decimal[i] for i in own]) for own in found]
+        surfaces = [b"".join([surface[i] for i in own]) for own in found]
+        odd = {piece for piece, own in zip(new, found) if unknown in own}
+        for piece, own, theirs, mine, text in zip(new, found, told, surfaces, back):
             # The library has no ids for an empty text.
-            if (piece != SPACE and own != theirs) or vocabulary.decode(own) != text:
+            if (own != theirs and piece != SPACE) or (mine[1:] != text.encode() and piece not in odd):
                 raise ValueError(f"the library encodes {piece!r} otherwise; is the model of type BPE?")
-            self.ids[piece] = b",".join([self.decimal[i] for i in own])
-            surface = b"".join([vocabulary.surfaces[i] for i in own])
-            self.surfaces[piece] = surface.replace(_SPACE_BYTES, b" ")
-            if not vocabulary.plain.issuperset(own):
-                self.odd.add(piece)
-        for piece in pieces:
-            self.held += 350 + 2 * len(piece) + len(self.ids[piece]) + len(self.surfaces[piece])
+        self.odd |= odd
+        self.odd |= self.older_odd.intersection(known)
+        self.pieces.update(known)
+        self.pieces.update(zip(new, zip(decimals, surfaces)))
+        self.held += sum(2 * len(p) + len(self.pieces[p][0]) + len(self.pieces[p][1]) + 300 for p in pieces)
 
     def batch(self, texts: list[str]) -> Iterator[tuple[bytes, bytes, bool]]:
         """Of each text its decimal ids, joined by commas, its surface (all spaces as such, the
-        leading one too), and whether it has ids of bytes or unknown characters."""
-        if len(self.ids) >= self.most or self.held >= self.most_bytes:
-            self.older = self.ids, self.surfaces, self.odd
+        leading one too), and whether it has unknown characters."""
+        if len(self.pieces) >= self.most or self.held >= self.most_bytes:
+            self.older, self.older_odd = self.pieces, self.odd
             self.clear()
         cut = [self.cut(text) for text in texts]
-        new = {piece for pieces in cut for piece in pieces if piece not in self.ids}
-        self._learn(new)
-        ids, surface, odd = self.ids.__getitem__, self.surfaces.__getitem__, self.odd
-        for pieces in cut:
+        held = [list(map(self.pieces.get, pieces)) for pieces in cut]
+        new = {p for pieces, own in zip(cut, held) if None in own for p, one in zip(pieces, own) if one is None}
+        with no_cycles():
+            self._learn(new)
+        look, odd = self.pieces.__getitem__, self.odd
+        for pieces, own in zip(cut, held):
+            if None in own:
+                own = list(map(look, pieces))
             strange = bool(odd) and not odd.isdisjoint(pieces)
-            yield b",".join(map(ids, pieces)), b"".join(map(surface, pieces)), strange
+            yield b",".join([one[0] for one in own]), b"".join([one[1] for one in own]), strange
         for piece in new:
             if len(piece) > self.longest:
-                del self.ids[piece], self.surfaces[piece]
+                del self.pieces[piece]
                 self.odd.discard(piece)
 
 
@@ -251,8 +337,7 @@ def encode_texts(encoder: Encoder, texts: list[str]) -> list[list[int]]:
 def decoded(vocabulary: MergeVocabulary, decimals: bytes, surface: bytes, odd: bool) -> bytes:
     """UTF-8 of the text that the ids stand for: the joined surfaces, the leading space off.
 
-    Where ids of bytes or unknown characters are among them the library decodes the whole text,
-    and has to agree.
+    Where unknown characters are among them the library decodes the whole text, and has to agree.
     """
     if not odd:
         return surface[1:] if surface[:1] == b" " else surface

@@ -70,18 +70,22 @@ def test_memories_stay_small_on_texts_without_spaces():
         batch = texts[start : start + 10]
         assert encode_texts(pieces, batch) == library.encode(batch)
         assert parts.batch(batch) == [parts.whole(text) for text in batch]
-        assert max(map(len, [*pieces.ids, *pieces.parts, *parts, "-"])) <= 128
+        assert max(map(len, [*pieces.pieces, *pieces.parts, *parts, "-"])) <= 128
     many = [f"w{k} x{k}" for k in range(30_000)]
     for start in range(0, len(many), 1_000):
         encode_texts(pieces, many[start : start + 1_000])
         parts.batch(many[start : start + 1_000])
         assert pieces.held <= 3 << 20 and parts.held <= 3 << 20
-    assert len(pieces.ids) < 10_000 and len(parts) < 30_000
+    assert len(pieces.pieces) < 10_000 and len(parts) < 30_000
 
 
-def test_a_wrong_decoding_is_found(monkeypatch):
+def test_what_the_library_does_otherwise_is_found(monkeypatch):
     vocabulary = MergeVocabulary(PIECES)
-    monkeypatch.setattr(vocabulary, "surfaces", [b"x"] * len(vocabulary.surfaces))
+    vocabulary.piece_ids = vocabulary.piece_ids + 1
+    with pytest.raises(ValueError, match="otherwise"):
+        encode_texts(Encoder(vocabulary), ["some words"])
+    vocabulary = MergeVocabulary(PIECES)
+    monkeypatch.setattr(vocabulary.library, "decode", lambda ids: ["other"] * len(ids))
     with pytest.raises(ValueError, match="otherwise"):
         encode_texts(Encoder(vocabulary), ["some words"])
 
