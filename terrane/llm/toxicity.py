@@ -167,7 +167,8 @@ def _sample(docs: DataFrame, labels: DataFrame, learning: Learning) -> DataFrame
     drawn = others.distinct().orderBy(order(2)).limit(learning.members * learning.unlabelled)
     ids = picked_toxic.withColumn("toxic", F.lit(1)).unionByName(drawn.withColumn("toxic", F.lit(0)))
     ids = staged(ids, "toxicity-sample")  # bounded by the parameters, so it may be broadcast
-    texts = docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id", "toxic"])
+    # Of several texts under one id the first in order is learnt from, on any layout.
+    texts = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()

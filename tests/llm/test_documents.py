@@ -23,7 +23,7 @@ from terrane.llm.jaccard_join import (
     may_link,
     signature,
 )
-from terrane.llm.pii import KINDS, personal_data, redact
+from terrane.llm.pii import KINDS, _apart, personal_data, redact
 from terrane.llm.quality import Bands, Judge, beyond, keep_quality, learn_bands, outside, quality
 from terrane.llm.sharding import Block, minimax_cuts, shard
 from terrane.llm.toxicity import BUCKETS, Learning, drop_toxic, fit_member, learn, score_toxicity
@@ -172,6 +172,27 @@ def test_personal_data(spark, documents, odd, nothing):
     assert personal_data(nothing).count() == 0
 
 
+def test_added_spans_give_way_only_to_kept_ones(spark):
+    """Walked from the left: a span that was dropped stands in no other's way."""
+    dice, rows = random.Random(8), []
+    for row in range(120):
+        for _ in range(dice.randint(0, 12)):
+            start = dice.randint(0, 40)
+            rows.append((row, row, 0, dice.choice(KINDS), start, start + dice.randint(1, 9)))
+    rows = list(dict.fromkeys(rows))
+    frame = spark.createDataFrame(rows, "row_id long, doc_id long, text_key long, kind string, start long, end long")
+    expected = Counter()
+    for row in range(120):
+        at = 0
+        for _, kind, start, end in sorted(((r[4], -r[5]), r[3], r[4], r[5]) for r in rows if r[0] == row):
+            if start >= at:
+                expected[(row, kind, start, end)] += 1
+                at = end
+    found = _apart(frame, ["row_id", "doc_id", "text_key"]).select("row_id", "kind", "start", "end").collect()
+    assert Counter(map(tuple, found)) == expected
+    assert _apart(frame.limit(0), ["row_id", "doc_id", "text_key"]).count() == 0
+
+
 def test_redact(odd, nothing):
     rows = redact(odd).collect()
     assert redact(odd).columns == odd.columns and len(rows) == odd.count()
