@@ -12,6 +12,7 @@ from terrane.plans.spec import BronzeSpec
 from terrane.queries.registry import query, table
 from terrane.session import scratch_path
 from terrane.sources import paths
+from terrane.sources.inference import read_inferred
 from terrane.sources.landing import read_landing, with_lineage
 from terrane.sources.tables import batch_name, read_table, write_table
 from terrane.streaming.ingest import ingest_stream
@@ -48,6 +49,37 @@ def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, landing, schema=source.schema)
 
 
+@query(
+    "scan_csv_inferred",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+              CASE WHEN o_orderstatus = 'F' THEN o_totalprice > 100000 END AS large,
+              'bigint, double, date, boolean' AS kinds
+       FROM orders""",
+)
+def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two forms of file, with a header and no schema; one has a column the other lacks."""
+    landing = scratch_path(spark, "landing")
+    source = table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") + (1 << 40)).alias("o_orderkey"),
+        "o_custkey",
+        "o_orderstatus",
+        "o_totalprice",
+        F.col("o_orderdate").cast("date").alias("o_orderdate"),
+    )
+    finished = source.filter("o_orderstatus = 'F'").withColumn("large", F.col("o_totalprice") > 100000)
+    land(finished.select(*reversed(finished.columns)), f"{landing}/f", "csv")
+    land(source.filter("o_orderstatus <> 'F'"), f"{landing}/o", "csv")
+    found = read_inferred(spark, landing, file_pattern="[fo]/*.csv")
+    kinds = ", ".join(dict(found.dtypes)[c] for c in ("o_orderkey", "o_totalprice", "o_orderdate", "large"))
+    return found.withColumns(
+        {
+            "o_orderkey": F.col("o_orderkey") - (1 << 40),
+            "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd"),
+            "kinds": F.lit(kinds),
+        }
+    )
+
+
 @query("scan_parquet", "SELECT * FROM customer")
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, sf_dir, file_format="parquet", file_pattern="customer.parquet")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrane.operators.increments import described, merged_profile, profile_part
 from terrane.operators.profiling import histogram, summary
 from terrane.operators.sampling import latest, latest_per_key, sample
 from terrane.operators.scoring import residual_histogram, residuals
@@ -44,6 +45,24 @@ def eda_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(gold_table(spark, sf_dir), _NUMERIC)
 
 
+_MOMENTS = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 3) AS mean,
+               round(stddev_samp({c}), 3) AS std, round(min({c})::DOUBLE, 3) AS min,
+               round(max({c})::DOUBLE, 3) AS max FROM lineitem"""
+    for c in ("l_extendedprice", "l_quantity")
+)
+
+
+@query("eda_summary_merged", _MOMENTS)
+def eda_summary_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches leave their moments in a table; the summary is merged from these alone."""
+    source, parts = table(spark, sf_dir, "lineitem"), scratch_path(spark, "moments")
+    for flag in ("l_returnflag = 'R'", "l_returnflag = 'A'", "l_returnflag NOT IN ('A', 'R')"):
+        batch = source.filter(flag)
+        write_table(profile_part(batch, ["l_extendedprice", "l_quantity"]), parts, "append")
+    return described(merged_profile(read_table(spark, parts)))
+
+
 def _bins(values: str) -> str:
     """Equal-width counts over 50 bins of the one column ``x`` of a subquery."""
     low, width = "(SELECT lo FROM b)", "(SELECT w FROM b)"

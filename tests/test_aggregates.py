@@ -72,3 +72,23 @@ def test_unseen_rows_by_keys_with_nulls_and_types(spark):
     assert sorted(r.v for r in unseen(new, old, ["k", "j.x"]).collect()) == [3, 5]
     assert unseen(new, old, ["k"]).columns == ["k", "j.x", "v"]
     assert unseen(new, old.limit(0), ["k"]).count() == 5 and unseen(new.limit(0), old, ["k"]).count() == 0
+
+
+def test_a_profile_of_parts_is_that_of_the_whole(spark):
+    from terrane.operators.increments import described, merged_profile, profile_part
+    from terrane.operators.profiling import summary
+
+    rows = spark.range(3000).selectExpr(
+        "id", "if(id % 7 = 0, NULL, 1e9 + id % 50) AS a", "if(id % 9 = 0, double('NaN'), id / 3.0D) AS b", "id % 4 AS part",
+        "CAST(NULL AS DOUBLE) AS none",
+    )
+    columns, edges = ["a", "b", "none"], {"b": [0.0, 100.0, 500.0, 900.0]}
+    parts = [profile_part(rows.filter(f"part = {k}"), columns, edges) for k in range(4)]
+    parts.append(profile_part(rows.limit(0), columns, edges))
+    merged = merged_profile(parts[0].union(parts[1]).union(merged_profile(parts[2].union(parts[3]).union(parts[4]))))
+    whole = {r.column: r for r in summary(rows, columns).select("column", "count", "mean", "std", "min", "max").collect()}
+    assert {r.column: r for r in described(merged).collect()} == whole
+    values = [k / 3 for k in range(3000) if k % 9]
+    exact = [sum(v < 0 for v in values), sum(v < 100 for v in values), sum(100 <= v < 500 for v in values),
+             sum(500 <= v <= 900 for v in values), sum(v > 900 for v in values)]
+    assert {r.column: r.bins for r in merged.collect()} == {"a": [], "b": exact, "none": []}

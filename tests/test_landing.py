@@ -326,3 +326,23 @@ def test_malformed_text_in_a_stream_is_quarantined(spark, landing):
     assert (report["clean_count"], report["quarantine_count"]) == (1, 2)
     assert [r.id for r in read_table(spark, f"{root}/ok").collect()] == [2]
     assert sorted(r.id for r in read_table(spark, f"{root}/bad").collect()) == [1, 3]
+
+
+def test_types_are_those_that_all_values_have(spark, landing):
+    from terrane.sources.inference import read_inferred
+
+    put(landing, "a.csv", "id,n,x,day,at,yes,word,none\n1,5,1,2024-01-02,2024-01-02 03:04:05,true,1d,\n", "utf-8-sig")
+    put(landing, "b.csv", 'id,n,x,day,at,yes,word,none\n2,5000000000,-2.5e3,2024-1-3,2024-01-03,FALSE,"a, b",\n')
+    put(landing, "c.csv", "x,id,more\nNaN,,7\n,4,\n")
+    got = read_inferred(spark, str(landing), file_pattern="*.csv", lineage=True)
+    kinds = dict(got.dtypes)
+    assert kinds.pop("_source_file") == "string"
+    assert kinds == {
+        "id": "int", "n": "bigint", "x": "double", "day": "date", "at": "timestamp",
+        "yes": "boolean", "word": "string", "none": "string", "more": "int",
+    }
+    rows = {(r.id, r.more): r for r in got.collect()}
+    assert rows[(1, None)].word == "1d" and rows[(2, None)].word == "a, b" and rows[(2, None)].n == 5_000_000_000
+    assert rows[(2, None)].x == -2500 and str(rows[(2, None)].day) == "2024-01-03" and rows[(2, None)].yes is False
+    assert rows[(4, None)].x is None and (None, 7) in rows and len(rows) == 4
+    assert read_inferred(spark, str(landing), file_pattern="*.none") is None
