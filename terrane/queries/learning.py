@@ -246,21 +246,21 @@ def ml_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_named(spark, _fit_cells(spark, sf_dir, tuning=tuning).metrics, "metric"))
 
 
-@query("ml_train_boosted")
-def ml_train_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hold-out metrics and importances of the default trees on all gold features.
+def boosted(spark: SparkSession, sf_dir: str) -> tuple[Fit, DataFrame]:
+    """The default trees on all gold features, and the rows they come from.
 
     The customer is a category of any number of values, so it stands as a target statistic.
     """
     gold = scratch_path(spark, "gold")
     write_table(gold_features(spark, sf_dir), gold)
-    fit = train(
-        read_table(spark, gold),
-        TARGET,
-        [*CATEGORICAL, "customer_id"],
-        NUMERIC,
-        max_categories=64,
-    )
+    rows = read_table(spark, gold)
+    return train(rows, TARGET, [*CATEGORICAL, "customer_id"], NUMERIC, max_categories=64), rows
+
+
+@query("ml_train_boosted")
+def ml_train_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hold-out metrics and importances on all gold features."""
+    fit, _ = boosted(spark, sf_dir)
     return _named(spark, {**fit.metrics, **fit.importances}, "key")
 
 

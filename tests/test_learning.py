@@ -236,3 +236,22 @@ def test_five_million_labels_are_indexed_without_the_driver(spark, monkeypatch):
     ).first()
     assert (total.rows, total.n, total.last, total.repeated, total.odd) == (n + 1000, n, n - 1, 999, 0)
     assert sum(map(len, collected)) < 100
+
+
+def test_hold_out_metrics_of_the_gold_features_by_hand(spark):
+    import numpy as np
+
+    from terrane.functions.columns import hash_position, within_share
+    from terrane.queries.learning import CATEGORICAL, NUMERIC, TARGET, boosted
+
+    fit, rows = boosted(spark, "/root/testdata/sf0.001")
+    used = [TARGET, *CATEGORICAL, "customer_id", *NUMERIC]
+    held_out = rows.filter(~within_share(hash_position(42, used), 0.8))
+    scored = fit.model.transform(held_out).select(TARGET, PREDICTION).toPandas()
+    assert len(scored) == held_out.dropna(subset=used).count() > 500
+    error = (scored[PREDICTION] - scored[TARGET]).to_numpy(float)
+    spread = ((scored[TARGET] - scored[TARGET].mean()) ** 2).sum()
+    assert fit.metrics["rmse"] == pytest.approx(np.sqrt((error**2).mean()))
+    assert fit.metrics["mae"] == pytest.approx(np.abs(error).mean())
+    assert fit.metrics["r2"] == pytest.approx(1 - (error**2).sum() / spread)
+    assert set(fit.importances) == {"c_mktsegment_indexed", "p_brand_indexed", "customer_id_target", *NUMERIC}
