@@ -185,17 +185,18 @@ def run_scoring(
     *,
     run_id: str | None = None,
     primary_model: str | None = None,
+    again: bool = False,
 ) -> Scored:
     """Append ids, prediction and audit columns for every row that can be scored.
 
-    Rows whose ids this run's model has scored into the table before are left out, so a
-    repeated scoring adds nothing; another model's run scores them again.
+    Rows whose ids this run's model has scored into the table before are left out, unless they
+    are wanted ``again``, so a repeated scoring adds nothing; another model's run scores them.
     """
     model, credited = _model(spark, spec, run_id, primary_model)
     with settings(spark, layout_for(spark, table_bytes(spark, source_table))):
         source = read_table(spark, source_table)
         rows = source
-        if is_table(spark, output_table):
+        if not again and is_table(spark, output_table):
             done = read_table(spark, output_table)
             if {MODEL_RUN_ID, *id_columns} <= set(done.columns):
                 rows = unseen(rows, done.filter(F.col(MODEL_RUN_ID) == credited), id_columns)

@@ -111,8 +111,9 @@ def test_whole_job(spark, landed):
 
     spec = load_spec(path)
     gold, out = f"{root}/gold/people", f"{root}/predictions"
-    for _ in range(2):
-        assert run_scoring(spark, spec, gold, out, ["person"]) == clean
+    for again in (False, True):
+        assert run_scoring(spark, spec, gold, out, ["person"], again=again) == clean
+    assert run_scoring(spark, spec, gold, out, ["person"]) == 0
     assert read_table(spark, out).count() == 2 * clean
     assert {r._model_run_id for r in read_table(spark, out).collect()} == {report["run_id"]}
     target = run_gold_scoring(spark, spec, f"{root}/scored", primary_model="/tmp/no-such-model")
