@@ -68,10 +68,9 @@ FEATURES = [
 
 @dataclass(frozen=True)
 class Training:
-    """The trees are fitted on at most `rows` candidates, those first by hash; a quarter of
-    them are held out to calibrate the thresholds to `precision`."""
+    """The trees are fitted on all base candidates but a quarter, drawn by hash, that is held
+    out to calibrate the thresholds to `precision`."""
 
-    rows: int = 20_000
     trees: int = 10
     depth: int = 5
     precision: float = 0.95
@@ -197,20 +196,24 @@ def fit_trees(found: DataFrame, training: Training) -> tuple[Model, dict[str, fl
     candidates.
 
     Base candidates teach: those the checks of their kind confirm are examples, the others
-    counterexamples. Trees see format and context, not the generator.
+    counterexamples. Trees see format and context, not the generator. Every candidate counts:
+    those alike in features and label are one row with their number as its weight.
     """
-    order = F.xxhash64(F.lit(training.seed), "text_key", "kind", "start")
-    rows = found.filter("base").withColumn("place", order).orderBy("place").limit(training.rows)
-    rows = rows.select(*FEATURES, "kind", "place", F.col("valid").cast("double").alias("label"))
+    place = F.xxhash64(F.lit(training.seed), "text_key", "kind", "start")
+    alike = [*FEATURES, "kind", "label", "held_out"]
+    rows = found.filter("base").withColumn("label", F.col("valid").cast("double"))
+    rows = rows.withColumn("held_out", F.pmod(place, F.lit(4)) == 0)
+    rows = rows.groupBy(*alike).agg(F.count(F.lit(1)).cast("double").alias("weight")).orderBy(*alike)
     rows = staged(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).drop(*FEATURES), "pii-training")
-    held_out = F.pmod("place", F.lit(4)) == 0
-    if not rows.filter(~held_out).take(1):
+    fitting = rows.filter("NOT held_out")
+    if not fitting.take(1):
         return None
     ensure_checkpoint_dir(found.sparkSession)
-    trees = GBTClassifier(maxIter=training.trees, maxDepth=training.depth, seed=training.seed)
-    model = trees.fit(rows.filter(~held_out))
-    scored = model.transform(rows.filter(held_out)).withColumn("bin", _bin(_score()))
-    bins = scored.groupBy("kind", "bin").agg(F.sum("label").alias("right"), F.count("label").alias("all"))
+    trees = GBTClassifier(maxIter=training.trees, maxDepth=training.depth, seed=training.seed, weightCol="weight")
+    model = trees.fit(fitting)
+    scored = model.transform(rows.filter("held_out")).withColumn("bin", _bin(_score()))
+    right = F.sum(F.col("label") * F.col("weight"))
+    bins = scored.groupBy("kind", "bin").agg(right.alias("right"), F.sum("weight").alias("all"))
     thresholds = {kind: 0.5 for kind in KINDS}
     for kind in KINDS:
         right = total = 0

@@ -12,6 +12,7 @@ import pytest
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.ml.linalg import DenseVector
 
 from terrane.llm.jaccard_join import (
     _SHORT,
@@ -23,7 +24,7 @@ from terrane.llm.jaccard_join import (
     may_link,
     signature,
 )
-from terrane.llm.pii import KINDS, _apart, personal_data, redact
+from terrane.llm.pii import FEATURES, KINDS, Training, _apart, fit_trees, personal_data, redact
 from terrane.llm.quality import Bands, Judge, beyond, keep_quality, learn_bands, outside, quality
 from terrane.llm.sharding import Block, minimax_cuts, shard
 from terrane.llm.toxicity import BUCKETS, Learning, drop_toxic, fit_member, learn, score_toxicity
@@ -151,6 +152,18 @@ def base_spans(text):
     return [f"{kind}:{start}:{end}" for start, _, end, kind in sorted(found)]
 
 
+def test_trees_from_every_candidate(spark):
+    """24,000 candidates: the 4,000 that come last by hash teach the trees as well."""
+    found = spark.range(24_000).selectExpr("id AS text_key", "'card' AS kind", "0L AS start", "true AS base")
+    places = [r[0] for r in found.selectExpr("xxhash64(1, text_key, kind, start) AS place").orderBy("place").collect()]
+    found = found.selectExpr("*", f"xxhash64(1, text_key, kind, start) >= {places[20_000]} AS valid")
+    rows = found.selectExpr("*", *[f"double(valid) AS {name}" for name in FEATURES])
+    model, _ = fit_trees(rows, Training(trees=1, depth=2))
+    assert model.numFeatures == len(FEATURES)
+    assert model.predict(DenseVector([1.0] * len(FEATURES))) == 1.0
+    assert model.predict(DenseVector([0.0] * len(FEATURES))) == 0.0
+
+
 def test_personal_data(spark, documents, odd, nothing):
     cases = spark.createDataFrame([(10_000 + k, text) for k, text in enumerate(CASES)], "doc_id long, text string")
     both = documents.select("doc_id", "text").unionByName(odd.select("doc_id", "text")).unionByName(cases)
