@@ -3,26 +3,29 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
-from itertools import islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from terrane.llm.common import (
+    KeyFilter,
     batch_rows,
     documents_of,
     map_arrow,
+    staged,
     text_bytes,
     window_hashes,
     word_hashes,
 )
 from terrane.llm.toxicity import held_out
+from terrane.operators.quantiles import exact_quantiles
 
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
 BATCH_BYTES = 4 << 20
@@ -57,19 +60,15 @@ class Bands:
 
 
 @dataclass(frozen=True)
-class Sample:
-    """Clean texts that limits are learnt from: about `texts` of them, drawn by hash, each with
-    at most `chunks` chunks. A length class is half an octave, or more until it holds `least`
-    ratios; its limits are the quantiles `tail` and 1 - `tail`, moved out by `margin` of
-    themselves. Of fewer than `enough` texts nothing is learnt."""
-
-    texts: int = 20_000
-    chunks: int = 8
+class Learning:
+    """How limits follow from the ratios of clean texts. A length class is half an octave, or
+    more until it holds `least` ratios; its limits are the quantiles `tail` and 1 - `tail`,
+    moved out by `margin` of themselves. Of fewer than `enough` texts nothing is learnt."""
+
     least: int = 30
     enough: int = 200
     tail: float = 0.005
     margin: float = 0.02
-    seed: int = 1
 
 
 COUNTS = """n_words long, word_chars long, n_symbols long, n_dup_lines long,
@@ -156,66 +155,109 @@ class Judge:
 # --- limits from clean texts ----------------------------------------------------------------
 
 
-def limits_of(sizes: np.ndarray, ratios: np.ndarray, sample: Sample, general: tuple) -> tuple:
-    """Limits by length class from the ratios of clean texts.
+def length_classes(octaves: Sequence[Row], least: int) -> list[list[Row]]:
+    """Half octaves (octave, n, shortest, longest) in order of size, joined with the next ones
+    until a class holds `least` ratios."""
+    classes: list[list[Row]] = [[]]
+    held, left = 0, sum(octave.n for octave in octaves)
+    for octave in octaves:
+        if classes[-1] and min(held, left) >= least:
+            classes.append([])
+            held = 0
+        classes[-1].append(octave)
+        held, left = held + octave.n, left - octave.n
+    return classes
+
+
+def limits_of(
+    classes: Sequence[list[Row]], quantiles: Sequence[Row], learning: Learning, general: tuple
+) -> tuple:
+    """Limits by length class from the low and high quantiles of the classes' ratios.
 
     Outside the lengths seen, the `general` limits hold where they are wider.
     """
-    order = np.argsort(sizes, kind="stable")
-    sizes, ratios = sizes[order], ratios[order]
-    cuts = [0]
-    for at in (np.flatnonzero(np.diff(np.floor(2 * np.log2(sizes)))) + 1).tolist():
-        if min(at - cuts[-1], len(sizes) - at) >= sample.least:
-            cuts.append(at)
-    shortest, longest = int(sizes[0]), int(sizes[-1])
-    found = []
-    for start, end in zip(cuts, [*cuts[1:], len(sizes)]):
-        below = int(sizes[end]) if end < len(sizes) else longest + 1
-        low, high = np.quantile(ratios[start:end], [sample.tail, 1 - sample.tail])
-        found.append((below, float(low * (1 - sample.margin)), float(high * (1 + sample.margin))))
+    shortest, longest = classes[0][0].shortest, classes[-1][-1].longest
+    ends = [*[octaves[0].shortest for octaves in classes[1:]], longest + 1]
+    found = [
+        (below, q.low * (1 - learning.margin), q.high * (1 + learning.margin))
+        for below, q in zip(ends, quantiles)
+    ]
     shorter = [(min(b, shortest), min(low, found[0][1]), max(high, found[0][2])) for b, low, high in general]
     shorter = [band for k, band in enumerate(shorter) if not k or band[0] > shorter[k - 1][0]]
     longer = [(b, min(low, found[-1][1]), max(high, found[-1][2])) for b, low, high in general if b > longest + 1]
     return (*shorter, *found, *longer)
 
 
-def learn_bands(
-    docs: DataFrame, labels: DataFrame, bands: Bands = Bands(), sample: Sample = Sample()
-) -> Bands:
-    """`bands` with limits for whole texts and for chunks from texts labelled clean.
+def clean_ratios(docs: DataFrame, labels: DataFrame, bands: Bands) -> DataFrame:
+    """place (0: the whole text, then its chunks), bytes, ratio and half octave of size of every
+    text labelled clean that passes the base rules. A written table.
 
-    `labels` has doc_id and quality (1 is clean); rows held out are not read. Texts that fail
-    the base rules teach nothing. Only sizes and ratios of the sample come to the driver.
+    A bounded filter of the clean doc_ids spares other texts the compression; only sizes and
+    ratios, never texts, are shuffled to be joined with the ids themselves.
     """
     clean = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long"))
     clean = clean.filter(~held_out(F.col("doc_id"))).distinct()
-    share = min(1.0, sample.texts / max(1, clean.count()))
-    drawn = F.pmod(F.xxhash64(F.lit(sample.seed), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    texts = documents_of(docs).join(F.broadcast(clean.filter(drawn)), "doc_id")
+    wanted = KeyFilter.of(clean, "doc_id")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(bands)
         for batch in batch_rows(batches, BATCH_BYTES):
             rows = []
+            batch = batch.take(pa.array(wanted.found(batch.column("doc_id").to_numpy().astype(np.uint64))))
             for key, raw in zip(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text"))):
                 words = raw.split()
                 if not judge.fails(words, judge.repeated_words(words)):
-                    parts = [raw, *islice(judge.chunks(raw), sample.chunks)]
-                    rows += [(key, k, len(part), judge.ratio(part)) for k, part in enumerate(parts)]
-            columns = list(zip(*rows)) or [()] * 4
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.float64()]
+                    for place, part in enumerate(chain([raw], judge.chunks(raw))):
+                        octave = int(np.floor(2 * np.log2(len(part))))
+                        rows.append((key, place, len(part), judge.ratio(part), octave))
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.int32()]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "place", "bytes", "ratio"])
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "place", "bytes", "ratio", "octave"])
+
+    texts = documents_of(docs).filter("doc_id IS NOT NULL")
+    measured = map_arrow(texts, measure, "doc_id long, place int, bytes long, ratio double, octave int")
+    one = measured.join(clean, "doc_id").groupBy("doc_id", "place")
+    one = one.agg(F.min(F.struct("bytes", "ratio", "octave")).alias("one"))
+    return staged(one.select("place", "one.*"), "quality-ratios")
 
-    measured = map_arrow(texts.select("doc_id", "text"), measure, "doc_id long, place int, bytes long, ratio double")
-    one = measured.groupBy("doc_id", "place").agg(F.min(F.struct("bytes", "ratio")).alias("one"))
-    rows = one.select("place", "one.bytes", "one.ratio").toPandas()
-    whole, chunk = rows[rows.place == 0], rows[rows.place > 0]
-    if len(whole) < sample.enough:
+
+def learn_bands(
+    docs: DataFrame, labels: DataFrame, bands: Bands = Bands(), learning: Learning = Learning()
+) -> Bands:
+    """`bands` with limits for whole texts and for chunks from all texts labelled clean.
+
+    `labels` has doc_id and quality (1 is clean); rows held out are not read. Texts that fail
+    the base rules teach nothing. Every clean text and chunk counts: sizes are counted by half
+    octave, ratios ranked where they lie, and only a row a class comes to the driver.
+    """
+    ratios = clean_ratios(docs, labels, bands).withColumn("chunk", F.col("place") > 0)
+    sizes = ratios.groupBy("chunk", "octave").agg(
+        F.count(F.lit(1)).alias("n"), F.min("bytes").alias("shortest"), F.max("bytes").alias("longest")
+    )
+    sizes = sorted(sizes.collect(), key=lambda row: row.octave)
+    classes = {}
+    for chunk in (False, True):
+        octaves = [row for row in sizes if row.chunk == chunk]
+        if sum(row.n for row in octaves) >= learning.enough:
+            classes[chunk] = length_classes(octaves, learning.least)
+    if False not in classes:
         return bands
-    learnt = {"whole": limits_of(whole.bytes.to_numpy(), whole.ratio.to_numpy(), sample, bands.whole)}
-    if len(chunk) >= sample.enough:
-        learnt["chunk"] = limits_of(chunk.bytes.to_numpy(), chunk.ratio.to_numpy(), sample, bands.whole)
+    number = F.lit(None)
+    for chunk, found in classes.items():
+        starts = F.array(*[F.lit(octaves[0].octave) for octaves in found])
+        passed = F.size(F.filter(starts, lambda start: start <= F.col("octave")))
+        number = F.when(F.col("chunk") == chunk, passed).otherwise(number)
+    numbered = ratios.withColumn("number", number).filter("number IS NOT NULL")
+    tails = {"low": learning.tail, "high": 1 - learning.tail}
+    quantiles = exact_quantiles(numbered, ["chunk", "number"], "ratio", tails)
+    quantiles = sorted(quantiles.collect(), key=lambda row: row.number)
+    learnt = {
+        "chunk" if chunk else "whole": limits_of(
+            found, [row for row in quantiles if row.chunk == chunk], learning, bands.whole
+        )
+        for chunk, found in classes.items()
+    }
     return replace(bands, **learnt)
 
 

@@ -115,6 +115,24 @@ def test_limits_from_clean_texts(spark):
         assert not any(general(text.encode())[-1] for text in list(junk_of(size, random))[:2]), size
 
 
+def test_limits_from_every_clean_text(spark):
+    """30,000 clean texts: those that a draw of 20,000 by hash left out teach as well, and so do
+    chunks beyond the eighth of a text."""
+    short = " ".join(f"{k * 7919 % 9973:x}" for k in range(25))
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "pmod(xxhash64(1, id), 1 << 30) AS drawn")
+    left_out = f"drawn >= {int(0.9 * (1 << 30))}"  # 20,000 of 24,000 not held out
+    longer = " ".join(f"{k * 7919 % 9973:x}" for k in range(300))
+    docs = docs.selectExpr("doc_id", f"if({left_out}, '{longer}', '{short} ' || doc_id) AS text")
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    below = [band[0] for band in learn_bands(docs, labels).whole]
+    assert len(longer) + 1 in below
+    random = np.random.default_rng(4)
+    chunks = [prose(8 * 4096, random)[: 8 * 4096].ljust(8 * 4096, "e") + "same old words " * 274 for _ in range(260)]
+    docs = spark.createDataFrame(list(enumerate(chunks)), "doc_id long, text string")
+    learnt = learn_bands(docs, docs.selectExpr("doc_id", "1 AS quality"))
+    assert learnt.chunk[-1][2] > 20
+
+
 # --- personal data ----------------------------------------------------------------------
 
 PATTERNS = {  # as the contract states them
