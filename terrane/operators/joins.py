@@ -140,7 +140,8 @@ def join_tables(
 
     ``skew``: ``auto`` looks for hot keys on the sides Spark cannot split, ``on`` assumes
     them, ``off`` leaves the join as it is. The result is the same either way. A ``derived``
-    left side is dear to make: it is staged before it is used more than once.
+    left side is dear to make: it is staged, with all its columns, before it is used more than
+    once, or dealt over cells by the places of its rows.
     """
     keys = list(keys)
     if not keys:
@@ -159,7 +160,7 @@ def join_tables(
     rigid = {"left": "r", "right": "l", "full": "lr"}.get(kind, "")
     sides = {"l": left, "r": right}
     measured = [name for name in rigid if skew == "on" or (skew == "auto" and not _broadcastable(sides[name]))]
-    if derived and measured:
+    if derived and "l" in measured:
         sides["l"], _ = stage(left, "join")
     limit, top = hot_rows or HOT_BYTES, _EXPECTED if skew == "on" else None
     heavy = [
@@ -168,6 +169,8 @@ def join_tables(
     ]
     keyless = kind == "full" and any(_keyless(sides[name], keys, hot_rows) >= limit for name in measured)
     if keyless or any(found.take(1) for found in heavy):
+        if derived and "l" not in measured:
+            sides["l"], _ = stage(left, "join")
         return _join_in_cells(sides["l"], sides["r"], keys, kind, reduce(DataFrame.unionByName, heavy), limit)
     return sides["l"].join(sides["r"], keys, kind)
 

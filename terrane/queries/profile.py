@@ -33,16 +33,16 @@ _SUMMARY = " UNION ALL ".join(
 )
 
 
-def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold_table(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
     """The profiled columns as a written table: a profile takes several passes."""
     gold = scratch_path(spark, "gold")
-    write_table(gold_features(spark, sf_dir).select(*_NUMERIC), gold)
+    write_table(gold_features(spark, sf_dir).select(*columns), gold)
     return read_table(spark, gold)
 
 
 @query("eda_summary", f"WITH g AS ({FEATURES_SQL}) {_SUMMARY}")
 def eda_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary(gold_table(spark, sf_dir), _NUMERIC)
+    return summary(gold_table(spark, sf_dir, _NUMERIC), _NUMERIC)
 
 
 _MOMENTS = " UNION ALL ".join(
@@ -82,7 +82,8 @@ def _rounded(bins: DataFrame) -> DataFrame:
 
 @query("eda_histogram", _bins(f"SELECT actual_delay_days::DOUBLE AS x FROM ({FEATURES_SQL})"))
 def eda_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(histogram(gold_table(spark, sf_dir), "actual_delay_days"))
+    name = "actual_delay_days"
+    return _rounded(histogram(gold_table(spark, sf_dir, [name]), name))
 
 
 @query(

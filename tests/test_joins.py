@@ -258,3 +258,21 @@ def test_projection_wins_and_nothing_passes_through(spark):
 def test_gold_needs_a_source(spark):
     with pytest.raises(ValueError, match="primary_table"):
         run_gold(spark, GoldSpec(target_delta_path="/tmp/none/x"))
+
+
+def test_a_chain_is_not_staged_where_it_is_used_once(spark, monkeypatch):
+    """A left join looks for hot keys on its right only; the joined rows before it, with all
+    their columns, are written only if some are found."""
+    left = spark.range(60).selectExpr("id AS k", "id % 7 AS m", "'wide' AS wide")
+    middle = spark.range(60).selectExpr("id AS k", "id AS a")
+    right = spark.range(40).selectExpr("id % 5 AS m", "id AS b")
+    staged, stage = [], joins.stage
+    monkeypatch.setattr(joins, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plain = bag(join_chain(left, [(middle, ["k"], "inner"), (right, ["m"], "left")], skew="off"))
+        assert not staged
+        assert bag(join_chain(left, [(middle, ["k"], "inner"), (right, ["m"], "left")])) == plain
+        assert "full-buckets" in staged and "join" not in staged
+        monkeypatch.setattr(joins, "HOT_BYTES", 100)
+        assert bag(join_chain(left, [(middle, ["k"], "inner"), (right, ["m"], "left")])) == plain
+        assert "join" in staged
