@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,8 +41,16 @@ _log = logging.getLogger(__name__)
 FEATURES = "features"
 _FOLD = "__fold"
 _POSITION = "__position"
+_WEIGHT = "__weight"
 # Bytes a training partition should take: small, as every tree level passes over them.
 _TRAINING_BYTES = 4 * 1024 * 1024
+# Alike rows are fitted as one where a row stands for so many, by a look at the first and then
+# by an estimate over all; it decides the work, never the result.
+_SHARED = 8
+_LOOK = 10_000
+_ALIKE_BYTES = 100
+# Parameters that see weights, not rows, so that alike rows may be one.
+_BY_WEIGHT = {"maxIter", "maxDepth", "stepSize", "maxBins", "minInfoGain", "lossType"}
 # Folds of which target statistics leave out the row's own.
 _STATISTICS_FOLDS = 5
 # Defaults of an unconfigured fit.
@@ -166,7 +174,8 @@ def train(
     ``max_categories`` values (None: any number) is not indexed but stands as the mean target
     of its label: that of the other folds while fitting, of all training rows when scoring. Rows are partitioned and
     ordered by their hash position, into a number of parts that follows their bytes, so the
-    same rows and seed give the same trees on any number of cores.
+    same rows and seed give the same trees on any number of cores. Where most rows are alike in
+    target and features, one of each kind is fitted, weighted by their number.
 
     Without ``split_keys`` a row is placed by its target and features, so exact copies stay
     on one side and cannot leak into the test; give a row key to place them one by one.
@@ -194,9 +203,16 @@ def train(
             sums = fold_sums(training, encoded, target, fold)
             encoding = [target_statistics(sums, encoded)]
             fitting, _ = stage(_ordered(out_of_fold(training, sums, encoded, fold), parts, needed), "encoded")
-        prepared = PipelineModel([*indexing, features]).transform(fitting).select(target, FEATURES, _POSITION)
         trees = regressor(target, hyperparameters, seed, bins_needed(indexer))
-        if tuning and tuning.get("enabled"):
+        tuned = bool(tuning and tuning.get("enabled"))
+        inputs = [target, FEATURES, _POSITION]
+        named = {*(hyperparameters or {}), *((tuning.get("param_grid") or {}) if tuned else {})}
+        if not encoded and named <= _BY_WEIGHT and (kinds := _kinds(training, needed)):
+            by = fold_of(F.col(_POSITION), int(tuning.get("num_folds", 3))) if tuned else F.lit(0)
+            fitting, trees = _alike(training.withColumn(_FOLD, by), needed, kinds), trees.setWeightCol(_WEIGHT)
+            inputs = [target, FEATURES, _FOLD, _WEIGHT]
+        prepared = PipelineModel([*indexing, features]).transform(fitting).select(*inputs)
+        if tuned:
             fitted, best = tune(prepared, trees, target, tuning, seed)
         else:
             fitted, best = trees.fit(prepared), {}
@@ -206,6 +222,25 @@ def train(
     return Fit(model, measured, importances(model), best)
 
 
+def _kinds(rows: DataFrame, columns: Sequence[str]) -> int:
+    """About how many different rows there are, if they stand for `_SHARED` each or more; else 0."""
+    first = rows.select(*map(column, columns)).take(_LOOK)
+    if _SHARED * len(set(first)) > len(first):
+        return 0
+    different = F.approx_count_distinct(F.xxhash64(*map(column, columns)))
+    kinds, total = rows.agg(different, F.count(F.lit(1))).first()
+    return kinds if _SHARED * kinds <= total else 0
+
+
+def _alike(rows: DataFrame, columns: Sequence[str], kinds: int) -> DataFrame:
+    """Rows that differ in the columns or the fold, each with the number of those alike. They are
+    placed by their values, into parts that follow their number, like the rows of a plain fit."""
+    by = [*map(column, columns), F.col(_FOLD)]
+    counted = rows.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias(_WEIGHT))
+    parts = max(1, -(-kinds * _ALIKE_BYTES // _TRAINING_BYTES))
+    return stage(counted.repartition(parts, *by).sortWithinPartitions(*by), "alike")[0]
+
+
 def _ordered(rows: DataFrame, parts: int, columns: Sequence[str]) -> DataFrame:
     return rows.repartition(parts, _POSITION).sortWithinPartitions(_POSITION, *map(column, columns))
 
@@ -247,7 +282,9 @@ def tune(
         grid.addGrid(trees.getParam(name), list(values))
     points, metric = grid.build(), tuning.get("metric", "rmse")
     folds, parallelism = int(tuning.get("num_folds", 3)), int(tuning.get("parallelism", 1))
-    folded = prepared.withColumn(_FOLD, fold_of(F.col(_POSITION), folds))
+    folded = prepared
+    if _FOLD not in prepared.columns:
+        folded = prepared.withColumn(_FOLD, fold_of(F.col(_POSITION), folds))
     if metric in _ERRORS:
         scores = _shared_search(folded, trees, target, points, metric, folds, parallelism)
         chosen = points[int(np.argmax(scores) if metric == "r2" else np.argmin(scores))]
@@ -277,8 +314,11 @@ def _shared_search(
         longest = trees.copy({**points[members[0]], length: max(lengths)})
         held_out = folded.filter(F.col(_FOLD) == fold)
         model = longest.fit(folded.filter(F.col(_FOLD) != fold))
-        errors = model.evaluateEachIteration(held_out, _ERRORS[metric])
-        spread = held_out.agg(F.var_pop(target)).first()[0] if metric == "r2" else None
+        if _WEIGHT in folded.columns:
+            errors, spread = _weighted_errors(model, held_out, target, _ERRORS[metric])
+        else:
+            errors = model.evaluateEachIteration(held_out, _ERRORS[metric])
+            spread = held_out.agg(F.var_pop(target)).first()[0] if metric == "r2" else None
         return [(k, _of_error(errors[n - 1], metric, spread)) for k, n in zip(members, lengths)]
 
     tasks = [(members, fold) for members in groups.values() for fold in range(folds)]
@@ -288,6 +328,23 @@ def _shared_search(
     return [float(np.mean([value for k, value in found if k == point])) for point in range(len(points))]
 
 
+def _weighted_errors(
+    model: GBTRegressionModel, held_out: DataFrame, target: str, loss: str
+) -> tuple[list[float], float]:
+    """The mean loss of the first tree, of the first two, and so on, and the target's variance,
+    over rows that count by their weight."""
+    weight, actual = F.col(_WEIGHT), column(target)
+    mean = lambda value: F.sum(weight * value) / F.sum(weight)
+    middle = held_out.agg(mean(actual)).first()[0]
+    scored, guess, means = held_out, F.lit(0.0), [mean((actual - F.lit(middle)) ** 2)]
+    for k, (tree, share) in enumerate(zip(model.trees, model.treeWeights)):
+        scored = tree.setFeaturesCol(FEATURES).setPredictionCol(f"__tree{k}").transform(scored)
+        guess = guess + F.lit(float(share)) * F.col(f"__tree{k}")
+        means.append(mean((guess - actual) ** 2 if loss == "squared" else F.abs(guess - actual)))
+    spread, *errors = scored.agg(*means).first()
+    return errors, spread
+
+
 def _of_error(error: float, metric: str, spread: float | None) -> float:
     if metric == "rmse":
         return error**0.5
@@ -299,6 +356,8 @@ def _of_error(error: float, metric: str, spread: float | None) -> float:
 def _plain_search(folded, trees, target, points, metric, folds, parallelism, seed):
     """Every grid point fitted by itself, for metrics that are no mean over rows."""
     evaluator = RegressionEvaluator(labelCol=target, predictionCol=PREDICTION, metricName=metric)
+    if _WEIGHT in folded.columns:
+        evaluator = evaluator.setWeightCol(_WEIGHT)
     search = CrossValidator(
         estimator=trees,
         estimatorParamMaps=points,

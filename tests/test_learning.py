@@ -103,6 +103,40 @@ def test_same_seed_same_fit_on_any_layout(rows, fit):
     assert again.metrics == pytest.approx(fit.metrics)
 
 
+@pytest.mark.parametrize("metric", ["rmse", "mae", "r2", "var"])
+def test_alike_rows_are_fitted_as_one(spark, monkeypatch, metric):
+    """Eight kinds of 4,000 rows: fits see a row a kind and fold, and find what all rows give."""
+    data = spark.range(4000).selectExpr(
+        "id", "concat('c', pmod(hash(id), 2)) AS cat", "double(pmod(hash(id, 1), 2)) AS x",
+        "pmod(hash(id), 2) * 10 + pmod(hash(id, 1), 2) * 3.0D + pmod(hash(id, 2), 2) AS y",
+    )
+    fit, search, seen, scores = learning.GBTRegressor._fit, learning._shared_search, [], []
+
+    def counted(self, dataset):
+        seen.append(dataset.count())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(learning.GBTRegressor, "_fit", counted)
+    monkeypatch.setattr(learning, "_shared_search", lambda *a: scores.append(search(*a)) or scores[-1])
+    grid = {"maxDepth": [1, 2], "maxIter": [1, 3]} if metric == "rmse" else {"maxDepth": [1, 2], "maxIter": [1]}
+    tuning = {"enabled": True, "num_folds": 2, "metric": metric, "param_grid": grid}
+    once = train(data, "y", ["cat"], ["x"], split_keys=["id"], hyperparameters=SMALL, tuning=tuning)
+    assert max(seen) <= 16
+    monkeypatch.setattr(learning, "_kinds", lambda *a: 0)
+    plain = train(data, "y", ["cat"], ["x"], split_keys=["id"], hyperparameters=SMALL, tuning=tuning)
+    assert max(seen) > 1000
+    assert once.metrics == pytest.approx(plain.metrics) and once.importances == pytest.approx(plain.importances)
+    assert once.best_params == plain.best_params
+    if metric != "var":
+        assert scores[0] == pytest.approx(scores[1])
+    # rows of which a parameter counts each are not made one
+    seen.clear()
+    monkeypatch.undo()
+    monkeypatch.setattr(learning.GBTRegressor, "_fit", counted)
+    train(data, "y", ["cat"], ["x"], split_keys=["id"], hyperparameters={**SMALL, "minInstancesPerNode": 5})
+    assert min(seen) > 1000
+
+
 def test_tuning_returns_the_best_grid_values(rows):
     tuned = train(
         rows,
