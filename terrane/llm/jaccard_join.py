@@ -10,8 +10,11 @@ by shingle and each list is walked in order of set size:
    one component and need no answers of their own; the others are compared with all.
 2. The lists are walked again, and now only pairs of different components that did not meet
    before matter. Lists are read in blocks; a block is skipped when the sizes and positions in
-   it leave no room for the overlap that is needed. Where such pairs lie dense, sets meet at
-   leaders again, chosen among the pairs, so a set travels once a round and not once a pair.
+   it leave no room for the overlap that is needed. A list with more such pairs than sets names
+   only the sets: these meet there, and a link is kept where it joins two components. At first
+   each set goes to the one list where it has most partners, then the lists are walked anew,
+   and at last sets meet in every list that is still dense. So rows follow the sets, not their
+   pairs. Pairs of other lists meet at leaders again, chosen among the pairs.
 3. A set linked to a leader is highly similar to it, so its overlap with another set follows
    from the leaders' overlap, up to the few elements by which it differs. Leaders' pairs are
    computed first; only pairs that these answers leave open are computed themselves.
@@ -51,6 +54,7 @@ from terrane.llm.components import connected
 WORDS = 5
 ELEMENT_BYTES = 6
 GUESTS = 2_000
+FEW = 64  # pairs that any list may name, however few sets it has
 MATRIX = 4_096  # sets of a cell whose signatures are compared each with each
 TOGETHER = 1_500_000  # elements of the sets that meet in one place
 BATCH_BYTES = 4 << 20
@@ -62,7 +66,8 @@ class Limits:
     """The order of shingles: the `frequent` most frequent of those seen `least_count` times
     come last, the rest before them by hash. It decides the work, never the result. A list
     of more than `list_rows` is cut for its first walk; `block_rows` is the skipping unit.
-    Open pairs, while there are any, meet at leaders for `rounds` rounds."""
+    Open pairs, while there are any, meet at leaders for `rounds` rounds; before that, dense
+    lists are walked anew as often."""
 
     frequent: int = 1 << 18
     least_count: int = 4
@@ -416,16 +421,23 @@ def _block_pairs(rows: dict[str, np.ndarray], block: int) -> Iterator[tuple[np.n
                     yield i[near], j[near]
 
 
-def _open_pairs(lists: DataFrame, signatures: DataFrame, limits: Limits) -> DataFrame:
-    """Distinct pairs (a, b) of classes of different components that their lists leave open."""
+_WALKED = "a long, b long, place long, partners long"
+
+
+def _walked(lists: DataFrame, shorts: DataFrame, limits: Limits) -> DataFrame:
+    """What the lists leave open between different components: pairs (a, b), or, of a list with
+    more of them than sets, the sets (a) with the list (place) and their number of partners in it.
+    """
 
     def distinct(held: list[np.ndarray]) -> np.ndarray:
         pairs = np.concatenate(held)
         pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
         return pairs[run_starts(pairs[:, 0], pairs[:, 1])]
 
-    def batch_of(pairs: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    def batch_of(*columns: np.ndarray | None) -> pa.RecordBatch:
+        n = len(columns[0])
+        arrays = [pa.nulls(n, pa.int64()) if column is None else pa.array(column, pa.int64()) for column in columns]
+        return pa.RecordBatch.from_arrays(arrays, ["a", "b", "place", "partners"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -433,24 +445,97 @@ def _open_pairs(lists: DataFrame, signatures: DataFrame, limits: Limits) -> Data
             starts = run_starts(rows["shingle"]).tolist()
             for start, end in zip(starts, [*starts[1:], len(rows["class"])]):
                 one = {name: column[start:end] for name, column in rows.items()}
+                name, partners, here, few = one["class"], np.zeros(end - start, np.int64), [], True
                 for x, y in _block_pairs(one, limits.block_rows):
-                    a, b = one["class"][x], one["class"][y]
-                    held.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
-                    count += len(a)
-                    if count > 500_000:
-                        held = [distinct(held)]
-                        count = len(held[0])
-                        if count > 250_000:
-                            yield batch_of(held[0])
-                            held, count = [], 0
+                    np.add.at(partners, x, 1)
+                    np.add.at(partners, y, 1)
+                    few = few and sum(map(len, here)) + len(x) <= max(FEW, end - start)
+                    if few:
+                        a, b = name[x], name[y]
+                        here.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+                if not few:
+                    met = np.flatnonzero(partners)
+                    yield batch_of(name[met], None, np.full(len(met), one["shingle"][0]), partners[met])
+                    continue
+                held += here
+                count += sum(map(len, here))
+                if count > 250_000:
+                    pairs = distinct(held)
+                    yield batch_of(pairs[:, 0], pairs[:, 1], None, None)
+                    held, count = [], 0
         if held:
-            yield batch_of(distinct(held))
+            pairs = distinct(held)
+            yield batch_of(pairs[:, 0], pairs[:, 1], None, None)
 
     spread = lists.groupBy("shingle").agg(F.min("component").alias("one"), F.max("component").alias("two"))
     mixed_lists = lists.join(spread.filter("one <> two").select("shingle"), "shingle", "left_semi")
-    signed = mixed_lists.join(_broadcast_if_small(_short(signatures)), "class")
+    signed = mixed_lists.join(_broadcast_if_small(shorts), "class")
     ordered = signed.repartition("shingle").sortWithinPartitions("shingle", "size", "class")
-    return staged(map_arrow(ordered, run, "a long, b long").distinct(), "open-pairs")
+    return staged(map_arrow(ordered, run, _WALKED), "open-lists")
+
+
+def _met(walked: DataFrame, parts: DataFrame, sizes: DataFrame, elements: DataFrame, everywhere: bool) -> DataFrame:
+    """Links (a, b) that join different components, among the sets of dense lists.
+
+    The sets meet in the list where each has most partners, or `everywhere` they are named. What
+    is too large for one task is cut into cells, and every two of them meet.
+    """
+    named = walked.filter("place IS NOT NULL").select(F.col("a").alias("class"), "place", "partners")
+    if not everywhere:
+        most = F.max_by("place", F.struct("partners", "place")).alias("place")
+        named = named.groupBy("class").agg(most)
+    part = parts.select(F.col("node").alias("class"), F.col("component").alias("part"))
+    named = named.select("class", "place").join(sizes, "class").join(part, "class", "left")
+    named = staged(named.withColumn("part", F.coalesce("part", "class")), "places")
+    load, whole = F.sum("size"), F.lit(1)
+    cells = F.when(load <= TOGETHER, whole).otherwise(F.ceil(2 * load / TOGETHER)).cast("int").alias("cells")
+    own = F.pmod(F.xxhash64("class"), F.col("cells")).cast("int")
+    celled = named.join(named.groupBy("place").agg(cells), "place").withColumn("own", own)
+    celled = celled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    celled = celled.filter("cells = 1 OR other <> own").select(
+        "class", "place", "part", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two")
+    )
+    by = ["place", "one", "two"]
+    together = _only(elements, named).join(_broadcast_if_small(staged(celled, "places")), "class")
+    together = together.repartition(*by).sortWithinPartitions(*by, "class")
+
+    def meet(names: list[int], parts: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        once = [k for k, name in enumerate(names) if k == 0 or name != names[k - 1]]
+        names, sets = [names[k] for k in once], [sets[k] for k in once]
+        _, part = np.unique(np.array([parts[k] for k in once], np.int64), return_inverse=True)
+        beside = np.flatnonzero(part != np.bincount(part).argmax())  # the largest is met by all others
+        shared = _Shared(sets)
+        links = []
+        for k in beside.tolist():
+            apart = part != part[k]
+            if not apart.any():
+                break
+            linked = apart & (7 * shared.overlaps(k) >= 3 * (shared.sizes + shared.sizes[k]))
+            for other in np.flatnonzero(linked).tolist():
+                if part[other] != part[k]:
+                    part[part == part[other]] = part[k]
+                    links.append((names[k], names[other]))
+        return links
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, names, parts, sets = None, [], [], []
+
+        def links() -> Iterator[pa.RecordBatch]:
+            found = meet(names, parts, sets) if len(names) > 1 else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+        for batch in batches:
+            for *at, name, part, raw in zip(*[batch.column(c).to_pylist() for c in [*by, "class", "part", "elements"]]):
+                if at != place:
+                    yield from links()
+                    place, names, parts, sets = at, [], [], []
+                names.append(name)
+                parts.append(part)
+                sets.append(unpacked(raw))
+        yield from links()
+
+    return staged(map_arrow(together, run, "a long, b long"), "met")
 
 
 # --- overlaps ------------------------------------------------------------------------------
@@ -508,6 +593,24 @@ def _overlaps(pairs: DataFrame, elements: DataFrame) -> DataFrame:
     return staged(map_arrow(together, run, schema).distinct(), "overlaps")
 
 
+class _Shared:
+    """An index of the elements of sets, to count what one of them shares with each."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets, self.sizes = sets, np.array([len(one) for one in sets])
+        owners, flat = np.repeat(np.arange(len(sets)), self.sizes), np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        self.owners, flat = owners[order], flat[order]
+        self.starts = run_starts(flat)
+        self.ends = np.append(self.starts[1:], len(flat))
+        self.known = flat[self.starts]
+
+    def overlaps(self, k: int) -> np.ndarray:
+        at = np.searchsorted(self.known, self.sets[k])
+        spans = zip(self.starts[at].tolist(), self.ends[at].tolist())
+        return np.bincount(np.concatenate([self.owners[a:b] for a, b in spans]), minlength=len(self.sets))
+
+
 _STAR = "a long, b long, size_a long, size_b long, overlap long, led boolean"
 
 
@@ -682,21 +785,8 @@ def _stars(follow: DataFrame, elements: DataFrame) -> DataFrame:
     def star(names: list[int], sets: list[np.ndarray]) -> list[tuple]:
         once = [k for k, name in enumerate(names) if k == 0 or name != names[k - 1]]
         names, sets = [names[k] for k in once], [sets[k] for k in once]
-        sizes = np.array([len(one) for one in sets])
-        owners, flat = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
-        order = np.argsort(flat, kind="stable")
-        owners, flat = owners[order], flat[order]
-        starts = run_starts(flat)
-        ends = np.append(starts[1:], len(flat))
-        known = flat[starts]
-
-        def overlaps(k: int) -> np.ndarray:
-            at = np.searchsorted(known, sets[k])
-            return np.bincount(
-                np.concatenate([owners[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]),
-                minlength=len(sets),
-            )
-
+        index = _Shared(sets)
+        sizes, overlaps = index.sizes, index.overlaps
         part = np.arange(len(sets))
         shared = overlaps(0)
         linked = 7 * shared >= 3 * (sizes + sizes[0])
@@ -780,6 +870,18 @@ def _derived(open_pairs: DataFrame, led: DataFrame, elements: DataFrame) -> Data
     return told.filter("linked").select("a", "b").unionByName(left.filter(_LINKED).select("a", "b"))
 
 
+def _in_parts(lists: DataFrame, follow: DataFrame, parts: DataFrame) -> DataFrame:
+    """Postings with the component of their set, its leader, and the leader's cell it met."""
+    named = lists.select("shingle", "class", "size", "position")
+    named = named.join(parts.withColumnsRenamed({"node": "class"}), "class", "left")
+    return named.join(follow, "class", "left").select(
+        "shingle", "class", "size", "position",
+        F.coalesce("component", "class").alias("component"),
+        F.coalesce("leader", F.lit(0)).alias("leader"),
+        F.coalesce("cell", F.lit(-1)).alias("cell"),
+    )
+
+
 def _components(docs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     """(class, component) for every class that has a link."""
     lists = _lists(_postings(docs, _frequent(sets, limits), limits), limits)
@@ -791,24 +893,27 @@ def _components(docs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     answers = _stars(promising, elements)
     links = answers.filter(_LINKED).select("a", "b")
     parts = connected(links)
-    named = lists.select("shingle", "class", "size", "position")
-    named = named.join(parts.withColumnsRenamed({"node": "class"}), "class", "left")
-    named = named.join(follow, "class", "left").select(
-        "shingle", "class", "size", "position",
-        F.coalesce("component", "class").alias("component"),
-        F.coalesce("leader", F.lit(0)).alias("leader"),
-        F.coalesce("cell", F.lit(-1)).alias("cell"),
-    )
     led = answers.filter("led").filter(_LINKED).select(
         F.col("a").alias("class"), F.col("b").alias("leader"), F.col("size_a").alias("size"),
         F.col("overlap").alias("in_leader"), F.col("size_b").alias("leader_size"),
     )
-    pairs = _still_open(_open_pairs(named, signatures, limits), signatures)
-    asked = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    shorts = _short(signatures)
+    walked = _walked(_in_parts(lists, follow, parts), shorts, limits)
+    pairs = _still_open(walked.filter("b IS NOT NULL").select("a", "b").distinct(), signatures)
+    asked = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
+    asked = asked.unionByName(walked.filter("place IS NOT NULL").select(F.col("a").alias("class"))).distinct()
     asked = staged(asked.join(meeting, "class", "left_anti"), "asked")
     if asked.take(1):
         elements = elements.unionByName(_elements_of(docs, asked, sets))
     sizes = staged(lists.groupBy("class").agg(F.max("size").alias("size")), "sizes")
+    for k in range(limits.rounds + 1):
+        if not walked.filter("place IS NOT NULL").take(1):
+            break
+        links = links.unionByName(_met(walked, parts, sizes, elements, k == limits.rounds))
+        parts = connected(links)
+        if k < limits.rounds:
+            walked = _walked(_in_parts(lists, follow, parts), shorts, limits)
+            pairs = _still_open(walked.filter("b IS NOT NULL").select("a", "b").distinct(), signatures)
     for _ in range(limits.rounds):
         if not pairs.take(1):
             break

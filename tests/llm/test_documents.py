@@ -14,6 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.ml.linalg import DenseVector
 
+from terrane.llm import jaccard_join
 from terrane.llm.jaccard_join import (
     _SHORT,
     Limits,
@@ -292,6 +293,55 @@ def test_near_copies_about_the_threshold(spark):
     assert Counter(map(tuple, found)) == brute_components(rows)
 
 
+def near_families(n):
+    """Two families of near copies, longer ones and shorter ones, that follow leaders of their
+    own; every member of one links to every member of the other."""
+    base = [f"w{k}" for k in range(194)]
+    rows = [(0, " ".join(base[:144]))]
+    for k in range(n):
+        for family, words in enumerate((base[:164], base)):
+            words = list(words)
+            words[20 + k % 100] = f"u{family}x{k}"
+            rows.append((len(rows), " ".join(words)))
+    return rows
+
+
+def test_jaccard_rows_follow_the_sets(spark, monkeypatch):
+    """Of two families that all link, what is staged grows with the sets, not with their pairs."""
+    staged, made = jaccard_join.staged, []
+
+    def counted(frame, name):
+        frame = staged(frame, name)
+        made.append((frame.count(), name))
+        return frame
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    rows = near_families(120)  # 14,400 pairs between the families
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).drop("class").collect()
+    assert Counter(map(tuple, found)) == brute_components(rows)
+    lists = next(count for count, name in made if name == "shingle-lists")
+    assert max(made) == (lists, "shingle-lists") and any(name == "met" for _, name in made)
+
+
+@pytest.mark.parametrize("together", [1_500_000, 4_000])
+def test_sets_meet_in_dense_lists(spark, monkeypatch, together):
+    """Dense lists of sets that link and of sets that nearly do, whole and cut into cells."""
+    monkeypatch.setattr(jaccard_join, "FEW", 0)
+    monkeypatch.setattr(jaccard_join, "TOGETHER", together)
+    dice = random.Random(5)
+    rows = [(key, text) for key, text in near_families(40)]
+    base = [f"v{dice.randrange(900)}" for _ in range(200)]
+    for k in range(150):
+        words = list(base)[: dice.randrange(140, 200)]
+        for _ in range(2 + k % 4):
+            words[dice.randrange(len(words))] = f"z{dice.randrange(10**6)}"
+        rows.append((1000 + k, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for rounds in (0, 1):
+        found = jaccard_components(frame, Limits(rounds=rounds)).drop("class").collect()
+        assert Counter(map(tuple, found)) == brute_components(rows)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 400), st.integers(0, 400), st.integers(0, 10**6))
 def test_signatures_rule_out_no_link(shared, one, two, seed):
