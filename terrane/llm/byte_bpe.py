@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import re
-from struct import pack
+from collections.abc import Iterator
+from itertools import chain
+from struct import Struct
 
 import numpy as np
 
-from terrane.llm.common import kept_by_worker
+from terrane.llm.common import kept_by_worker, no_cycles
 
 END_OF_DOCUMENT = 0
 
-_MARKS = ".,!?;:"
-_PARTS = re.compile(r"\n|[.,!?;:]+|[^\n.,!?;:]+")
+_MARKS = ".,!?;:#*$%&"
+_PACKED = [Struct(f"<{n}I").pack for n in range(64)]
+_PARTS = re.compile(rf"\n|[{_MARKS}]+|[^\n{_MARKS}]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -29,7 +32,29 @@ class UnsafeCut(ValueError):
     """A piece has white space beside the space it was cut at."""
 
 
-class ByteBpe(dict):
+class _Parts(dict):
+    """Ids of parts, by the part without its `lead`."""
+
+    def __init__(self, lead: str, bpe: ByteBpe):
+        super().__init__()
+        self.lead, self.bpe = lead, bpe
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.bpe._ids(self.lead + word, word, self)
+        if len(word) <= self.bpe.longest:
+            self.bpe.held += 200 + 2 * len(word) + len(found)
+            self[word] = found
+        return found
+
+    def renew(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
+
+class ByteBpe:
     """Ids of whole texts as `Tokenizer.encode(text, add_special_tokens=False)` gives them.
 
     Byte-level pre-tokenization always ends a token where a word meets a mark, around a
@@ -38,50 +63,53 @@ class ByteBpe(dict):
     texts can be cut there and the parts encoded by themselves. A part made of letters, with
     or without a space before it, is one such token, and goes straight to the library's
     model; other parts, and texts with other runs of white space, go through the whole
-    tokenizer. Parts recur, so their ids are kept, in this dictionary: those of the last
-    `most` new parts, or `most_bytes`, at least, and of twice as many at most. Parts longer
-    than `longest`, such as texts without spaces, are not kept.
+    tokenizer. Parts recur, so their ids are kept, those behind a space (`spaced`) and others
+    (`bare`) apart: of the last `most` new parts, or `most_bytes`, at least, and of twice as
+    many at most. Parts longer than `longest`, such as texts without spaces, are not kept.
     """
 
-    def __init__(self, path: str, most: int = 250_000, most_bytes: int = 48 << 20, longest: int = 128):
+    def __init__(self, path: str, most: int = 160_000, most_bytes: int = 32 << 20, longest: int = 128):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.space = self.letters[32]
-        self.older: dict[str, bytes] = {}
+        self.spaced, self.bare = _Parts(" ", self), _Parts("", self)
         self.most, self.most_bytes, self.longest = most, most_bytes, longest
         self.held = 0
 
+    def __iter__(self) -> Iterator[str]:
+        """The parts it keeps, without a space before them."""
+        return chain(self.spaced, self.bare)
+
+    def __len__(self) -> int:
+        return len(self.spaced) + len(self.bare)
+
     def whole(self, text: str) -> bytes:
         """The library's ids of one text, as little-endian unsigned 32-bit integers."""
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, "<u4").tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        found = self.older.get(piece)
-        if found is None:
-            if piece != "\n" and (piece[-1].isspace() or piece[1:2].isspace()):
-                raise UnsafeCut
-            found = self._ids(piece)
-        if len(piece) <= self.longest:
-            self.held += 200 + 2 * len(piece) + len(found)
-            self[piece] = found
-        return found
+    def _part(self, piece: str) -> bytes:
+        return self.spaced[piece[1:]] if piece[0] == " " and len(piece) > 1 else self.bare[piece]
 
-    def _ids(self, piece: str) -> bytes:
-        word = piece[1:] if piece[0] == " " else piece
+    def _ids(self, piece: str, word: str, alike: _Parts) -> bytes:
+        """The ids of a piece, which is a word behind the lead of those alike."""
         if word.isalpha():
-            if piece.isascii():
-                letters = piece.replace(" ", self.space)
+            if word.isascii():
+                letters = self.space + word if alike.lead else word
             else:
                 letters = piece.encode().decode("latin-1").translate(self.letters)
             ids = [token.id for token in self.tokenize(letters)]
-            return pack(f"<{len(ids)}I", *ids)
-        if piece[-1] in _MARKS and word[:-1].isalpha():
-            return self[piece[:-1]] + self[piece[-1]]
+            return _PACKED[len(ids)](*ids) if len(ids) < len(_PACKED) else np.array(ids, "<u4").tobytes()
+        if word[-1] in _MARKS and word[:-1].isalpha():
+            return alike[word[:-1]] + self.bare[word[-1]]
+        if piece != "\n" and (piece[-1].isspace() or piece[1:2].isspace()):
+            raise UnsafeCut
+        left, line, right = word.partition("\n")
+        if left and right and not (left[-1].isspace() or right[0].isspace()):
+            return alike[left] + self.bare[line] + self.bare[right]
         parts = _PARTS.findall(piece)
         if len(parts) == 1:
             return self.whole(piece)
@@ -94,15 +122,16 @@ class ByteBpe(dict):
                 safe = left[-1].isalnum() != right[0].isalnum()
             if not safe:
                 return self.whole(piece)
-        return b"".join([self[part] for part in parts])
+        return b"".join([self._part(part) for part in parts])
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self) >= self.most or self.held >= self.most_bytes:
-            self.older = dict(self)
-            self.clear()
+            self.spaced.renew()
+            self.bare.renew()
             self.held = 0
-        return [self._text(text) for text in texts]
+        with no_cycles():
+            return [self._text(text) for text in texts]
 
     def _text(self, text: str) -> bytes:
         pieces = text.split(" ")
@@ -112,10 +141,11 @@ class ByteBpe(dict):
         if pieces[-1][-1].isspace():
             end = self.whole(" " * (len(pieces) > 1) + pieces.pop())
         try:
-            first = [self[piece] for piece in pieces[:1]]
-            return b"".join([*first, *map(self.__getitem__, [" " + p for p in pieces[1:]]), end])
+            ids = [self.bare[piece] for piece in pieces[:1]]
+            ids += map(self.spaced.__getitem__, pieces[1:])
         except UnsafeCut:
             return self.whole(text)
+        return b"".join([*ids, end])
 
 
 def byte_bpe(path: str) -> ByteBpe:

@@ -42,6 +42,18 @@ def test_byte_ids_equal_the_library():
         assert own.batch(batch) == [own.whole(text) for text in batch]
 
 
+def test_words_are_kept_apart_from_marks_and_lines():
+    """Words that meet others at marks and line ends leave no memory of each combination."""
+    own, words = ByteBpe(BYTES), [f"w{'abcdefghij'[k % 10]}x{'klmnopqrst'[k // 10]}" for k in range(100)]
+    texts = [f"a {one}{mark}{other}" for one in words for other in words[:20] for mark in ("\n", "###", "$%")]
+    for text in ("a b#c", "it's#'s", "x\ny\n\nz", "#\n#", "a\n b", "p*\nq's"):
+        assert own.batch([text]) == [own.whole(text)]
+    calls, whole = [], own.whole
+    own.whole = lambda text: calls.append(text) or whole(text)
+    assert own.batch(texts) == [whole(text) for text in texts]
+    assert len(calls) <= 10
+
+
 @pytest.mark.parametrize("short", [0, 32])
 def test_piece_ids_equal_the_library(monkeypatch, short):
     monkeypatch.setattr("terrane.llm.sentencepieces.SHORT", short)
