@@ -12,8 +12,8 @@ by shingle and each list is walked in order of set size:
    before matter. Lists are read in blocks; a block is skipped when the sizes and positions in
    it leave no room for the overlap that is needed. A list with more such pairs than sets names
    only the sets: these meet there, and a link is kept where it joins two components. At first
-   each set goes to the one list where it has most partners, then the lists are walked anew,
-   and at last sets meet in every list that is still dense. So rows follow the sets, not their
+   each set goes to the one list where it has most partners, then these lists are walked
+   anew, and at last sets meet in every list that is still dense. So rows follow the sets, not their
    pairs. Pairs of other lists meet at leaders again, chosen among the pairs.
 3. A set linked to a leader is highly similar to it, so its overlap with another set follows
    from the leaders' overlap, up to the few elements by which it differs. Leaders' pairs are
@@ -882,6 +882,14 @@ def _in_parts(lists: DataFrame, follow: DataFrame, parts: DataFrame) -> DataFram
     )
 
 
+def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components."""
+    one = parts.select(F.col("node").alias("a"), F.col("component").alias("part_a"))
+    two = parts.select(F.col("node").alias("b"), F.col("component").alias("part_b"))
+    apart = F.coalesce("part_a", "a") != F.coalesce("part_b", "b")
+    return pairs.join(one, "a", "left").join(two, "b", "left").filter(apart).select("a", "b")
+
+
 def _components(docs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     """(class, component) for every class that has a link."""
     lists = _lists(_postings(docs, _frequent(sets, limits), limits), limits)
@@ -911,19 +919,19 @@ def _components(docs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
             break
         links = links.unionByName(_met(walked, parts, sizes, elements, k == limits.rounds))
         parts = connected(links)
-        if k < limits.rounds:
-            walked = _walked(_in_parts(lists, follow, parts), shorts, limits)
-            pairs = _still_open(walked.filter("b IS NOT NULL").select("a", "b").distinct(), signatures)
+        if k < limits.rounds:  # only the dense lists are walked anew
+            dense = walked.filter("place IS NOT NULL").select(F.col("place").alias("shingle")).distinct()
+            again = staged(lists.join(_broadcast_if_small(staged(dense, "dense")), "shingle", "left_semi"), "again")
+            walked = _walked(_in_parts(again, follow, parts), shorts, limits)
+            new = _still_open(walked.filter("b IS NOT NULL").select("a", "b").distinct(), signatures)
+            pairs = staged(_apart(pairs.unionByName(new).distinct(), parts), "open-pairs")
     for _ in range(limits.rounds):
         if not pairs.take(1):
             break
         found, pairs = _meet_densest(pairs, sizes, elements)
         links = links.unionByName(found)
     parts = connected(links)
-    one = parts.select(F.col("node").alias("a"), F.col("component").alias("part_a"))
-    two = parts.select(F.col("node").alias("b"), F.col("component").alias("part_b"))
-    apart = F.coalesce("part_a", "a") != F.coalesce("part_b", "b")
-    pairs = pairs.join(one, "a", "left").join(two, "b", "left").filter(apart).select("a", "b")
+    pairs = _apart(pairs, parts)
     links = links.unionByName(_derived(staged(pairs, "open-pairs"), led, elements))
     return connected(links).withColumnRenamed("node", "class")
 
