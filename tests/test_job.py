@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import os
 import json
+import threading
 
 import pytest
 
 from terrane import load_spec, run, session
-from terrane.operators import runlog
+from terrane.operators import runlog, upkeep
 from terrane.operators.runlog import latest_run, latest_run_id, of_latest_run
 from terrane.operators.upkeep import (
     compact,
@@ -347,6 +348,29 @@ def test_maintenance_reports_per_table(spark):
     assert [(r.table, r.status) for r in off] == [(None, "SKIPPED")]
 
 
+def test_tables_are_packed_side_by_side(spark, monkeypatch):
+    """Each packing waits for the other one; the session's settings are its own again after it."""
+    tables = [scratch_path(spark, name) for name in ("left", "right")]
+    for table in tables:
+        write_table(spark.range(40).repartition(4), table)
+    together, packed = threading.Barrier(2, timeout=60), []
+
+    def pack(session, table, segments):
+        together.wait()
+        packed.append(spark.conf.get("spark.sql.files.minPartitionNum"))
+        return pack_segments(session, table, segments)
+
+    monkeypatch.setattr(upkeep, "pack_segments", pack)
+    keys = [f"spark.sql.files.{name}" for name in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum")]
+    before = [spark.conf.get(key, None) for key in keys]
+    status = maintain(spark, [*tables, f"{tables[0]}/"], 0).collect()
+    assert [(r.table, r.status) for r in status] == [(t, "SUCCESS") for t in [*tables, f"{tables[0]}/"]]
+    assert packed == ["1", "1"] and [spark.conf.get(key, None) for key in keys] == before
+    for table in tables:
+        found = read_table(spark, table)
+        assert len(found.inputFiles()) == 1 and sorted(r.id for r in found.collect()) == [*range(40)]
+
+
 def test_layout_follows_the_input(spark):
     partitions = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     piece = "spark.sql.files.maxPartitionBytes"
