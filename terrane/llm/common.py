@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import os
 import re
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
@@ -15,25 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from terrane.session import scratch_path, settings
-
-_PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from terrane.session import importable, scratch_path, settings
 
 # White space of the word definition `[^\x20\x09-\x0D]+`; bytes.split() knows the same six.
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers of a local session import this package from its folder.
-
-    On a cluster the package is installed on the machines like any other.
-    """
-    path = spark.sparkContext.environment.setdefault("PYTHONPATH", "")
-    if _PACKAGE_ROOT not in path.split(os.pathsep):
-        joined = os.pathsep.join(filter(None, [path, _PACKAGE_ROOT]))
-        spark.sparkContext.environment["PYTHONPATH"] = joined
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: its lineage ends here."""
     spark = df.sparkSession

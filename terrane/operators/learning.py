@@ -25,6 +25,7 @@ from terrane.functions.columns import (
     hash_position,
     within_share,
 )
+from terrane.operators import boosting
 from terrane.operators.categories import (
     fold_sums,
     out_of_fold,
@@ -211,11 +212,18 @@ def train(
             by = fold_of(F.col(_POSITION), int(tuning.get("num_folds", 3))) if tuned else F.lit(0)
             fitting, trees = _alike(training.withColumn(_FOLD, by), needed, kinds), trees.setWeightCol(_WEIGHT)
             inputs = [target, FEATURES, _FOLD, _WEIGHT]
-        prepared = PipelineModel([*indexing, features]).transform(fitting).select(*inputs)
+        places = PipelineModel(indexing).transform(fitting)
+        prepared = features.transform(places).select(*inputs)
         if tuned:
             fitted, best = tune(prepared, trees, target, tuning, seed)
         else:
-            fitted, best = trees.fit(prepared), {}
+            arities = {k: len(labels) + 1 for k, labels in enumerate(indexer.labelsArray if indexing else [])}
+            count = 0 if _WEIGHT in inputs else fitting.count()
+            if boosting.suited(trees, named, count, arities, len(features.getInputCols())):
+                fitted = boosting.fit(places, trees, target, features.getInputCols(), arities, count)
+            else:
+                fitted = trees.fit(prepared)
+            best = {}
         model = PipelineModel([*indexing, *encoding, features, fitted])
         scored = model.transform(holdout)
         measured = regression_metrics(scored, target, PREDICTION).first().asDict()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -24,6 +25,8 @@ _SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+_PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 _local_scratch: str | None = None
 
 
@@ -48,6 +51,17 @@ def lenient_sql(spark: SparkSession) -> Iterator[None]:
         yield
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers of a local session import this package from its folder.
+
+    On a cluster the package is installed on the machines like any other.
+    """
+    path = spark.sparkContext.environment.setdefault("PYTHONPATH", "")
+    if _PACKAGE_ROOT not in path.split(os.pathsep):
+        joined = os.pathsep.join(filter(None, [path, _PACKAGE_ROOT]))
+        spark.sparkContext.environment["PYTHONPATH"] = joined
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     global _local_scratch

@@ -211,6 +211,58 @@ def test_grid_points_share_the_longest_fit(spark, rows, monkeypatch):
     assert other["maxIter"] in (1, 2)
 
 
+def _mixed(spark):
+    """Categories, statistics, many values, many zeros, few values, and a feature of one value."""
+    return spark.range(30000).selectExpr(
+        "id", "concat('c', pmod(hash(id, 7), 20)) AS cat", "concat('m', pmod(hash(id, 5), 700)) AS many",
+        "double(pmod(hash(id, 1), 50)) - 25 AS x", "hash(id, 2) / 1e6 AS z", "double(greatest(0, pmod(hash(id, 6), 9) - 6)) AS w",
+        "0.0D AS nil",
+        "pmod(hash(id, 1), 50) * 2.0D + pmod(hash(id, 7), 20) * pmod(hash(id, 6), 9) + abs(hash(id, 2)) / 1e8 AS y",
+    ).repartition(3)
+
+
+@pytest.mark.parametrize("steps", [{"maxIter": 4}, {"maxIter": 3, "maxDepth": 3, "stepSize": 0.7, "minInfoGain": 0.5}])
+def test_trees_over_blocks_are_those_of_mllib(spark, monkeypatch, steps):
+    import re
+
+    def fitted():
+        fit = train(
+            _mixed(spark), "y", ["cat", "many"], ["x", "z", "w", "nil"], split_keys=["id"], max_categories=100, hyperparameters=steps
+        )
+        text = fit.model.stages[-1].toDebugString.split("\n", 1)[1]
+        return fit, re.sub(r"-?\d+\.\d+(E-?\d+)?", lambda number: f"{float(number[0]):.9g}", text)
+
+    kept = len(spark.sparkContext._jsc.getPersistentRDDs())
+    with monkeypatch.context() as without:  # MLlib, which keeps some objects a row, is not asked
+        without.setattr(learning.GBTRegressor, "_fit", lambda *a: pytest.fail("fitted by MLlib"))
+        fit, trees = fitted()
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == kept
+    monkeypatch.setattr(learning.boosting, "suited", lambda *a: False)
+    plain, expected = fitted()
+    assert trees == expected and len(trees) > 1000
+    assert fit.metrics == pytest.approx(plain.metrics) and fit.importances == pytest.approx(plain.importances)
+    one, other = fit.model.stages[-1], plain.model.stages[-1]
+    assert one.treeWeights == other.treeWeights and one.totalNumNodes == other.totalNumNodes
+    assert one.getMaxDepth() == other.getMaxDepth() and one.getPredictionCol() == PREDICTION
+
+
+def test_split_points_count_zeros_as_what_is_left():
+    sample = learning.np.array([0.0, 0.0, 1.0, 1.0, 2.0, -3.0])
+    assert learning.boosting._points(sample, 31, 6.0).tolist() == [-1.5, 0.5, 1.5]
+    assert learning.boosting._points(sample, 31, 4.0).tolist() == [-1.0, 1.5]
+    assert learning.boosting._points(learning.np.zeros(3), 31, 3.0).tolist() == []
+    assert learning.boosting._points(learning.np.arange(1.0, 101), 3, 100.0).tolist() == [25.5, 50.5, 75.5]
+
+
+def test_targets_without_spread_and_numbers_without_end(spark):
+    flat = spark.range(400).selectExpr("id", "double(id % 40) AS x", "double(hash(id)) AS z", "7 AS y")
+    fit = train(flat, "y", [], ["x", "z"], split_keys=["id"], hyperparameters={"maxIter": 2})
+    assert fit.metrics["rmse"] == 0 and fit.model.stages[-1].totalNumNodes == 2
+    endless = flat.withColumn("x", learning.F.expr("if(id = 5, double('Infinity'), x)"))
+    with pytest.raises(Exception, match="finite|NaN or Inf|Inf"):
+        train(endless, "y", [], ["x", "z"], split_keys=["id"], hyperparameters={"maxIter": 2})
+
+
 def test_categories_beyond_the_bins_stand_as_target_statistics(spark):
     data = spark.range(4000).selectExpr(
         "id", "if(id % 97 = 0, NULL, concat('k', id % 500)) AS many", "concat('c', id % 3) AS few",
