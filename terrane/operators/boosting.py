@@ -26,10 +26,11 @@ KNOWN = {"maxIter", "maxDepth", "stepSize", "maxBins", "minInfoGain"}
 # Bins fit in a byte, and a pass's sums (three doubles a node and bin) in what a task may send.
 _MOST_BINS = 256
 _MOST_SUMS = 1 << 16
-# Rows of a block, and of a task: as many as make its start small beside its work, but fewer while
-# there are less than so many tasks. Both follow the rows alone, never the cores.
+# Rows of a block.
 _BLOCK_ROWS = 1 << 16
-_TASK_ROWS = 1 << 18, 1 << 21
+# A task's start takes as long as a million rows, so no task of a pass has fewer; their number is a
+# multiple of what most machines have of cores, but follows the rows alone.
+_TASK_ROWS = 1 << 20, 1 << 22
 _TASKS = 24
 # MLlib's: rows that split points are taken from, if the bins squared are not more.
 _SAMPLE = 10_000
@@ -106,7 +107,7 @@ def fit(
 
 def _tasks(count: int) -> int:
     least, most = _TASK_ROWS
-    return max(1, -(-count // most), min(_TASKS, count // least))
+    return max(1, min(_TASKS * -(-count // (_TASKS * most)), count // least))
 
 
 def _split_points(

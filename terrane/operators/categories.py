@@ -15,20 +15,22 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from terrane.functions.columns import column
+from terrane.functions.columns import column, type_of
 from terrane.operators.numbering import numbered
 from terrane.sources.tables import stage
 
 # Sums of targets are exact, so that they do not depend on the order of rows.
 _EXACT = "decimal(38,9)"
+_SMALL = (T.ByteType, T.ShortType, T.IntegerType)
 _LABEL = "__label"
 
 
-def _labelled(columns: Sequence[str]) -> Column:
+def _pairs(columns: Sequence[str]) -> list[Column]:
     """A row for each of the columns: its name, and its value as text."""
-    pairs = [F.struct(F.lit(c).alias("feature"), column(c).cast("string").alias("label")) for c in columns]
-    return F.explode(F.array(*pairs))
+    pairs = [[F.lit(c).alias("feature"), column(c).cast("string").alias("label")] for c in columns]
+    return pairs[0] if len(pairs) == 1 else [F.inline(F.array(*[F.struct(*pair) for pair in pairs]))]
 
 
 def label_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -37,7 +39,7 @@ def label_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Indexes count from 0 by falling frequency, ties in the order of the text; `labels` is how
     many the feature has.
     """
-    counted = df.select(_labelled(columns).alias("pair")).select("pair.*").dropna().groupBy("feature", "label")
+    counted = df.select(*_pairs(columns)).dropna().groupBy("feature", "label")
     placed = numbered(
         counted.agg(F.count(F.lit(1)).alias("rows")), [F.col("feature"), F.col("rows").desc(), F.col("label")], "place"
     )
@@ -70,12 +72,14 @@ def _smoothed(total: Column, rows: Column, mean: Column, prior: float) -> Column
 
 def fold_sums(df: DataFrame, columns: Sequence[str], target: str, fold: Column) -> DataFrame:
     """(feature, label, fold, rows, total) of the rows that have a target; staged."""
-    exact = column(target).cast(_EXACT)
+    # No number of rows adds up small whole numbers beyond a long, which is faster than a decimal.
+    exact = "bigint" if isinstance(type_of(df, target), _SMALL) else _EXACT
     known = df.filter(column(target).isNotNull()).select(
-        fold.alias("fold"), exact.alias("value"), _labelled(columns).alias("pair")
+        fold.alias("fold"), column(target).cast(exact).alias("value"), *_pairs(columns)
     )
-    sums = known.select("fold", "value", "pair.*").groupBy("feature", "label", "fold")
-    return stage(sums.agg(F.count(F.lit(1)).alias("rows"), F.sum("value").alias("total")), "fold-sums")[0]
+    sums = known.groupBy("feature", "label", "fold")
+    total = F.sum("value").cast(_EXACT).alias("total")
+    return stage(sums.agg(F.count(F.lit(1)).alias("rows"), total), "fold-sums")[0]
 
 
 def out_of_fold(

@@ -33,7 +33,7 @@ from terrane.operators.categories import (
     target_statistics,
 )
 from terrane.operators.cleansing import drop_missing
-from terrane.session import ensure_checkpoint_dir, estimated_bytes, settings
+from terrane.session import ensure_checkpoint_dir, estimated_bytes, layout_for, settings
 from terrane.sources import paths
 from terrane.sources.tables import stage
 
@@ -191,7 +191,7 @@ def train(
     parts = max(1, -(-min(estimated_bytes(rows), _UNKNOWN_BYTES) // _TRAINING_BYTES))
     # Indexing, fitting and evaluation all pass over these columns: keep them once, durably.
     rows, path = stage(_ordered(placed, parts, needed), "train")
-    with settings(spark, _FILE_PER_PARTITION), _removed(spark, path):
+    with settings(spark, {**layout_for(spark, estimated_bytes(rows)), **_READING}), _removed(spark, path):
         inside = within_share(F.col(_POSITION), train_share)
         training, holdout = rows.filter(inside), rows.filter(~inside)
         encoded = many_valued(training, categorical, max_categories)
@@ -253,8 +253,12 @@ def _ordered(rows: DataFrame, parts: int, columns: Sequence[str]) -> DataFrame:
     return rows.repartition(parts, _POSITION).sortWithinPartitions(_POSITION, *map(column, columns))
 
 
-# A scan that opens each staged file as one partition, however many cores there are.
-_FILE_PER_PARTITION = {"spark.sql.files.openCostInBytes": "134217728"}
+# A scan that opens each staged file as one partition, however many cores there are; joins whose
+# smaller side is small in every partition are not sorted.
+_READING = {
+    "spark.sql.files.openCostInBytes": "134217728",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+}
 _UNKNOWN_BYTES = 1 << 42
 
 
