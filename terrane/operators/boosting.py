@@ -1,9 +1,9 @@
 """Boosted regression trees over blocks of binned rows.
 
 The trees are MLlib's: its sample and rule for the split points, its gains, leaves and pruning,
-and its model. Rows stand in blocks of arrays, a byte a feature and a double for what is left of
-the target, where MLlib keeps some objects a row; each level of a tree is one pass that adds
-them up by node and bin.
+and its model. Rows stand in blocks of arrays, a byte a feature, the target and the guess of the
+trees so far, where MLlib keeps some objects a row; each level of a tree is one pass that adds
+them up by node and bin. Sums are rounded as MLlib rounds them, so that ties fall alike.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ _TASKS = 24
 # MLlib's: rows that split points are taken from, if the bins squared are not more.
 _SAMPLE = 10_000
 _EPSILON = 2.0**-52
-_BLOCKS = "bins binary, rest binary"
+_BLOCKS = "bins binary, target binary, guess binary"
 _LEVEL = StorageLevel.MEMORY_AND_DISK
 # A block is as large as thousands of rows.
 _FEW_BLOCKS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "16"}
@@ -87,7 +87,7 @@ def fit(
     widths = [edge if isinstance(edge, int) else len(edge) + 1 for edge in edges]
     weights = [1.0] + [trees.getStepSize()] * (trees.getMaxIter() - 1)
     importable(spark)
-    # One or two at a time: blocks before a tree's predictions are taken off, and after.
+    # One or two at a time: blocks before a tree's predictions are added, and after.
     kept = [numbers.coalesce(_tasks(count)).mapInArrow(_to_blocks(edges), _BLOCKS).persist(_LEVEL)]
     roots: list[Node] = []
     try:
@@ -95,8 +95,8 @@ def fit(
         with settings(spark, _FEW_BLOCKS):
             for _ in weights:
                 if roots:
-                    taken = _without(roots[-1], weights[len(roots) - 1], widths)
-                    kept.append(kept[-1].mapInArrow(taken, _BLOCKS).persist(_LEVEL))
+                    added = _added(roots[-1], weights[len(roots) - 1], widths)
+                    kept.append(kept[-1].mapInArrow(added, _BLOCKS).persist(_LEVEL))
                 # The gradient of a squared residual is twice the residual.
                 roots.append(_tree(kept, trees, widths, arities, 2.0 if roots else 1.0))
     finally:
@@ -159,7 +159,8 @@ def _to_blocks(edges: Sequence[int | np.ndarray]) -> Callable[[Iterator[pa.Recor
         bins = np.empty((len(edges), rows.num_rows), np.uint8)
         for k, (edge, value) in enumerate(zip(edges, values[1:])):
             bins[k] = value if isinstance(edge, int) else np.searchsorted(edge, value)
-        return _block(bins, values[0])
+        target = values[0].astype(np.float32)
+        return _block(bins, target if (target == values[0]).all() else values[0], np.empty(0))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, rows = [], 0
@@ -177,17 +178,22 @@ def _to_blocks(edges: Sequence[int | np.ndarray]) -> Callable[[Iterator[pa.Recor
     return blocks
 
 
-def _block(bins: np.ndarray, rest: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([np.ascontiguousarray(part).tobytes()], pa.binary()) for part in (bins, rest)]
-    return pa.RecordBatch.from_arrays(columns, names=["bins", "rest"])
+def _block(*parts: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([np.ascontiguousarray(part).tobytes()], pa.binary()) for part in parts]
+    return pa.RecordBatch.from_arrays(columns, names=["bins", "target", "guess"])
 
 
-def _arrays(batches: Iterator[pa.RecordBatch], features: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _arrays(batches: Iterator[pa.RecordBatch], features: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Bins by feature, targets (in half the bytes if that loses nothing) and what the trees so far
+    make of them, which is nothing before the first."""
     for batch in batches:
-        for bins, rest in zip(batch.column(0), batch.column(1)):
+        for parts in zip(*batch.columns):
+            bins, target, guess = (part.as_buffer() for part in parts)
+            rows = bins.size // features
             yield (
-                np.frombuffer(bins.as_buffer(), np.uint8).reshape(features, -1),
-                np.frombuffer(rest.as_buffer(), np.float64),
+                np.frombuffer(bins, np.uint8).reshape(features, rows),
+                np.frombuffer(target, f"f{target.size // rows}"),
+                np.frombuffer(guess, np.float64),
             )
 
 
@@ -226,7 +232,8 @@ def _sums(levels: Sequence[tuple[np.ndarray, np.ndarray]], widths: Sequence[int]
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros((3, cells))
-        for bins, rest in _arrays(batches, len(widths)):
+        for bins, target, guess in _arrays(batches, len(widths)):
+            rest = target - guess if guess.size else target.astype(float)
             base, squares = _places(bins, levels) * total, rest * rest
             for start, own in zip(starts, bins):
                 cell = base + start
@@ -239,8 +246,8 @@ def _sums(levels: Sequence[tuple[np.ndarray, np.ndarray]], widths: Sequence[int]
     return summed
 
 
-def _without(root: Node, rate: float, widths: Sequence[int]):
-    """A pass that takes the tree's predictions off what is left of the target."""
+def _added(root: Node, rate: float, widths: Sequence[int]):
+    """A pass that adds the tree's predictions to the guesses."""
     depth, level = _depth(root), [root]
     levels = _levels(root, depth, max(widths))
     for _ in range(depth):  # a leaf's rows go left to the end
@@ -249,11 +256,12 @@ def _without(root: Node, rate: float, widths: Sequence[int]):
         ]
     shares = np.array([rate * node.prediction if node else 0.0 for node in level])
 
-    def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bins, rest in _arrays(batches, len(widths)):
-            yield _block(bins, rest - shares.take(_places(bins, levels)))
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bins, target, guess in _arrays(batches, len(widths)):
+            own = shares.take(_places(bins, levels))
+            yield _block(bins, target, guess + own if guess.size else own)
 
-    return taken
+    return added
 
 
 def _depth(node: Node) -> int:
